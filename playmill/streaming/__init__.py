@@ -1,0 +1 @@
+"""No streaming operators: the workload is finished records, processed in batch (see README)."""
