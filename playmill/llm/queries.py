@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import sp_codec
+from . import quality_classifier, sp_codec, toxicity
 from .common import read_table
+from .training import remainder
 
 #: Names a file of the installed tokenizer package; see the README.
 PIECES = "piece_bpe_32k.model"
@@ -35,5 +36,27 @@ def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op6_sentencepiece": op6_sentencepiece}
+def _scored(scores: DataFrame, held_out, least: float) -> DataFrame:
+    return scores.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= least).cast("int").alias("predicted"))
+
+
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    held_out = remainder("doc_id", 4) == 2
+    model = quality_classifier.train(docs, labels, "quality", ~held_out)
+    return _scored(quality_classifier.score(docs, model), held_out, 0.7)
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    held_out = remainder("doc_id", 5) == 0
+    model = toxicity.train(docs, labels, "toxic", ~held_out)
+    return _scored(toxicity.score(docs, model), held_out, 0.5)
+
+
+QUERIES = {
+    "op2_quality_classifier": op2_quality_classifier,
+    "op6_sentencepiece": op6_sentencepiece,
+    "op9_toxicity": op9_toxicity,
+}
 ORACLES: dict[str, str] = {}
