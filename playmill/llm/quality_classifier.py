@@ -1,7 +1,8 @@
 """Quality classifier on subword embeddings.
 
 Each word has a hashed vector for itself and one for each of its character
-n-grams; a document is the mean of all of these, and a softmax layer gives the
+n-grams, and every pair of a word with the same word has that of the token
+AGAIN; a document is the mean of all of these, and a softmax layer gives the
 classes. The vectors and the layer are fitted by stochastic gradient descent
 (numpy, per-row step sizes) on a bounded sample of labelled rows. As the score
 is linear in the mean, a fitted model folds into one number for each bucket,
@@ -18,6 +19,8 @@ from __future__ import annotations
 import zlib
 from collections import Counter
 from dataclasses import dataclass
+from itertools import islice
+from operator import eq
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +32,8 @@ from .training import labelled_sample
 
 #: Words whose folded value a worker keeps; when full, the table starts anew.
 KEPT_WORDS = 300_000
+#: Stands for a word that equals the word before it; no word has a space.
+AGAIN = b" again "
 
 
 @dataclass(frozen=True)
@@ -44,6 +49,7 @@ class Settings:
     rate: float = 0.3
     batch: int = 16
     seed: int = 7
+    least_docs: int = 4  # a bucket met in fewer documents of the sample says nothing
 
 
 def subwords(words: list[bytes], s: Settings) -> tuple[np.ndarray, np.ndarray]:
@@ -70,9 +76,18 @@ def subwords(words: list[bytes], s: Settings) -> tuple[np.ndarray, np.ndarray]:
     return ids[order].astype(np.int64), np.concatenate([[0], np.cumsum(np.bincount(owners, minlength=len(words)))])
 
 
+def counted_words(text: bytes) -> Counter:
+    words = text.split()
+    counts = Counter(words)
+    again = sum(map(eq, words, islice(words, 1, None)))
+    if again:
+        counts[AGAIN] = again
+    return counts
+
+
 def document_weights(text: bytes, s: Settings) -> tuple[np.ndarray, np.ndarray]:
     """Distinct buckets of a text and their shares, which add up to 1."""
-    counts = Counter(text.split())
+    counts = counted_words(text)
     if not counts:
         return np.zeros(0, np.int64), np.zeros(0, np.float32)
     ids, offsets = subwords(list(counts), s)
@@ -86,6 +101,9 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray, int]], s: Settings, prior: floa
     """The folded model: a number for each bucket, and the bias. prior is added to the bias."""
     rng = np.random.default_rng(s.seed)
     emb = rng.uniform(-0.5 / s.dim, 0.5 / s.dim, (1 << s.bits, s.dim)).astype(np.float32)
+    common = np.bincount(np.concatenate([ids for ids, *_ in rows]), minlength=1 << s.bits) >= s.least_docs
+    emb[~common] = 0
+    rows = [(ids[common[ids]], w[common[ids]], y) for ids, w, y in rows]
     seen = np.full(1 << s.bits, 1e-8, np.float32)
     out = rng.normal(0, 0.3, (s.dim, 2)).astype(np.float32)
     bias, out_seen, bias_seen = np.zeros(2, np.float32), np.full_like(out, 1e-8), np.full(2, 1e-8, np.float32)
@@ -146,7 +164,7 @@ def score(docs: DataFrame, model: tuple[np.ndarray, float], id_col: str = "doc_i
         table, bias = shared.value
         known: dict[bytes, complex] = {}  # sum of a word's numbers, and how many they are
         for batch in batches:
-            counted = [Counter(x.split()) for x in batch.column("text").to_pylist()]
+            counted = [counted_words(x) for x in batch.column("text").to_pylist()]
             if len(known) > KEPT_WORDS:
                 known.clear()
             new = list({w for c in counted for w in c if w not in known})

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import quality_classifier, sp_codec, toxicity
+from . import mixing, quality_classifier, quality_rules, sp_codec, toxicity
 from .common import read_table
 from .training import remainder
 
@@ -36,6 +36,16 @@ def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = mixing.plan(read_table(spark, sf_dir, "documents"))
+    sources = p.sources.select("rank", "source_size", "target")
+    return mixing.taken_words(p).join(sources, "rank").select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(quality_rules.measure(read_table(spark, sf_dir, "documents")))
+
+
 def _scored(scores: DataFrame, held_out, least: float) -> DataFrame:
     return scores.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= least).cast("int").alias("predicted"))
 
@@ -55,7 +65,9 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_mixing": op1_mixing,
     "op2_quality_classifier": op2_quality_classifier,
+    "op5_quality_rules": op5_quality_rules,
     "op6_sentencepiece": op6_sentencepiece,
     "op9_toxicity": op9_toxicity,
 }
