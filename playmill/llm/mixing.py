@@ -85,10 +85,10 @@ def _source_table(counts: DataFrame, s: Settings) -> DataFrame:
     def settle(frame: pd.DataFrame) -> pd.DataFrame:
         goal = targets(dict(zip(frame["rank"].tolist(), frame["source_size"].tolist())), s)
         frame["target"] = [float(goal[k]) for k in frame["rank"].tolist()]
-        return frame
+        return frame.drop(columns="one")
 
     schema = "source string, source_size long, n_docs long, rank int, target double"
-    settled = ranked.groupBy(F.lit(0)).applyInPandas(settle, schema)
+    settled = ranked.withColumn("one", F.lit(1)).groupBy("one").applyInPandas(settle, schema)
     settled = settled.withColumn("block_words", F.greatest(F.lit(1), F.least(F.lit(s.block_words), F.floor(F.col("source_size") / 256))).cast("int"))
     blocks = F.ceil(F.col("source_size") / F.col("block_words"))
     # The last block may be short; a source at its most takes all of its blocks that often.
