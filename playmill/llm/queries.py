@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, quality_classifier, quality_rules, sp_codec, toxicity
+from . import mixing, quality_classifier, quality_rules, simhash, sp_codec, toxicity
 from .common import read_table
 from .training import remainder
 
@@ -57,6 +57,11 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scored(quality_classifier.score(docs, model), held_out, 0.7)
 
 
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
     held_out = remainder("doc_id", 5) == 0
@@ -69,6 +74,7 @@ QUERIES = {
     "op2_quality_classifier": op2_quality_classifier,
     "op5_quality_rules": op5_quality_rules,
     "op6_sentencepiece": op6_sentencepiece,
+    "op7_simhash": op7_simhash,
     "op9_toxicity": op9_toxicity,
 }
 ORACLES: dict[str, str] = {}
