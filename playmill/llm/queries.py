@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, quality_classifier, quality_rules, simhash, sp_codec, toxicity
+from . import lm_scoring, mixing, quality_classifier, quality_rules, simhash, sp_codec, toxicity
 from .common import read_table
 from .training import remainder
 
@@ -69,6 +69,12 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scored(toxicity.score(docs, model), held_out, 0.5)
 
 
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = remainder("doc_id", 7) == 2
+    scored = lm_scoring.score(read_table(spark, sf_dir, "documents"), ~held_out, tokenizer_path())
+    return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_quality_classifier": op2_quality_classifier,
@@ -76,5 +82,6 @@ QUERIES = {
     "op6_sentencepiece": op6_sentencepiece,
     "op7_simhash": op7_simhash,
     "op9_toxicity": op9_toxicity,
+    "op10_lm_scoring": op10_lm_scoring,
 }
 ORACLES: dict[str, str] = {}
