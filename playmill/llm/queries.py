@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, lm_scoring, mixing, quality_classifier, quality_rules, simhash, sp_codec, toxicity
+from . import line_dedup, lm_scoring, mixing, quality_classifier, quality_rules, simhash, sp_codec, suffix_dedup, toxicity
 from .common import read_table
 from .training import remainder
 
@@ -42,6 +42,12 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken_words(p).join(sources, "rank").select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = suffix_dedup.dedup(read_table(spark, sf_dir, "documents"))
+    n_removed = F.col("n_bytes") - F.octet_length("kept")
+    return cut.select("doc_id", "n_bytes", n_removed.cast("long").alias("n_removed"), F.size("begins").cast("long").alias("n_spans"), _hex("kept").alias("kept_sha256"))
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = line_dedup.measured(read_table(spark, sf_dir, "documents"))
     return cut.select("doc_id", "n_lines", "n_removed", _hex(F.coalesce("text", F.lit(""))).alias("kept_sha256"))
@@ -83,6 +89,7 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_quality_classifier": op2_quality_classifier,
+    "op3_suffix_dedup": op3_suffix_dedup,
     "op4_line_dedup": op4_line_dedup,
     "op5_quality_rules": op5_quality_rules,
     "op6_sentencepiece": op6_sentencepiece,
