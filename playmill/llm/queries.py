@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, lm_scoring, mixing, quality_classifier, quality_rules, simhash, sp_codec, suffix_dedup, toxicity
+from . import line_dedup, lm_scoring, mixing, quality_classifier, quality_rules, simhash, sp_codec, suffix_dedup, topk_search, toxicity
 from .common import read_table
 from .training import remainder
 
@@ -73,6 +73,11 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op8_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = topk_search.quantised(read_table(spark, sf_dir, "embeddings"))
+    return topk_search.top_k(vectors, F.col("vec_id") % 50 == 0)
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
     held_out = remainder("doc_id", 5) == 0
@@ -94,7 +99,8 @@ QUERIES = {
     "op5_quality_rules": op5_quality_rules,
     "op6_sentencepiece": op6_sentencepiece,
     "op7_simhash": op7_simhash,
+    "op8_topk_search": op8_topk_search,
     "op9_toxicity": op9_toxicity,
     "op10_lm_scoring": op10_lm_scoring,
 }
-ORACLES: dict[str, str] = {"op4_line_dedup": line_dedup.oracle()}
+ORACLES: dict[str, str] = {"op4_line_dedup": line_dedup.oracle(), "op8_topk_search": topk_search.oracle()}
