@@ -33,7 +33,7 @@ def text_bytes(column: str | Column) -> Column:
 def slices(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[pa.RecordBatch]:
     """Cuts record batches so that each holds about SLICE_BYTES of text at most."""
     for batch in batches:
-        sizes = pc.binary_length(batch.column(text)).to_numpy(zero_copy_only=False)
+        sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
         start = total = 0
         for i, n in enumerate(sizes.tolist()):
             if total + n > SLICE_BYTES and i > start:

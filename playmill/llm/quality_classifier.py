@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import list_column, map_texts, text_bytes
+from .common import list_column, map_texts, slices, text_bytes
 from .training import labelled_sample
 
 #: Words whose folded value a worker keeps; when full, the table starts anew.
@@ -155,29 +155,51 @@ def train(docs: DataFrame, labels: DataFrame, label: str, allowed: Column, setti
     return fit(rows, settings, float(np.log(sizes[1] / sizes[0]) - np.log(n[1] / n[0])))
 
 
+class Scorer:
+    """Probability of class 1 of texts, from a fitted model."""
+
+    def __init__(self, model: tuple[np.ndarray, float], settings: Settings):
+        (self.table, self.bias), self.settings = model, settings
+        self.known: dict[bytes, complex] = {}  # sum of a word's numbers, and how many they are
+
+    def __call__(self, texts: list[bytes]) -> np.ndarray:
+        counted = [counted_words(x) for x in texts]
+        known = self.known
+        if len(known) > KEPT_WORDS:
+            known.clear()
+        new = list({w for c in counted for w in c if w not in known})
+        if new:
+            ids, offsets = subwords(new, self.settings)
+            sums = np.add.reduceat(self.table[ids].astype(np.float64), offsets[:-1])
+            known.update(zip(new, (sums + 1j * np.diff(offsets)).tolist()))
+        got = []
+        for c in counted:
+            both = np.fromiter(map(known.__getitem__, c), np.complex128, len(c)) @ np.fromiter(c.values(), np.float64, len(c)) if c else 0j
+            got.append(self.bias + (both.real / both.imag if c else 0.0))
+        return 1 / (1 + np.exp(-np.clip(np.array(got, np.float64), -35, 35)))
+
+
 def score(docs: DataFrame, model: tuple[np.ndarray, float], id_col: str = "doc_id", text_col: str = "text", settings: Settings = Settings()) -> DataFrame:
     """id and score, the probability of class 1, of every row; a map over the rows without a shuffle."""
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(model)  # 2 ** bits numbers, whatever the input
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # 2 ** bits numbers, whatever the input
 
     def work(batches):
-        table, bias = shared.value
-        known: dict[bytes, complex] = {}  # sum of a word's numbers, and how many they are
+        scorer = Scorer(shared.value, settings)
         for batch in batches:
-            counted = [counted_words(x) for x in batch.column("text").to_pylist()]
-            if len(known) > KEPT_WORDS:
-                known.clear()
-            new = list({w for c in counted for w in c if w not in known})
-            if new:
-                ids, offsets = subwords(new, settings)
-                sums = np.add.reduceat(table[ids].astype(np.float64), offsets[:-1])
-                known.update(zip(new, (sums + 1j * np.diff(offsets)).tolist()))
-            got = []
-            for c in counted:
-                both = np.fromiter(map(known.__getitem__, c), np.complex128, len(c)) @ np.fromiter(c.values(), np.float64, len(c)) if c else 0j
-                got.append(bias + (both.real / both.imag if c else 0.0))
-            p = 1 / (1 + np.exp(-np.clip(np.array(got, np.float64), -35, 35)))
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(p)], ["id", "score"])
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(scorer(batch.column("text").to_pylist()))], ["id", "score"])
 
     kind = dict(docs.dtypes)[id_col]
     return map_texts(docs.select(F.col(id_col).alias("id"), text_bytes(text_col).alias("text")), work, f"id {kind}, score double").withColumnRenamed("id", id_col)
+
+
+def accepted(docs: DataFrame, model: tuple[np.ndarray, float], least: float = 0.7, text_col: str = "text", settings: Settings = Settings()) -> DataFrame:
+    """The rows of docs, with all their columns, whose score is at least ``least``."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def work(batches):
+        scorer = Scorer(shared.value, settings)
+        for batch in slices(batches, text_col):
+            texts = [x.encode() if x else b"" for x in batch.column(text_col).to_pylist()]
+            yield batch.filter(pa.array(scorer(texts) >= least))
+
+    return docs.mapInArrow(work, docs.schema)

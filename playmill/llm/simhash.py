@@ -16,6 +16,11 @@ fingerprints are one node, so copies are never paired; rows of equal id are one
 document to the component's id; a null id is in a component but never names it,
 unless all ids in it are null (then the component is null); other columns are
 ignored.
+
+``keep_one`` is the filter on likeness of whole texts, for which the radius has
+to be wide: there shards hold the texts that share one of a few smallest
+shingle hashes, the trees are searched with a wide radius, and what is found is
+held against a min-hash signature before it counts as a link.
 """
 
 from __future__ import annotations
@@ -24,7 +29,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import map_texts, parallelism, text_bytes, written
@@ -35,25 +40,28 @@ BITS = 64
 PART = 4096
 
 
-def fingerprints(docs: DataFrame, shingle: int = 3, seed: int = 42, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id and fingerprint, as a signed long, of every row. Only A-Z are lower-cased."""
+def shingle_hashes(text: bytes, shingle: int, seed: int) -> np.ndarray:
+    """XXH64 of each shingle of a text, in order; only A-Z are lower-cased."""
     from xxhash import xxh64_intdigest
 
+    words = text.lower().split()
+    joined = b" ".join(words)
+    if len(words) <= shingle:
+        return np.array([xxh64_intdigest(joined, seed)] if words else [], np.uint64)
+    sizes = np.fromiter(map(len, words), np.int64, len(words)) + 1
+    ends = np.cumsum(sizes)
+    starts = (ends - sizes)[: len(words) - shingle + 1]
+    return np.array([xxh64_intdigest(joined[a:b], seed) for a, b in zip(starts.tolist(), (ends[shingle - 1 :] - 1).tolist())], np.uint64)
+
+
+def fingerprints(docs: DataFrame, shingle: int = 3, seed: int = 42, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """id and fingerprint, as a signed long, of every row."""
+
     def work(batches):
         for batch in batches:
-            hashes, sizes = [], []
-            for text in batch.column("text").to_pylist():
-                words = text.lower().split()
-                joined = b" ".join(words)
-                if len(words) <= shingle:
-                    own = [xxh64_intdigest(joined, seed)] if words else []
-                else:
-                    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
-                    starts = (ends - np.fromiter(map(len, words), np.int64, len(words)) - 1)[: len(words) - shingle + 1]
-                    own = [xxh64_intdigest(joined[a:b], seed) for a, b in zip(starts.tolist(), (ends[shingle - 1 :] - 1).tolist())]
-                hashes += own
-                sizes.append(len(own))
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(majority(np.array(hashes, np.uint64), np.array(sizes)).view(np.int64))], ["id", "fingerprint"])
+            each = [shingle_hashes(x, shingle, seed) for x in batch.column("text").to_pylist()]
+            prints = majority(np.concatenate(each), np.array(list(map(len, each))))
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(prints.view(np.int64))], ["id", "fingerprint"])
 
     kind = dict(docs.dtypes)[id_col]
     return map_texts(docs.select(F.col(id_col).alias("id"), text_bytes(text_col).alias("text")), work, f"id {kind}, fingerprint long").withColumnRenamed("id", id_col)
@@ -152,29 +160,60 @@ def links(prints: DataFrame, radius: int = 3) -> DataFrame:
             shard = F.xxhash64(shard, part.bitwiseAND((1 << width) - 1))
         keys.append(shard)
     rows = prints.select("fingerprint", F.explode(F.array(*keys)).alias("shard"))
-    large = rows.groupBy("shard").count().where(F.col("count") > PART).select("shard", F.ceil(F.col("count") / PART).alias("parts"))
+    order = ["shard", "tree", "ask"]
+    pairs = _dealt(rows, F.xxhash64("fingerprint"))
+
+    def group(table: pa.RecordBatch, mine: np.ndarray, asks: np.ndarray) -> list[tuple[int, int]]:
+        values = table.column("fingerprint").to_numpy().view(np.uint64)
+        return tree_links(values[mine].tolist(), values[asks].tolist(), radius)
+
+    work = _streamed(group, lambda found: _link_batch(found))
+    return pairs.repartition(parallelism(prints), *order).sortWithinPartitions(*order, "part").mapInArrow(work, "a long, b long").distinct()
+
+
+def _dealt(rows: DataFrame, by: Column) -> DataFrame:
+    """rows with tree, ask and part: a shard above PART rows is dealt into parts, and each pair of parts meets once."""
+    large = written(rows.groupBy("shard").count().where(F.col("count") > PART).select("shard", F.ceil(F.col("count") / PART).alias("parts")), "large-shards")
     dealt = rows.join(large, "shard", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
-    part = F.pmod(F.xxhash64("fingerprint"), F.col("parts"))
-    # Each pair of parts meets once: a row goes where it is the tree's and where it asks.
-    pairs = dealt.withColumn("part", part).select(
-        "fingerprint", "shard", "part", F.explode(F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda o: F.struct(F.least("part", o).alias("tree"), F.greatest("part", o).alias("ask")))).alias("pair")
-    )
-    pairs = pairs.select("shard", "pair.tree", "pair.ask", "part", "fingerprint")
+    part = F.pmod(by, F.col("parts"))
+    both = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda o: F.struct(F.least("part", o).alias("tree"), F.greatest("part", o).alias("ask")))
+    return dealt.withColumn("part", part).withColumn("pair", F.explode(both)).select("*", "pair.tree", "pair.ask").drop("pair", "parts")
+
+
+def _streamed(group, out):
+    """A map over batches sorted by (shard, tree, ask): calls group(rows, tree rows, asking rows) for each; a group may run over batches."""
+
+    def scan(table: pa.RecordBatch, last: bool):
+        shard, tree, ask, part = (table.column(c).to_numpy() for c in ("shard", "tree", "ask", "part"))
+        n = len(shard)
+        cuts = np.flatnonzero((np.diff(shard) != 0) | (np.diff(tree) != 0) | (np.diff(ask) != 0)) + 1
+        starts, ends = np.concatenate([[0], cuts]), np.append(cuts, n)
+        if not last:
+            starts, ends = starts[:-1], ends[:-1]
+        found: list = []
+        several = ends - starts > 1
+        for a, b in zip(starts[several].tolist(), ends[several].tolist()):
+            every = np.arange(b - a)
+            mine = every[part[a:b] == tree[a]]
+            asks = every if tree[a] == ask[a] else every[part[a:b] != tree[a]]
+            if len(mine) and len(asks):
+                found += group(table.slice(a, b - a), mine, asks)
+        return (None if last else table.slice(int(cuts[-1]) if len(cuts) else 0)), found
 
     def work(batches):
         rest = None
         for batch in batches:
-            rest = batch if rest is None else pa.Table.from_batches([rest, batch]).combine_chunks().to_batches()[0]
-            rest, found = _scan(rest, radius, False)
+            if not batch.num_rows:
+                continue
+            rest, found = scan(batch if rest is None else pa.Table.from_batches([rest, batch]).combine_chunks().to_batches()[0], False)
             if found:
-                yield _link_batch(found)
-        if rest is not None and rest.num_rows:
-            _, found = _scan(rest, radius, True)
+                yield out(found)
+        if rest is not None:
+            _, found = scan(rest, True)
             if found:
-                yield _link_batch(found)
+                yield out(found)
 
-    keys = ["shard", "tree", "ask"]
-    return pairs.repartition(parallelism(prints), *keys).sortWithinPartitions(*keys, "part").mapInArrow(work, "a long, b long").distinct()
+    return work
 
 
 def _link_batch(found: list[tuple[int, int]]) -> pa.RecordBatch:
@@ -182,31 +221,6 @@ def _link_batch(found: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], ["a", "b"])
 
 
-def _scan(batch: pa.RecordBatch, radius: int, last: bool) -> tuple[pa.RecordBatch | None, list[tuple[int, int]]]:
-    """Links of the whole groups in a sorted batch, and the rows of the group that may go on."""
-    columns = [batch.column(k).to_numpy() for k in range(5)]
-    shard, tree, ask, part = columns[:4]
-    values = columns[4].view(np.uint64)
-    n = len(shard)
-    if not n:
-        return None, []
-    cuts = np.flatnonzero((np.diff(shard) != 0) | (np.diff(tree) != 0) | (np.diff(ask) != 0)) + 1
-    starts = np.concatenate([[0], cuts])
-    ends = np.append(cuts, n)
-    if not last:
-        starts, ends = starts[:-1], ends[:-1]
-    found: list[tuple[int, int]] = []
-    several = ends - starts > 1
-    for a, b in zip(starts[several].tolist(), ends[several].tolist()):
-        own = values[a:b]
-        if tree[a] == ask[a]:
-            found += tree_links(own.tolist(), own.tolist(), radius)
-        else:
-            mine = part[a:b] == tree[a]
-            found += tree_links(own[mine].tolist(), own[~mine].tolist(), radius) if mine.any() and not mine.all() else []
-    return (None if last else batch.slice(int(cuts[-1]) if len(cuts) else 0)), found
-
-
 def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3, seed: int = 42, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, fingerprint (long) and component_id, the smallest id reachable over links, of every row."""
     marked = written(fingerprints(docs, shingle, seed, id_col, text_col).withColumnRenamed(id_col, "doc_id"), "fingerprints")
@@ -217,3 +231,83 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3, seed: in
     by_print = rooted.join(named, "root").select("fingerprint", "component_id")
     return marked.join(by_print, "fingerprint").select("doc_id", "fingerprint", "component_id")
 
+
+
+#: Smallest shingle hashes that name a text's shards; values of its signature.
+SHARDS, SIGNATURE = 4, 128
+_FACTORS = np.random.default_rng(13).integers(0, 2**31, SIGNATURE).astype(np.uint32) * np.uint32(2) + np.uint32(1)
+
+
+def signature(hashes: np.ndarray) -> np.ndarray:
+    """A byte from each of SIGNATURE min-hashes."""
+    least = ((hashes >> np.uint64(32)).astype(np.uint32)[:, None] * _FACTORS).min(0)
+    return ((least * np.uint32(0x9E3779B1)) >> np.uint32(24)).astype(np.uint8)
+
+
+def alike(one: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """Likeness (shared part of the united shingles) told from signatures, chance matches of bytes taken off."""
+    return ((others == one).mean(1) - 1 / 256) / (1 - 1 / 256)
+
+
+def likeness_links(prints: np.ndarray, signs: np.ndarray, mine: np.ndarray, asks: np.ndarray, radius: int, least: float) -> list[tuple[int, int]]:
+    """Pairs of rows that join all that are alike, no more than rows are."""
+    label, found = np.arange(len(prints)), []
+    for node, hit in BKTree(prints[mine].tolist()).near(prints[asks], radius):
+        row = mine[node]
+        rows = asks[hit]
+        rows = rows[label[rows] != label[row]]
+        if len(rows):
+            for other in rows[alike(signs[row], signs[rows]) >= least].tolist():
+                if label[other] != label[row]:
+                    found.append((int(row), other))
+                    label[label == label[other]] = label[row]
+    return found
+
+
+def _key(text_col: str) -> Column:
+    return F.unhex(F.md5(text_bytes(text_col)))
+
+
+def alike_groups(docs: DataFrame, shingle: int = 5, least: float = 0.8, radius: int = 18, seed: int = 42, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """key (md5 of the text) and root, the same for all texts of a group, for every text that isn't its group's root."""
+
+    def mark(batches):
+        for batch in batches:
+            each = [shingle_hashes(x, shingle, seed) for x in batch.column("text").to_pylist()]
+            prints = majority(np.concatenate(each), np.array(list(map(len, each))))
+            shards = [np.unique(h)[:SHARDS].view(np.int64) for h in each]
+            signs = [signature(h).tobytes() if len(h) else bytes(SIGNATURE) for h in each]
+            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(prints.view(np.int64)), pa.array(shards, pa.list_(pa.int64())), pa.array(signs, pa.binary())], ["key", "fingerprint", "shards", "signature"])
+
+    texts = map_texts(docs.select(_key(text_col).alias("key"), text_bytes(text_col).alias("text")), mark, "key binary, fingerprint long, shards array<long>, signature binary")
+    nodes = written(texts.dropDuplicates(["key"]), "alike-nodes")
+    rows = nodes.select("key", F.explode("shards").alias("shard"))
+    shared = written(rows.groupBy("shard").count().where("count > 1").select("shard"), "alike-shards")
+    met = rows.join(shared, "shard").join(nodes.select("key", "fingerprint", "signature"), "key")
+    order = ["shard", "tree", "ask"]
+
+    def group(table: pa.RecordBatch, mine: np.ndarray, asks: np.ndarray) -> list[tuple[bytes, bytes]]:
+        keys = table.column("key").to_pylist()
+        signs = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint8).reshape(len(keys), -1)
+        found = likeness_links(table.column("fingerprint").to_numpy().view(np.uint64), signs, mine, asks, radius, least)
+        return [(keys[a], keys[b]) for a, b in found]
+
+    def out(found):
+        return pa.RecordBatch.from_arrays([pa.array([a for a, _ in found], pa.binary()), pa.array([b for _, b in found], pa.binary())], ["a", "b"])
+
+    pairs = _dealt(met, F.xxhash64("key")).repartition(parallelism(docs), *order).sortWithinPartitions(*order, "part").mapInArrow(_streamed(group, out), "a binary, b binary")
+    return components(pairs.distinct()).select(F.col("node").alias("key"), "root")
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **settings) -> DataFrame:
+    """One row of each group of alike texts, that with the smallest id (nulls last, then the text's hash); all other rows as they are."""
+    groups = alike_groups(docs, id_col=id_col, text_col=text_col, **settings)
+    rows = docs.select(F.col(id_col).alias("id"), _key(text_col).alias("key"))
+    first = F.min(F.struct(F.col("id").isNull().alias("absent"), "id", "key")).alias("first")
+    firsts = written(rows.groupBy("key").agg(first), "alike-firsts")
+    rooted = firsts.join(groups, "key", "left").select("first", F.coalesce("root", "key").alias("root"))
+    kept = rooted.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.id").alias("_kept_id"), F.col("first.key").alias("_kept_key"))
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(id_col).alias("_id"), _key(text_col).alias("_key"))
+    joined = whole.join(kept, F.col("_id").eqNullSafe(F.col("_kept_id")) & (F.col("_key") == F.col("_kept_key")))
+    only = F.row_number().over(Window.partitionBy("_id", "_key").orderBy("_key"))
+    return joined.withColumn("n", only).where("n = 1").select("row.*")

@@ -186,8 +186,8 @@ def _codec(model_path: str) -> Codec:
 _BUILT: dict[str, Codec] = {}
 
 
-def encode(df: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text", spans: bool = True) -> DataFrame:
-    """id, ids array<int>, and with spans begins and ends array<int>: each piece's byte span in the source text.
+def encode(df: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text", spans: bool = True, also: tuple[str, ...] = ()) -> DataFrame:
+    """id, ids array<int>, and with spans begins and ends array<int>: each piece's byte span in the source text; then the columns named in ``also``.
 
     model_path is a file that each executor has, as the library's own data files are.
     """
@@ -203,12 +203,13 @@ def encode(df: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str
             if spans:
                 found = [codec.spans(flat[a:b], *x) for x, a, b in zip(both, offsets, offsets[1:])]
                 columns += [list_column(np.concatenate([f[k] for f in found] or [[]]), offsets, pa.int32()) for k in (0, 1)]
-            yield pa.RecordBatch.from_arrays(columns, names)
+            yield pa.RecordBatch.from_arrays([*columns, *(batch.column(f"also{k}") for k in range(len(also)))], names)
 
-    kind = dict(df.dtypes)[id_col]
-    names = ["id", "ids", "begins", "ends"][: 4 if spans else 2]
-    schema = f"id {kind}, ids array<int>" + ", begins array<int>, ends array<int>" * spans
-    return map_texts(df.select(F.col(id_col).alias("id"), text_bytes(text_col).alias("text")), work, schema).withColumnRenamed("id", id_col)
+    kinds = dict(df.dtypes)
+    names = ["id", "ids", *["begins", "ends"][: 2 * spans], *(f"also{k}" for k in range(len(also)))]
+    schema = f"id {kinds[id_col]}, ids array<int>" + ", begins array<int>, ends array<int>" * spans + "".join(f", also{k} {kinds[c]}" for k, c in enumerate(also))
+    given = df.select(F.col(id_col).alias("id"), text_bytes(text_col).alias("text"), *(F.col(c).alias(f"also{k}") for k, c in enumerate(also)))
+    return map_texts(given, work, schema).withColumnsRenamed({"id": id_col, **{f"also{k}": c for k, c in enumerate(also)}})
 
 
 def decode(df: DataFrame, model_path: str, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
