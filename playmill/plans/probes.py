@@ -1,6 +1,8 @@
-"""One query per operator over the given tables, each with its oracle SQL."""
+"""All registered queries of the library, one or more per operator."""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict[str, str] = {}
+from . import probes_basic  # noqa: F401
+from .registry import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES"]
