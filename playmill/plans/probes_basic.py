@@ -123,9 +123,9 @@ def prj_exclude_replace(t):
     return P.exclude_replace(t.orders, ["o_orderdate"], {"o_orderstatus": F.lower("o_orderstatus")})
 
 
-@probe("prj_alias_chain", "SELECT l_orderkey, l_linenumber, l_partkey, round(l_extendedprice * (1 - l_discount), 6) AS net, round(l_extendedprice * (1 - l_discount) * (1 + l_tax), 6) AS gross, round(l_extendedprice * (1 - l_discount) * (1 + l_tax) / l_quantity, 6) AS each FROM lineitem")
+@probe("prj_alias_chain", "SELECT l_orderkey, l_linenumber, l_partkey, round(l_extendedprice * (1 - l_discount), 4) AS net, round(l_extendedprice * (1 - l_discount) * (1 + l_tax), 6) AS gross, l_extendedprice * (1 - l_discount) * (1 + l_tax) > 1000 * l_quantity AS dear FROM lineitem")
 def prj_alias_chain(t):
-    return t.lineitem.selectExpr("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice * (1 - l_discount) AS net0", "net0 * (1 + l_tax) AS gross0", "round(gross0 / l_quantity, 6) AS each", "round(net0, 6) AS net", "round(gross0, 6) AS gross").drop("net0", "gross0")
+    return t.lineitem.selectExpr("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice * (1 - l_discount) AS net0", "net0 * (1 + l_tax) AS gross0", "gross0 > 1000 * l_quantity AS dear", "round(net0, 4) AS net", "round(gross0, 6) AS gross").drop("net0", "gross0")
 
 
 TYPES = ["click", "error", "purchase", "signup", "view"]
