@@ -37,8 +37,10 @@ from .common import list_column, parallelism, text_bytes
 #: Bytes of an anchor; at most the length of the strings.
 ANCHOR = 20
 #: Bytes of text in a block and in the text behind a bucket, on average.
-BLOCK_BYTES = 4 << 20
-BUCKET_BYTES = 32 << 20
+BLOCK_BYTES = 2 << 20
+BUCKET_BYTES = 8 << 20
+#: Bytes around anchors are most of what is sent.
+CODEC = "zstd"
 LATEST = np.iinfo(np.int64).max
 
 _TABLE = np.random.default_rng(3).integers(1, 2**63, 256).astype(np.uint64) * np.uint64(2) + np.uint64(1)
@@ -83,7 +85,8 @@ def anchors(text: bytes, length: int) -> tuple[np.ndarray, np.ndarray]:
     size = min(ANCHOR, length)
     window = length - size + 1
     hashes = string_hashes(np.frombuffer(text, np.uint8), size)
-    order = (hashes >> np.uint64(32)).astype(np.uint32)
+    # The choice goes by other bits than the buckets do: the smallest would all be in the first buckets.
+    order = (hashes * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(32)).astype(np.uint32)
     least = _sliding(order, window, np.minimum)
     none = np.zeros(window - 1, np.uint32)
     # The largest of the minima of the windows around a place equals its own value if it is a minimum of one.
@@ -158,52 +161,59 @@ def shared_anchors(asked: list[tuple[np.ndarray, np.ndarray]]) -> list[np.ndarra
     return np.split(several, np.cumsum([len(a) for a, _ in asked])[:-1])
 
 
-def interval_minima(around: np.ndarray, low: np.ndarray, length: int) -> np.ndarray:
-    """(n, windows): for each string of ``length`` bytes over each anchor the smallest id that has it, LATEST where none fits.
+def interval_minima(around: np.ndarray, low: np.ndarray, length: int):
+    """Yields, for each place in order that a string of ``length`` bytes over the anchors can start at, the smallest id that has each row's string (LATEST where none fits).
 
     around: two numbers (first and end of the bytes that exist) and the bytes.
     """
     anchor = min(ANCHOR, length)
     before, n = length - anchor, len(around)
-    right = np.ascontiguousarray(around[:, 2 + before :])
-    left = np.ascontiguousarray(around[:, 2 : 2 + before][:, ::-1])
     has_left, has_right = before - around[:, 0].astype(np.int64), around[:, 1].astype(np.int64) - before
 
     def array(strings: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Order of the strings and the common prefix of each with the one before."""
         width = strings.shape[1]
         if not width:
-            return np.arange(n), np.append(0, np.zeros(n - 1, np.int64))
+            return np.arange(n), np.append(-1, np.zeros(n - 1, np.int64))
         order = np.argsort(strings.view(np.dtype((np.void, width))).ravel(), kind="stable")
         differ = strings[order[1:]] != strings[order[:-1]]
         prefix = np.where(differ.any(1), differ.argmax(1), width)
         return order, np.append(-1, prefix)
 
-    (right_order, right_prefix), (left_order, left_prefix) = array(right), array(left)
-    out = np.full((n, before + 1), LATEST)
-    interval = np.empty(n, np.int64)
-    other = np.empty(n, np.int64)
-    for back in range(before + 1):  # bytes of the string before the anchor
+    right_order, right_prefix = array(np.ascontiguousarray(around[:, 2 + before :]))
+    left_order, left_prefix = array(np.ascontiguousarray(around[:, 2 : 2 + before][:, ::-1]))
+    interval, other = np.empty(n, np.int64), np.empty(n, np.int64)
+    for back in range(before, -1, -1):  # bytes of the string before the anchor
         ahead = length - back
         interval[right_order] = np.cumsum(right_prefix < ahead)
         other[left_order] = np.cumsum(left_prefix < back)
         fits = np.flatnonzero((has_left >= back) & (has_right >= ahead))
+        out = np.full(n, LATEST)
         if len(fits):
             key = interval[fits] * (n + 1) + other[fits]
             order = np.argsort(key, kind="stable")
             starts = np.flatnonzero(np.append(True, np.diff(key[order]) != 0))
             least = np.minimum.reduceat(low[fits][order], starts)
-            out[fits[order], before - back] = np.repeat(least, np.diff(np.append(starts, len(order))))
-    return out
+            out[fits[order]] = np.repeat(least, np.diff(np.append(starts, len(order))))
+        yield out
+
 
+def runs(minima, high: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """How many entries each row has, and their place numbers and ids: an entry holds until the row's next one.
 
-def runs(minima: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Row ends, window numbers and ids of the runs of equal minima in each row; minima that no id of the row is above are left out as LATEST."""
-    told = np.where(minima < high[:, None], minima, LATEST)
-    new = np.hstack([np.ones((len(told), 1), bool), told[:, 1:] != told[:, :-1]])
-    only = ~(told < LATEST).any(1)
-    new[only] = False
-    return np.cumsum(new.sum(1)), np.nonzero(new)[1].astype(np.uint8), told[new]
+    Minima that no id of the row is above count as LATEST, which is also what holds before a row's first entry.
+    """
+    now, rows, places, ids = np.full(len(high), LATEST), [], [], []
+    for place, least in enumerate(minima):
+        told = np.where(least < high, least, LATEST)
+        new = np.flatnonzero(told != now)
+        rows.append(new)
+        places.append(np.full(len(new), place, np.uint8))
+        ids.append(told[new])
+        now = told
+    rows, places, ids = np.concatenate(rows), np.concatenate(places), np.concatenate(ids)
+    order = np.argsort(rows, kind="stable")
+    return np.bincount(rows, minlength=len(high)), places[order], ids[order]
 
 
 def removed(block: Block, shared: np.ndarray, number: np.ndarray, answers: tuple[np.ndarray, np.ndarray, np.ndarray]) -> list[np.ndarray]:
@@ -211,7 +221,7 @@ def removed(block: Block, shared: np.ndarray, number: np.ndarray, answers: tuple
     counts, windows, ids = answers
     before, n_windows = block.length - min(ANCHOR, block.length), block.length - min(ANCHOR, block.length) + 1
     ends = np.cumsum(counts)
-    last = np.append(windows[1:], 0).astype(np.int64)
+    last = np.append(windows[1:], 0).astype(np.int64)[: len(windows)]
     last[ends[counts > 0] - 1] = n_windows  # a run goes on to the next, a row's last one to the end
     which = np.flatnonzero(shared)
     repeat = counts[number]
@@ -286,7 +296,7 @@ def dedup(docs: DataFrame, length: int = 50, id_col: str = "doc_id", text_col: s
             block, shared = known(table, answers)
             around, low, high, hashes, _ = block.surroundings(shared)
             edges = bucket_edges(hashes, buckets)
-            parts = [(k, around[a:b].tobytes(), low[a:b], high[a:b]) for k, (a, b) in enumerate(zip(edges, edges[1:])) if b > a]
+            parts = [(k, pa.compress(around[a:b].tobytes(), CODEC, asbytes=True), low[a:b], high[a:b]) for k, (a, b) in enumerate(zip(edges, edges[1:])) if b > a]
         return pa.table({"block": pa.array([key[0].as_py()] * len(parts), at), "bucket": pa.array([k for k, *_ in parts], at), "around": pa.array([p[1] for p in parts], pa.binary()), "low": pa.array([p[2] for p in parts], pa.list_(pa.int64())), "high": pa.array([p[3] for p in parts], pa.list_(pa.int64()))})
 
     shown = dealt.groupBy("block").cogroup(told.repartition(tasks, "block").groupBy("block")).applyInArrow(show, "block int, bucket int, around binary, low array<long>, high array<long>")
@@ -294,12 +304,12 @@ def dedup(docs: DataFrame, length: int = 50, id_col: str = "doc_id", text_col: s
     def compare(key, table):
         table = table.combine_chunks()
         width = 2 + 2 * length - min(ANCHOR, length)
-        each = [np.frombuffer(x, np.uint8).reshape(-1, width) for x in table.column("around").to_pylist()]
+        sizes = table.column("low").combine_chunks().value_lengths().to_pylist()
+        each = [np.frombuffer(pa.decompress(x, k * width, CODEC, asbytes=True), np.uint8).reshape(-1, width) for x, k in zip(table.column("around").to_pylist(), sizes)]
         low, high = (table.column(c).combine_chunks().flatten().to_numpy() for c in ("low", "high"))
-        ends, windows, ids = runs(interval_minima(np.concatenate(each), low, length), high)
-        sizes = np.diff(ends, prepend=0)
+        sizes, windows, ids = runs(interval_minima(np.concatenate(each), low, length), high)
         cuts = np.cumsum([0, *map(len, each)])
-        flat = np.append(0, ends)[cuts]
+        flat = np.append(0, np.cumsum(sizes))[cuts]
         return pa.table({
             "block": table.column("block"), "bucket": table.column("bucket"),
             "counts": pa.array([sizes[a:b].astype(np.uint8).tobytes() for a, b in zip(cuts, cuts[1:])], pa.binary()),
