@@ -28,33 +28,44 @@ from .common import written
 WORD = r"[^\x20\x09-\x0D]"
 
 
+def _with(value: Column, body) -> Column:
+    """body of a value that is worked out once, however often body names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def _windows(lines: Column, window: int) -> Column:
-    """For each window of the lines with words: its fingerprint (hash, -place), its first line's place, and its own hash."""
-    hashes = F.transform(F.filter(lines, lambda x: x.rlike(WORD)), lambda x: F.xxhash64(x))
-    marked = F.transform(hashes, lambda h, i: F.struct(h.alias("h"), (-i).alias("back")))
-    starts = F.sequence(F.lit(0), F.greatest(F.lit(0), F.size(marked) - window))
-    made = F.transform(starts, lambda i: F.struct(F.array_min(F.slice(marked, i + 1, window)).alias("least"), i.alias("at"), F.xxhash64(F.slice(hashes, i + 1, window), F.lit(7)).alias("own")))
-    return F.when(F.size(marked) > 0, made).otherwise(F.slice(made, 1, 0))
+    """For each window of the lines with words: its fingerprint (hash, -place), its first place, its own hash, and its lines' numbers in the text."""
+    marked = F.transform(lines, lambda x, i: F.struct(F.when(x.rlike(WORD), F.xxhash64(x)).alias("h"), i.alias("line")))
+    real = F.filter(marked, lambda x: x["h"].isNotNull())
+
+    def made(rows: Column) -> Column:
+        placed = F.transform(rows, lambda r, i: F.struct(r["h"].alias("h"), (-i).alias("back")))
+        starts = F.sequence(F.lit(0), F.greatest(F.lit(0), F.size(rows) - window))
+        one = lambda own, part, i: F.struct(F.array_min(part).alias("least"), i.alias("at"), F.xxhash64(own["h"], F.lit(7)).alias("own"), own["line"].alias("lines"))
+        windows = _with(placed, lambda p: F.transform(starts, lambda i: _with(F.slice(rows, i + 1, window), lambda own: one(own, F.slice(p, i + 1, window), i))))
+        return F.when(F.size(rows) > 0, windows).otherwise(F.slice(windows, 1, 0))
+
+    return _with(real, made)
 
 
 def repeats(docs: DataFrame, window: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc (absent, id, hash of the text) and starts, the places among its lines with words where repeated windows begin."""
+    """doc (absent, id, hash of the text) and gone, the numbers of its lines (from 0) in repeated windows."""
     text = F.col(text_col)
     key = F.struct(F.col(id_col).isNull().alias("absent"), F.col(id_col).alias("id"), F.xxhash64(text).alias("hash"))
     cut = docs.where(text.isNotNull()).select(key.alias("doc"), F.posexplode(_windows(F.split(text, "\n"), window)).alias("k", "w"))
-    rows = cut.select("doc", F.col("w.least.h").alias("print"), F.col("w.least.back").alias("back"), F.col("w.at").alias("at"), F.col("w.own").alias("own"))
+    rows = cut.select("doc", F.col("w.least.h").alias("print"), F.col("w.least.back").alias("back"), F.col("w.at").alias("at"), F.col("w.own").alias("own"), F.col("w.lines").alias("lines"))
     rows = written(rows, "line-windows")
     # A fingerprint's windows in a text follow one another; its places are counted once each.
     places = rows.select("print", "doc", "back").distinct()
     shared = written(places.groupBy("print").count().where(F.col("count") > 1).select("print"), "line-prints")
-    found = rows.join(shared, "print").select("doc", "at", "own")
+    found = rows.join(shared, "print").select("doc", "at", "own", "lines")
     firsts = written(found.groupBy("own").agg(F.min(F.struct("doc", "at")).alias("first"), F.count("*").alias("n")).where("n > 1").select("own", "first"), "line-firsts")
     later = found.join(firsts, "own").where(F.struct("doc", "at") > F.col("first"))
-    return later.select("doc", "at").distinct().groupBy("doc").agg(F.collect_list("at").alias("starts"))
+    return later.select("doc", F.explode("lines").alias("line")).groupBy("doc").agg(F.collect_set("line").alias("gone"))
 
 
 def dedup(docs: DataFrame, window: int = 3, id_col: str = "doc_id", text_col: str = "text", length_col: str | None = None) -> DataFrame:
-    """docs without the later of repeated runs of lines; length_col, if given, follows the new text. Columns n_lines and n_removed are added by ``measured``."""
+    """docs without the later of repeated runs of lines; length_col, if given, follows the new text. ``measured`` counts lines."""
     done = _cut(docs, window, id_col, text_col)
     new = F.col("text")
     columns = [new.alias(c) if c == text_col else F.when(F.col("n_removed") > 0, F.length(new)).otherwise(F.col(f"row.`{c}`")).cast(t).alias(c) if c == length_col else F.col(f"row.`{c}`").alias(c) for c, t in docs.dtypes]
@@ -67,19 +78,19 @@ def measured(docs: DataFrame, window: int = 3, id_col: str = "doc_id", text_col:
 
 
 def _cut(docs: DataFrame, window: int, id_col: str, text_col: str) -> DataFrame:
-    found = repeats(docs, window, id_col, text_col).select(F.col("doc.id").alias("id"), F.col("doc.hash").alias("hash"), "starts")
+    found = repeats(docs, window, id_col, text_col).select(F.col("doc.id").alias("id"), F.col("doc.hash").alias("hash"), "gone")
     whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     text, own = F.col(f"row.`{text_col}`"), F.col(f"row.`{id_col}`")
     joined = whole.withColumns({"_id": own, "_hash": F.xxhash64(text)}).join(found, F.col("_id").eqNullSafe(F.col("id")) & (F.col("_hash") == F.col("hash")), "left")
     lines = F.split(text, "\n")
-    # Places of the lines with words, -1 for the others; a line goes if a repeated window begins at most window - 1 before it.
-    real = F.transform(lines, lambda x: x.rlike(WORD).cast("int"))
-    seen = F.aggregate(real, F.struct(F.lit(0).alias("n"), F.array().cast("array<int>").alias("at")), lambda a, r: F.struct((a["n"] + r).alias("n"), F.concat(a["at"], F.array(F.when(r == 1, a["n"]).otherwise(-1))).alias("at")), lambda a: a["at"])
-    gone = F.array_distinct(F.flatten(F.transform("starts", lambda i: F.sequence(i, i + window - 1))))
-    kept = F.transform(F.filter(F.arrays_zip(lines.alias("line"), seen.alias("at")), lambda x: ~F.array_contains(gone, x["at"])), lambda x: x["line"])
+    kept = F.filter(lines, lambda x, i: ~F.array_contains(F.col("gone"), i))
     n = F.when(text.isNull(), 0).otherwise(F.size(lines))
-    cut = joined.withColumn("kept", F.when(F.col("starts").isNotNull(), kept))
-    return cut.select("row", F.coalesce(F.array_join("kept", "\n"), text).alias("text"), n.cast("long").alias("n_lines"), F.when(F.col("kept").isNull(), 0).otherwise(n - F.size("kept")).cast("long").alias("n_removed"))
+    return joined.select(
+        "row",
+        F.when(F.col("gone").isNull(), text).otherwise(F.array_join(kept, "\n")).alias("text"),
+        n.cast("long").alias("n_lines"),
+        F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_removed"),
+    )
 
 
 def oracle(window: int = 3) -> str:
