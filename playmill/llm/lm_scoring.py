@@ -243,7 +243,7 @@ def score(docs: DataFrame, learnt: Column, model_path: str, id_col: str = "doc_i
             rows = row + np.arange(len(split))
             row += len(split)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(rows), batch.column("id"), pa.array(sizes + 1), pa.array(per(None, common).astype(np.int64)), pa.array(per(plain[at[common]], common)), pa.array((per(logs[at]) + end) / np.log(10)), pa.nulls(len(split), pa.binary())],
+                [pa.array(rows), batch.column("id"), pa.array(sizes + 1), pa.array(per(None, common).astype(np.int64)), pa.array(per(plain[at[common]], common), pa.float64()), pa.array((per(logs[at]) + end) / np.log(10), pa.float64()), pa.nulls(len(split), pa.binary())],
                 names,
             )
             seldom = ~common

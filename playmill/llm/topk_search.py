@@ -120,7 +120,7 @@ def top_k(vectors: DataFrame, asks: Column, k: int = 5) -> DataFrame:
             starts = np.cumsum(sizes) - sizes
             sides.append((table.column("vec_id").to_numpy(), sizes, starts, flat))
         for dim in np.unique(sides[1][1]).tolist():
-            (ids, x), (query_ids, q) = [(i[s == dim], flat[(starts[s == dim][:, None] + np.arange(dim))].reshape(-1, dim)) for i, s, starts, flat in sides]
+            (ids, x), (query_ids, q) = [(i[s == dim], flat[(starts[s == dim][:, None] + np.arange(dim))].reshape(int((s == dim).sum()), dim)) for i, s, starts, flat in sides]
             if len(ids):
                 found += [(qid, i, s) for qid, (i, s) in zip(query_ids.tolist(), search(query_ids, q, ids, x, k))]
         sizes = [len(i) for _, i, _ in found]
@@ -139,7 +139,7 @@ WITH fine AS (
   SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor({scale} * x::DOUBLE)::BIGINT) AS v FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), scored AS (
-  SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2]))::BIGINT AS score
+  SELECT q.vec_id AS query_id, c.vec_id, coalesce(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])), 0)::BIGINT AS score
   FROM fine q JOIN fine c ON c.vec_id <> q.vec_id AND len(c.v) = len(q.v) WHERE q.vec_id % {every} = 0
 ), ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
 SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM ranked WHERE rank <= {k}
