@@ -64,7 +64,7 @@ def _model(t, kind):
     df = ML.encode(df, {"dow": ML.vocabulary(df, "dow")}, ["hour"])
     label = {"binary": P.flag(F.col("kind") == "view").cast("double"), "regression": F.col("value")}.get(kind)
     df = ML.class_index(df, "kind", ML.vocabulary(df, "kind")) if label is None else df.withColumn("label", label)
-    df = ML.split(df, "user_id", 20, F.col("user_id"))
+    df = ML.split(df, "event_id", 20, F.col("event_id"))
     model = ML.fit(df.where("split = 'train'"), ["dow_code"], ["hour"], kind)
     return ML.score(model, df.where("split = 'test'"), ["event_id", "label"], kind, "run")
 
