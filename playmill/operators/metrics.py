@@ -56,7 +56,6 @@ class Registry:
     def evaluate(self, df: DataFrame, keys: list[str], metrics: list[Metric], extra: list[Column] = ()) -> DataFrame:
         """Base measures in one aggregation, derived ones after what they use; columns in the order of ``metrics``."""
         by_name = {m.name: m for m in metrics}
-        out = df.groupBy(*keys).agg(*extra, *[m.column().alias(m.name) for m in metrics if m.form != "derived"])
         done, doing = {m.name for m in metrics if m.form != "derived"}, set()
         steps: list[Metric] = []
 
@@ -75,6 +74,8 @@ class Registry:
 
         for m in metrics:
             visit(m)
+        base = [*extra, *[m.column().alias(m.name) for m in metrics if m.form != "derived"]]
+        out = df.groupBy(*keys).agg(*base) if base else df.select(*keys).distinct()
         for m in steps:
             out = out.withColumn(m.name, m.derived(*[F.col(u) for u in m.uses]))
         kept = [c for c in out.columns if c not in by_name]
