@@ -31,7 +31,7 @@ from .common import list_column, map_texts, slices, text_bytes
 from .training import labelled_sample
 
 #: Words whose folded value a worker keeps; when full, the table starts anew.
-KEPT_WORDS = 300_000
+KEPT_WORDS = 100_000
 #: Stands for a word that equals the word before it; no word has a space.
 AGAIN = b" again "
 
