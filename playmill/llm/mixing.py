@@ -193,14 +193,15 @@ def _pieces(p: Plan) -> DataFrame:
 def taken_words(p: Plan) -> DataFrame:
     """doc_id, rank, size and taken: the words that the mix takes of each document, repeats counted."""
     picks = p.slots.groupBy("rank", "block").agg(F.count("*").alias("times"))
-    taken = _pieces(p).join(picks, ["rank", "block"]).groupBy("rank", "start").agg(F.sum(F.col("n_words") * F.col("times")).alias("taken"))
-    with_words = p.docs.where("size > 0").join(taken, ["rank", "start"], "left")
+    # The planner can't tell how many slots the draw makes, so it is told not to broadcast what comes of them.
+    taken = _pieces(p).join(picks.hint("merge"), ["rank", "block"]).groupBy("rank", "start").agg(F.sum(F.col("n_words") * F.col("times")).alias("taken"))
+    with_words = p.docs.where("size > 0").join(taken.hint("merge"), ["rank", "start"], "left")
     return with_words.select("doc_id", "rank", "size", F.coalesce("taken", F.lit(0)).alias("taken")).union(p.docs.where("size <= 0").select("doc_id", "rank", "size", F.lit(0)))
 
 
 def mixture(p: Plan) -> DataFrame:
     """Every output slot with what fills it: shard, rank, place, turn, and the document's start, first and n_words."""
-    return p.slots.join(_pieces(p), ["rank", "block"])
+    return p.slots.hint("merge").join(_pieces(p), ["rank", "block"])
 
 
 def mixed_documents(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
@@ -215,7 +216,7 @@ def mixed_documents(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     spans = F.array_sort(F.collect_list(F.struct("first", "n_words"))).alias("_spans")
     passes = mixture(p).groupBy("rank", "start", "turn").agg(spans, F.sum("n_words").alias("_n"))
     sized = p.docs.where("size > 0").select(F.col("doc_id").alias("_row"), "rank", "start", F.col("size").alias("_size"))
-    keyed = numbered.join(passes.join(sized, ["rank", "start"]).select("_row", "_spans", "_n", "_size"), "_row")
+    keyed = numbered.hint("merge").join(passes.hint("merge").join(sized, ["rank", "start"]).select("_row", "_spans", "_n", "_size"), "_row")
     words = F.regexp_extract_all(F.col("text"), F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
     chosen = F.flatten(F.transform("_spans", lambda x: F.slice(words, (x["first"] + 1).cast("int"), x["n_words"].cast("int"))))
     text = F.when(F.col("_n") < F.col("_size"), F.array_join(chosen, " ")).otherwise(F.col("text"))
