@@ -40,7 +40,7 @@ AGAIN = b" again "
 class Settings:
     """per_class bounds the training sample: so many labelled rows of each class at most."""
 
-    per_class: int = 2000
+    per_class: int = 1600
     bits: int = 17
     shortest: int = 3
     longest: int = 5
