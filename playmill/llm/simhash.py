@@ -20,7 +20,8 @@ ignored.
 ``keep_one`` is the filter on likeness of whole texts, for which the radius has
 to be wide: there shards hold the texts that share one of a few smallest
 shingle hashes, the trees are searched with a wide radius, and what is found is
-held against a min-hash signature before it counts as a link.
+held against a min-hash signature with slack. Texts that pass meet again with
+their distinct shingle hashes, and only a counted likeness makes a link.
 """
 
 from __future__ import annotations
@@ -235,6 +236,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3, seed: in
 
 #: Smallest shingle hashes that name a text's shards; values of its signature.
 SHARDS, SIGNATURE = 4, 128
+#: What a signature may fall short of the likeness asked for; over three standard errors at 0.8.
+SLACK = 0.12
 _FACTORS = np.random.default_rng(13).integers(0, 2**31, SIGNATURE).astype(np.uint32) * np.uint32(2) + np.uint32(1)
 
 
@@ -249,16 +252,37 @@ def alike(one: np.ndarray, others: np.ndarray) -> np.ndarray:
     return ((others == one).mean(1) - 1 / 256) / (1 - 1 / 256)
 
 
-def likeness_links(prints: np.ndarray, signs: np.ndarray, mine: np.ndarray, asks: np.ndarray, radius: int, least: float) -> list[tuple[int, int]]:
-    """Pairs of rows that join all that are alike, no more than rows are."""
+def likely(prints: np.ndarray, signs: np.ndarray, mine: np.ndarray, asks: np.ndarray, radius: int, least: float) -> np.ndarray:
+    """Rows that have another within the radius whose signature is alike but for SLACK."""
+    flag = np.zeros(len(prints), bool)
+    for node, hit in BKTree(prints[mine].tolist()).near(prints[asks], radius):
+        row = mine[node]
+        rows = asks[hit]
+        rows = rows[(rows != row) & ~(flag[rows] & flag[row])]
+        rows = rows[alike(signs[row], signs[rows]) >= least - SLACK]
+        if len(rows):
+            flag[row] = flag[rows] = True
+    return np.flatnonzero(flag)
+
+
+def likeness(one: np.ndarray, other: np.ndarray) -> float:
+    """Shared part of the united shingles, counted; both are sorted and distinct."""
+    shared = len(np.intersect1d(one, other, assume_unique=True))
+    return shared / (len(one) + len(other) - shared)
+
+
+def likeness_links(prints: np.ndarray, signs: np.ndarray, shingles: list[np.ndarray], mine: np.ndarray, asks: np.ndarray, radius: int, least: float) -> list[tuple[int, int]]:
+    """Pairs of rows that join all that are alike as counted, no more than rows are; only counted links spare a later count."""
     label, found = np.arange(len(prints)), []
+    sizes = np.array(list(map(len, shingles)))
     for node, hit in BKTree(prints[mine].tolist()).near(prints[asks], radius):
         row = mine[node]
         rows = asks[hit]
         rows = rows[label[rows] != label[row]]
+        rows = rows[np.minimum(sizes[rows], sizes[row]) / np.maximum(sizes[rows], sizes[row]) >= least]
         if len(rows):
-            for other in rows[alike(signs[row], signs[rows]) >= least].tolist():
-                if label[other] != label[row]:
+            for other in rows[alike(signs[row], signs[rows]) >= least - SLACK].tolist():
+                if label[other] != label[row] and likeness(shingles[row], shingles[other]) >= least:
                     found.append((int(row), other))
                     label[label == label[other]] = label[row]
     return found
@@ -279,23 +303,47 @@ def alike_groups(docs: DataFrame, shingle: int = 5, least: float = 0.8, radius:
             signs = [signature(h).tobytes() if len(h) else bytes(SIGNATURE) for h in each]
             yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(prints.view(np.int64)), pa.array(shards, pa.list_(pa.int64())), pa.array(signs, pa.binary())], ["key", "fingerprint", "shards", "signature"])
 
-    texts = map_texts(docs.select(_key(text_col).alias("key"), text_bytes(text_col).alias("text")), mark, "key binary, fingerprint long, shards array<long>, signature binary")
+    def count(batches):
+        for batch in batches:
+            each = [np.unique(shingle_hashes(x, shingle, seed)).tobytes() for x in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(each, pa.binary())], ["key", "shingles"])
+
+    keyed = docs.select(_key(text_col).alias("key"), text_bytes(text_col).alias("text"))
+    texts = map_texts(keyed, mark, "key binary, fingerprint long, shards array<long>, signature binary")
     nodes = written(texts.dropDuplicates(["key"]), "alike-nodes")
     rows = nodes.select("key", F.explode("shards").alias("shard"))
     shared = written(rows.groupBy("shard").count().where("count > 1").select("shard"), "alike-shards")
     met = rows.join(shared, "shard").join(nodes.select("key", "fingerprint", "signature"), "key")
     order = ["shard", "tree", "ask"]
+    place = ["shard", "tree", "ask", "part", "key"]
+
+    def dealt(rows: DataFrame, group, out, schema: str) -> DataFrame:
+        return rows.repartition(parallelism(docs), *order).sortWithinPartitions(*order, "part").mapInArrow(_streamed(group, out), schema)
+
+    def marks(table: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+        signs = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint8)
+        return table.column("fingerprint").to_numpy().view(np.uint64), signs.reshape(table.num_rows, -1)
+
+    def search(table: pa.RecordBatch, mine: np.ndarray, asks: np.ndarray) -> list[pa.RecordBatch]:
+        rows = likely(*marks(table), mine, asks, radius, least)
+        return [table.select(place).take(pa.array(rows))] if len(rows) else []
+
+    def met_again(found):
+        return pa.Table.from_batches(found).combine_chunks().to_batches()[0]
 
     def group(table: pa.RecordBatch, mine: np.ndarray, asks: np.ndarray) -> list[tuple[bytes, bytes]]:
         keys = table.column("key").to_pylist()
-        signs = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint8).reshape(len(keys), -1)
-        found = likeness_links(table.column("fingerprint").to_numpy().view(np.uint64), signs, mine, asks, radius, least)
-        return [(keys[a], keys[b]) for a, b in found]
+        shingles = [np.frombuffer(x, np.uint64) for x in table.column("shingles").to_pylist()]
+        return [(keys[a], keys[b]) for a, b in likeness_links(*marks(table), shingles, mine, asks, radius, least)]
 
     def out(found):
         return pa.RecordBatch.from_arrays([pa.array([a for a, _ in found], pa.binary()), pa.array([b for _, b in found], pa.binary())], ["a", "b"])
 
-    pairs = _dealt(met, F.xxhash64("key")).repartition(parallelism(docs), *order).sortWithinPartitions(*order, "part").mapInArrow(_streamed(group, out), "a binary, b binary")
+    close = written(dealt(_dealt(met, F.xxhash64("key")), search, met_again, "shard long, tree long, ask long, part long, key binary"), "alike-met")
+    again = keyed.join(close.select("key").distinct(), "key", "left_semi").dropDuplicates(["key"])
+    counted = written(map_texts(again, count, "key binary, shingles binary"), "alike-shingles")
+    whole = close.join(counted, "key").join(nodes.select("key", "fingerprint", "signature"), "key")
+    pairs = dealt(whole, group, out, "a binary, b binary")
     return components(pairs.distinct()).select(F.col("node").alias("key"), "root")
 
 

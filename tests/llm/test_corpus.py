@@ -229,6 +229,29 @@ def test_keep_one(corpus):
     assert simhash.keep_one(corpus.limit(0)).count() == 0
 
 
+def test_likeness_is_counted(spark):
+    """Pairs of a likeness about 0.8, by shortening or by changed words, against brute force; each pair has its own words."""
+    rng = random.Random(6)
+    rows, like = [], {}
+    for i in range(600):
+        own = [f"p{i}w{rng.randrange(10**6)}" for _ in range(104)]
+        # 100 shingles, of which 75 to 86 stay; or about 150 with one to five words changed.
+        other = own[: rng.randrange(79, 91)]
+        if i % 2:
+            own += [f"p{i}v{k}" for k in range(rng.randrange(40, 60))]
+            other = list(own)
+            for k in range(rng.randrange(2, 6)):
+                other[10 + 20 * k] = "changed"
+        a, b = ({tuple(x[k : k + 5]) for k in range(len(x) - 4)} for x in (own, other))
+        like[i] = len(a & b) / len(a | b)
+        rows += [(2 * i, " ".join(own)), (2 * i + 1, " ".join(other))]
+    kept = {r["doc_id"] for r in simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(2 * i in kept for i in like)
+    assert not [x for i, x in like.items() if x < 0.8 and 2 * i + 1 not in kept]
+    alike = [i for i, x in like.items() if x >= 0.8]
+    assert any(like[i] == 0.8 for i in alike) and sum(2 * i + 1 not in kept for i in alike) >= 0.97 * len(alike)
+
+
 def test_components(spark):
     links = [(i, i + 1) for i in range(30)] + [(100, 101), (102, 101), (5, 5)]
     got = {r["node"]: r["root"] for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
