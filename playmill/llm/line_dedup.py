@@ -9,7 +9,9 @@ occurred before, in the order of document and line, is a repeat; adjoining
 repeats make up the later run, which is deleted.
 
 A text of fewer lines than a window is a window as a whole. Lines without a
-word are neither compared nor deleted.
+word are neither compared nor deleted. With ``least_words``, shorter runs of
+lines that have so many words together are windows too, so that a long passage
+counts as a repeat however few its lines are.
 
 Defined cases: a null text stays null; an empty one stays empty; a line
 repeated within a text counts as later there too; rows of equal id and text are
@@ -33,26 +35,39 @@ def _with(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def _windows(lines: Column, window: int) -> Column:
+def _words(line: Column, least: int | None) -> Column:
+    """Words of a line, or 0 if they don't matter."""
+    return F.lit(0) if least is None else F.regexp_count(line, F.lit(WORD + "+"))
+
+
+def _windows(lines: Column, window: int, least_words: int | None) -> Column:
     """For each window of the lines with words: its fingerprint (hash, -place), its first place, its own hash, and its lines' numbers in the text."""
-    marked = F.transform(lines, lambda x, i: F.struct(F.when(x.rlike(WORD), F.xxhash64(x)).alias("h"), i.alias("line")))
+    marked = F.transform(lines, lambda x, i: F.struct(F.when(x.rlike(WORD), F.xxhash64(x)).alias("h"), i.alias("line"), _words(x, least_words).alias("words")))
     real = F.filter(marked, lambda x: x["h"].isNotNull())
 
     def made(rows: Column) -> Column:
         placed = F.transform(rows, lambda r, i: F.struct(r["h"].alias("h"), (-i).alias("back")))
         starts = F.sequence(F.lit(0), F.greatest(F.lit(0), F.size(rows) - window))
         one = lambda own, part, i: F.struct(F.array_min(part).alias("least"), i.alias("at"), F.xxhash64(own["h"], F.lit(7)).alias("own"), own["line"].alias("lines"))
-        windows = _with(placed, lambda p: F.transform(starts, lambda i: _with(F.slice(rows, i + 1, window), lambda own: one(own, F.slice(p, i + 1, window), i))))
+        cut = lambda p, at, n: F.transform(at, lambda i: _with(F.slice(rows, i + 1, n), lambda own: one(own, F.slice(p, i + 1, n), i)))
+
+        def long(n: int) -> Column:
+            at = F.sequence(F.lit(0), F.greatest(F.lit(0), F.size(rows) - n))
+            words = lambda i: F.aggregate(F.slice(rows, i + 1, n), F.lit(0), lambda total, r: total + r["words"])
+            return F.filter(at, lambda i: (F.size(rows) > n) & (words(i) >= least_words))
+
+        shorter = [] if least_words is None else range(1, window)
+        windows = _with(placed, lambda p: F.concat(cut(p, starts, window), *(cut(p, long(n), n) for n in shorter)))
         return F.when(F.size(rows) > 0, windows).otherwise(F.slice(windows, 1, 0))
 
     return _with(real, made)
 
 
-def repeats(docs: DataFrame, window: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def repeats(docs: DataFrame, window: int = 3, id_col: str = "doc_id", text_col: str = "text", least_words: int | None = None) -> DataFrame:
     """doc (absent, id, hash of the text) and gone, the numbers of its lines (from 0) in repeated windows."""
     text = F.col(text_col)
     key = F.struct(F.col(id_col).isNull().alias("absent"), F.col(id_col).alias("id"), F.xxhash64(text).alias("hash"))
-    cut = docs.where(text.isNotNull()).select(key.alias("doc"), F.posexplode(_windows(F.split(text, "\n"), window)).alias("k", "w"))
+    cut = docs.where(text.isNotNull()).select(key.alias("doc"), F.posexplode(_windows(F.split(text, "\n"), window, least_words)).alias("k", "w"))
     rows = cut.select("doc", F.col("w.least.h").alias("print"), F.col("w.least.back").alias("back"), F.col("w.at").alias("at"), F.col("w.own").alias("own"), F.col("w.lines").alias("lines"))
     rows = written(rows, "line-windows")
     # A fingerprint's windows in a text follow one another; its places are counted once each.
@@ -64,21 +79,21 @@ def repeats(docs: DataFrame, window: int = 3, id_col: str = "doc_id", text_col:
     return later.select("doc", F.explode("lines").alias("line")).groupBy("doc").agg(F.collect_set("line").alias("gone"))
 
 
-def dedup(docs: DataFrame, window: int = 3, id_col: str = "doc_id", text_col: str = "text", length_col: str | None = None) -> DataFrame:
+def dedup(docs: DataFrame, window: int = 3, id_col: str = "doc_id", text_col: str = "text", length_col: str | None = None, least_words: int | None = None) -> DataFrame:
     """docs without the later of repeated runs of lines; length_col, if given, follows the new text. ``measured`` counts lines."""
-    done = _cut(docs, window, id_col, text_col)
+    done = _cut(docs, window, id_col, text_col, least_words)
     new = F.col("text")
     columns = [new.alias(c) if c == text_col else F.when(F.col("n_removed") > 0, F.length(new)).otherwise(F.col(f"row.`{c}`")).cast(t).alias(c) if c == length_col else F.col(f"row.`{c}`").alias(c) for c, t in docs.dtypes]
     return done.select(*columns)
 
 
-def measured(docs: DataFrame, window: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def measured(docs: DataFrame, window: int = 3, id_col: str = "doc_id", text_col: str = "text", least_words: int | None = None) -> DataFrame:
     """id, the text that stays, and how many of its n_lines lines were removed."""
-    return _cut(docs, window, id_col, text_col).select(F.col(f"row.`{id_col}`").alias("doc_id"), "text", "n_lines", "n_removed")
+    return _cut(docs, window, id_col, text_col, least_words).select(F.col(f"row.`{id_col}`").alias("doc_id"), "text", "n_lines", "n_removed")
 
 
-def _cut(docs: DataFrame, window: int, id_col: str, text_col: str) -> DataFrame:
-    found = repeats(docs, window, id_col, text_col).select(F.col("doc.id").alias("id"), F.col("doc.hash").alias("hash"), "gone")
+def _cut(docs: DataFrame, window: int, id_col: str, text_col: str, least_words: int | None) -> DataFrame:
+    found = repeats(docs, window, id_col, text_col, least_words).select(F.col("doc.id").alias("id"), F.col("doc.hash").alias("hash"), "gone")
     whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     text, own = F.col(f"row.`{text_col}`"), F.col(f"row.`{id_col}`")
     joined = whole.withColumns({"_id": own, "_hash": F.xxhash64(text)}).join(found, F.col("_id").eqNullSafe(F.col("id")) & (F.col("_hash") == F.col("hash")), "left")

@@ -152,6 +152,40 @@ def test_line_dedup_runs_no_python(corpus):
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
 
 
+def test_long_lines_are_repeats(spark):
+    """The stage's rule against brute force: one or two lines of 50 words count, fewer words don't."""
+    import corpus_pipeline
+
+    rng = random.Random(8)
+    passage, half, rest, brief = text(rng, 60), text(rng, 30), text(rng, 25), text(rng, 40)
+    own = lambda: text(rng, 12)
+    texts = ["\n".join(x) for x in (
+        [own(), passage, own()], [own(), "", own(), passage], [passage], [own(), half, rest, own()], [own(), half, "", rest], [half, rest], [half, own()],
+        [own(), brief], [brief, own()], [own(), passage, own(), passage],
+    )]
+    docs = spark.createDataFrame([(i, t, len(t)) for i, t in enumerate(texts)], "doc_id long, text string, n_chars long")
+    seen, want = set(), {}
+    for i, t in enumerate(texts):
+        lines = t.split("\n")
+        real = [k for k, x in enumerate(lines) if x]
+        gone = set()
+        for at in range(len(real)):
+            for n in (1, 2, 3):
+                run = real[at : at + n]
+                if len(run) == n and (n == 3 or n == len(real) or sum(len(lines[k].split()) for k in run) >= 50):
+                    key = tuple(lines[k] for k in run)
+                    gone.update(run if key in seen else [])
+                    seen.add(key)
+        want[i] = "\n".join(x for k, x in enumerate(lines) if k not in gone)
+    stage = corpus_pipeline.without_repeated_lines(spark, docs, "").collect()
+    assert {r["doc_id"]: r["text"] for r in stage} == want
+    assert all(r["n_chars"] == len(r["text"]) for r in stage)
+    assert sum(passage in t for t in want.values()) == 1 and want[2] == want[5] == ""
+    assert sum(brief in t for t in want.values()) == 2 and sum(half in t for t in want.values()) == 2
+    plan = line_dedup.dedup(docs, least_words=50)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
 def test_simhash(corpus):
     import xxhash
 
