@@ -105,6 +105,16 @@ def test_quality_rules_base(spark, odd, small):
     assert got.where("base_failed AND kept").count() == 0
 
 
+def test_coverage_decides(spark):
+    """Texts of 200 words that pass the base rule and have no long repeat, with a run of so many words twice."""
+    runs = [25, 29, 18]
+    rows = [(i, " ".join([f"w{k}" for k in range(200 - n)] + [f"w{k}" for k in range(n)])) for i, n in enumerate(runs)]
+    got = {r["doc_id"]: r for r in quality_rules.judge(quality_rules.measure(spark.createDataFrame(rows, "doc_id long, text string"))).collect()}
+    assert [got[i]["n_covered"] for i in range(3)] == [2 * n for n in runs]
+    assert not any(r["base_failed"] or r["longest_repeat"] > 100 for r in got.values())
+    assert [got[i]["kept"] for i in range(3)] == [False, False, True]
+
+
 def taught(spark, n=300):
     rng = random.Random(1)
     rows, labels = [], []
