@@ -3,8 +3,8 @@
 The lines of a text that have a word are hashed, and in each window of
 ``window`` of them the smallest hash (the last of equals) is a fingerprint: any
 run of so many equal lines in two places holds the same fingerprint in both.
-Fingerprints met in two places are joined back to their places, and each is
-extended both ways over the windows that it stands for. A window whose lines
+Fingerprints met in two places only sift the windows; those that are left are
+grouped by the hash of all their lines, and no pair of places is extended. A window whose lines
 occurred before, in the order of document and line, is a repeat; adjoining
 repeats make up the later run, which is deleted.
 
