@@ -24,15 +24,13 @@ def _hex(column):
 
 
 def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = tokenizer_path()
-    ids = sp_codec.encode(read_table(spark, sf_dir, "documents"), path)
-    both = sp_codec.decode(ids.select("doc_id", "ids", F.try_element_at("ends", F.lit(-1)).alias("n_covered")), path)
+    both = sp_codec.encode(read_table(spark, sf_dir, "documents"), tokenizer_path(), decoded=True)
     return both.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         _hex(F.concat_ws(",", F.col("ids").cast("array<string>"))).alias("ids_sha256"),
         _hex("decoded").alias("decoded_sha256"),
-        F.coalesce("n_covered", F.lit(0)).cast("long").alias("n_source_bytes"),
+        F.coalesce(F.try_element_at("ends", F.lit(-1)), F.lit(0)).cast("long").alias("n_source_bytes"),
     )
 
 

@@ -4,7 +4,10 @@
 (longest matching prefix first), recording for each normalised byte the source
 byte range it came from. The library, told not to normalise again, segments
 the normalised text, and every piece is projected through the alignment to a
-byte span of the source text.
+byte span of the source text. No piece of most vocabularies goes on past a word
+(this is looked up in the model), so a word is segmented once by each worker
+however often it occurs; of a vocabulary with such pieces texts are segmented
+whole. Decoding is the library's own.
 
 Defined cases: a null text counts as empty; an empty text has no ids and
 decodes to the empty text; repeated rows and null ids are kept, a row for each;
@@ -14,6 +17,7 @@ columns other than the two named are ignored.
 from __future__ import annotations
 
 import struct
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +27,8 @@ from pyspark.sql import functions as F
 from .common import list_column, map_texts, text_bytes
 
 MARK = "▁".encode()
+#: Distinct words whose segmentation a worker keeps; when full, the table starts anew.
+KEPT_WORDS = 400_000
 
 
 class CharacterMap:
@@ -86,23 +92,22 @@ class Codec:
         spec.precompiled_charsmap, spec.name = b"", "identity"
         spec.add_dummy_prefix = spec.remove_extra_whitespaces = False
         self.model = sentencepiece.SentencePieceProcessor(model_proto=proto.SerializeToString())
-        mark, surface, lengths = MARK.decode(), [], []
+        self.plain = sentencepiece.SentencePieceProcessor(model_file=model_path)
+        lengths = []
         for p in proto.pieces:
-            if p.type == kinds.BYTE:
-                surface.append(bytes([int(p.piece[1:-1], 16)]))
-                lengths.append(1)
-            elif p.type == kinds.CONTROL:
-                surface.append(b"")
-                lengths.append(0)
-            elif p.type == kinds.UNKNOWN:
-                surface.append(proto.trainer_spec.unk_surface.encode())
-                lengths.append(-1)
-            else:
-                surface.append(p.piece.replace(mark, " ").encode())
-                lengths.append(len(p.piece.encode()))
-        self.surface, self.lengths = surface, np.array(lengths, np.int64)
-        self.is_byte = np.array([p.type == kinds.BYTE for p in proto.pieces])
+            kind = p.type
+            lengths.append(1 if kind == kinds.BYTE else 0 if kind == kinds.CONTROL else -1 if kind == kinds.UNKNOWN else len(p.piece.encode()))
+        self.lengths = np.array(lengths, np.int64)
         self.byte_fallback = proto.trainer_spec.byte_fallback
+        texts = [p.piece for p in proto.pieces if p.type == kinds.NORMAL]
+        self.by_word = self.byte_fallback and not any(MARK.decode() in x.lstrip(MARK.decode()) for x in texts)
+        self.by_line = not any("\n" in x for x in texts)
+        self._forget()
+
+    def _forget(self) -> None:
+        """Words known, and the ids of all of them laid end to end."""
+        self.known: dict[bytes, int] = {}
+        self.pool, self.starts, self.sizes = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def normalise(self, source: bytes) -> tuple[bytes, np.ndarray, np.ndarray]:
         """The normalised text with word marks, and for each of its bytes where its source begins and ends."""
@@ -143,41 +148,74 @@ class Codec:
         at = np.array(spans, np.int32).reshape(-1, 2)
         return bytes(out), at[:, 0], at[:, 1]
 
-    def encode(self, normal: list[bytes]) -> list[list[int]]:
-        """Ids of each normalised text."""
-        return self.model.encode([x.decode() for x in normal], num_threads=1)
-
-    def spans(self, ids: np.ndarray, normal: bytes, begins: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """First and last source byte (exclusive) of each piece."""
-        if not len(ids):
-            return ids, ids
+    def words(self, normal: bytes) -> list[bytes]:
+        """A normalised text cut where no piece can go across: before word marks that follow something else, and around line ends."""
+        out: list[bytes] = []
+        for k, line in enumerate(normal.split(b"\n") if self.by_line else [normal]):
+            if k:
+                out.append(b"\n")
+            first, *rest = line.split(MARK)
+            if first:
+                out.append(first)
+            if b"" not in rest:
+                out += [MARK + w for w in rest]
+                continue
+            marks = b""
+            for w in rest:
+                marks += MARK
+                if w:
+                    out.append(marks + w)
+                    marks = b""
+            if marks:
+                out.append(marks)
+        return out
+
+    def encode(self, normal: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of normalised texts, laid end to end, and the offsets of the texts."""
+        if not self.by_word:
+            got = self.model.encode([x.decode() for x in normal], num_threads=1)
+            offsets = np.cumsum([0, *map(len, got)])
+            return np.fromiter(chain.from_iterable(got), np.int32, offsets[-1]), offsets
+        if len(self.known) > KEPT_WORDS:
+            self._forget()
+        known, cut, bounds = self.known, [], [0]
+        for x in normal:
+            cut += self.words(x)
+            bounds.append(len(cut))
+        number, new = list(map(known.get, cut)), []
+        for i in [i for i, k in enumerate(number) if k is None]:
+            number[i] = known.setdefault(cut[i], len(known))
+            if number[i] == len(self.sizes) + len(new):
+                new.append(cut[i])
+        if new:
+            got = self.model.encode([w.decode() for w in new], num_threads=1)
+            sizes = np.fromiter(map(len, got), np.int64, len(got))
+            self.starts = np.concatenate([self.starts, len(self.pool) + np.cumsum(sizes) - sizes])
+            self.sizes = np.concatenate([self.sizes, sizes])
+            self.pool = np.concatenate([self.pool, np.fromiter(chain.from_iterable(got), np.int32, sizes.sum())])
+        number = np.array(number, np.int64)
+        sizes = self.sizes[number]
+        ends = np.append(0, np.cumsum(sizes))
+        at = np.repeat(self.starts[number] - ends[:-1], sizes) + np.arange(ends[-1])
+        return self.pool[at], ends[bounds]
+
+    def spans(self, ids: np.ndarray, offsets: np.ndarray, normal: list[tuple[bytes, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+        """First and last source byte (exclusive) of each piece of texts laid end to end; normal as ``normalise`` gives it."""
         lengths = self.lengths[ids]
         if not self.byte_fallback and (lengths < 0).any():  # an unknown piece may stand for several characters
-            surfaces = self.model.encode(normal.decode(), return_type="proto").pieces
-            lengths = np.array([len(p.surface.encode()) for p in surfaces], np.int64)
+            each = [self.model.encode(x.decode(), return_type="proto").pieces for x, *_ in normal]
+            lengths = np.array([len(p.surface.encode()) for pieces in each for p in pieces], np.int64)
+        begins, ends = (np.concatenate([n[k] for n in normal] or [np.zeros(0, np.int32)]) for k in (1, 2))
         stop = np.cumsum(lengths)
         return begins[stop - lengths], ends[stop - 1]
 
-    def decode(self, ids: list[int]) -> str:
-        raw = b"".join(map(self.surface.__getitem__, ids))
-        if self.dummy or self.squeeze:
-            if ids and raw[:1] == b" " and not self.is_byte[ids[0]]:
-                raw = raw[1:]
-        try:
-            return raw.decode()
-        except UnicodeDecodeError:
-            return raw.decode(errors="each_byte")
-
-
-def _each_byte(error: UnicodeDecodeError) -> tuple[str, int]:
-    """Every byte that is in no whole character becomes one replacement character."""
-    return "�", error.start + 1
+    def decode(self, ids: np.ndarray, offsets: np.ndarray) -> list[str]:
+        """What the library decodes each text's ids to."""
+        flat, cuts = ids.tolist(), offsets.tolist()
+        return self.plain.decode([flat[a:b] for a, b in zip(cuts, cuts[1:])], num_threads=1)
 
 
 def _codec(model_path: str) -> Codec:
-    import codecs
-
-    codecs.register_error("each_byte", _each_byte)
     if model_path not in _BUILT:
         _BUILT[model_path] = Codec(model_path)
     return _BUILT[model_path]
@@ -186,8 +224,8 @@ def _codec(model_path: str) -> Codec:
 _BUILT: dict[str, Codec] = {}
 
 
-def encode(df: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text", spans: bool = True, also: tuple[str, ...] = ()) -> DataFrame:
-    """id, ids array<int>, and with spans begins and ends array<int>: each piece's byte span in the source text; then the columns named in ``also``.
+def encode(df: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text", spans: bool = True, decoded: bool = False, also: tuple[str, ...] = ()) -> DataFrame:
+    """id, ids array<int>, with spans begins and ends array<int> (each piece's byte span in the source text), with decoded the text that the ids decode to; then the columns named in ``also``.
 
     model_path is a file that each executor has, as the library's own data files are.
     """
@@ -195,19 +233,18 @@ def encode(df: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str
     def work(batches):
         codec = _codec(model_path)
         for batch in batches:
-            both = [codec.normalise(x) for x in batch.column("text").to_pylist()]
-            got = codec.encode([x[0] for x in both])
-            offsets = np.cumsum([0, *map(len, got)])
-            flat = np.fromiter((i for ids in got for i in ids), np.int32, offsets[-1])
+            normal = [codec.normalise(x) for x in batch.column("text").to_pylist()]
+            flat, offsets = codec.encode([x[0] for x in normal])
             columns = [batch.column("id"), list_column(flat, offsets, pa.int32())]
             if spans:
-                found = [codec.spans(flat[a:b], *x) for x, a, b in zip(both, offsets, offsets[1:])]
-                columns += [list_column(np.concatenate([f[k] for f in found] or [[]]), offsets, pa.int32()) for k in (0, 1)]
+                columns += [list_column(x, offsets, pa.int32()) for x in codec.spans(flat, offsets, normal)]
+            if decoded:
+                columns.append(pa.array(codec.decode(flat, offsets), pa.string()))
             yield pa.RecordBatch.from_arrays([*columns, *(batch.column(f"also{k}") for k in range(len(also)))], names)
 
     kinds = dict(df.dtypes)
-    names = ["id", "ids", *["begins", "ends"][: 2 * spans], *(f"also{k}" for k in range(len(also)))]
-    schema = f"id {kinds[id_col]}, ids array<int>" + ", begins array<int>, ends array<int>" * spans + "".join(f", also{k} {kinds[c]}" for k, c in enumerate(also))
+    names = ["id", "ids", *["begins", "ends"][: 2 * spans], *["decoded"][:decoded], *(f"also{k}" for k in range(len(also)))]
+    schema = f"id {kinds[id_col]}, ids array<int>" + ", begins array<int>, ends array<int>" * spans + ", decoded string" * decoded + "".join(f", also{k} {kinds[c]}" for k, c in enumerate(also))
     given = df.select(F.col(id_col).alias("id"), text_bytes(text_col).alias("text"), *(F.col(c).alias(f"also{k}") for k, c in enumerate(also)))
     return map_texts(given, work, schema).withColumnsRenamed({"id": id_col, **{f"also{k}": c for k, c in enumerate(also)}})
 
@@ -221,7 +258,9 @@ def decode(df: DataFrame, model_path: str, ids_col: str = "ids", out_col: str =
             k = batch.schema.get_field_index(ids_col)
             for start in range(0, batch.num_rows, 500):
                 part = batch.slice(start, 500)
-                texts = [codec.decode(x or []) for x in part.column(k).to_pylist()]
+                lists = part.column(k).fill_null([])
+                sizes = lists.value_lengths().to_numpy(zero_copy_only=False)
+                texts = codec.decode(lists.flatten().to_numpy(), np.append(0, np.cumsum(sizes)))
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], [*part.schema.names, out_col])
 
     fields = [f"`{c}` {t}" for c, t in df.drop(out_col).dtypes]
