@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import list_column, map_texts, slices, text_bytes
-from .training import labelled_sample
+from .training import fitted, labelled_sample
 
 #: Words whose folded value a worker keeps; when full, the table starts anew.
 KEPT_WORDS = 100_000
@@ -40,7 +40,7 @@ AGAIN = b" again "
 class Settings:
     """per_class bounds the training sample: so many labelled rows of each class at most."""
 
-    per_class: int = 1600
+    per_class: int = 2000
     bits: int = 17
     shortest: int = 3
     longest: int = 5
@@ -130,29 +130,29 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray, int]], s: Settings, prior: floa
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str, allowed: Column, settings: Settings = Settings()) -> tuple[np.ndarray, float]:
-    """Fits on at most 2 * per_class of the allowed labelled rows; their buckets are made in the tasks."""
+    """Fits on at most 2 * per_class of the allowed labelled rows; their buckets are made in the tasks, and one task fits."""
     sample, sizes = labelled_sample(docs, labels, label, allowed, settings.per_class)
     zeros = np.zeros(1 << settings.bits, np.float32)
     if not sizes.get(0) or not sizes.get(1):
         return zeros, 0.0 if not sizes else 30.0 if sizes.get(1) else -30.0
 
-    def work(batches):
+    def features(batches):
         for batch in batches:
             got = [document_weights(x, settings) for x in batch.column("text").to_pylist()]
-            offsets = np.cumsum([0, *(len(i) for i, _ in got)])
-            columns = [batch.column("doc_id"), batch.column("label"), *(list_column(np.concatenate([g[k] for g in got] or [[]]), offsets, kind) for k, kind in ((0, pa.int32()), (1, pa.float32())))]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "label", "ids", "shares"])
-
-    kind = dict(sample.dtypes)["doc_id"]
-    made = map_texts(sample.withColumn("text", text_bytes("text")), work, f"doc_id {kind}, label int, ids array<int>, shares array<float>").toArrow()
-    made = made.sort_by("doc_id").combine_chunks()
-    ids, shares, ys = (made.column(c).chunk(0) if made.num_rows else None for c in ("ids", "shares", "label"))
-    rows = [(ids[i].values.to_numpy(), shares[i].values.to_numpy(), ys[i].as_py()) for i in range(made.num_rows)]
-    rows = [r for r in rows if len(r[0])]
-    if len({y for *_, y in rows}) < 2:
-        return zeros, float(np.log(sizes[1] / sizes[0]))
-    n = Counter(y for *_, y in rows)
-    return fit(rows, settings, float(np.log(sizes[1] / sizes[0]) - np.log(n[1] / n[0])))
+            sizes = [len(i) for i, _ in got]
+            offsets = np.cumsum([0, *sizes])
+            lists = [list_column(np.concatenate([g[k] for g in got]), offsets, kind) for k, kind in ((0, pa.int32()), (1, pa.float32()))]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("label"), pa.array([8 * n for n in sizes], pa.int64()), *lists], ["doc_id", "label", "n_bytes", "ids", "shares"])
+
+    def learn(table: pa.Table) -> tuple[np.ndarray, float]:
+        ids, shares, ys = (table.column(c).chunk(0) for c in ("ids", "shares", "label"))
+        rows = [(ids[i].values.to_numpy(), shares[i].values.to_numpy(), ys[i].as_py()) for i in range(table.num_rows)]
+        rows = [r for r in rows if len(r[0])]
+        n = Counter(y for *_, y in rows)
+        prior = float(np.log(sizes[1] / sizes[0]))
+        return (zeros, prior) if len(n) < 2 else fit(rows, settings, prior - float(np.log(n[1] / n[0])))
+
+    return fitted(sample, features, "ids array<int>, shares array<float>", learn) or (zeros, float(np.log(sizes[1] / sizes[0])))
 
 
 class Scorer:

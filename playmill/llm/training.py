@@ -1,10 +1,19 @@
-"""Drawing a bounded, reproducible training sample of labelled documents."""
+"""Drawing a bounded, reproducible training sample of labelled documents, and fitting on it."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import pickle
+from collections.abc import Callable
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import map_texts, text_bytes
+
+#: Bytes of features of a class that a fit takes at most.
+MOST_BYTES = 96 << 20
+
 
 def remainder(column: str, divisor: int) -> Column:
     """crc32 of the id as text, modulo divisor; a null id counts as the empty text."""
@@ -12,13 +21,37 @@ def remainder(column: str, divisor: int) -> Column:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, allowed: Column, per_class: int) -> tuple[DataFrame, dict[int, int]]:
-    """Up to per_class labelled documents of each class, chosen by a hash of the id, and how many labels each class has.
+    """doc_id, text (bytes) and label of up to per_class labelled documents of each class, chosen by a hash of the id, and how many labels each class has.
 
     Labels are counted over all rows; only ids are sorted, and the sampled ids
-    (at most 2 * per_class) are what is broadcast.
+    (at most 2 * per_class) are what is broadcast. Rows of one id are one
+    document, that with the smallest text.
     """
     known = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & allowed).groupBy("doc_id").agg(F.max(label).cast("int").alias("label"))
     sizes = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count("*").alias("n")).collect()}
     parts = [known.where(F.col("label") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class) for k in (0, 1)]
     chosen = F.broadcast(parts[0].union(parts[1]))
-    return docs.join(chosen, "doc_id").select("doc_id", "text", "label"), sizes
+    met = docs.select("doc_id", text_bytes("text").alias("text")).join(chosen, "doc_id")
+    return met.groupBy("doc_id").agg(F.min("text").alias("text"), F.first("label").alias("label")), sizes
+
+
+def fitted(sample: DataFrame, features: Callable, fields: str, fit: Callable[[pa.Table], object]):
+    """What fit makes of the sample's features, or None of an empty one.
+
+    features maps batches (doc_id, label, text) to batches of doc_id, label,
+    n_bytes and ``fields``, in the tasks that hold the texts. Of each class rows
+    are taken in order of a hash of the id until MOST_BYTES are reached. One
+    task fits on what is left, in order of the id; only the model comes to the
+    driver, and a lost task fits the same again.
+    """
+    kind = dict(sample.dtypes)["doc_id"]
+    made = map_texts(sample, features, f"doc_id {kind}, label int, n_bytes long, {fields}")
+    total = F.sum("n_bytes").over(Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, 0))
+    bounded = made.where(F.col("n_bytes") <= MOST_BYTES).withColumn("total", total).where(F.col("total") <= MOST_BYTES).drop("total", "n_bytes")
+
+    def work(table: pa.Table) -> pa.Table:
+        model = fit(table.sort_by("doc_id").combine_chunks())
+        return pa.table({"model": pa.array([pickle.dumps(model)], pa.binary())})
+
+    found = bounded.withColumn("one", F.lit(1)).groupBy("one").applyInArrow(work, "model binary").collect()
+    return pickle.loads(found[0]["model"]) if found else None
