@@ -212,7 +212,9 @@ def score(docs: DataFrame, learnt: Column, model_path: str, id_col: str = "doc_i
     pieces, weights = vocabulary(model_path)
     lattice = Lattice(pieces)
     end = float(np.log(0.5))
-    if n_docs:
+    if not n_docs:  # pieces and the end share the mass
+        weights = weights + np.log(0.5)
+    else:
         weights, end = reweighted(counts, n_docs, lattice, weights, s)
     head = counts.orderBy(F.desc("n"), "word").limit(s.head).toArrow()
     words = head.column("word").to_pylist()

@@ -1,16 +1,17 @@
 """Mixing sources to target weights.
 
-The words of each source, its documents in order of id, are packed end to end
-into blocks of ``block_words`` words (in a source of under 256 such blocks, of
+The words of each source, its documents in order of a hash of the id (or of the
+whole row), are packed end to end into blocks of ``block_words`` words (in a source of under 256 such blocks, of
 a 256th of its words, so that any target can be met closely). Output shards draw how many blocks they
 take from each source; the draws are multinomial, conditioned on each source's
 total, so that the mix meets its targets. The slots of a source number its
 blocks through a pseudorandom permutation, a new one for each pass over the
 source, and slots and blocks are joined by number.
 
-A shard's draw needs nothing from other shards: the blocks of a source are
-halved over halves of the shards, each half's binomial share drawn from a
-generator seeded by its place, so a lost task redraws the same.
+The draw is a tree: the blocks of a source are halved over halves of the shards,
+each half's binomial share drawn from a generator seeded by its place. A task
+works out a range of a source's slots, going down only where the range is, so
+tasks need nothing from each other and a lost one redraws the same.
 
 Defined cases: a null text has no words, and a document without words takes
 none; a null source is a source of its own and comes last; rows of equal id and
@@ -25,13 +26,15 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import map_texts, text_bytes, written
+from .common import map_texts, parallelism, text_bytes, written
 
-#: Documents in a bucket of the two-level running sum, on average.
-BUCKET = 2048
+#: Documents in a bucket of the running sum, on average, and buckets in a group of them.
+BUCKET, BUCKETS = 2048, 4096
+#: Slots that a row of the draw stands for, and such rows in a task, about.
+RANGE, RANGES = 65_536, 16
 
 
 @dataclass(frozen=True)
@@ -40,20 +43,21 @@ class Settings:
     share: float = 1.5  # the mix's size as a multiple of all words
     most: float = 2.0  # no source, and no document, more often than this
     block_words: int = 64
-    shard_blocks: int = 65_536
+    shard_blocks: int = 65_536  # of an output shard, on average
     seed: int = 5
 
 
-def word_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """doc_id, source and size, the number of words, of every document."""
+def word_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", order: Column | None = None) -> DataFrame:
+    """doc_id, source, place (a long that orders the documents; a hash of the id unless told) and size, the number of words, of every document."""
 
     def work(batches):
         for batch in batches:
             sizes = pa.array([len(x.split()) for x in batch.column("text").to_pylist()], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("source"), sizes], ["doc_id", "source", "size"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("source"), batch.column("place"), sizes], ["doc_id", "source", "place", "size"])
 
     kind = dict(docs.dtypes)[id_col]
-    return map_texts(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), text_bytes(text_col).alias("text")), work, f"doc_id {kind}, source string, size long")
+    place = F.xxhash64(F.col(id_col).cast("string")) if order is None else order
+    return map_texts(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), place.alias("place"), text_bytes(text_col).alias("text")), work, f"doc_id {kind}, source string, place long, size long")
 
 
 def targets(sizes: dict[int, int], s: Settings) -> dict[int, float]:
@@ -108,56 +112,67 @@ class Plan:
     slots: DataFrame
 
 
-def plan(docs: DataFrame, settings: Settings = Settings(), **columns: str) -> Plan:
+def plan(docs: DataFrame, settings: Settings = Settings(), **columns) -> Plan:
     """Draws the mix. Sizes of documents, without texts, and the table of sources are written and read again."""
     s = settings
     counts = written(word_counts(docs, **columns), "mix-sizes")
     sources = written(_source_table(counts, s), "mix-sources")
     small = sources.select("source", "rank", "n_docs", "block_words")
-    small = F.broadcast(small) if sources.count() <= 10_000 else small
     placed = counts.join(small, counts.source.eqNullSafe(small.source)).drop(small.source)
-    # Two-level running sum: within buckets of about BUCKET documents, then over a source's buckets.
-    by_hash = F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.ceil(F.col("n_docs") / BUCKET))
-    placed = placed.withColumn("bucket", by_hash)
-    buckets = placed.groupBy("rank", "bucket").agg(F.sum("size").alias("inside"))
-    before = Window.partitionBy("rank").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = buckets.select("rank", "bucket", F.coalesce(F.sum("inside").over(before), F.lit(0)).alias("base"))
-    earlier = Window.partitionBy("rank", "bucket").orderBy("doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
-    within = placed.withColumn("start", F.coalesce(F.sum("size").over(earlier), F.lit(0)))
+    # A running sum by levels: within buckets of about BUCKET documents, over BUCKETS of them, and over those of a source.
+    bucket = F.pmod("place", F.ceil(F.col("n_docs") / BUCKET))
+    placed = placed.withColumns({"bucket": bucket, "many": F.floor(bucket / BUCKETS)})
+    before = lambda keys, order: Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    running = lambda value, keys, order: F.coalesce(F.sum(value).over(before(keys, order)), F.lit(0))
+    buckets = placed.groupBy("rank", "many", "bucket").agg(F.sum("size").alias("inside"))
+    groups = buckets.groupBy("rank", "many").agg(F.sum("inside").alias("inside"))
+    groups = groups.select("rank", "many", running("inside", ["rank"], ["many"]).alias("far"))
+    starts = buckets.withColumn("near", running("inside", ["rank", "many"], ["bucket"])).join(groups, ["rank", "many"]).select("rank", "bucket", (F.col("near") + F.col("far")).alias("base"))
+    within = placed.withColumn("start", running("size", ["rank", "bucket"], ["place", "size", "doc_id"]))
     placed = within.join(starts, ["rank", "bucket"]).select("doc_id", "rank", "size", "block_words", (F.col("base") + F.col("start")).alias("start"))
     return Plan(sources, written(placed, "mix-places"), _slots(sources, s))
 
 
 def _slots(sources: DataFrame, s: Settings) -> DataFrame:
     """rank, shard, place in the shard's share of the source, pass over the source, block."""
-    shards = sources.agg(F.greatest(F.lit(1), F.ceil(F.coalesce(F.sum("n_slots"), F.lit(0)) / s.shard_blocks)).cast("long").alias("n_shards"))
-    every = shards.select("n_shards", F.explode(F.sequence(F.lit(0), F.col("n_shards") - 1)).alias("shard"))
-    # A row for each shard and source; the pairs are joined on a constant that only the small side repeats.
-    pairs = every.withColumn("one", F.lit(1)).join(F.broadcast(sources.where("n_slots > 0").select("rank", "n_blocks", "n_slots", F.lit(1).alias("one"))), "one").drop("one")
+    n_slots, n_ranges = sources.agg(F.coalesce(F.sum("n_slots"), F.lit(0)), F.coalesce(F.sum(F.ceil(F.col("n_slots") / RANGE)), F.lit(0))).first()
+    n_shards = max(1, -(-n_slots // s.shard_blocks))
+    numbers = F.explode(F.sequence(F.lit(0), F.ceil(F.col("n_slots") / RANGE) - 1)).alias("number")
+    ranges = sources.where("n_slots > 0").select("rank", "n_blocks", "n_slots", numbers)
 
     def work(frames):
         for frame in frames:
             for r in frame.itertuples():
-                start, count = draw(int(r.n_slots), int(r.n_shards), int(r.shard), (s.seed, int(r.rank)))
-                for first in range(0, count, 100_000):
-                    slot = start + np.arange(first, min(count, first + 100_000))
-                    turn = slot // int(r.n_blocks)
-                    yield pd.DataFrame({"rank": r.rank, "shard": r.shard, "place": slot - start, "turn": turn, "block": permuted(slot % int(r.n_blocks), turn, int(r.n_blocks), (s.seed, int(r.rank)))})
+                rank, n_blocks, total = int(r.rank), int(r.n_blocks), int(r.n_slots)
+                first, last = int(r.number) * RANGE, min(total, (int(r.number) + 1) * RANGE)
+                drawn = draw(total, n_shards, (s.seed, rank), first, last)
+                each = [min(last, a + n) - max(first, a) for _, a, n in drawn]
+                shard, start = (np.repeat([d[k] for d in drawn], each) for k in (0, 1))
+                slot = np.arange(first, last)
+                turn = slot // n_blocks
+                yield pd.DataFrame({"rank": rank, "shard": shard, "place": slot - start, "turn": turn, "block": permuted(slot % n_blocks, turn, n_blocks, (s.seed, rank))})
 
-    return pairs.repartition("shard", "rank").mapInPandas(work, "rank int, shard long, place long, turn long, block long")
+    tasks = max(1, min(int(n_ranges), max(parallelism(sources), int(n_ranges) // RANGES)))
+    return ranges.repartition(tasks, "rank", "number").mapInPandas(work, "rank int, shard long, place long, turn long, block long")
 
 
-def draw(total: int, shards: int, shard: int, seed: tuple[int, ...]) -> tuple[int, int]:
-    """What this shard draws of total, and how much the shards before it drew: a multinomial draw of equal chances."""
-    low, high, start, count = 0, shards, 0, total
-    while high - low > 1:
+def draw(total: int, shards: int, seed: tuple[int, ...], first: int, last: int) -> list[tuple[int, int, int]]:
+    """(shard, how much the shards before it drew, what it drew) of those shards that drew slots from first to last (exclusive).
+
+    A multinomial draw of equal chances, the same whatever range is asked for.
+    """
+    out, todo = [], [(0, shards, 0, total)]
+    while todo:
+        low, high, start, count = todo.pop()
+        if start >= last or start + count <= first or not count:
+            continue
+        if high - low == 1:
+            out.append((low, start, count))
+            continue
         middle = (low + high) // 2
         left = int(np.random.default_rng([*seed, low, high]).binomial(count, (middle - low) / (high - low)))
-        if shard < middle:
-            high, count = middle, left
-        else:
-            low, start, count = middle, start + left, count - left
-    return start, count
+        todo += [(middle, high, start + left, count - left), (low, middle, start, left)]
+    return out
 
 
 def permuted(index: np.ndarray, turn: np.ndarray, size: int, seed: tuple[int, ...]) -> np.ndarray:
@@ -208,18 +223,21 @@ def mixed_documents(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     """The mix as documents: each document once for each pass that takes words of it, its text the words taken, in order.
 
     A text taken whole stays as it is; of one taken in part the words are joined
-    by spaces. n_chars follows the text. docs are written once with a row
-    number, so that rows of equal id stay apart.
+    by spaces. n_chars follows the text. Rows are told apart by a number of
+    their own, but their order in the mix goes by a hash of all they hold, so
+    that runs over the same rows agree. Columns keep whatever names they have.
     """
-    numbered = written(docs.withColumn("_row", F.monotonically_increasing_id()), "mix-docs")
-    p = plan(numbered, settings, id_col="_row")
-    spans = F.array_sort(F.collect_list(F.struct("first", "n_words"))).alias("_spans")
-    passes = mixture(p).groupBy("rank", "start", "turn").agg(spans, F.sum("n_words").alias("_n"))
-    sized = p.docs.where("size > 0").select(F.col("doc_id").alias("_row"), "rank", "start", F.col("size").alias("_size"))
-    keyed = numbered.hint("merge").join(passes.hint("merge").join(sized, ["rank", "start"]).select("_row", "_spans", "_n", "_size"), "_row")
-    words = F.regexp_extract_all(F.col("text"), F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
-    chosen = F.flatten(F.transform("_spans", lambda x: F.slice(words, (x["first"] + 1).cast("int"), x["n_words"].cast("int"))))
-    text = F.when(F.col("_n") < F.col("_size"), F.array_join(chosen, " ")).otherwise(F.col("text"))
-    mixed = keyed.withColumn("text", text)
-    kinds = dict(docs.dtypes)
-    return mixed.select(*[F.length("text").cast(kinds[c]).alias(c) if c == "n_chars" else c for c in docs.columns])
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    numbered = written(docs.select(row.alias("row"), F.monotonically_increasing_id().alias("number")), "mix-docs")
+    p = plan(numbered.select("number", "row.text", "row.source", F.xxhash64("row").alias("hash")), settings, id_col="number", order=F.col("hash"))
+    spans = F.array_sort(F.collect_list(F.struct("first", "n_words"))).alias("spans")
+    passes = mixture(p).groupBy("rank", "start", "turn").agg(spans, F.sum("n_words").alias("n"))
+    sized = p.docs.where("size > 0").select(F.col("doc_id").alias("number"), "rank", "start", "size")
+    keyed = numbered.hint("merge").join(passes.hint("merge").join(sized, ["rank", "start"]).select("number", "spans", "n", "size"), "number")
+    old = F.col("row.text")
+    words = F.regexp_extract_all(old, F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    chosen = F.flatten(F.transform("spans", lambda x: F.slice(words, (x["first"] + 1).cast("int"), x["n_words"].cast("int"))))
+    text = F.when(F.col("n") < F.col("size"), F.array_join(chosen, " ")).otherwise(old)
+    mixed = keyed.select("row", text.alias("text"))
+    own = {"text": F.col("text"), "n_chars": F.length("text")}
+    return mixed.select(*[own.get(c, F.col(f"row.`{c}`")).cast(kind).alias(c) for c, kind in docs.dtypes])

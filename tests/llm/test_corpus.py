@@ -67,9 +67,11 @@ def test_mixing_targets():
 
 def test_draws_are_whole_and_permutations_are_permutations():
     for total, shards in ((1000, 7), (0, 3), (5, 1)):
-        got = [mixing.draw(total, shards, k, (1, 2)) for k in range(shards)]
-        assert sum(c for _, c in got) == total
-        assert [s for s, _ in got] == np.cumsum([0, *[c for _, c in got]])[:-1].tolist()
+        got = mixing.draw(total, shards, (1, 2), 0, total)
+        assert sum(c for *_, c in got) == total and [k for k, *_ in got] == sorted({k for k, *_ in got})
+        assert [s for _, s, _ in got] == np.cumsum([0, *[c for *_, c in got]])[:-1].tolist()
+        for a in range(0, total, 37):  # any range tells the same
+            assert mixing.draw(total, shards, (1, 2), a, a + 37) == [x for x in got if x[1] < a + 37 and x[1] + x[2] > a]
     for size in (1, 2, 3, 17, 1000):
         for turn in (0, 1):
             assert sorted(mixing.permuted(np.arange(size), np.full(size, turn), size, (5, 0)).tolist()) == list(range(size))
