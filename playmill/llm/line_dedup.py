@@ -3,10 +3,14 @@
 The lines of a text that have a word are hashed, and in each window of
 ``window`` of them the smallest hash (the last of equals) is a fingerprint: any
 run of so many equal lines in two places holds the same fingerprint in both.
-Fingerprints met in two places only sift the windows; those that are left are
-grouped by the hash of all their lines, and no pair of places is extended. A window whose lines
-occurred before, in the order of document and line, is a repeat; adjoining
-repeats make up the later run, which is deleted.
+Places are joined by fingerprint, and a window whose lines occurred before, in
+the order of document and line, is a repeat (lines are told by 128 bits of
+hash, so that 10^11 windows have no chance match). A run that goes on past a
+window in both places has its further lines in windows of its own, which are
+found the same way: the union of adjoining repeats is the match extended both
+ways as far as it holds, against whichever earlier place holds it. That is the
+later run, which is deleted. Places are never paired with each other, as pairs
+would grow with the square of a common passage's copies.
 
 A text of fewer lines than a window is a window as a whole. Lines without a
 word are neither compared nor deleted. With ``least_words``, shorter runs of
@@ -42,13 +46,13 @@ def _words(line: Column, least: int | None) -> Column:
 
 def _windows(lines: Column, window: int, least_words: int | None) -> Column:
     """For each window of the lines with words: its fingerprint (hash, -place), its first place, its own hash, and its lines' numbers in the text."""
-    marked = F.transform(lines, lambda x, i: F.struct(F.when(x.rlike(WORD), F.xxhash64(x)).alias("h"), i.alias("line"), _words(x, least_words).alias("words")))
+    marked = F.transform(lines, lambda x, i: F.struct(F.when(x.rlike(WORD), F.xxhash64(x)).alias("h"), F.xxhash64(F.lit(1), x).alias("g"), i.alias("line"), _words(x, least_words).alias("words")))
     real = F.filter(marked, lambda x: x["h"].isNotNull())
 
     def made(rows: Column) -> Column:
         placed = F.transform(rows, lambda r, i: F.struct(r["h"].alias("h"), (-i).alias("back")))
         starts = F.sequence(F.lit(0), F.greatest(F.lit(0), F.size(rows) - window))
-        one = lambda own, part, i: F.struct(F.array_min(part).alias("least"), i.alias("at"), F.xxhash64(own["h"], F.lit(7)).alias("own"), own["line"].alias("lines"))
+        one = lambda own, part, i: F.struct(F.array_min(part).alias("least"), i.alias("at"), F.struct(F.xxhash64(own["h"], F.lit(7)).alias("h"), F.xxhash64(own["g"], F.lit(8)).alias("g")).alias("own"), own["line"].alias("lines"))
         cut = lambda p, at, n: F.transform(at, lambda i: _with(F.slice(rows, i + 1, n), lambda own: one(own, F.slice(p, i + 1, n), i)))
 
         def long(n: int) -> Column:
@@ -98,7 +102,8 @@ def _cut(docs: DataFrame, window: int, id_col: str, text_col: str, least_words:
     text, own = F.col(f"row.`{text_col}`"), F.col(f"row.`{id_col}`")
     joined = whole.withColumns({"_id": own, "_hash": F.xxhash64(text)}).join(found, F.col("_id").eqNullSafe(F.col("id")) & (F.col("_hash") == F.col("hash")), "left")
     lines = F.split(text, "\n")
-    kept = F.filter(lines, lambda x, i: ~F.array_contains(F.col("gone"), i))
+    # What lies between the lines that go, so that the work stays in proportion to the lines.
+    kept = _with(F.concat(F.array(F.lit(-1)), F.array_sort("gone"), F.array(F.size(lines))), lambda cut: F.flatten(F.transform(F.sequence(F.lit(1), F.size(cut) - 1), lambda k: F.slice(lines, cut[k - 1] + 2, cut[k] - cut[k - 1] - 1))))
     n = F.when(text.isNull(), 0).otherwise(F.size(lines))
     return joined.select(
         "row",

@@ -120,7 +120,7 @@ class Block:
         before = self.length - min(ANCHOR, self.length)
         width = 2 * self.length - min(ANCHOR, self.length)
         which = np.flatnonzero(shared)
-        table = np.zeros((len(which), 10 + width), np.uint8)
+        table = np.zeros((len(which), 12 + width), np.uint8)
         table[:, :8] = self.hashes[which].astype(">u8").view(np.uint8).reshape(-1, 8)
         spread = np.arange(width)
         cuts = np.searchsorted(self.owner[which], np.arange(len(self.texts) + 1))
@@ -130,9 +130,9 @@ class Block:
             start = self.places[which[a:b]] - before
             at = start[:, None] + spread
             inside = (at >= 0) & (at < len(text))
-            table[a:b, 10:] = np.where(inside, text[np.clip(at, 0, len(text) - 1)], 0)
-            table[a:b, 8] = np.maximum(0, -start)
-            table[a:b, 9] = np.minimum(width, len(text) - start)
+            table[a:b, 12:] = np.where(inside, text[np.clip(at, 0, len(text) - 1)], 0)
+            edges = np.stack([np.maximum(0, -start), np.minimum(width, len(text) - start)], 1)
+            table[a:b, 8:12] = edges.astype(">u2").view(np.uint8)
         rows = np.ascontiguousarray(table).view(np.dtype((np.void, table.shape[1]))).ravel()
         order = np.argsort(rows, kind="stable")
         first = np.append(True, rows[order[1:]] != rows[order[:-1]])[: len(order)]
@@ -164,11 +164,12 @@ def shared_anchors(asked: list[tuple[np.ndarray, np.ndarray]]) -> list[np.ndarra
 def interval_minima(around: np.ndarray, low: np.ndarray, length: int):
     """Yields, for each place in order that a string of ``length`` bytes over the anchors can start at, the smallest id that has each row's string (LATEST where none fits).
 
-    around: two numbers (first and end of the bytes that exist) and the bytes.
+    around: two numbers of two bytes (first and end of the bytes that exist) and the bytes.
     """
     anchor = min(ANCHOR, length)
     before, n = length - anchor, len(around)
-    has_left, has_right = before - around[:, 0].astype(np.int64), around[:, 1].astype(np.int64) - before
+    edges = np.ascontiguousarray(around[:, :4]).view(">u2").astype(np.int64)
+    has_left, has_right = before - edges[:, 0], edges[:, 1] - before
 
     def array(strings: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Order of the strings and the common prefix of each with the one before."""
@@ -180,8 +181,8 @@ def interval_minima(around: np.ndarray, low: np.ndarray, length: int):
         prefix = np.where(differ.any(1), differ.argmax(1), width)
         return order, np.append(-1, prefix)
 
-    right_order, right_prefix = array(np.ascontiguousarray(around[:, 2 + before :]))
-    left_order, left_prefix = array(np.ascontiguousarray(around[:, 2 : 2 + before][:, ::-1]))
+    right_order, right_prefix = array(np.ascontiguousarray(around[:, 4 + before :]))
+    left_order, left_prefix = array(np.ascontiguousarray(around[:, 4 : 4 + before][:, ::-1]))
     interval, other = np.empty(n, np.int64), np.empty(n, np.int64)
     for back in range(before, -1, -1):  # bytes of the string before the anchor
         ahead = length - back
@@ -303,7 +304,7 @@ def dedup(docs: DataFrame, length: int = 50, id_col: str = "doc_id", text_col: s
 
     def compare(key, table):
         table = table.combine_chunks()
-        width = 2 + 2 * length - min(ANCHOR, length)
+        width = 4 + 2 * length - min(ANCHOR, length)
         sizes = table.column("low").combine_chunks().value_lengths().to_pylist()
         each = [np.frombuffer(pa.decompress(x, k * width, CODEC, asbytes=True), np.uint8).reshape(-1, width) for x, k in zip(table.column("around").to_pylist(), sizes)]
         low, high = (table.column(c).combine_chunks().flatten().to_numpy() for c in ("low", "high"))

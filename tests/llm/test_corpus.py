@@ -109,7 +109,7 @@ def brute_spans(rows, length):
     return out
 
 
-@pytest.mark.parametrize("length", [50, 12])
+@pytest.mark.parametrize("length", [50, 12, 138, 200])
 def test_suffix_dedup(corpus, length):
     docs = corpus.where("doc_id IS NULL OR doc_id <> 303")
     got = suffix_dedup.dedup(docs, length).collect()
