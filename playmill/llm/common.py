@@ -58,9 +58,11 @@ def list_column(values, offsets, kind) -> pa.ListArray:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors see; in a session without one, as in tests, a new local one."""
+    """The folder that all executors see; in a local session without one, as in tests, a new local one."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors see")
         found = "file://" + tempfile.mkdtemp(prefix="spark-")
         spark.sparkContext.setCheckpointDir(found)
     return found

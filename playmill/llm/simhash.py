@@ -3,12 +3,15 @@
 A text's fingerprint has a bit for each bit of the 64-bit hashes of its word
 shingles: 1 if it is set in over half of them. Fingerprints within ``radius``
 bits are linked. Cut into more blocks than the radius, two such fingerprints
-agree in some set of blocks, so they meet in the shard of these blocks' values.
-In each shard a BK-tree (children keyed by their Hamming distance to the
-parent) is searched for each fingerprint, following only edges whose key is
-within the radius of the distance. How many blocks there are follows from the
-number of fingerprints, so that shards stay small; a shard that is large all
-the same is dealt into parts, and trees of parts are searched for each part.
+agree in some set of blocks, so they meet in the shard named by a few bits of
+these. Each shard of some two thousand fingerprints has a BK-tree (children
+keyed by their Hamming distance to the parent) that is searched for each of its
+fingerprints, following only edges whose key is within the radius of the
+distance. How many bits name a shard follows from the number of fingerprints; a
+shard that is large all the same is dealt into parts, and trees of parts are
+searched for each part. Trees stay with their shard: all of them together grow
+with the table, so they are no data to broadcast, and fingerprints of other
+shards have nothing to find in them.
 
 Defined cases: a null or wordless text has fingerprint zero and is linked like
 any other; a text of fewer words than a shingle is one shingle; equal
@@ -39,6 +42,8 @@ from .components import components
 BITS = 64
 #: Fingerprints of a shard's part at most, about; a task holds two parts at a time.
 PART = 4096
+#: Distinct fingerprints that a shard holds, about, if they are random.
+SHARD = 2048
 
 
 def shingle_hashes(text: bytes, shingle: int, seed: int) -> np.ndarray:
@@ -81,13 +86,15 @@ def majority(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 
 def blocks(n: int, radius: int) -> list[list[tuple[int, int]]]:
-    """The block sets to agree on, each a list of (shift, width). With more fingerprints the agreed bits are more, so that a shard of random ones holds about 256 at most."""
+    """The bits to agree on, each a list of (shift, width), so that shards of n random fingerprints hold about SHARD. Two that differ in radius bits at most agree in one of them."""
+    bits = max(1, (n // SHARD).bit_length())
     for more in range(1, 6):
         count = radius + more
         edges = [BITS * k // count for k in range(count + 1)]
-        if n <= 256 << (BITS * more // count) or more == 5:
-            return [[(edges[k], edges[k + 1] - edges[k]) for k in chosen] for chosen in combinations(range(count), more)]
-    raise AssertionError
+        if bits <= BITS * more // count or more == 5:
+            break
+    widths = [bits * (k + 1) // more - bits * k // more for k in range(more)]
+    return [[(edges[k], min(w, edges[k + 1] - edges[k])) for k, w in zip(chosen, widths)] for chosen in combinations(range(count), more)]
 
 
 class BKTree:
@@ -140,8 +147,6 @@ class _Sets:
 
 def tree_links(trees: list[int], queries: list[int], radius: int) -> list[tuple[int, int]]:
     """Links that join whatever is within radius of a tree's value, no more than values are."""
-    if len(trees) <= 8 and len(queries) <= 8:
-        return [(t, q) for t in trees for q in queries if t > q and (t ^ q).bit_count() <= radius]
     sets, asked = _Sets(), np.array(queries, np.uint64)
     for node, hit in BKTree(trees).near(asked, radius):
         for q in asked[hit].tolist():
