@@ -70,13 +70,13 @@ def trailing(df: DataFrame, keys: list[str], season: str, back: int) -> DataFram
 
 
 def matched_pairs(df: DataFrame, keys: list[str], unit: str) -> DataFrame:
-    """Rows of one unit with those of every other unit of the same keys; the other's columns are called other_*. Filter units by support first."""
+    """Rows of one unit with those of every other unit of the same keys; the other's columns are called other_*. All pairs of a key come out, so the key has to bound them: filter units by support first."""
     rest = [c for c in df.columns if c not in keys]
     return df.join(df.withColumnsRenamed({c: f"other_{c}" for c in rest}), keys).where(F.col(unit) != F.col(f"other_{unit}"))
 
 
 def role_pairs(df: DataFrame, keys: list[str], one: Column, other: Column, columns: dict[str, tuple[str, str]]) -> DataFrame:
-    """One table in two roles, each cut down before the join."""
+    """One table in two roles, each cut down before the join. All pairs of a key come out, so the key has to bound them."""
     a = df.where(one).select(*keys, *[F.col(c).alias(names[0]) for c, names in columns.items()])
     b = df.where(other).select(*keys, *[F.col(c).alias(names[1]) for c, names in columns.items()])
     return a.join(b, keys)
@@ -114,8 +114,12 @@ def fallback(parts: dict[str, DataFrame], keys: list[str]) -> DataFrame:
 
 
 def string_range(df: DataFrame, ranges: DataFrame, code: str, low: str, high: str) -> DataFrame:
-    """A small table of text ranges, for codes of digits only."""
-    return df.join(F.broadcast(ranges), F.col(code).rlike("^[0-9]+$") & F.col(code).between(F.col(low), F.col(high)), "left")
+    """Text ranges that hold a code, for codes of digits only. Both sides meet on the first digit, so that no table needs to be sent everywhere."""
+    digit = lambda c: F.substring(c, 1, 1).cast("int")
+    spread = ranges.where(F.col(low).rlike("^[0-9]") & F.col(high).rlike("^[0-9]")).withColumn("_digit", F.explode(F.sequence(digit(low), digit(high))))
+    told = F.when(F.col(code).rlike("^[0-9]+$"), digit(code))
+    on = (F.col("_own") == F.col("_digit")) & F.col(code).between(F.col(low), F.col(high))
+    return df.withColumn("_own", told).join(spread, on, "left").drop("_own", "_digit")
 
 
 def resolve_alias(df: DataFrame, tables: list[tuple[DataFrame, list[str]]], value: str, default: Column) -> DataFrame:
@@ -133,6 +137,9 @@ def boundaries(df: DataFrame, keys: list[str], order: list[str], value: str) ->
 
 
 def as_of(df: DataFrame, moves: DataFrame, keys: list[str], date: str, moved: str, row_key: list[str]) -> DataFrame:
-    """Each row with the latest dated move of its key that isn't after it."""
-    found = _within(df.select(*keys, *row_key, date), moves, keys, F.col(moved) <= F.col(date)).groupBy(*row_key).agg(F.max(moved).alias(moved))
-    return df.join(found, row_key, "left")
+    """Each row with the latest dated move of its key that isn't after it: both tables in one order of dates, the last move carried on."""
+    rows = df.select(*keys, *row_key, F.col(date).alias("_at"), F.lit(None).cast(dict(moves.dtypes)[moved]).alias("_moved"), F.lit(1).alias("_row"))
+    steps = moves.select(*keys, F.col(moved).alias("_at"), F.col(moved).alias("_moved"), F.lit(0).alias("_row"))
+    w = Window.partitionBy(*keys).orderBy("_at", "_row").rowsBetween(Window.unboundedPreceding, 0)
+    line = rows.unionByName(steps, allowMissingColumns=True).withColumn(moved, F.last("_moved", ignorenulls=True).over(w))
+    return df.join(line.where("_row = 1").select(*row_key, moved), row_key, "left")
