@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .joins import matched_pairs
-from .windows import over
+from .sets import day_spine, spine_fill
+from .windows import FIRST, NOW, islands, leader_gap, over
 
 
 def state_matrix(df: DataFrame, states: list[str], outcome: Column, keep: Column | None = None) -> DataFrame:
@@ -113,3 +114,21 @@ def share_chain(df: DataFrame, actor: str, place: str, outcome: Column) -> DataF
 
 def pythagorean(scored: Column, allowed: Column, power: float = 1.85) -> Column:
     return F.try_divide(F.pow(scored, F.lit(power)), F.pow(scored, F.lit(power)) + F.pow(allowed, F.lit(power)))
+
+
+def standings(games: DataFrame, keys: list[str], table: list[str], day: str, game: str, win: str, team: str) -> DataFrame:
+    """The table on every day of a season: wins and losses to date (w, l), the current streak (below 0 for losses), wins of the last ten, leader and games behind.
+
+    keys tell a team's season, and table which teams are ranked together. A
+    day of several games shows how things stood after the last one.
+    """
+    c = F.col
+    counted = games.withColumns({"w": c(win).cast("int"), "l": (~c(win)).cast("int")})
+    grid = spine_fill(day_spine(counted, keys, day, 1), counted, keys, day, ["w", "l"])
+    numbered = games.withColumn("_k", F.row_number().over(over(keys, [day, game])))
+    runs = islands(numbered, keys, ["_k"], c(win))
+    after = runs.withColumns({"streak": F.when(c(win), c("length")).otherwise(-c("length")), "last_10": F.sum(c(win).cast("int")).over(over(keys, ["_k"], (-9, 0)))})
+    last = after.groupBy(*keys, day).agg(F.max_by(F.struct("streak", "last_10"), "_k").alias("_s"))
+    known = grid.join(last, [*keys, day], "left")
+    carried = lambda name: F.last(f"_s.{name}", ignorenulls=True).over(over(keys, [day], (FIRST, NOW))).alias(name)
+    return leader_gap(known.select(*keys, day, "w", "l", carried("streak"), carried("last_10")), [*table, day], "w", "l", team)

@@ -25,8 +25,8 @@ def candidates(fielding: DataFrame, batting: DataFrame, present: DataFrame) -> D
 
 
 def modal(df: DataFrame, size: int = 9) -> DataFrame:
-    """The players with most games, each at its modal position, ordered by plate appearances a game. df: team, season, player, position, games, pa."""
-    c = F.col
+    """The players with most games, each at its modal position, in batting order. df: team, season, player, position, games, pa; rows without games don't count."""
+    c, df = F.col, df.where("games > 0")
     best = F.min_by("position", F.struct(-c("games"), c("position"))).alias("position")
     players = df.groupBy(*TEAM, "player").agg(F.sum("games").alias("games"), F.sum("pa").alias("pa"), best)
     top = players.withColumn("_n", F.row_number().over(over(TEAM, [F.desc("games"), F.desc("pa"), "player"]))).where(c("_n") <= size)
@@ -34,9 +34,10 @@ def modal(df: DataFrame, size: int = 9) -> DataFrame:
 
 
 def order_by_rate(df: DataFrame) -> DataFrame:
-    """slot by plate appearances a game, ties by plate appearances and player."""
+    """slot by plate appearances a game, ties by plate appearances and player; pitchers bat last."""
     rate = F.try_divide(F.col("pa").cast("double"), F.col("games"))
-    return df.withColumn("slot", F.row_number().over(over(TEAM, [rate.desc(), F.desc("pa"), "player"])))
+    pitches = (F.col("position") == 1).cast("int")
+    return df.withColumn("slot", F.row_number().over(over(TEAM, [pitches, rate.desc(), F.desc("pa"), "player"])))
 
 
 def modal_repair(chosen: DataFrame, pool: DataFrame, size: int = 9) -> DataFrame:
@@ -102,29 +103,54 @@ def eligibility(pool: DataFrame, sides: DataFrame) -> DataFrame:
 
 
 def assign(eligible: DataFrame, lineup: DataFrame) -> DataFrame:
-    """game, season, team, position and player: each (player, position) takes a spread of its games up to its target.
-
-    eligible: game, season, team, player, position, target. Games are ranked by a
-    hash; clashes go to the larger target, then the smaller id; what stays open
-    is filled from ``lineup`` (season, team, position, player) by players who
-    aren't in the game already.
+    """game, season, team, position, slot and player: each (player, position) takes a spread of its games up to its target, around a whole lineup.
+
+    eligible: game, season, team, player, position, target. lineup: season, team,
+    position, slot, player, with each position, slot and player once. Games are
+    ranked by a hash; clashes go to the larger target, then the smaller id. Who
+    isn't in the lineup takes the place and slot of whoever is; of members
+    wanted elsewhere one a side changes places with whoever is there. So every
+    side has each position, slot and player once.
     """
-    c = F.col
+    c, side = F.col, ["game", *TEAM]
     rank = F.row_number().over(over([*TEAM, "player", "position"], [F.xxhash64("game", "player", "position"), "game"]))
     wanted = eligible.withColumn("_r", rank).where(c("_r") <= F.round("target"))
-    one_each = wanted.withColumn("_n", F.row_number().over(over(["game", *TEAM, "position"], [F.desc("target"), "player"]))).where("_n = 1")
-    once = one_each.withColumn("_n", F.row_number().over(over(["game", *TEAM, "player"], [F.desc("target"), "position"]))).where("_n = 1").select("game", *TEAM, "position", "player")
-    games = eligible.select("game", *TEAM).distinct()
-    fill = games.join(lineup.select(*TEAM, "position", "player"), TEAM)
-    fill = fill.join(once.select("game", *TEAM, "position"), ["game", *TEAM, "position"], "left_anti").join(once.select("game", *TEAM, "player"), ["game", *TEAM, "player"], "left_anti")
-    return once.unionByName(fill)
-
-
-def pitcher_slot(assigned: DataFrame, sides: DataFrame, pitching: int = 1) -> DataFrame:
-    """The day's pitcher in place of whoever was to pitch; a pitcher who was down elsewhere leaves that position."""
-    p = sides.where("pitcher IS NOT NULL").select("game", *TEAM, "pitcher")
-    rest = assigned.join(p, ["game", *TEAM], "left").where(F.col("pitcher").isNull() | ((F.col("position") != pitching) & (F.col("player") != F.col("pitcher"))))
-    return rest.drop("pitcher").unionByName(p.select("game", *TEAM, F.lit(pitching).alias("position"), F.col("pitcher").alias("player")))
+    first = lambda keys, then: F.row_number().over(over(keys, [F.desc("target"), then]))
+    single = wanted.withColumn("_n", first([*side, "position"], "player")).where("_n = 1").withColumn("_n", first([*side, "player"], "position")).where("_n = 1")
+    member = lineup.select(*TEAM, "player", c("position").alias("own_position"), c("slot").alias("own_slot"))
+    picks = single.join(member, [*TEAM, "player"], "left").select(*side, "position", "player", "target", "own_position", "own_slot")
+    there = lineup.select(*TEAM, "position", c("player").alias("other"), c("slot").alias("other_slot"))
+    swaps = picks.where("own_position <> position").withColumn("_n", first(side, "player")).where("_n = 1").join(there, [*TEAM, "position"])
+    swaps = swaps.select(*side, c("position").alias("to"), c("own_position").alias("from"), c("player").alias("mover"), c("own_slot").alias("mover_slot"), "other", "other_slot")
+    new = picks.where("own_position IS NULL").select(*side, "position", c("player").alias("new"))
+    base = eligible.select(*side).distinct().join(lineup.select(*TEAM, "position", "slot", "player"), TEAM).join(swaps, side, "left").join(new, [*side, "position"], "left")
+    moved = lambda to, back, stay: F.when(c("position") == c("to"), c(to)).when(c("position") == c("from"), c(back)).otherwise(c(stay))
+    free = c("to").isNull() | ~c("position").isin(c("to"), c("from"))
+    player = F.when(free, F.coalesce("new", "player")).otherwise(moved("mover", "other", "player"))
+    return base.select(*side, "position", moved("mover_slot", "other_slot", "slot").alias("slot"), player.alias("player"))
+
+
+def pitcher_slot(assigned: DataFrame, sides: DataFrame, pool: DataFrame, pitching: int = 1) -> DataFrame:
+    """The day's pitcher in the place and slot of whoever was to pitch.
+
+    A pitcher who was down elsewhere leaves a position and slot to the best of
+    the pool (season, team, player, position, games) who isn't in the game: by
+    games at the position, games in all, then id; failing any, to the displaced
+    pitcher.
+    """
+    side = ["game", *TEAM]
+    joined = assigned.join(sides.where("pitcher IS NOT NULL").select(*side, "pitcher"), side, "left")
+    pitches, elsewhere = F.col("position") == pitching, F.col("player").eqNullSafe(F.col("pitcher")) & (F.col("position") != pitching)
+    kept = joined.where(~elsewhere).withColumn("player", F.when(pitches, F.coalesce("pitcher", "player")).otherwise(F.col("player"))).select(*side, "position", "slot", "player")
+    displaced = joined.where(pitches).select(*side, F.col("player").alias("displaced"))
+    holes = joined.where(elsewhere).select(*side, "position", "slot")
+    whole = pool.groupBy(*TEAM, "player").agg(F.sum("games").alias("total"))
+    able = holes.join(pool.where("games > 0").select(*TEAM, "player", "position", "games"), [*TEAM, "position"]).join(whole, [*TEAM, "player"])
+    last = holes.join(displaced, side).select(*side, "position", "slot", F.col("displaced").alias("player"), F.lit(-1).cast("long").alias("games"), F.lit(-1).cast("long").alias("total"))
+    every = able.select(*last.columns).unionByName(last).join(kept.select(*side, "player"), [*side, "player"], "left_anti")
+    # Several holes of a side can't be: a player is in a lineup once.
+    best = every.withColumn("_n", F.row_number().over(over([*side, "position"], [F.desc("games"), F.desc("total"), "player"]))).where("_n = 1")
+    return kept.unionByName(best.select(*kept.columns))
 
 
 def report(targets: DataFrame, assigned: DataFrame) -> DataFrame:

@@ -9,9 +9,11 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import OneHotEncoder, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .windows import row_numbers
+
 
 def outcomes(df: DataFrame, targets: dict[str, Column], picks: list[tuple[str, Column]], other: str = "Other") -> DataFrame:
     """Target columns, and ``outcome``: the first label whose condition holds."""
@@ -46,7 +48,7 @@ def select_target(df: DataFrame, target: str, kind: str, weight: str | None = No
 
 def vocabulary(df: DataFrame, column: str) -> DataFrame:
     """Sorted distinct values with codes from 1; 0 is for what isn't among them."""
-    return df.select(F.col(column).alias("value")).dropna().distinct().withColumn("code", F.row_number().over(Window.orderBy("value")))
+    return row_numbers(df.select(F.col(column).alias("value")).dropna().distinct(), ["value"], "code").withColumn("code", F.col("code").cast("int"))
 
 
 def encode(df: DataFrame, vocabularies: dict[str, DataFrame], numbers: list[str]) -> DataFrame:

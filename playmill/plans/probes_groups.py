@@ -208,9 +208,9 @@ def tf_tokens_ordinal(t):
     return S.tokens(t.events.select("event_id", text.alias("s")), "s", "[0-9]+").select("event_id", F.col("ordinal").cast("long").alias("ordinal"), "token")
 
 
-@probe("tf_series", "SELECT o_custkey, CAST(unnest(generate_series(min(CAST(o_orderdate AS DATE)), max(CAST(o_orderdate AS DATE)), INTERVAL 1 DAY)) AS DATE) AS day FROM orders WHERE o_custkey % 50 = 1 GROUP BY 1")
+@probe("tf_series", "SELECT o_custkey, CAST(unnest(generate_series(min(CAST(o_orderdate AS DATE)), max(CAST(o_orderdate AS DATE)), INTERVAL 1 DAY)) AS DATE) AS day FROM orders GROUP BY 1")
 def tf_series(t):
-    return S.day_spine(t.orders.where("o_custkey % 50 = 1").withColumn("day", F.to_date("o_orderdate")), ["o_custkey"], "day")
+    return S.day_spine(t.orders.withColumn("day", F.to_date("o_orderdate")), ["o_custkey"], "day")
 
 
 @probe("tf_unpivot", "SELECT l_orderkey, l_linenumber, l_partkey, name, value FROM (UNPIVOT (SELECT l_orderkey, l_linenumber, l_partkey, l_quantity, nullif(l_discount, 0) AS l_discount, l_tax FROM lineitem) ON l_quantity, l_discount, l_tax INTO NAME name VALUE value)")
@@ -222,12 +222,12 @@ def tf_unpivot(t):
 
 @probe(
     "tf_spine_fill",
-    """WITH o AS (SELECT o_custkey, CAST(o_orderdate AS DATE) AS day, CAST(o_totalprice > 150000 AS INTEGER) AS wins FROM orders WHERE o_custkey % 50 = 1),
+    """WITH o AS (SELECT o_custkey, CAST(o_orderdate AS DATE) AS day, CAST(o_totalprice > 150000 AS INTEGER) AS wins FROM orders),
 s AS (SELECT o_custkey, CAST(unnest(generate_series(min(day) - 1, max(day) + 1, INTERVAL 1 DAY)) AS DATE) AS day FROM o GROUP BY 1)
 SELECT s.o_custkey, s.day, CAST(sum(coalesce(wins, 0)) OVER (PARTITION BY s.o_custkey ORDER BY s.day) AS BIGINT) AS wins FROM s LEFT JOIN (SELECT o_custkey, day, sum(wins) AS wins FROM o GROUP BY 1, 2) d USING (o_custkey, day)""",
 )
 def tf_spine_fill(t):
-    o = t.orders.where("o_custkey % 50 = 1").select("o_custkey", F.to_date("o_orderdate").alias("day"), P.flag(F.col("o_totalprice") > 150000).alias("wins"))
+    o = t.orders.select("o_custkey", F.to_date("o_orderdate").alias("day"), P.flag(F.col("o_totalprice") > 150000).alias("wins"))
     return S.spine_fill(S.day_spine(o, ["o_custkey"], "day", 1), o, ["o_custkey"], "day", ["wins"])
 
 
@@ -284,14 +284,26 @@ def met_ratio_safe(t):
     return t.lineitem.withColumn("free", P.flag(F.col("l_tax") == 0)).groupBy("l_suppkey", "l_linenumber").agg(F.round(m.column(), 6).alias("r"))
 
 
-@probe("met_registry", "SELECT CAST(unnest(['sum', 'ratio', 'derived']) AS VARCHAR) AS form, CAST(unnest([2, 4, 1]) AS BIGINT) AS n, (SELECT count(*) FROM nation) AS nations")
+_FORMS = {"revenue": "sum", "orders": "sum", "finished_rate": "ratio", "urgent_rate": "ratio", "gap": "derived"}
+_VALUED = f"v AS (SELECT segment, year, round(sum(o_totalprice), 2) AS revenue, CAST(count(*) AS DOUBLE) AS orders, round(avg(finished), 6) AS finished_rate, round(avg(urgent), 6) AS urgent_rate, round(avg(finished) - avg(urgent), 6) AS gap FROM o GROUP BY 1, 2), w AS (" + " UNION ALL ".join(f"SELECT segment, year, '{n}' AS name, '{f}' AS form, {n} AS value FROM v" for n, f in _FORMS.items()) + ")"
+
+
+def _valued(t):
+    """Every measure of the season account by segment and year, a row each, with its form."""
+    metrics = _REG.of("sales", "season")
+    out = _REG.evaluate(_sales(t)[0], ["segment", "year"], metrics)
+    wide = out.select("segment", "year", *[F.round(F.col(m.name).cast("double"), 2 if m.name == "revenue" else 6).alias(m.name) for m in metrics])
+    return S.unpivot(wide, ["segment", "year"], [m.name for m in metrics], "name", "value").join(_REG.classify(t.spark).select("name", "form"), "name")
+
+
+@probe("met_registry", f"WITH {_SALES}, {_VALUED} SELECT segment, year, name, form, value FROM w")
 def met_registry(t):
-    return _REG.classify(t.spark).groupBy("form").agg(F.count("*").alias("n")).crossJoin(t.nation.agg(F.count("*").alias("nations")))
+    return _valued(t).select("segment", "year", "name", "form", "value")
 
 
-@probe("met_classify", "SELECT name, form, (SELECT count(*) FROM orders) AS n FROM (VALUES ('revenue', 'sum'), ('orders', 'sum'), ('finished_rate', 'ratio'), ('urgent_rate', 'ratio'), ('gap', 'derived'), ('return_rate', 'ratio'), ('mean_discount', 'ratio')) v(name, form)")
+@probe("met_classify", f"WITH {_SALES}, {_VALUED} SELECT form, count(DISTINCT name) AS measures, count(value) AS valued, CAST(count(*) FILTER (WHERE value > 0) AS BIGINT) AS positive FROM w GROUP BY 1")
 def met_classify(t):
-    return _REG.classify(t.spark).select("name", "form").crossJoin(t.orders.agg(F.count("*").alias("n")))
+    return _valued(t).groupBy("form").agg(F.count_distinct("name").alias("measures"), F.count("value").alias("valued"), F.count_if(F.col("value") > 0).alias("positive"))
 
 
 @probe("met_query", f"WITH {_SALES} SELECT nation, round(avg(finished) - avg(urgent), 6) AS gap, count(*) AS orders FROM o WHERE year >= 1997 GROUP BY 1")

@@ -107,12 +107,12 @@ _MODAL = f"""{_POS}, q AS (SELECT season, team, player, CAST(sum(games) AS BIGIN
 m AS (SELECT * FROM q QUALIFY row_number() OVER (PARTITION BY season, team ORDER BY games DESC, pa DESC, player) <= 9)"""
 
 
-@probe("lu_modal", f"WITH {_MODAL} SELECT season, team, player, position, games, pa, CAST(row_number() OVER (PARTITION BY season, team ORDER BY pa / games DESC, pa DESC, player) AS INTEGER) AS slot FROM m")
+@probe("lu_modal", f"WITH {_MODAL} SELECT season, team, player, position, games, pa, CAST(row_number() OVER (PARTITION BY season, team ORDER BY position = 1, pa / games DESC, pa DESC, player) AS INTEGER) AS slot FROM m")
 def lu_modal(t):
     return L.modal(as_positions(t)).select("season", "team", "player", "position", "games", "pa", "slot")
 
 
-@probe("lu_order_by_rate", f"WITH {_MODAL} SELECT season, team, player, CAST(row_number() OVER (PARTITION BY season, team ORDER BY pa / games DESC, pa DESC, player) AS INTEGER) AS slot FROM m")
+@probe("lu_order_by_rate", f"WITH {_MODAL} SELECT season, team, player, CAST(row_number() OVER (PARTITION BY season, team ORDER BY position = 1, pa / games DESC, pa DESC, player) AS INTEGER) AS slot FROM m")
 def lu_order_by_rate(t):
     return L.order_by_rate(L.modal(as_positions(t)).drop("slot")).select("season", "team", "player", "slot")
 
@@ -153,25 +153,26 @@ def lu_stint_windows(t):
     return _stints(t)
 
 
-_SIDES = "g AS (SELECT o_orderkey AS game, CAST(year(o_orderdate) AS INTEGER) AS season, CAST(o_orderkey % 3 AS INTEGER) AS team, CAST(o_orderdate AS DATE) AS day, o_custkey % 50 AS pitcher FROM orders WHERE o_orderkey % 40 = 1)"
+_SIDES = "g AS (SELECT o_orderkey AS game, CAST(year(o_orderdate) AS INTEGER) AS season, CAST(o_orderkey % 3 AS INTEGER) AS team, CAST(o_orderdate AS DATE) AS day, o_custkey % 50 AS pitcher FROM orders)"
 
 
 @probe("lu_eligibility", f"WITH {_STINTS}, {_SIDES} SELECT game, season, team, player FROM g JOIN (SELECT season, stint AS team, player, from_date, to_date FROM w) USING (season, team) WHERE day BETWEEN from_date AND to_date AND player <> pitcher")
 def lu_eligibility(t):
-    sides = t.orders.where("o_orderkey % 40 = 1").select(F.col("o_orderkey").alias("game"), F.year("o_orderdate").alias("season"), (F.col("o_orderkey") % 3).cast("int").alias("team"), F.to_date("o_orderdate").alias("day"), (F.col("o_custkey") % 50).alias("pitcher"))
+    sides = t.orders.select(F.col("o_orderkey").alias("game"), F.year("o_orderdate").alias("season"), (F.col("o_orderkey") % 3).cast("int").alias("team"), F.to_date("o_orderdate").alias("day"), (F.col("o_custkey") % 50).alias("pitcher"))
     return L.eligibility(_stints(t).withColumnRenamed("stint", "team"), sides).select("game", "season", "team", "player")
 
 
 def _sides(t):
-    """Four games a team and season, with a pitcher each."""
-    teams = as_positions(t).groupBy("season", "team").agg(F.min("player").alias("pitcher"))
+    """Four games a team and season, three of them with a pitcher listed, who may be down elsewhere."""
+    teams = as_positions(t).groupBy("season", "team").agg(F.min_by("player", F.struct(-F.col("games"), "player")).alias("pitcher"))
     game = F.explode(F.sequence(F.lit(1), F.lit(4)))
     return teams.withColumn("n", game).select((F.col("season") * 1000000 + F.col("team") * 10 + F.col("n")).alias("game"), "season", "team", F.when(F.col("n") > 1, F.col("pitcher")).alias("pitcher"))
 
 
 def _assigned(t):
     eligible = _sides(t).select("game", "season", "team").join(_targets(t).select("season", "team", "player", "position", "target"), ["season", "team"])
-    return L.assign(eligible, L.modal(as_positions(t)))
+    p = as_positions(t)
+    return L.assign(eligible, L.modal_repair(L.modal(p), p))
 
 
 @probe("lu_assign")
@@ -181,7 +182,7 @@ def lu_assign(t):
 
 @probe("lu_pitcher_slot")
 def lu_pitcher_slot(t):
-    return L.pitcher_slot(_assigned(t), _sides(t))
+    return L.pitcher_slot(_assigned(t), _sides(t), as_positions(t))
 
 
 _HALVES = f"""{_TARGETS}, a AS (SELECT season, team, player, position FROM p WHERE games > 1 UNION ALL SELECT season, team, player, position FROM p WHERE player % 2 = 0),

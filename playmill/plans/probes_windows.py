@@ -317,12 +317,16 @@ def est_pythagorean(t):
 
 @probe(
     "est_standings",
-    f"""WITH g AS (SELECT * FROM ({AS_TEAM_GAMES}) WHERE season = 1997), s AS (SELECT team, league, CAST(unnest(generate_series(min(day) - 1, max(day) + 1, INTERVAL 1 DAY)) AS DATE) AS day FROM g GROUP BY 1, 2),
-d AS (SELECT team, league, day, sum(CAST(win AS INTEGER)) AS w, sum(CAST(NOT win AS INTEGER)) AS l FROM g GROUP BY 1, 2, 3),
-c AS (SELECT s.team, s.league, s.day, CAST(sum(coalesce(w, 0)) OVER o AS BIGINT) AS w, CAST(sum(coalesce(l, 0)) OVER o AS BIGINT) AS l FROM s LEFT JOIN d USING (team, league, day) WINDOW o AS (PARTITION BY s.team, s.league ORDER BY s.day))
-SELECT team, league, day, w, l, first_value(team) OVER (PARTITION BY league, day ORDER BY w - l DESC, team) AS leader, greatest(0.0, (max(w - l) OVER (PARTITION BY league, day) - (w - l)) / 2) AS games_behind FROM c""",
+    f"""WITH g AS ({AS_TEAM_GAMES}), s AS (SELECT season, team, league, CAST(unnest(generate_series(min(day) - 1, max(day) + 1, INTERVAL 1 DAY)) AS DATE) AS day FROM g GROUP BY 1, 2, 3),
+d AS (SELECT season, team, league, day, sum(CAST(win AS INTEGER)) AS w, sum(CAST(NOT win AS INTEGER)) AS l FROM g GROUP BY 1, 2, 3, 4),
+c AS (SELECT s.season, s.team, s.league, s.day, CAST(sum(coalesce(w, 0)) OVER o AS BIGINT) AS w, CAST(sum(coalesce(l, 0)) OVER o AS BIGINT) AS l FROM s LEFT JOIN d USING (season, team, league, day) WINDOW o AS (PARTITION BY s.season, s.team, s.league ORDER BY s.day)),
+n AS (SELECT *, CAST(row_number() OVER (PARTITION BY season, team, league ORDER BY day, game) AS INTEGER) AS k, lag(win) OVER (PARTITION BY season, team, league ORDER BY day, game) AS was FROM g),
+i AS (SELECT *, sum(CASE WHEN was IS NULL OR was <> win THEN 1 ELSE 0 END) OVER (PARTITION BY season, team, league ORDER BY k) AS run FROM n),
+z AS (SELECT *, CAST(row_number() OVER (PARTITION BY season, team, league, run ORDER BY k) AS INTEGER) * CASE WHEN win THEN 1 ELSE -1 END AS streak, CAST(sum(CAST(win AS INTEGER)) OVER (PARTITION BY season, team, league ORDER BY k ROWS 9 PRECEDING) AS BIGINT) AS last_10 FROM i),
+f AS (SELECT * FROM z QUALIFY row_number() OVER (PARTITION BY season, team, league, day ORDER BY k DESC) = 1),
+t AS (SELECT c.*, last_value(f.streak IGNORE NULLS) OVER v AS streak, last_value(f.last_10 IGNORE NULLS) OVER v AS last_10 FROM c LEFT JOIN f USING (season, team, league, day) WINDOW v AS (PARTITION BY c.season, c.team, c.league ORDER BY c.day ROWS UNBOUNDED PRECEDING))
+SELECT season, team, league, day, w, l, streak, last_10, first_value(team) OVER (PARTITION BY season, league, day ORDER BY w - l DESC, team) AS leader, greatest(0.0, (max(w - l) OVER (PARTITION BY season, league, day) - (w - l)) / 2) AS games_behind FROM t""",
 )
 def est_standings(t):
-    g = as_team_games(t).where("season = 1997").withColumns({"w": P.flag(F.col("win")), "l": P.flag(~F.col("win"))})
-    table = S.spine_fill(S.day_spine(g, ["team", "league"], "day", 1), g, ["team", "league"], "day", ["w", "l"])
-    return W.leader_gap(table, ["league", "day"], "w", "l", "team")
+    keys = ["season", "team", "league"]
+    return E.standings(as_team_games(t), keys, ["season", "league"], "day", "game", "win", "team")

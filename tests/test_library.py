@@ -3,8 +3,8 @@
 import pytest
 from pyspark.sql import functions as F
 
+from playmill.operators import joins, lineups
 from playmill.operators import metrics as M
-from playmill.operators import quality as Q
 from playmill.operators import sets as S
 from playmill.plans import probes
 from playmill.sources import sinks, tables
@@ -14,14 +14,44 @@ def test_no_query_without_oracle_is_forgotten():
     assert sorted(set(probes.QUERIES) - set(probes.ORACLES)) == ["lu_assign", "lu_modal_repair", "lu_pitcher_slot", "ml_eval", "ml_fit", "ml_score"]
 
 
-def test_assignment_has_each_position_and_player_once_a_game(spark, small):
-    for name in ("lu_assign", "lu_pitcher_slot"):
-        df = probes.QUERIES[name](spark, small).cache()
-        assert df.count()
-        assert not Q.unique(df, ["game", "season", "team", "player"]).count()
-        if name == "lu_assign":
-            spots = df.groupBy("game", "team", "position").count().where("count > 9")
-            assert not spots.count()
+@pytest.mark.parametrize("name", ["lu_assign", "lu_pitcher_slot"])
+def test_assignment_has_each_position_slot_and_player_once_a_side(spark, small, name):
+    df = probes.QUERIES[name](spark, small).cache()
+    sides = df.groupBy("game", "season", "team").agg(F.count("*").alias("n"), *[F.array_sort(F.collect_set(c)).alias(c) for c in ("position", "slot")], F.count_distinct("player").alias("players")).collect()
+    assert len(sides) > 100
+    nine = list(range(1, 10))
+    assert all(r["n"] == r["players"] == 9 and r["position"] == nine and r["slot"] == nine for r in sides)
+    df.unpersist()
+
+
+def test_swaps_and_outsiders_keep_a_lineup_whole(spark):
+    lineup = spark.createDataFrame([(1, 1, k, k, 10 + k) for k in range(1, 10)], "season int, team int, position int, slot int, player int")
+    rows = [(g, 1, 1, p, at, 9.0) for g in range(4) for p, at in ((99, 4), (12, 3), (98, 2), (15, 6))]
+    got = lineups.assign(spark.createDataFrame(rows, "game int, season int, team int, player int, position int, target double"), lineup)
+    for g in range(4):
+        side = {r["position"]: (r["player"], r["slot"]) for r in got.where(f"game = {g}").collect()}
+        assert side[3] == (12, 2) and side[2] == (13, 3) and side[4] == (99, 4)
+        assert len({p for p, _ in side.values()}) == 9 and {s for _, s in side.values()} == set(range(1, 10))
+
+
+def test_listed_pitcher_leaves_his_place_to_the_best_free(spark):
+    lineup = spark.createDataFrame([(7, 1, 1, k, k, 10 + k) for k in range(1, 10)], "game int, season int, team int, position int, slot int, player int")
+    sides = spark.createDataFrame([(7, 1, 1, 15)], "game int, season int, team int, pitcher int")
+    pool = spark.createDataFrame([(1, 1, 50, 5, 3), (1, 1, 51, 5, 8), (1, 1, 12, 5, 99)], "season int, team int, player int, position int, games long")
+    got = {r["position"]: (r["player"], r["slot"]) for r in lineups.pitcher_slot(lineup, sides, pool).collect()}
+    assert got[1] == (15, 1) and got[5] == (51, 5) and len(got) == 9
+    none = {r["position"]: r["player"] for r in lineups.pitcher_slot(lineup, sides, pool.where("player = 12")).collect()}
+    assert none[5] == 11
+
+
+def test_as_of_and_text_ranges(spark):
+    df = spark.createDataFrame([(1, "a", 5), (2, "a", 1), (3, "b", 9), (4, "a", 3)], "id int, k string, d int")
+    moves = spark.createDataFrame([("a", 3), ("a", 4), ("b", 10)], "k string, m int")
+    assert {r["id"]: r["m"] for r in joins.as_of(df, moves, ["k"], "d", "m", ["id"]).collect()} == {1: 4, 2: None, 3: None, 4: 3}
+    codes = spark.createDataFrame([("120",), ("9",), ("x1",), (None,)], "c string")
+    ranges = spark.createDataFrame([("100", "199", 1), ("05", "30", 2)], "lo string, hi string, g int")
+    got = sorted((r["c"] or "", r["g"] or 0) for r in joins.string_range(codes, ranges, "c", "lo", "hi").collect())
+    assert got == [("", 0), ("120", 1), ("120", 2), ("9", 0), ("x1", 0)]
 
 
 def test_repaired_lineups_have_all_positions(spark, small):
