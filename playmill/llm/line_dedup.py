@@ -4,7 +4,7 @@ The lines of a text that have a word are hashed, and in each window of
 ``window`` of them the smallest hash (the last of equals) is a fingerprint: any
 run of so many equal lines in two places holds the same fingerprint in both.
 Places are joined by fingerprint, and a window whose lines occurred before, in
-the order of document and line, is a repeat (lines are told by 128 bits of
+the order of document and line, is a repeat (lines are told by 96 bits of
 hash, so that 10^11 windows have no chance match). A run that goes on past a
 window in both places has its further lines in windows of its own, which are
 found the same way: the union of adjoining repeats is the match extended both
@@ -46,13 +46,13 @@ def _words(line: Column, least: int | None) -> Column:
 
 def _windows(lines: Column, window: int, least_words: int | None) -> Column:
     """For each window of the lines with words: its fingerprint (hash, -place), its first place, its own hash, and its lines' numbers in the text."""
-    marked = F.transform(lines, lambda x, i: F.struct(F.when(x.rlike(WORD), F.xxhash64(x)).alias("h"), F.xxhash64(F.lit(1), x).alias("g"), i.alias("line"), _words(x, least_words).alias("words")))
+    marked = F.transform(lines, lambda x, i: F.struct(F.when(x.rlike(WORD), F.xxhash64(x)).alias("h"), F.hash(x).alias("g"), i.alias("line"), _words(x, least_words).alias("words")))
     real = F.filter(marked, lambda x: x["h"].isNotNull())
 
     def made(rows: Column) -> Column:
         placed = F.transform(rows, lambda r, i: F.struct(r["h"].alias("h"), (-i).alias("back")))
         starts = F.sequence(F.lit(0), F.greatest(F.lit(0), F.size(rows) - window))
-        one = lambda own, part, i: F.struct(F.array_min(part).alias("least"), i.alias("at"), F.struct(F.xxhash64(own["h"], F.lit(7)).alias("h"), F.xxhash64(own["g"], F.lit(8)).alias("g")).alias("own"), own["line"].alias("lines"))
+        one = lambda own, part, i: F.struct(F.array_min(part).alias("least"), i.alias("at"), F.struct(F.xxhash64(own["h"], F.lit(7)).alias("h"), F.hash(own["g"]).alias("g")).alias("own"), own["line"].alias("lines"))
         cut = lambda p, at, n: F.transform(at, lambda i: _with(F.slice(rows, i + 1, n), lambda own: one(own, F.slice(p, i + 1, n), i)))
 
         def long(n: int) -> Column:
@@ -72,12 +72,13 @@ def repeats(docs: DataFrame, window: int = 3, id_col: str = "doc_id", text_col:
     text = F.col(text_col)
     key = F.struct(F.col(id_col).isNull().alias("absent"), F.col(id_col).alias("id"), F.xxhash64(text).alias("hash"))
     cut = docs.where(text.isNotNull()).select(key.alias("doc"), F.posexplode(_windows(F.split(text, "\n"), window, least_words)).alias("k", "w"))
-    rows = cut.select("doc", F.col("w.least.h").alias("print"), F.col("w.least.back").alias("back"), F.col("w.at").alias("at"), F.col("w.own").alias("own"), F.col("w.lines").alias("lines"))
+    rows = cut.select("doc", F.col("w.least.h").alias("print"), F.col("w.least.back").alias("back"), F.col("w.own").alias("own"), F.col("w.lines").alias("lines"))
     rows = written(rows, "line-windows")
-    # A fingerprint's windows in a text follow one another; its places are counted once each.
-    places = rows.select("print", "doc", "back").distinct()
-    shared = written(places.groupBy("print").count().where(F.col("count") > 1).select("print"), "line-prints")
-    found = rows.join(shared, "print").select("doc", "at", "own", "lines")
+    # A fingerprint's windows in a text follow one another and share its place; it is in two places if these differ.
+    place = F.xxhash64("doc", "back")
+    shared = written(rows.groupBy("print").agg(F.min(place).alias("low"), F.max(place).alias("high")).where("low <> high").select("print"), "line-prints")
+    at = F.element_at("lines", 1).alias("at")
+    found = rows.join(shared, "print").select("doc", at, "own", "lines")
     firsts = written(found.groupBy("own").agg(F.min(F.struct("doc", "at")).alias("first"), F.count("*").alias("n")).where("n > 1").select("own", "first"), "line-firsts")
     later = found.join(firsts, "own").where(F.struct("doc", "at") > F.col("first"))
     return later.select("doc", F.explode("lines").alias("line")).groupBy("doc").agg(F.collect_set("line").alias("gone"))
