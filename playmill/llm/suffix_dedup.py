@@ -6,13 +6,17 @@ have the same anchor in it (the smallest hash among its ``ANCHOR``-byte
 strings), so only places around anchors met in more than one document are
 looked at again, with the bytes around them.
 
-A bucket of anchors is an enhanced suffix array: the strings from each anchor on
-are sorted, with the common prefixes of neighbours, and so are the strings
-before it, read backwards. An interval of the array at some depth holds all
-occurrences that agree so far, not just neighbours; with the left intervals it
-tells which agree over a whole string, extended as far left and right as the
-depths go. The smallest id in each such group is what its other members are
-held against.
+A bucket of anchors is an enhanced suffix array: the distinct strings from each
+anchor on are sorted, with the common prefixes of neighbours. A scan with a
+stack walks the tree of its intervals from the leaves up; each interval holds
+all occurrences that agree so far, not just neighbours. What lies before their
+anchors tells the left extensions apart: a second scan splits an interval where
+these begin to differ, and a group whose members could all go on alike to the
+right is left to the interval below. What is left are the maximal repeats over
+the anchor with all their occurrences, as far as the bytes around it reach, and
+the smallest id of each is what its other members are held against. Each string
+of ``length`` bytes with several occurrences lies in the maximal repeat with
+just these occurrences, so none is missed.
 
 Documents are dealt into blocks by a hash. What a block asks, it asks once for
 all of its equal places, and gets answers in the order it asked in: a string
@@ -27,6 +31,8 @@ one another; a null id is later than all others; other columns are ignored.
 
 from __future__ import annotations
 
+from bisect import bisect_right
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -161,41 +167,104 @@ def shared_anchors(asked: list[tuple[np.ndarray, np.ndarray]]) -> list[np.ndarra
     return np.split(several, np.cumsum([len(a) for a, _ in asked])[:-1])
 
 
-def interval_minima(around: np.ndarray, low: np.ndarray, length: int):
-    """Yields, for each place in order that a string of ``length`` bytes over the anchors can start at, the smallest id that has each row's string (LATEST where none fits).
+class Array:
+    """The distinct surroundings of a bucket's anchors in order of the strings from the anchor on.
 
-    around: two numbers of two bytes (first and end of the bytes that exist) and the bytes.
+    around: two numbers of two bytes (first and end of the bytes that exist) and the bytes, for each row.
     """
-    anchor = min(ANCHOR, length)
-    before, n = length - anchor, len(around)
-    edges = np.ascontiguousarray(around[:, :4]).view(">u2").astype(np.int64)
-    has_left, has_right = before - edges[:, 0], edges[:, 1] - before
-
-    def array(strings: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Order of the strings and the common prefix of each with the one before."""
-        width = strings.shape[1]
-        if not width:
-            return np.arange(n), np.append(-1, np.zeros(n - 1, np.int64))
-        order = np.argsort(strings.view(np.dtype((np.void, width))).ravel(), kind="stable")
-        differ = strings[order[1:]] != strings[order[:-1]]
-        prefix = np.where(differ.any(1), differ.argmax(1), width)
-        return order, np.append(-1, prefix)
-
-    right_order, right_prefix = array(np.ascontiguousarray(around[:, 4 + before :]))
-    left_order, left_prefix = array(np.ascontiguousarray(around[:, 4 : 4 + before][:, ::-1]))
-    interval, other = np.empty(n, np.int64), np.empty(n, np.int64)
-    for back in range(before, -1, -1):  # bytes of the string before the anchor
-        ahead = length - back
-        interval[right_order] = np.cumsum(right_prefix < ahead)
-        other[left_order] = np.cumsum(left_prefix < back)
-        fits = np.flatnonzero((has_left >= back) & (has_right >= ahead))
-        out = np.full(n, LATEST)
-        if len(fits):
-            key = interval[fits] * (n + 1) + other[fits]
-            order = np.argsort(key, kind="stable")
-            starts = np.flatnonzero(np.append(True, np.diff(key[order]) != 0))
-            least = np.minimum.reduceat(low[fits][order], starts)
-            out[fits[order]] = np.repeat(least, np.diff(np.append(starts, len(order))))
+
+    def __init__(self, around: np.ndarray, low: np.ndarray, high: np.ndarray, length: int):
+        anchor, n = min(ANCHOR, length), len(around)
+        self.length, self.anchor, self.before = length, anchor, length - anchor
+        edges = np.ascontiguousarray(around[:, :4]).view(">u2").astype(np.int64)
+        has_left, has_right = self.before - edges[:, 0], edges[:, 1] - self.before
+        # Where bytes end counts as smaller than any byte: the filling is zero, and equal strings go by what they have.
+        left = np.concatenate([around[:, 4 : 4 + self.before][:, ::-1], has_left[:, None].astype(np.uint8)], 1)
+        keys = np.concatenate([around[:, 4 + self.before :], has_right[:, None].astype(np.uint8), left], 1)
+        rows = keys.view(np.dtype((np.void, keys.shape[1]))).ravel()
+        order = np.argsort(rows, kind="stable")
+        first = np.flatnonzero(np.append(True, rows[order[1:]] != rows[order[:-1]])[:n])
+        self.number = np.empty(n, np.int64)  # each row's place among the distinct ones
+        self.number[order] = np.repeat(np.arange(len(first)), np.diff(np.append(first, n)))
+        self.low, self.high = np.minimum.reduceat(low[order], first), np.maximum.reduceat(high[order], first)
+        pick = order[first]
+        self.left, self.has_left, self.has_right = left[pick], has_left[pick], has_right[pick]
+        right = keys[pick, :length]
+        differ = right[1:] != right[:-1]
+        prefix = np.where(differ.any(1), differ.argmax(1), length)
+        self.prefix = np.append(0, np.minimum(prefix, np.minimum(self.has_right[1:], self.has_right[:-1])))
+
+
+def intervals(prefix: list[int], start: int, end: int, least: int):
+    """Yields (depth, begins of children) of the intervals of entries start to end with a depth of least or more, those inside first.
+
+    prefix: the common prefix of each entry with the one before; the one at start is not looked at. The last begin is the end.
+    """
+    stack: list[tuple[int, list[int]]] = []
+    for i in range(start + 1, end + 1):
+        depth = prefix[i] if i < end else -1
+        begin = i - 1
+        while stack and stack[-1][0] > depth:
+            above, begins = stack.pop()
+            yield above, begins + [i]
+            begin = begins[0]
+        if depth >= least:
+            if stack and stack[-1][0] == depth:
+                stack[-1][1].append(i)
+            else:
+                stack.append((depth, [begin, i]))
+
+
+def maximal_repeats(array: Array):
+    """Yields (bytes before the anchor, bytes from it on, members) of each repeat of several distinct surroundings that
+    is longer to neither side for all its members, if it is at least ``length`` bytes long; members are places in the array."""
+    width, prefix = array.before, array.prefix.tolist()
+    meets = array.prefix >= array.anchor
+    ends = np.flatnonzero(np.diff(np.concatenate([[0], meets, [0]]).astype(np.int8))).reshape(-1, 2)
+    for a, b in ends.tolist():
+        a -= 1
+        left = [int.from_bytes(x.tobytes(), "big") for x in array.left[a:b]]
+        has = array.has_left[a:b].tolist()
+        for depth, begins in intervals(prefix, a, b, array.anchor):
+            reach = array.length - depth  # bytes before the anchor that a whole string needs
+            if reach > width:
+                continue
+            order = sorted(range(begins[0] - a, begins[-1] - a), key=left.__getitem__)
+            shared = [0]
+            for one, other in zip(order, order[1:]):
+                bits = ((left[one] ^ left[other]) >> 8).bit_length()
+                shared.append(min(width - (bits + 7) // 8, has[one], has[other]))
+            for back, parts in intervals(shared, 0, len(order), max(reach, 0)):
+                members = order[parts[0] : parts[-1]]
+                if bisect_right(begins, min(members) + a) != bisect_right(begins, max(members) + a):
+                    yield back, depth, [m + a for m in members]
+
+
+def least_ids(array: Array):
+    """Yields, for each place in order that a string of ``length`` bytes over the anchors can start at, the smallest id
+    that each of the array's entries shares its string with (LATEST where it has none, or none below its own ids)."""
+    low, high = array.low.tolist(), array.high.tolist()
+    members, sizes, begins, ends, ids = [], [], [], [], []  # one size, begin, end and id a group
+    for back, ahead, group in maximal_repeats(array):
+        least = min([low[m] for m in group])
+        group = [m for m in group if high[m] > least]
+        if group:
+            members += group
+            sizes.append(len(group))
+            begins.append(array.before - back)
+            ends.append(array.before + ahead - array.length)
+            ids.append(least)
+    # An entry alone is a repeat as long as its bytes go.
+    own = np.flatnonzero(array.high > array.low)
+    sizes = np.array(sizes, np.int64)
+    member = np.append(np.array(members, np.int64), own)
+    begin = np.append(np.repeat(np.array(begins, np.int64), sizes), array.before - array.has_left[own])
+    end = np.append(np.repeat(np.array(ends, np.int64), sizes), array.before + array.has_right[own] - array.length)
+    least = np.append(np.repeat(np.array(ids, np.int64), sizes), array.low[own])
+    for place in range(array.before + 1):
+        out = np.full(len(low), LATEST)
+        over = np.flatnonzero((begin <= place) & (place <= end))
+        np.minimum.at(out, member[over], least[over])
         yield out
 
 
@@ -308,7 +377,8 @@ def dedup(docs: DataFrame, length: int = 50, id_col: str = "doc_id", text_col: s
         sizes = table.column("low").combine_chunks().value_lengths().to_pylist()
         each = [np.frombuffer(pa.decompress(x, k * width, CODEC, asbytes=True), np.uint8).reshape(-1, width) for x, k in zip(table.column("around").to_pylist(), sizes)]
         low, high = (table.column(c).combine_chunks().flatten().to_numpy() for c in ("low", "high"))
-        sizes, windows, ids = runs(interval_minima(np.concatenate(each), low, length), high)
+        array = Array(np.concatenate(each), low, high, length)
+        sizes, windows, ids = runs((least[array.number] for least in least_ids(array)), high)
         cuts = np.cumsum([0, *map(len, each)])
         flat = np.append(0, np.cumsum(sizes))[cuts]
         return pa.table({

@@ -117,6 +117,36 @@ def test_suffix_dedup(corpus, length):
     assert want == Counter((r["doc_id"], r["n_bytes"], len(r["begins"]), hashlib.sha256(r["kept"]).hexdigest()) for r in got)
 
 
+def test_maximal_repeats():
+    """Groups are maximal, hold every occurrence, and give each string the smallest id that has it."""
+    draw, length, anchor = np.random.default_rng(5), 30, suffix_dedup.ANCHOR
+    before, width = length - anchor, 2 * length - anchor
+    for _ in range(100):
+        n = int(draw.integers(1, 14))
+        rows = draw.integers(0, 2, (3, width)).astype(np.uint8)[draw.integers(0, 3, n)]
+        rows[np.arange(n), draw.integers(0, width, n)] ^= 1
+        rows[:, before : before + anchor] = draw.integers(0, 2, n)[:, None]
+        first, end = draw.integers(0, before + 1, n), draw.integers(before + anchor, width + 1, n)
+        place = np.arange(width)
+        rows[(place < first[:, None]) | (place >= end[:, None])] = 0
+        low, high = (x := draw.integers(0, 9, n)), x + draw.integers(0, 2, n)
+        around = np.concatenate([np.stack([first, end], 1).astype(">u2").view(np.uint8).reshape(n, 4), rows], 1)
+        array = suffix_dedup.Array(around, low, high, length)
+        got = np.array([least[array.number] for least in suffix_dedup.least_ids(array)])
+        strings = [[bytes(r[p : p + length]) if f <= p and p + length <= e else None for r, f, e in zip(rows, first, end)] for p in range(before + 1)]
+        for p, own in enumerate(strings):
+            for i, x in enumerate(own):
+                least = min((low[j] for j in range(n) if own[j] == x), default=None) if x else high[i]
+                assert (got[p, i] if got[p, i] < high[i] else None) == (least if least < high[i] else None)
+        for back, ahead, group in suffix_dedup.maximal_repeats(array):
+            members = [i for i in range(n) if array.number[i] in group]
+            reach = {bytes(rows[i, before - back : before + ahead]) for i in members}
+            assert len(reach) == 1 and back + ahead >= length
+            for a, b, limit in ((before - back - 1, before - back, back == before), (before + ahead, before + ahead + 1, ahead == length)):
+                assert limit or len({bytes(rows[i, a:b]) if first[i] <= a and b <= end[i] else None for i in members}) > 1 or not all(first[i] <= a and b <= end[i] for i in members)
+            assert all(bytes(rows[i, before - back : before + ahead]) not in reach or first[i] > before - back or end[i] < before + ahead for i in range(n) if i not in members)
+
+
 def test_suffix_dedup_of_nothing(corpus):
     assert suffix_dedup.dedup(corpus.limit(0)).count() == 0
 
