@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 @dataclass(frozen=True)
 class Metric:
-    """One of: formula (an aggregate), numerator and denominator (stats or lists of stats whose sums are divided, times scale), or derived (of other measures)."""
+    """One of: formula (an aggregate), numerator and denominator (stats, or expressions over a row, or lists of these, whose sums are divided, times scale), or derived (of other measures)."""
 
     name: str
     kind: str
@@ -35,7 +35,7 @@ class Metric:
     def column(self) -> Column:
         if self.formula:
             return self.formula()
-        total = lambda names: sum((F.sum(n[1:]) * -1 if n[0] == "-" else F.sum(n) for n in names[1:]), F.sum(names[0]))
+        total = lambda names: sum((F.sum(F.expr(n[1:])) * -1 if n[0] == "-" else F.sum(F.expr(n)) for n in names[1:]), F.sum(F.expr(names[0])))
         return F.try_divide(total(self.numerator).cast("double") * F.lit(self.scale), total(self.denominator).cast("double"))
 
 

@@ -325,12 +325,16 @@ def _sport(t):
     return t.lineitem.select(F.col("l_suppkey").alias("team"), *[F.expr(e).cast("long").alias(n) for n, e in _COUNTERS.items()])
 
 
-def _sport_sql(metrics) -> str:
+def sport_text(metrics) -> dict[str, str]:
     """Each measure written out as sums over the counters."""
     total = lambda names: " + ".join(("-" if n[0] == "-" else "") + f"sum({n.lstrip('-')})" for n in names).replace("+ -", "- ")
     text = {m.name: f"(({total(m.numerator)}) * {m.scale} / nullif({total(m.denominator)}, 0))" for m in metrics if m.form == "ratio"}
     text |= {"innings_played": "(sum(outs_played) / 3.0)", "on_base_plus_slugging": f"({text.get('on_base_percentage')} + {text.get('slugging_percentage')})", "isolated_power": f"({text.get('slugging_percentage')} - {text.get('batting_average')})"}
-    text["on_base_plus_slugging_against"] = f"({text.get('on_base_percentage_against')} + {text.get('slugging_percentage_against')})"
+    return text | {"on_base_plus_slugging_against": f"({text.get('on_base_percentage_against')} + {text.get('slugging_percentage_against')})"}
+
+
+def _sport_sql(metrics) -> str:
+    text = sport_text(metrics)
     counters = ", ".join(f"CAST({e} AS BIGINT) AS {n}" for n, e in _COUNTERS.items())
     return f"WITH c AS (SELECT l_suppkey AS team, {counters} FROM lineitem) SELECT team, " + ", ".join(f"round({text[m.name]}, 6) AS {m.name}" for m in metrics) + " FROM c GROUP BY 1"
 

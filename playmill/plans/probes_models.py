@@ -10,9 +10,12 @@ from ..models import MODELS, Catalogue
 from ..models import stats as S
 from ..models.analyses import BALL_FACTS, PITCH_FACTS
 from ..models.events import PITCH_RULES
+from ..models.metric_tables import GRAINS, KINDS
 from ..models.rollups import _CREDITED, _JUDGED
 from ..models.states import POSITIONS
+from ..operators import metrics as M
 from .model_sources import GIVEN, RAW
+from .probes_groups import sport_text
 from .registry import probe
 
 
@@ -307,6 +310,58 @@ FRACTIONS = {
 }
 
 
+# Metric tables. What plays tell is written out for outs, hits and all plays.
+
+_VIEW = {"_outs": "(at_bats - hits)", "_hits": "hits", "": "1"}
+
+
+def _told_sql() -> dict[str, str]:
+    part = lambda a, b: f"(CAST(sum({a}) AS DOUBLE) / nullif(sum({b}), 0))"
+    out = {}
+    for v, w in _VIEW.items():
+        out[f"known_trajectory_rate{v}"] = part(f"trajectory_known * balls_batted * {w}", f"balls_batted * {w}")
+        out[f"known_trajectory_broad_rate{v}"] = part(f"trajectory_broad_known * balls_batted * {w}", f"balls_batted * {w}")
+        for n, c in (("angle_left", "batted_angle_left"), ("angle_right", "batted_angle_right"), ("angle_middle", "batted_angle_middle"), ("pulled", "batted_balls_pulled"), ("opposite_field", "batted_balls_opposite_field")):
+            out[f"{n}_rate{v}"] = part(f"{c} * {w}", f"batted_angle_known * {w}")
+    out["known_angle_rate"] = part("batted_angle_known", "balls_batted")
+    out["known_angle_rate_outs"] = part("batted_angle_known * (at_bats - hits)", "balls_batted * (at_bats - hits)")
+    out["known_angle_rate_hits"] = part("batted_angle_known * hits", "hits")
+    for f in ("trajectory", "trajectory_broad", "angle"):
+        out[f"known_{f}_out_hit_ratio"] = f"({out[f'known_{f}_rate_outs']} / nullif({out[f'known_{f}_rate_hits']}, 0))"
+    for n in ("air_ball", "ground_ball"):
+        out[f"{n}_rate_outs"] = part(f"trajectory_broad_{n} * (at_bats - hits)", "trajectory_broad_known * (at_bats - hits)")
+        out[f"{n}_hit_rate"] = part(f"trajectory_broad_{n} * hits", "trajectory_broad_known * hits")
+    out["ground_air_out_ratio"] = f"({out['ground_ball_rate_outs']} / nullif({out['air_ball_rate_outs']}, 0))"
+    out["ground_air_hit_ratio"] = f"({out['ground_ball_hit_rate']} / nullif({out['air_ball_hit_rate']}, 0))"
+    out |= {f"{n}_rate": part(f"trajectory_{n}", "trajectory_known") for n in ("fly_ball", "line_drive", "pop_up")}
+    out["ground_ball_rate"] = part("trajectory_ground_ball", "trajectory_broad_known")
+    weighted = [("trajectory_broad_air_ball", "air_ball", "trajectory_broad"), ("trajectory_ground_ball", "ground_ball", "trajectory_broad")]
+    weighted += [(f"trajectory_{n}", n, "trajectory") for n in ("fly_ball", "line_drive", "pop_up")] + [(f"batted_angle_{a}", f"angle_{a}", "angle") for a in ("left", "right", "middle")]
+    weighted += [(f"batted_balls_{d}", d, "angle") for d in ("pulled", "opposite_field")]
+    for c, n, f in weighted:
+        h, o, r = f"CAST(sum({c} * hits) AS BIGINT)", f"CAST(sum({c} * (at_bats - hits)) AS BIGINT)", out[f"known_{f}_out_hit_ratio"]
+        out |= {f"sum_{c}_hits": h, f"sum_{c}_outs": o, f"coverage_weighted_{n}_batting_average": f"({h} * {r} / nullif({h} * {r} + {o}, 0))"}
+    out |= {f"stolen_base_attempt_rate_{x}": part(f"stolen_bases_{x} + caught_stealing_{x}", f"stolen_base_opportunities_{x}") for x in ("second", "third", "home")}
+    out["unforced_out_rate"] = part("unforced_outs_on_basepaths", "times_reached_base")
+    shares = {"strike": "strikes", "contact": "swings_with_contact", "swing": "swings_with_contact + strikes_swinging", "ball": "balls", "swing_and_miss": "strikes_swinging", "foul": "strikes_foul"}
+    out |= {f"pitch_{n}_rate": part(c, "pitches") for n, c in shares.items()}
+    return out | {"pitched_called_strike_rate": part("strikes_called", "pitches"), "pitch_data_coverage_rate": part("CAST(pitches > 0 AS BIGINT)", "plate_appearances")}
+
+
+for _kind, (_season_table, _event_table, _counters) in KINDS.items():
+    _basic = {"offense": M.basic_offense, "pitching": M.basic_pitching, "fielding": M.basic_fielding}[_kind]()
+    _rates = sport_text(_basic)
+    _told = {} if _kind == "fielding" else _told_sql()
+    for _grain, _keys in GRAINS.items():
+        _k, _name = ", ".join(_keys), f"metrics_{_grain}_{_kind}"
+        SQL[f"{_name}_own"] = f"""SELECT {_k}, sum(games) AS games, {", ".join(f"CAST(sum({c}) AS INTEGER) AS {c}" for c in _counters)}, {", ".join(f"{_rates[m.name]} AS {m.name}" for m in _basic)} FROM (SELECT s.*, coalesce(f.league, 'N/A') AS league
+ FROM {_season_table} s LEFT JOIN seed_franchises f ON s.team_id = f.team_id AND s.season >= year(f.date_start) AND s.season <= coalesce(year(f.date_end), 9999) WHERE s.game_type IN (SELECT game_type FROM seed_game_types WHERE is_regular_season)) GROUP BY ALL"""
+        SQL[f"{_name}_told"] = f"""SELECT {_k}, count(DISTINCT game_id) AS event_games{"".join(f", {t} AS {n}" for n, t in _told.items())} FROM (SELECT e.*, g.season AS season, g.league AS league FROM {_event_table} e LEFT JOIN team_game_start_info g ON g.team_id = e.team_id AND g.game_id = e.game_id
+ WHERE e.game_id IN (SELECT game_id FROM game_start_info WHERE is_regular_season)) GROUP BY {_k}"""
+        SQL[_name] = f"SELECT o.* EXCLUDE (games), t.* EXCLUDE ({_k}, event_games), coalesce(event_games / games, 0) AS event_coverage_rate FROM {_name}_own o LEFT JOIN {_name}_told t ON {' AND '.join(f'o.{k} = t.{k}' for k in _keys)}"
+        FRACTIONS[_name] = [*[m.name for m in _basic], *[n for n in _told if not n.startswith("sum_")], "event_coverage_rate"]
+
+
 def oracle(name: str) -> str:
     """A model's SQL behind everything it reads."""
     known = RAW | SQL
@@ -325,7 +380,7 @@ def oracle(name: str) -> str:
 
 
 #: Models that many others read: tables of the catalogue, as long as a session reads the same folder.
-SHARED = ("game_start_info", "event_states_batter_pitcher", "calc_batted_ball_type", "event_batted_ball_stats", "event_batting_stats", "event_baserunning_stats", "event_offense_stats", "event_pitching_stats", "event_fielding_stats", "event_player_fielding_stats", "player_game_offense_stats", "player_game_pitching_stats", "player_position_game_fielding_stats", "team_game_start_info")
+SHARED = ("game_start_info", "event_states_batter_pitcher", "calc_batted_ball_type", "event_batted_ball_stats", "event_batting_stats", "event_baserunning_stats", "event_offense_stats", "event_pitching_stats", "event_fielding_stats", "event_player_fielding_stats", "player_game_offense_stats", "player_game_pitching_stats", "player_position_game_fielding_stats", "team_game_start_info", "player_team_season_offense_stats", "player_team_season_pitching_stats", "player_position_team_season_fielding_stats")
 _kept: dict[tuple[str, str], Catalogue] = {}
 
 
