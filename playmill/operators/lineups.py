@@ -84,16 +84,79 @@ def rescale(df: DataFrame, sides: str = "sides") -> DataFrame:
     return cut.withColumn("target", F.col("_a") * F.least(F.lit(1.0), F.try_divide(F.col(sides).cast("double"), whole))).drop("_a")
 
 
-def stint_windows(stints: DataFrame, dates: DataFrame) -> DataFrame:
-    """from_date and to_date of each stint: a season's dates cut at the stints' cumulative shares of games. stints: season, player, stint, games; dates: season, day."""
-    numbered = dates.select("season", "day").distinct().withColumn("i", F.row_number().over(over(["season"], ["day"])))
+def _numbered(dates: DataFrame) -> DataFrame:
+    return dates.select("season", "day").distinct().withColumn("i", F.row_number().over(over(["season"], ["day"])))
+
+
+def _shares(stints: DataFrame, numbered: DataFrame) -> DataFrame:
+    """Adds _a and _b, the first and last of the season's n days, by the stints' cumulative shares of games."""
     n = numbered.groupBy("season").agg(F.max("i").alias("n"))
     to_date = F.sum("games").over(over(["season", "player"], ["stint"]))
     total = F.sum("games").over(over(["season", "player"]))
     cut = stints.withColumns({"_end": to_date / total, "_start": (to_date - F.col("games")) / total}).join(n, "season")
-    cut = cut.withColumns({"_a": F.least(F.col("n"), F.floor(F.col("_start") * F.col("n")).cast("int") + 1), "_b": F.greatest(F.lit(1), F.floor(F.col("_end") * F.col("n")).cast("int"))})
+    return cut.withColumns({"_a": F.least(F.col("n"), F.floor(F.col("_start") * F.col("n")).cast("int") + 1), "_b": F.greatest(F.lit(1), F.floor(F.col("_end") * F.col("n")).cast("int"))})
+
+
+def _dated(cut: DataFrame, numbered: DataFrame, keys: list[str]) -> DataFrame:
     days = lambda i, name: numbered.select("season", F.col("i").alias(i), F.col("day").alias(name))
-    return cut.join(days("_a", "from_date"), ["season", "_a"]).join(days("_b", "to_date"), ["season", "_b"]).select("season", "player", "stint", "from_date", F.greatest("from_date", "to_date").alias("to_date"))
+    return cut.join(days("_a", "from_date"), ["season", "_a"]).join(days("_b", "to_date"), ["season", "_b"]).select(*keys, "from_date", F.greatest("from_date", "to_date").alias("to_date"))
+
+
+def stint_windows(stints: DataFrame, dates: DataFrame) -> DataFrame:
+    """from_date and to_date of each stint: a season's dates cut at the stints' cumulative shares of games. stints: season, player, stint, games; dates: season, day."""
+    numbered = _numbered(dates)
+    return _dated(_shares(stints, numbered), numbered, ["season", "player", "stint"])
+
+
+def transfer_days(stints: DataFrame, transfers: DataFrame) -> DataFrame:
+    """The days on which a player went from each team of a season to the next: season, player, days.
+
+    Moves are taken in order of day and seq; each has to lead from the team of
+    one stint to that of the next. Players who were twice with a team, or for
+    whom a move is missing, don't come out. A player's stints and moves within
+    a season meet in one row, so their number has to be small.
+    """
+    who = ["season", "player"]
+    teams = stints.groupBy(*who).agg(F.sort_array(F.collect_list(F.struct("stint", "team"))).alias("teams")).where("size(teams) > 1 AND size(array_distinct(transform(teams, t -> t.team))) = size(teams)")
+    moves = transfers.groupBy(*who).agg(F.sort_array(F.collect_list(F.struct("day", "seq", "old", "new"))).alias("moves"))
+    team = lambda k: F.get("teams", k)["team"]
+
+    def follow(days: Column, move: Column) -> Column:
+        here = F.size(days)
+        return F.when((move["old"] == team(here)) & (move["new"] == team(here + 1)), F.concat(days, F.array(move["day"]))).otherwise(days)
+
+    found = teams.join(moves, who).withColumn("days", F.aggregate("moves", F.array().cast("array<date>"), follow))
+    return found.where("size(days) = size(teams) - 1").select(*who, "days")
+
+
+def transferred_windows(stints: DataFrame, sides: DataFrame, transfers: DataFrame) -> DataFrame:
+    """Windows of stints bounded by transfers where these explain a player's teams, else by shares of games.
+
+    The day of a transfer is in both windows. A window by shares that holds
+    fewer days of its team than the stint has games grows round its middle to
+    the nearest days, earlier ones first. A single stint has the whole season.
+    stints: season, player, stint, team, games; sides: season, team, day;
+    transfers: season, player, day, seq, old, new.
+    """
+    c, key = F.col, ["season", "player", "stint"]
+    numbered = _numbered(sides)
+    cut = _shares(stints, numbered).withColumns({"_k": F.row_number().over(over(["season", "player"], ["stint"])), "_stints": F.count("*").over(over(["season", "player"]))})
+    season = numbered.groupBy("season").agg(F.sort_array(F.collect_list("day")).alias("_days"))
+    told = cut.join(transfer_days(stints, transfers), ["season", "player"]).join(season, "season")
+    before, after = F.get("days", c("_k") - 2), F.get("days", c("_k") - 1)
+    first = F.when(before.isNull(), 1).otherwise(F.least(c("n"), F.size(F.filter("_days", lambda d: d < before)) + 1))
+    last = F.when(after.isNull(), c("n")).otherwise(F.size(F.filter("_days", lambda d: d <= after)))
+    bounded = told.select(*key, first.alias("_a"), F.greatest(first, last).alias("_b"))
+
+    shared = cut.join(bounded.select(*key), key, "left_anti")
+    days = numbered.join(sides.select("season", "team", "day").distinct(), ["season", "day"]).select("season", "team", "i")
+    own = shared.where("_stints > 1").join(days, ["season", "team"])
+    near = F.row_number().over(over(key, [F.abs(c("i") - F.floor((c("_a") + c("_b")) / 2)), "i"]))
+    inside = F.count_if(c("i").between(c("_a"), c("_b"))).over(over(key))
+    wanted = own.withColumns({"_near": near, "_inside": inside}).where("_inside < games AND _near <= games")
+    grown = wanted.groupBy(*key).agg(F.min("i").alias("_first"), F.max("i").alias("_last"))
+    widened = shared.join(grown, key, "left").select(*key, F.least("_a", "_first").alias("_a"), F.greatest("_b", "_last").alias("_b"))
+    return _dated(stints.select(*key, "team").join(bounded.unionByName(widened), key), numbered, [*key, "team"])
 
 
 def eligibility(pool: DataFrame, sides: DataFrame) -> DataFrame:

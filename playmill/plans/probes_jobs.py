@@ -153,6 +153,31 @@ def lu_stint_windows(t):
     return _stints(t)
 
 
+_TEAM = "CAST((o_custkey % 50 + {0} * 7) % 25 AS INTEGER)"
+_MOVED = f"""ss AS (SELECT CAST(year(o_orderdate) AS INTEGER) AS season, o_custkey % 50 AS player, CAST(o_orderkey % 3 AS INTEGER) AS stint, {_TEAM.format("(o_orderkey % 3)")} AS team, count(*) AS games FROM orders GROUP BY 1, 2, 3, 4),
+sd AS (SELECT DISTINCT CAST(year(o_orderdate) AS INTEGER) AS season, {_TEAM.format("(o_orderkey % 3)")} AS team, CAST(o_orderdate AS DATE) AS day FROM orders),
+mv AS (SELECT CAST(year(o_orderdate) AS INTEGER) AS season, o_custkey % 50 AS player, CAST(o_orderdate AS DATE) AS day, o_orderkey AS seq, {_TEAM.format("(o_orderkey // 8 % 2)")} AS old, {_TEAM.format("(o_orderkey // 8 % 2 + 1)")} AS new FROM orders WHERE o_orderstatus = 'F'),
+d AS (SELECT season, day, CAST(row_number() OVER (PARTITION BY season ORDER BY day) AS INTEGER) AS i, CAST(count(*) OVER (PARTITION BY season) AS INTEGER) AS n FROM (SELECT DISTINCT season, day FROM sd)),
+c AS (SELECT ss.*, n, row_number() OVER w AS k, count(*) OVER v AS stints, lead(team) OVER w AS next_team, least(n, CAST(floor((sum(games) OVER w - games) / sum(games) OVER v * n) AS INTEGER) + 1) AS a, greatest(1, CAST(floor(sum(games) OVER w / sum(games) OVER v * n) AS INTEGER)) AS b FROM ss JOIN (SELECT DISTINCT season, n FROM d) USING (season) WINDOW w AS (PARTITION BY season, player ORDER BY stint), v AS (PARTITION BY season, player)),
+m1 AS (SELECT c.season, c.player, min((day, seq)) AS at FROM c JOIN mv ON k = 1 AND c.season = mv.season AND c.player = mv.player AND team = old AND next_team = new GROUP BY ALL),
+m2 AS (SELECT c.season, c.player, min((day, seq)) AS at FROM c JOIN m1 USING (season, player) JOIN mv ON k = 2 AND c.season = mv.season AND c.player = mv.player AND team = old AND next_team = new AND (day, seq) > m1.at GROUP BY ALL),
+t AS (SELECT c.*, CASE k WHEN 2 THEN m1.at[1] WHEN 3 THEN m2.at[1] END AS since, CASE k WHEN stints THEN NULL WHEN 1 THEN m1.at[1] WHEN 2 THEN m2.at[1] END AS till, CASE stints WHEN 2 THEN m1.at IS NOT NULL WHEN 3 THEN m2.at IS NOT NULL ELSE false END AS told FROM c LEFT JOIN m1 USING (season, player) LEFT JOIN m2 USING (season, player)),
+x1 AS (SELECT t.*, CASE WHEN since IS NULL THEN 1 ELSE (SELECT min(i) FROM d WHERE d.season = t.season AND d.day >= since) END AS ta, CASE WHEN till IS NULL THEN n ELSE (SELECT max(i) FROM d WHERE d.season = t.season AND d.day <= till) END AS tb FROM t),
+near AS (SELECT t.season, t.player, t.stint, games, i, count(*) FILTER (WHERE i BETWEEN a AND b) OVER (PARTITION BY t.season, t.player, t.stint) AS inside, row_number() OVER (PARTITION BY t.season, t.player, t.stint ORDER BY abs(i - (a + b) // 2), i) AS place FROM t JOIN sd ON sd.season = t.season AND sd.team = t.team JOIN d ON d.season = sd.season AND d.day = sd.day WHERE NOT told AND stints > 1),
+grown AS (SELECT season, player, stint, min(i) AS lo, max(i) AS hi FROM near WHERE inside < games AND place <= games GROUP BY ALL),
+f AS (SELECT x1.season, x1.player, x1.stint, x1.team, CASE WHEN told THEN ta ELSE least(a, lo) END AS first, CASE WHEN told THEN greatest(ta, tb) ELSE greatest(b, hi) END AS last FROM x1 LEFT JOIN grown USING (season, player, stint))
+SELECT f.season, f.player, f.stint, f.team, p.day AS from_date, greatest(p.day, q.day) AS to_date FROM f JOIN d p ON p.season = f.season AND p.i = first JOIN d q ON q.season = f.season AND q.i = last"""
+
+
+@probe("lu_transferred_windows", f"WITH {_MOVED}")
+def lu_transferred_windows(t):
+    team = lambda k: ((F.col("o_custkey") % 50 + k * 7) % 25).cast("int")
+    o = t.orders.select(F.year("o_orderdate").alias("season"), (F.col("o_custkey") % 50).alias("player"), (F.col("o_orderkey") % 3).cast("int").alias("stint"), team(F.col("o_orderkey") % 3).alias("team"), F.to_date("o_orderdate").alias("day"), "o_orderkey", "o_custkey", "o_orderstatus")
+    k = F.floor(F.col("o_orderkey") / 8) % 2
+    moves = o.where("o_orderstatus = 'F'").select("season", "player", "day", F.col("o_orderkey").alias("seq"), team(k).alias("old"), team(k + 1).alias("new"))
+    return L.transferred_windows(o.groupBy("season", "player", "stint", "team").agg(F.count("*").alias("games")), o.select("season", "team", "day"), moves)
+
+
 _SIDES = "g AS (SELECT o_orderkey AS game, CAST(year(o_orderdate) AS INTEGER) AS season, CAST(o_orderkey % 3 AS INTEGER) AS team, CAST(o_orderdate AS DATE) AS day, o_custkey % 50 AS pitcher FROM orders)"
 
 
