@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import analyses, events, games, metric_tables, rollups, staging, states  # noqa: F401
+from . import analyses, events, expectancy, games, metric_tables, rollups, staging, states  # noqa: F401
 from .catalogue import MODELS, Catalogue
 
 __all__ = ["MODELS", "Catalogue"]

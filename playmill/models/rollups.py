@@ -127,8 +127,8 @@ def team_game_fielding_stats(m) -> DataFrame:
     p = m.player_position_game_fielding_stats.groupBy(*on).agg(F.sum("putouts").alias("p_outs_played"), *[F.sum(c).alias(f"p_{c}") for c in ("putouts", "assists", "errors", "fielders_choices", "assisted_putouts", "in_play_putouts", "in_play_assists", "passed_balls")])
     info = m.team_game_start_info.select("season", *on, F.col("team_side").alias("side"))
     t = m.stg_box_score_team_fielding_lines.select("game_id", "side", *[F.col(c).alias(f"t_{c}") for c in ("outs_played", "putouts", "assists", "errors", "passed_balls")])
-    away = F.when(F.col("side") == "Away", "Home").otherwise("Away")
-    counts = {"stolen_bases": m.stg_box_score_stolen_bases.withColumn("side", away), "caught_stealing": m.stg_box_score_caught_stealing.withColumn("side", away), "double_plays": m.stg_box_score_double_plays, "triple_plays": m.stg_box_score_triple_plays}
+    away = F.when(F.col("running_side") == "Away", "Home").otherwise("Away")
+    counts = {"stolen_bases": m.stg_box_score_stolen_bases.withColumn("side", away), "caught_stealing": m.stg_box_score_caught_stealing.withColumn("side", away), "double_plays": m.stg_box_score_double_plays.withColumnRenamed("defense_side", "side"), "triple_plays": m.stg_box_score_triple_plays.withColumnRenamed("defense_side", "side")}
     parts = [t, *[df.groupBy("game_id", "side").agg(F.count("*").alias(f"b_{n}")) for n, df in counts.items()]]
     whole = J.left_chain(p.join(info, on).join(g, on, "left"), parts, ["game_id", "side"])
     first = lambda *cs: F.coalesce(*cs).cast("long")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import windows as W
-from .catalogue import flag, model
+from .catalogue import MODELS, flag, model
 
 E = F.expr
 
@@ -91,3 +91,92 @@ def stg_gamelog(m) -> DataFrame:
     """The game log with ids made of their parts, codes spelt out, and blank texts as nulls."""
     blank = lambda c: F.nullif(F.trim(F.col(c)), F.lit(""))
     return m.raw_gamelog.withColumns({"doubleheader_status": F.col("double_header").cast("long"), "season": F.year("date"), "forfeit_info": blank("forfeit"), "park_id": blank("park"), "source_type": F.lit("GameLog"), "game_type": E("CASE kind WHEN 'R' THEN 'RegularSeason' ELSE 'Postseason' END"), "use_dh": F.lit(None).cast("boolean")}).drop("double_header", "forfeit", "park", "kind")
+
+
+_GAME_PLAYER = "game_id player_id side"
+_PERSON = "id:person_id lastname:last_name firstname:first_name first_g:first_game_date last_g:last_game_date"
+_STEAL = "game_id running_side runner_id pitcher_id catcher_id inning"
+#: Models that name the columns of a raw table: old:new where the name changes, name::type where the type does.
+NAMED = {
+    "stg_coaches": ("raw_coaches", "id:person_id year team:team_id role start_date end_date"),
+    "stg_ejections": ("raw_ejections", "game_id date:game_date double_header:doubleheader_status ejectee:ejectee_id ejectee_name team:team_id job:ejectee_role umpire:umpire_id umpire_name inning reason"),
+    "stg_managers": ("raw_managers", _PERSON),
+    "stg_umpires": ("raw_umpires", _PERSON),
+    "stg_relatives": ("raw_relatives", "id1:person_id relation id2:related_person_id"),
+    "stg_teams_master": ("raw_teams_master", "team:team_id league city nickname first_year last_year"),
+    "stg_parks": ("raw_parks", "park_id name aka city state start_date end_date league notes"),
+    "stg_schedule": ("raw_schedule", "date double_header day_of_week visiting_team visiting_team_league visiting_team_game_number home_team home_team_league home_team_game_number day_night postponement_indicator makeup_dates park_id"),
+    "stg_databank_fielding_of": ("raw_databank_fielding_of", "player_id:databank_player_id year_id:season stint g_lf:games_left_field g_cf:games_center_field g_rf:games_right_field"),
+    "stg_box_score_comments": ("raw_box_score_comments", "game_id comment"),
+    "stg_box_score_double_plays": ("raw_box_score_double_plays", "game_id defense_side fielders"),
+    "stg_box_score_triple_plays": ("raw_box_score_triple_plays", "game_id defense_side fielders"),
+    "stg_box_score_stolen_bases": ("raw_box_score_stolen_bases", _STEAL),
+    "stg_box_score_hit_by_pitches": ("raw_box_score_hit_by_pitches", "game_id pitching_side pitcher_id batter_id"),
+    "stg_box_score_home_runs": ("raw_box_score_home_runs", "game_id batting_side batter_id pitcher_id inning runners_on outs"),
+    "stg_box_score_line_scores": ("raw_box_score_line_scores", "game_id side:batting_side inning runs"),
+    "stg_box_score_pinch_running_lines": ("raw_box_score_pinch_running_lines", "game_id pinch_runner_id inning side runs stolen_bases caught_stealing"),
+    "stg_box_score_fielding_lines": ("raw_box_score_fielding_lines", "game_id side fielder_id fielding_position nth_position_played_by_player outs_played putouts assists errors double_plays triple_plays passed_balls"),
+    "stg_box_score_team_batting_lines": ("raw_box_score_team_batting_lines", "game_id side at_bats::long runs::long hits::long rbi::long hit_by_pitch:hit_by_pitches:long walks::long strikeouts::long"),
+    "stg_box_score_team_fielding_lines": ("raw_box_score_team_fielding_lines", "game_id side outs_played putouts assists errors passed_balls"),
+    "stg_box_score_team_miscellaneous_lines": ("raw_box_score_team_miscellaneous_lines", "game_id side left_on_base team_earned_runs double_plays_turned triple_plays_turned"),
+    "stg_event_audit": ("raw_event_audit", "game_id event_id filename line_number event_key raw_play"),
+    "stg_event_fielding_plays": ("raw_event_fielding_plays", "game_id event_key sequence_id fielding_position fielding_play"),
+    "stg_event_pitch_sequences": ("raw_event_pitch_sequences", "event_key sequence_id sequence_item runners_going_flag blocked_by_catcher_flag catcher_pickoff_attempt_at_base"),
+    "stg_event_flags": ("raw_event_flags", "event_key flag"),
+    "stg_game_earned_runs": ("raw_game_earned_runs", "game_id player_id earned_runs"),
+    "stg_game_fielding_appearances": ("raw_game_fielding_appearances", f"{_GAME_PLAYER} fielding_position start_event_id end_event_id"),
+    "stg_game_lineup_appearances": ("raw_game_lineup_appearances", f"{_GAME_PLAYER} lineup_position entered_game_as start_event_id end_event_id"),
+}
+
+
+def named(df: DataFrame, columns: str) -> DataFrame:
+    """Columns by a list of old:new:type, of which the last two may be left out."""
+    picked = []
+    for part in columns.split():
+        old, new, kind = (part.split(":") + ["", ""])[:3]
+        picked.append((F.col(old).cast(kind) if kind else F.col(old)).alias(new or old))
+    return df.select(*picked)
+
+
+MODELS |= {name: lambda m, raw=raw, columns=columns: named(getattr(m, raw), columns) for name, (raw, columns) in NAMED.items()}
+
+
+@model
+def stg_box_score_caught_stealing(m) -> DataFrame:
+    """Runners caught in seasons before 1919; later ones are told elsewhere."""
+    return named(m.raw_box_score_caught_stealing.where("season < 1919"), _STEAL)
+
+
+@model
+def stg_box_score_pinch_hitting_lines(m) -> DataFrame:
+    """Lines of pinch hitters whose inning is known."""
+    return named(m.raw_box_score_pinch_hitting_lines.where("inning IS NOT NULL"), "game_id pinch_hitter_id inning side at_bats hits hit_by_pitch:hit_by_pitches rbi")
+
+
+@model
+def stg_people(m) -> DataFrame:
+    """People of the register with a number in order of their ids."""
+    people = named(m.raw_databank_people, "retro_id:player_id bbref_id:reference_player_id player_id:databank_player_id birth_year birth_month birth_day name_first:first_name name_last:last_name weight:weight_pounds height:height_inches bats debut")
+    return W.row_numbers(people, ["databank_player_id"], "internal_id")
+
+
+@model
+def stg_databank_appearances(m) -> DataFrame:
+    """Games by player, season, stint and position; outfield games are split over a team's stints in proportion to each stint's own."""
+    team = m.team_crosswalk.withColumnsRenamed({"register_team": "_team", "team_id": "_id"})
+    on = ["player_id", "year_id", "team_id"]
+    fielding = m.raw_databank_fielding_games
+    placed = E("CASE pos WHEN 'P' THEN 1 WHEN 'C' THEN 2 WHEN '1B' THEN 3 WHEN '2B' THEN 4 WHEN '3B' THEN 5 WHEN 'SS' THEN 6 END")
+    infield = fielding.where("pos <> 'OF'").select(*on, "lg_id", "stint", placed.alias("fielding_position"), F.col("g").alias("games_at_position"))
+    outfield = fielding.where("pos = 'OF'").withColumn("_part", W.share(F.col("g").cast("double"), on))
+    split = outfield.join(m.raw_databank_appearances.select(*on, "g_lf", "g_cf", "g_rf"), on).select(*on, "lg_id", "stint", *[F.round(F.col(c) * F.col("_part")).cast("long").alias(str(k)) for k, c in ((7, "g_lf"), (8, "g_cf"), (9, "g_rf"))])
+    spread = split.unpivot([*on, "lg_id", "stint"], ["7", "8", "9"], "fielding_position", "games_at_position").withColumn("fielding_position", F.col("fielding_position").cast("int"))
+    outs = fielding.where("pos <> 'P' AND inn_outs IS NOT NULL").groupBy(*on, "stint").agg(F.sum("inn_outs").alias("outs_played"))
+    totals = m.raw_databank_appearances.select(*on, F.col("lg_id").alias("_league"), F.col("g_all").alias("games_total"))
+    known = m.stg_people.where("player_id IS NOT NULL").select(F.col("player_id").alias("_player"), F.col("databank_player_id").alias("_databank"))
+    rows = infield.unionByName(spread).where("games_at_position > 0").join(totals, on).join(outs, [*on, "stint"], "left")
+    found = rows.join(known, F.col("player_id") == F.col("_databank")).join(team, F.col("team_id") == F.col("_team"), "left")
+    return found.select(
+        F.col("_player").alias("player_id"), F.col("_databank").alias("databank_player_id"), F.col("year_id").alias("season"), "stint", F.col("_id").alias("team_id"), F.coalesce("_league", "lg_id").alias("league_id"),
+        "fielding_position", "games_at_position", "games_total", F.coalesce("outs_played", F.lit(0)).alias("outs_played"),
+    )

@@ -34,7 +34,7 @@ def event_base_out_states(m) -> DataFrame:
         KEY, "game_id", F.col("inning").alias("inning_start"), F.col("inning").alias("inning_end"), F.when(F.col("batting_side") == "Away", "Top").otherwise("Bottom").alias("frame_start"), F.when(F.col("batting_side") == "Away", "Top").otherwise("Bottom").alias("frame_end"),
         F.col("outs").alias("outs_start"), (F.col("inning") * 3 - 3 + F.col("outs")).alias("inning_in_outs_start"), "outs_on_play", (F.col("outs") + F.col("outs_on_play")).alias("outs_end"), F.col("base_state").alias("base_state_start"),
         F.lead("base_state").over(w).alias("base_state_end"), F.bit_count("base_state").cast("long").alias("runners_count_start"), E("base_state & 1 = 1 AND outs < 2").alias("is_gidp_eligible"),
-        F.lag(KEY).over(w).isNull().alias("frame_start_flag"), F.lead(KEY).over(w).isNull().alias("frame_end_flag"), F.lead(KEY).over(W.over(["game_id"], [KEY])).isNull().alias("game_end_flag"),
+        F.lag(KEY).over(w).isNull().alias("frame_start_flag"), F.lead(KEY).over(w).isNull().alias("frame_end_flag"), (F.lead(KEY).over(w).isNull() & (F.col("outs") + F.col("outs_on_play") != 3)).alias("truncated_frame_flag"), F.lead(KEY).over(W.over(["game_id"], [KEY])).isNull().alias("game_end_flag"),
         "runs_on_play", "score_home_start", "score_away_start", "score_home_end", "score_away_end",
     )
 

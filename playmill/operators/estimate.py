@@ -98,6 +98,36 @@ def factor_variant(df: DataFrame, keys: list[str], unit: str, season: str, stats
     return even.groupBy(unit, season).agg(*[ratio(c).alias(f"{c}_factor") for c in stats])
 
 
+def paired_factors(df: DataFrame, units: DataFrame, unit: str, season: str, group: list[str], members: list[str], split: list[str], stats: list[str], size: str, back: int = 2, prior: float = 1000.0, odds: bool = True) -> DataFrame:
+    """Factors of units by season and group, from the same members in other units, for several statistics.
+
+    df has counts by unit, season, group, members (and split); units lists the
+    unit, season and group that get a factor, each from its ``back`` seasons
+    before and its own. To each comes a row of ``prior`` at its season's mean,
+    which meets the other units' priors. Each opposing unit weighs the same.
+    The rows of the same members in a season come together in one row: as many as
+    there are units.
+    """
+    c, of = F.col, [unit, season, *group]
+    later = F.explode(F.sequence(c(season), c(season) + back))
+    ranged = df.withColumn(season, later).join(units, of, "left_semi").groupBy(*of, *[c(k).cast("string").alias(k) for k in members], *split).agg(*[F.sum(k).cast("double").alias(k) for k in (size, *stats)])
+    mean = ranged.groupBy(season, *group, *split).agg(*[(F.sum(k) / F.sum(size)).alias(k) for k in stats])
+    priors = units.join(mean, [season, *group]).select(*of, *[F.lit("prior").alias(k) for k in members], *split, F.lit(prior).alias(size), *[(c(k) * prior).alias(k) for k in stats])
+    rows = ranged.unionByName(priors)
+    met = rows.groupBy(season, *members, *split).agg(F.collect_list(F.struct(unit, *group, size, *stats)).alias("_units"))
+    own = met.select(season, *split, F.explode("_units").alias("_own"), "_units").select(season, *split, "_own.*", F.explode("_units").alias("_o"))
+    pairs = own.where(c(unit) != c(f"_o.{unit}")).select(*of, *split, size, *stats, c(f"_o.{unit}").alias("_other"), *[c(f"_o.{k}").alias(f"_{k}") for k in (size, *stats)]).withColumn("_w", F.sqrt(F.least(c(size), c(f"_{size}"))))
+    total = pairs.withColumn("_sum", F.sum("_w").over(over([*of, "_other"])))
+    even = total.withColumn("_even", c("_w") * F.max("_sum").over(over(of)) / c("_sum"))
+
+    def ratio(stat: str) -> Column:
+        a, b = (F.sum(c(x + stat) / c(x + size) * c("_even")) / F.sum("_even") for x in ("", "_"))
+        both = [F.try_divide(r, 1 - r) if odds else r for r in (a, b)]
+        return F.round(F.round(F.try_divide(*both), 9), 2).alias(f"{stat}_factor")
+
+    return even.groupBy(*of, *split).agg(F.round(F.sum("_w"), 0).alias("sqrt_sample_size"), *[ratio(k) for k in stats])
+
+
 def factor_merge(advanced: DataFrame, basic: DataFrame, keys: list[str], factor: str) -> DataFrame:
     """The advanced factor where there is one, else the basic one."""
     return basic.join(advanced.withColumnRenamed(factor, "_a"), keys, "left").withColumn(factor, F.coalesce("_a", factor)).drop("_a")

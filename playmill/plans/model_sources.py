@@ -37,13 +37,13 @@ def _item_rows() -> list[tuple]:
 
 
 _SIDE = "CASE WHEN event_id % 2 = 0 THEN 'Away' ELSE 'Home' END"
-_HOME, _AWAY = "CAST(user_id % 25 AS INTEGER)", "CAST((user_id + 7) % 25 AS INTEGER)"
+_HOME, _AWAY = "CAST(user_id % 25 AS INTEGER)", "CAST((user_id + 7 + user_id % 2 * 3) % 25 AS INTEGER)"
 _FIELDER = _d(13, 11)
 
 RAW = {
     "raw_events": f"""SELECT event_id, ts, user_id, user_id * 1000 + dayofyear(ts) AS game_id, CAST(1915 + user_id % 6 AS INTEGER) AS season, {_SIDE} AS batting_side,
  CASE WHEN event_id % 2 = 0 THEN {_AWAY} ELSE {_HOME} END AS batting_team_id, CASE WHEN event_id % 2 = 0 THEN {_HOME} ELSE {_AWAY} END AS fielding_team_id,
- CAST(floor(hour(ts) / 3) + 1 AS INTEGER) AS inning, {_d(2, 3)} AS outs, {_d(3, 8)} AS base_state, CAST(floor(event_id / 5) % 40 AS BIGINT) AS batter_id, CAST(100 + floor(event_id / 7) % 12 AS BIGINT) AS pitcher_id,
+ CAST(floor(hour(ts) / 2) + 1 AS INTEGER) AS inning, {_d(2, 3)} AS outs, {_d(3, 8)} AS base_state, CAST(floor(event_id / 5) % 40 AS BIGINT) AS batter_id, CAST(100 + floor(event_id / 7) % 12 AS BIGINT) AS pitcher_id,
  {_d(5, 9)} + 1 AS batter_lineup_position, {_pick(_d(11, 18), RESULTS)} AS plate_appearance_result, CAST(event_type = 'error' AS INTEGER) AS outs_on_play, CAST(event_type = 'purchase' AS INTEGER) AS runs_on_play,
  CASE WHEN {_FIELDER} = 10 THEN NULL ELSE {_FIELDER} END AS batted_to_fielder, {_pick(_d(17, 6), ["GroundBall", "Fly", "LineDrive", "PopUp", "Unknown"])} AS batted_trajectory, {_pick(_d(19, 5), ["Left", "Middle", "Right", "Unknown"])} AS batted_location_side,
  {_pick(_d(23, 5), ["Plate", "Infield", "Outfield", "Unknown"])} AS batted_location_depth, {_pick(_d(29, 4), ["Short", "Deep", "Unknown"])} AS batted_location_general, {_pick(_d(31, 9), ["L", "R"])} AS specified_batter_hand,
@@ -72,20 +72,20 @@ def _up_to(n: int) -> str:
     return "(VALUES " + ", ".join(f"({k})" for k in range(1, n + 1)) + ") AS k(k)"
 
 
-RAW["stg_event_fielding_plays"] = f"SELECT event_id AS event_key, game_id, k AS sequence_id, CAST((event_id * 7 + k * 3) % 10 AS INTEGER) AS fielding_position, {_pick('CAST((event_id + k) % 4 AS INTEGER)', ['Putout', 'Assist', 'Error', 'FieldersChoice'])} AS fielding_play FROM {_KEYED} CROSS JOIN {_up_to(4)} WHERE k <= event_id % 5"
-RAW["stg_event_pitch_sequences"] = f"SELECT event_id AS event_key, k AS sequence_id, {_pick('CAST((event_id * 5 + k * 3) % 12 AS INTEGER)', ITEMS)} AS sequence_item, (event_id + k) % 4 = 0 AS runners_going_flag, (event_id + k) % 9 = 0 AS blocked_by_catcher_flag, CASE WHEN (event_id + k) % 11 = 0 THEN 'First' END AS catcher_pickoff_attempt_at_base FROM {_KEYED} CROSS JOIN {_up_to(6)} WHERE k <= event_id % 7"
-RAW["stg_event_flags"] = f"SELECT event_id AS event_key, {_pick('CAST(event_id % 19 AS INTEGER)', ['GroundBallDoublePlay', 'LinedIntoDoublePlay', 'TriplePlay', 'SacrificeFly', 'Foul', 'SacrificeHit'])} AS flag FROM {{events}} WHERE event_id % 19 < 6"
+RAW["raw_event_fielding_plays"] = f"SELECT event_id AS event_key, game_id, k AS sequence_id, CAST((event_id * 7 + k * 3) % 10 AS INTEGER) AS fielding_position, {_pick('CAST((event_id + k) % 4 AS INTEGER)', ['Putout', 'Assist', 'Error', 'FieldersChoice'])} AS fielding_play FROM {_KEYED} CROSS JOIN {_up_to(4)} WHERE k <= event_id % 5"
+RAW["raw_event_pitch_sequences"] = f"SELECT event_id AS event_key, k AS sequence_id, {_pick('CAST((event_id * 5 + k * 3) % 12 AS INTEGER)', ITEMS)} AS sequence_item, (event_id + k) % 4 = 0 AS runners_going_flag, (event_id + k) % 9 = 0 AS blocked_by_catcher_flag, CASE WHEN (event_id + k) % 11 = 0 THEN 'First' END AS catcher_pickoff_attempt_at_base FROM {_KEYED} CROSS JOIN {_up_to(6)} WHERE k <= event_id % 7"
+RAW["raw_event_flags"] = f"SELECT event_id AS event_key, {_pick('CAST(event_id % 19 AS INTEGER)', ['GroundBallDoublePlay', 'LinedIntoDoublePlay', 'TriplePlay', 'SacrificeFly', 'Foul', 'SacrificeHit'])} AS flag FROM {{events}} WHERE event_id % 19 < 6"
 RAW["raw_event_comments"] = "SELECT event_id AS event_key, CASE WHEN event_id % 41 = 0 THEN concat('Forfeit=', CASE event_id % 3 WHEN 0 THEN 'H' WHEN 1 THEN 'V' ELSE 'T' END) WHEN event_id % 43 = 0 THEN concat('Suspend=20240105,', CASE WHEN event_id % 2 = 0 THEN 'PRK' ELSE '' END, ',', CAST(event_id % 8 AS VARCHAR(9)), ',', CAST(event_id % 5 AS VARCHAR(9)), ',', CAST(event_id % 54 AS VARCHAR(9))) WHEN event_id % 5 = 0 THEN 'plain' END AS comment FROM {events} UNION ALL SELECT event_id, 'plain' FROM {events} WHERE event_id % 5 = 0"
 _BOX = "o_orderkey + 10000000"
-RAW["stg_box_score_comments"] = f"SELECT {_BOX} AS game_id, CASE WHEN o_orderkey % 11 = 0 THEN 'Forfeit=V' WHEN o_orderkey % 13 = 0 THEN 'Suspend=19970203,,1,2,30' ELSE 'fine' END AS comment FROM {{orders}}"
+RAW["raw_box_score_comments"] = f"SELECT {_BOX} AS game_id, CASE WHEN o_orderkey % 11 = 0 THEN 'Forfeit=V' WHEN o_orderkey % 13 = 0 THEN 'Suspend=19970203,,1,2,30' ELSE 'fine' END AS comment FROM {{orders}}"
 _P = "CAST(100 + (game_id + {0}) % 12 AS BIGINT)"
-RAW["raw_games"] = f"""SELECT *, CAST(game_id % 3 AS BIGINT) AS doubleheader_status, CASE WHEN game_id % 10 = 0 THEN 'Postseason' ELSE 'RegularSeason' END AS game_type, CASE WHEN game_id % 4 <> 0 THEN concat('P', CAST(game_id % 30 AS VARCHAR(9))) END AS park_id,
+RAW["raw_games"] = f"""SELECT *, CAST(game_id % 3 AS BIGINT) AS doubleheader_status, CASE WHEN game_id % 10 = 0 THEN 'Postseason' ELSE 'RegularSeason' END AS game_type, CASE WHEN game_id % 4 <> 0 THEN concat('P', CAST(game_id % 3 AS VARCHAR(9))) END AS park_id,
  (game_id % 5) * 1000 AS attendance, {_pick('CAST(game_id % 7 AS INTEGER)', ['abc', 'both', '123', ' ', 'Xy & Zed', 'teams'])} AS scorer, CASE WHEN game_id % 6 = 0 THEN '1920.EVR' WHEN game_id % 6 = 1 THEN '1920.EBR' ELSE '1950.EVA' END AS filename,
- CASE WHEN game_id % 3 = 0 THEN 'Sunny' END AS sky, game_id % 200 AS duration_minutes, {_P.format(0)} AS winning_pitcher_id, {_P.format(1)} AS losing_pitcher_id, CASE WHEN game_id % 2 = 0 THEN {_P.format(2)} END AS save_pitcher_id, CASE WHEN game_id % 2 = 0 THEN true END AS use_dh
+ CASE WHEN game_id % 3 = 0 THEN 'Sunny' END AS sky, game_id % 200 AS duration_minutes, {_P.format(0)} AS winning_pitcher_id, {_P.format(1)} AS losing_pitcher_id, CASE WHEN game_id % 2 = 0 THEN {_P.format(2)} END AS save_pitcher_id, CASE WHEN game_id % 2 = 0 THEN true END AS use_dh, CASE WHEN game_id % 23 = 0 THEN 'Home' ELSE 'Away' END AS bat_first_side
  FROM (SELECT game_id, min(CAST(ts AS DATE)) AS date, min(season) AS season, {_HOME} AS home_team_id, {_AWAY} AS away_team_id FROM ({RAW["raw_events"]}) e GROUP BY game_id, user_id) g"""
 RAW["raw_box_games"] = f"""SELECT {_BOX} AS game_id, CAST(o_orderdate AS DATE) AS date, CAST(1918 + o_orderkey % 9 AS INTEGER) AS season, CAST(o_orderkey % 25 AS INTEGER) AS home_team_id, CAST((o_orderkey + 3) % 25 AS INTEGER) AS away_team_id, CAST(0 AS BIGINT) AS doubleheader_status,
  'RegularSeason' AS game_type, CASE WHEN o_orderkey % 3 = 0 THEN concat('B', CAST(o_orderkey % 20 AS VARCHAR(9))) END AS park_id, o_custkey % 3 * 500 AS attendance, 'zed' AS scorer, '1930.EBN' AS filename, CAST(NULL AS VARCHAR(9)) AS sky, o_orderkey % 150 AS duration_minutes,
- CAST(100 + o_orderkey % 12 AS BIGINT) AS winning_pitcher_id, CAST(100 + (o_orderkey + 5) % 12 AS BIGINT) AS losing_pitcher_id, CAST(NULL AS BIGINT) AS save_pitcher_id, false AS use_dh FROM {{orders}} WHERE o_orderkey % 2 = 0"""
+ CAST(100 + o_orderkey % 12 AS BIGINT) AS winning_pitcher_id, CAST(100 + (o_orderkey + 5) % 12 AS BIGINT) AS losing_pitcher_id, CAST(NULL AS BIGINT) AS save_pitcher_id, false AS use_dh, 'Away' AS bat_first_side FROM {{orders}} WHERE o_orderkey % 2 = 0"""
 RAW["raw_gamelog"] = f"""SELECT {_BOX} AS game_id, CAST(o_orderdate AS DATE) AS date, CAST(o_orderkey % 2 AS VARCHAR(9)) AS double_header, CAST(o_orderkey % 25 AS INTEGER) AS home_team_id, CAST((o_orderkey + 3) % 25 AS INTEGER) AS away_team_id, CASE WHEN o_orderkey % 5 = 0 THEN ' ' ELSE concat('L', CAST(o_orderkey % 9 AS VARCHAR(9))) END AS park,
  o_custkey % 7 * 100 AS attendance, CASE WHEN o_orderkey % 17 = 0 THEN 'H' ELSE '' END AS forfeit, CASE WHEN o_orderkey % 20 = 1 THEN 'W' ELSE 'R' END AS kind, CASE WHEN o_orderkey % 4 <> 3 THEN CAST(100 + o_orderkey % 12 AS BIGINT) END AS home_starting_pitcher_id,
  CAST(100 + (o_orderkey + 1) % 12 AS BIGINT) AS away_starting_pitcher_id, o_orderkey % 180 AS duration_minutes, o_orderkey % 11 AS home_runs_scored, o_custkey % 11 AS away_runs_scored, concat('01', CAST(o_orderkey % 10 AS VARCHAR(9)), '(12)0x') AS home_line_score, concat('2', CAST(o_custkey % 10 AS VARCHAR(9)), '000') AS away_line_score FROM {{orders}}"""
@@ -101,22 +101,24 @@ def _appearances(place: str, most: int, player: str, extra: tuple[str, str] = ("
 
 
 _WHO = "CAST(CASE WHEN k = 1 THEN 100 + (game_id + n + {0}) % 12 ELSE (game_id * 3 + k * 7 + n + {0}) % 40 END AS BIGINT)"
-RAW["stg_game_fielding_appearances"] = _appearances("fielding_position", 10, _WHO)
-RAW["stg_game_lineup_appearances"] = _appearances("lineup_position", 9, "CAST((game_id * 3 + k * 7 + n + {0}) % 40 AS BIGINT)", (", 'Starter' AS entered_game_as", ", CASE game_id % 3 WHEN 0 THEN 'PinchHitter' WHEN 1 THEN 'PinchRunner' ELSE 'DefensiveSubstitution' END"))
+RAW["raw_game_fielding_appearances"] = _appearances("fielding_position", 10, _WHO)
+RAW["raw_game_lineup_appearances"] = _appearances("lineup_position", 9, "CAST((game_id * 3 + k * 7 + n + {0}) % 40 AS BIGINT)", (", 'Starter' AS entered_game_as", ", CASE game_id % 3 WHEN 0 THEN 'PinchHitter' WHEN 1 THEN 'PinchRunner' ELSE 'DefensiveSubstitution' END"))
 _LINE = "l_orderkey + 10000000 AS game_id, CASE WHEN l_linenumber % 2 = 0 THEN 'Home' ELSE 'Away' END AS side"
 _big = lambda e, n: f"CAST({e} AS BIGINT) AS {n}"
 RAW["raw_box_batting"] = f"SELECT {_LINE}, {_big('l_partkey % 40', 'batter_id')}, l_linenumber AS lineup_position, CAST(1 + l_suppkey % 2 AS INTEGER) AS nth_player_at_position, {_big('l_quantity', 'at_bats')}, {_big('l_quantity % 9 + 6', 'hits')}, {_big('l_partkey % 3', 'doubles')}, {_big('l_suppkey % 2', 'triples')}, {_big('l_linenumber % 2', 'home_runs')}, CASE WHEN l_partkey % 5 > 0 THEN CAST(l_partkey % 4 AS BIGINT) END AS walks, CASE WHEN l_partkey % 7 > 2 THEN CAST(1 AS BIGINT) END AS hit_by_pitches, {_big('l_partkey % 6', 'runs')}, {_big('l_suppkey % 5', 'strikeouts')} FROM {{lineitem}}"
 RAW["raw_box_pitching"] = f"SELECT {_LINE}, {_big('100 + l_partkey % 12', 'pitcher_id')}, l_linenumber AS nth_pitcher, {_big('l_quantity', 'outs_recorded')}, {_big('l_quantity + 5', 'batters_faced')}, {_big('l_partkey % 9', 'hits')}, {_big('l_partkey % 2', 'doubles')}, {_big('l_suppkey % 2', 'triples')}, {_big('l_linenumber % 2', 'home_runs')}, {_big('l_partkey % 5', 'runs')}, {_big('l_partkey % 4', 'earned_runs')}, {_big('l_suppkey % 4', 'walks')}, {_big('l_partkey % 8', 'strikeouts')} FROM {{lineitem}}"
-RAW["stg_box_score_fielding_lines"] = f"""SELECT game_id, side, player_id AS fielder_id, fielding_position, 1 AS nth_position_played_by_player, CAST(20 + game_id % 8 AS BIGINT) AS outs_played, CASE WHEN (game_id + fielding_position) % 7 > 0 THEN CAST((game_id + fielding_position) % 4 AS BIGINT) END AS putouts, CAST(fielding_position % 3 AS BIGINT) AS assists, CAST(game_id % 2 AS BIGINT) AS errors, CAST(0 AS BIGINT) AS double_plays, CAST(0 AS BIGINT) AS triple_plays, CAST(CASE WHEN fielding_position = 2 THEN 1 END AS BIGINT) AS passed_balls FROM ({RAW["stg_game_fielding_appearances"]}) a WHERE game_id % 3 = 0
+RAW["raw_box_score_fielding_lines"] = f"""SELECT game_id, side, player_id AS fielder_id, fielding_position, 1 AS nth_position_played_by_player, CAST(20 + game_id % 8 AS BIGINT) AS outs_played, CASE WHEN (game_id + fielding_position) % 7 > 0 THEN CAST((game_id + fielding_position) % 4 AS BIGINT) END AS putouts, CAST(fielding_position % 3 AS BIGINT) AS assists, CAST(game_id % 2 AS BIGINT) AS errors, CAST(0 AS BIGINT) AS double_plays, CAST(0 AS BIGINT) AS triple_plays, CAST(CASE WHEN fielding_position = 2 THEN 1 END AS BIGINT) AS passed_balls FROM ({RAW["raw_game_fielding_appearances"]}) a WHERE game_id % 3 = 0
  UNION ALL SELECT l_orderkey + 10000000, CASE WHEN l_linenumber % 2 = 0 THEN 'Home' ELSE 'Away' END, CAST(l_partkey % 40 AS BIGINT), CAST(l_partkey % 9 + 1 AS INTEGER), l_linenumber, CAST(l_quantity AS BIGINT), CAST(l_partkey % 6 AS BIGINT), CAST(l_suppkey % 4 AS BIGINT), CAST(l_linenumber % 2 AS BIGINT), CAST(l_partkey % 2 AS BIGINT), CAST(0 AS BIGINT), CAST(NULL AS BIGINT) FROM {{lineitem}}"""
 _SIDES = f"({RAW['raw_games']}) g CROSS JOIN (VALUES ('Home', 5), ('Away', 11)) AS s(side, n)"
-RAW["stg_box_score_team_fielding_lines"] = f"SELECT game_id, side, CAST(27 AS BIGINT) AS outs_played, CAST((game_id + n) % 5 AS BIGINT) AS putouts, CAST(n % 4 AS BIGINT) AS assists, CAST(1 AS BIGINT) AS errors, CASE WHEN game_id % 2 = 0 THEN CAST(1 AS BIGINT) END AS passed_balls FROM {_SIDES} WHERE game_id % 5 = 0"
-RAW["stg_box_score_stolen_bases"] = f"SELECT game_id, side AS running_side FROM {_SIDES} WHERE (game_id + n) % 2 = 0"
-RAW["stg_box_score_stolen_bases"] = RAW["stg_box_score_caught_stealing"] = f"SELECT game_id, side AS running_side, side FROM {_SIDES} WHERE (game_id + n) % 3 = 0"
-RAW["stg_box_score_double_plays"] = RAW["stg_box_score_triple_plays"] = f"SELECT game_id, side FROM {_SIDES} WHERE (game_id + n) % 4 = 0"
-RAW["stg_box_score_pinch_hitting_lines"] = f"SELECT {_LINE}, CAST(l_partkey % 40 AS BIGINT) AS pinch_hitter_id FROM {{lineitem}} WHERE l_partkey % 3 = 0"
-RAW["stg_box_score_pinch_running_lines"] = f"SELECT {_LINE}, CAST(l_partkey % 40 AS BIGINT) AS pinch_runner_id FROM {{lineitem}} WHERE l_partkey % 3 = 1"
-RAW["stg_game_earned_runs"] = f"SELECT game_id, pitcher_id AS player_id, CAST(sum(runs_on_play) AS BIGINT) AS earned_runs FROM ({RAW['raw_events']}) e GROUP BY game_id, pitcher_id"
+RAW["raw_box_score_team_fielding_lines"] = f"SELECT game_id, side, CAST(27 AS BIGINT) AS outs_played, CAST((game_id + n) % 5 AS BIGINT) AS putouts, CAST(n % 4 AS BIGINT) AS assists, CAST(1 AS BIGINT) AS errors, CASE WHEN game_id % 2 = 0 THEN CAST(1 AS BIGINT) END AS passed_balls FROM {_SIDES} WHERE game_id % 5 = 0"
+_RUN = "side AS running_side, CAST(game_id % 40 AS BIGINT) AS runner_id, CAST(100 + game_id % 12 AS BIGINT) AS pitcher_id, CAST((game_id + 1) % 40 AS BIGINT) AS catcher_id, CAST(game_id % 9 + 1 AS INTEGER) AS inning"
+RAW["raw_box_score_stolen_bases"] = f"SELECT game_id, season, {_RUN} FROM {_SIDES} WHERE (game_id + n) % 2 = 0"
+RAW["raw_box_score_caught_stealing"] = f"SELECT game_id, season, {_RUN} FROM {_SIDES} WHERE (game_id + n) % 3 = 0"
+RAW["raw_box_score_double_plays"] = f"SELECT game_id, side AS defense_side, concat('f', CAST(game_id % 9 AS VARCHAR(9))) AS fielders FROM {_SIDES} WHERE (game_id + n) % 4 = 0"
+RAW["raw_box_score_triple_plays"] = f"SELECT game_id, side AS defense_side, concat('f', CAST(game_id % 7 AS VARCHAR(9))) AS fielders FROM {_SIDES} WHERE (game_id + n) % 25 = 0"
+RAW["raw_box_score_pinch_hitting_lines"] = f"SELECT {_LINE}, CAST(l_partkey % 40 AS BIGINT) AS pinch_hitter_id, CASE WHEN l_suppkey % 7 > 0 THEN CAST(l_suppkey % 9 + 1 AS INTEGER) END AS inning, l_linenumber AS at_bats, l_partkey % 3 AS hits, l_suppkey % 2 AS hit_by_pitch, l_partkey % 4 AS rbi FROM {{lineitem}} WHERE l_partkey % 3 = 0"
+RAW["raw_box_score_pinch_running_lines"] = f"SELECT {_LINE}, CAST(l_partkey % 40 AS BIGINT) AS pinch_runner_id, CAST(l_suppkey % 9 + 1 AS INTEGER) AS inning, l_partkey % 2 AS runs, l_suppkey % 3 AS stolen_bases, l_linenumber % 2 AS caught_stealing FROM {{lineitem}} WHERE l_partkey % 3 = 1"
+RAW["raw_game_earned_runs"] = f"SELECT game_id, pitcher_id AS player_id, CAST(sum(runs_on_play) AS BIGINT) AS earned_runs FROM ({RAW['raw_events']}) e GROUP BY game_id, pitcher_id"
 RAW["event_pitching_flags"] = f"SELECT event_id AS event_key, game_id, pitcher_id, event_id % 3 = 0 AS starting_pitcher_flag, CAST(event_id % 4 AS BIGINT) AS inherited_runners, CAST(event_id % 3 AS BIGINT) AS bequeathed_runners, event_id % 5 = 0 AS new_relief_pitcher_flag, event_id % 7 = 0 AS pitcher_finish_flag, event_id % 6 = 0 AS save_situation_start_flag, event_id % 11 = 0 AS hold_flag, event_id % 9 = 0 AS blown_save_flag, event_id % 13 = 0 AS save_flag FROM ({RAW['raw_events']}) e"
 _REG = "CAST(1916 + l_suppkey % 12 AS INTEGER) AS season, concat('T', CAST(l_suppkey % 25 AS VARCHAR(9))) AS register_team, CAST({0} AS BIGINT) AS player_id, CAST(count(*) AS BIGINT) AS games"
 _sum = lambda e, n: f"CAST(sum({e}) AS BIGINT) AS {n}"
@@ -127,4 +129,26 @@ RAW["team_crosswalk"] = "SELECT concat('T', CAST(n_nationkey AS VARCHAR(9))) AS
 RAW["raw_rosters"] = "SELECT CAST(year(o_orderdate) AS INTEGER) AS year, CAST(o_orderkey % 25 AS INTEGER) AS team_id, o_custkey % 60 AS player_id, CASE o_orderkey % 3 WHEN 0 THEN '?' WHEN 1 THEN 'L' ELSE 'R' END AS bats, CASE o_custkey % 4 WHEN 0 THEN '?' ELSE 'R' END AS throws, o_orderkey AS line FROM {orders}"
 RAW["raw_bio"] = "SELECT c_custkey AS player_id, CASE WHEN c_custkey % 6 = 0 THEN 'tall' ELSE concat(CAST(5 + c_custkey % 2 AS VARCHAR(9)), '-', CAST(c_custkey % 12 AS VARCHAR(9))) END AS height, CAST(150 + c_custkey % 90 AS VARCHAR(9)) AS weight, concat('18', CAST(70 + c_custkey % 30 AS VARCHAR(9)), '0', CAST(1 + c_custkey % 9 AS VARCHAR(9)), '15') AS born, CASE c_custkey % 3 WHEN 0 THEN '' ELSE 'R' END AS bats, CASE c_custkey % 4 WHEN 0 THEN '' ELSE 'L' END AS throws FROM {customer}"
 
-GIVEN = ("events", "orders", "lineitem", "customer", "part", "nation")
+_day = lambda e: f"CAST({e} AS DATE)"
+_text = lambda e, before="": f"concat('{before}', CAST({e} AS VARCHAR(20)))"
+RAW["raw_box_score_hit_by_pitches"] = f"SELECT {_LINE.replace(' AS side', ' AS pitching_side')}, CAST(100 + l_partkey % 12 AS BIGINT) AS pitcher_id, CAST(l_suppkey % 40 AS BIGINT) AS batter_id FROM {{lineitem}} WHERE l_returnflag = 'R'"
+RAW["raw_box_score_home_runs"] = f"SELECT {_LINE.replace(' AS side', ' AS batting_side')}, CAST(l_partkey % 40 AS BIGINT) AS batter_id, CAST(100 + l_suppkey % 12 AS BIGINT) AS pitcher_id, l_linenumber AS inning, l_partkey % 4 AS runners_on, l_suppkey % 3 AS outs FROM {{lineitem}} WHERE l_returnflag = 'A'"
+RAW["raw_box_score_line_scores"] = f"SELECT {_LINE}, l_linenumber AS inning, l_partkey % 5 AS runs FROM {{lineitem}}"
+RAW["raw_box_score_team_batting_lines"] = f"SELECT {_LINE}, {', '.join(f'CAST(sum({e}) AS INTEGER) AS {n}' for n, e in (('at_bats', 'l_quantity'), ('runs', 'l_partkey % 5'), ('hits', 'l_quantity % 9'), ('rbi', 'l_partkey % 4'), ('hit_by_pitch', 'l_suppkey % 2'), ('walks', 'l_partkey % 3'), ('strikeouts', 'l_suppkey % 5')))} FROM {{lineitem}} GROUP BY 1, 2"
+RAW["raw_box_score_team_miscellaneous_lines"] = f"SELECT {_LINE}, CAST(sum(l_partkey % 3) AS BIGINT) AS left_on_base, CAST(sum(l_suppkey % 3) AS BIGINT) AS team_earned_runs, CAST(max(l_linenumber % 2) AS BIGINT) AS double_plays_turned, CAST(0 AS BIGINT) AS triple_plays_turned FROM {{lineitem}} GROUP BY 1, 2"
+RAW["raw_event_audit"] = f"SELECT game_id, event_id, event_id AS event_key, {_text('season', 'f')} AS filename, event_id % 5000 AS line_number, {_text('batter_id', 'play,')} AS raw_play FROM ({RAW['raw_events']}) e"
+RAW["raw_coaches"] = f"SELECT c_custkey AS id, 1950 + c_nationkey AS year, c_nationkey AS team, c_mktsegment AS role, {_day("'1950-04-01'")} AS start_date, CASE WHEN c_custkey % 4 > 0 THEN {_day("'1950-10-01'")} END AS end_date FROM {{customer}}"
+RAW["raw_ejections"] = f"SELECT user_id * 1000 + dayofyear(ts) AS game_id, {_day('ts')} AS date, CAST(user_id % 3 AS VARCHAR(9)) AS double_header, CAST(event_id % 40 AS BIGINT) AS ejectee, {_text('event_id % 40', 'Name ')} AS ejectee_name, user_id % 25 AS team, CASE WHEN event_id % 3 = 0 THEN 'M' ELSE 'P' END AS job, event_id % 17 AS umpire, {_text('event_id % 17', 'Ump ')} AS umpire_name, hour(ts) AS inning, event_type AS reason FROM {{events}} WHERE event_type = 'error'"
+RAW["raw_managers"] = f"SELECT s_suppkey AS id, s_name AS lastname, CAST(s_nationkey AS VARCHAR(9)) AS firstname, {_day("'1930-05-01'")} AS first_g, {_day("'1939-09-30'")} AS last_g FROM {{supplier}}"
+RAW["raw_umpires"] = f"SELECT p_partkey AS id, p_brand AS lastname, p_type AS firstname, {_day("'1940-05-01'")} AS first_g, CASE WHEN p_size > 5 THEN {_day("'1949-09-30'")} END AS last_g FROM {{part}}"
+RAW["raw_relatives"] = "SELECT o_custkey AS id1, o_orderpriority AS relation, o_orderkey AS id2 FROM {orders}"
+RAW["raw_teams_master"] = "SELECT n_nationkey AS team, r_name AS league, n_name AS city, concat(n_name, 's') AS nickname, 1900 + n_nationkey AS first_year, CASE WHEN n_nationkey % 2 = 0 THEN 1960 END AS last_year FROM {nation} JOIN {region} ON n_regionkey = r_regionkey"
+RAW["raw_parks"] = f"SELECT {_text('s_suppkey', 'P')} AS park_id, s_name AS name, CASE WHEN s_suppkey % 3 = 0 THEN s_name END AS aka, concat('C', CAST(s_nationkey AS VARCHAR(9))) AS city, CAST(s_nationkey AS VARCHAR(9)) AS state, {_day("'1920-04-01'")} AS start_date, CASE WHEN s_suppkey % 2 = 0 THEN {_day("'1960-10-01'")} END AS end_date, CASE WHEN s_nationkey > 9 THEN 'AL' ELSE 'NL' END AS league, CAST(s_acctbal AS VARCHAR(20)) AS notes FROM {{supplier}}"
+RAW["raw_schedule"] = f"SELECT {_day('o_orderdate')} AS date, o_orderkey % 3 AS double_header, o_orderpriority AS day_of_week, o_orderkey % 25 AS visiting_team, 'AL' AS visiting_team_league, o_orderkey % 154 AS visiting_team_game_number, o_custkey % 25 AS home_team, 'NL' AS home_team_league, o_custkey % 154 AS home_team_game_number, CASE WHEN o_orderkey % 2 = 0 THEN 'D' ELSE 'N' END AS day_night, CASE WHEN o_orderstatus = 'P' THEN 'rain' END AS postponement_indicator, CASE WHEN o_orderstatus = 'P' THEN CAST(o_orderkey AS VARCHAR(20)) END AS makeup_dates, {_text('o_custkey % 30', 'P')} AS park_id FROM {{orders}}"
+RAW["raw_databank_people"] = f"SELECT {_text('c_custkey', 'd')} AS player_id, CASE WHEN c_custkey % 9 > 0 THEN c_custkey END AS retro_id, {_text('c_custkey', 'b')} AS bbref_id, 1870 + c_nationkey AS birth_year, c_custkey % 12 + 1 AS birth_month, c_custkey % 28 + 1 AS birth_day, c_name AS name_last, c_mktsegment AS name_first, 150 + c_custkey % 90 AS weight, 60 + c_custkey % 18 AS height, CASE WHEN c_custkey % 3 > 0 THEN 'R' END AS bats, {_day("'1900-05-01'")} AS debut FROM {{customer}}"
+_OF = "concat('d', CAST(l_partkey % 60 AS VARCHAR(20))) AS player_id, CAST(1916 + l_suppkey % 12 AS INTEGER) AS year_id, concat('T', CAST(l_suppkey % 25 AS VARCHAR(9))) AS team_id"
+RAW["raw_databank_fielding_games"] = f"SELECT {_OF}, CASE WHEN l_suppkey % 2 = 0 THEN 'AL' ELSE 'NL' END AS lg_id, l_linenumber % 2 + 1 AS stint, {_pick('CAST(floor(l_partkey / 60) % 8 AS INTEGER)', ['P', 'C', '1B', '2B', '3B', 'SS', 'OF', 'OF'])} AS pos, CAST(count(*) AS BIGINT) AS g, CASE WHEN l_suppkey % 5 > 0 THEN CAST(sum(l_quantity) AS BIGINT) END AS inn_outs FROM {{lineitem}} GROUP BY 1, 2, 3, 4, 5, 6, l_suppkey % 5"
+RAW["raw_databank_fielding_of"] = f"SELECT {_OF}, l_linenumber % 2 + 1 AS stint, {_sum('l_partkey % 4', 'g_lf')}, {_sum('l_suppkey % 4', 'g_cf')}, {_sum('l_linenumber % 3', 'g_rf')} FROM {{lineitem}} GROUP BY 1, 2, 3, 4"
+RAW["raw_databank_appearances"] = f"SELECT {_OF}, CASE WHEN l_suppkey % 3 = 0 THEN 'AL' ELSE 'FL' END AS lg_id, CAST(count(*) AS BIGINT) AS g_all, {_sum('l_partkey % 4', 'g_lf')}, {_sum('l_suppkey % 4', 'g_cf')}, {_sum('l_linenumber % 3', 'g_rf')} FROM {{lineitem}} GROUP BY 1, 2, 3, 4"
+
+GIVEN = ("events", "orders", "lineitem", "customer", "part", "nation", "region", "supplier")

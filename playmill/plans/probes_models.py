@@ -10,8 +10,10 @@ from ..models import MODELS, Catalogue
 from ..models import stats as S
 from ..models.analyses import BALL_FACTS, PITCH_FACTS
 from ..models.events import PITCH_RULES
+from ..models.expectancy import FACTORS
 from ..models.metric_tables import GRAINS, KINDS
 from ..models.rollups import _CREDITED, _JUDGED
+from ..models.staging import NAMED
 from ..models.states import POSITIONS
 from ..operators import metrics as M
 from .model_sources import GIVEN, RAW
@@ -55,6 +57,22 @@ SQL["stg_gamelog"] = "SELECT * EXCLUDE (double_header, forfeit, park, kind), CAS
 SQL["stg_games"] = """SELECT * REPLACE (coalesce(sky, 'Unknown') AS sky, CASE WHEN attendance > 0 THEN attendance END AS attendance, coalesce(use_dh, false) AS use_dh), game_id * 255 AS game_key FROM (
  SELECT *, 'PlayByPlay' AS source_type FROM raw_games UNION ALL BY NAME SELECT *, 'BoxScore' AS source_type FROM raw_box_games WHERE game_id NOT IN (SELECT game_id FROM raw_games))"""
 
+
+def _named_sql(raw: str, columns: str) -> str:
+    parts = [(p.split(":") + ["", ""])[:3] for p in columns.split()]
+    return "SELECT " + ", ".join((f"CAST({old} AS BIGINT)" if kind else old) + f" AS {new or old}" for old, new, kind in parts) + f" FROM {raw}"
+
+
+SQL |= {name: _named_sql(*spec) for name, spec in NAMED.items()}
+SQL["stg_box_score_caught_stealing"] = "SELECT * EXCLUDE (season) FROM raw_box_score_caught_stealing WHERE season < 1919"
+SQL["stg_box_score_pinch_hitting_lines"] = "SELECT * EXCLUDE (hit_by_pitch), hit_by_pitch AS hit_by_pitches FROM raw_box_score_pinch_hitting_lines WHERE inning IS NOT NULL"
+SQL["stg_people"] = "SELECT retro_id AS player_id, bbref_id AS reference_player_id, player_id AS databank_player_id, birth_year, birth_month, birth_day, name_first AS first_name, name_last AS last_name, weight AS weight_pounds, height AS height_inches, bats, debut, row_number() OVER (ORDER BY databank_player_id) AS internal_id FROM raw_databank_people"
+SQL["stg_databank_appearances"] = """WITH f AS (SELECT * FROM raw_databank_fielding_games), o AS (SELECT *, sum(g) OVER (PARTITION BY player_id, year_id, team_id) AS team_g FROM f WHERE pos = 'OF'),
+ s AS (SELECT o.player_id, o.year_id, o.team_id, o.lg_id, stint, unnest([7, 8, 9]) AS fielding_position, unnest([CAST(round(g_lf * (g / team_g)) AS BIGINT), CAST(round(g_cf * (g / team_g)) AS BIGINT), CAST(round(g_rf * (g / team_g)) AS BIGINT)]) AS games_at_position FROM o JOIN raw_databank_appearances a USING (player_id, year_id, team_id)),
+ p AS (SELECT player_id, year_id, team_id, lg_id, stint, CASE pos WHEN 'P' THEN 1 WHEN 'C' THEN 2 WHEN '1B' THEN 3 WHEN '2B' THEN 4 WHEN '3B' THEN 5 WHEN 'SS' THEN 6 END AS fielding_position, g AS games_at_position FROM f WHERE pos <> 'OF' UNION ALL SELECT * FROM s),
+ t AS (SELECT player_id, year_id, team_id, stint, CAST(sum(inn_outs) AS BIGINT) AS n FROM f WHERE pos <> 'P' GROUP BY ALL HAVING sum(inn_outs) IS NOT NULL)
+ SELECT w.player_id, databank_player_id, p.year_id AS season, p.stint, c.team_id, coalesce(a.lg_id, p.lg_id) AS league_id, fielding_position, games_at_position, g_all AS games_total, coalesce(n, 0) AS outs_played FROM p JOIN raw_databank_appearances a USING (player_id, year_id, team_id) LEFT JOIN t ON t.player_id = p.player_id AND t.year_id = p.year_id AND t.team_id = p.team_id AND t.stint = p.stint JOIN stg_people w ON w.databank_player_id = p.player_id LEFT JOIN team_crosswalk c ON c.register_team = p.team_id WHERE w.player_id IS NOT NULL AND games_at_position > 0"""
+
 # Events
 
 SQL["event_double_plays"] = "SELECT event_key, bool_or(is_double_play) AS is_double_play, bool_or(is_triple_play) AS is_triple_play, bool_or(is_ground_ball_double_play) AS is_ground_ball_double_play FROM stg_event_flags JOIN seed_double_play_flag_types USING (flag) GROUP BY 1"
@@ -121,7 +139,7 @@ FROM stg_events e LEFT JOIN r ON r.event_key = e.event_key LEFT JOIN seed_plate_
 _score = lambda side, less: f"CAST(sum(CASE WHEN batting_side = '{side}' THEN runs_on_play ELSE 0 END) OVER (PARTITION BY game_id ORDER BY event_key ROWS UNBOUNDED PRECEDING){' - CASE WHEN batting_side = ' + repr(side) + ' THEN runs_on_play ELSE 0 END' if less else ''} AS BIGINT)"
 SQL["event_score_states"] = "SELECT event_key, " + ", ".join(f"{_score(s.title(), x == 'start')} AS score_{s}_{x}" for s in ("home", "away") for x in ("start", "end")) + ", CAST(runs_on_play AS BIGINT) AS runs_on_play FROM stg_events"
 SQL["event_base_out_states"] = """SELECT e.event_key, game_id, inning AS inning_start, inning AS inning_end, CASE batting_side WHEN 'Away' THEN 'Top' ELSE 'Bottom' END AS frame_start, CASE batting_side WHEN 'Away' THEN 'Top' ELSE 'Bottom' END AS frame_end, outs AS outs_start, inning * 3 - 3 + outs AS inning_in_outs_start, outs_on_play, outs + outs_on_play AS outs_end, base_state AS base_state_start,
- lead(base_state) OVER w AS base_state_end, runners_count AS runners_count_start, base_state % 2 = 1 AND outs < 2 AS is_gidp_eligible, lag(e.event_key) OVER w IS NULL AS frame_start_flag, lead(e.event_key) OVER w IS NULL AS frame_end_flag, lead(e.event_key) OVER (PARTITION BY game_id ORDER BY e.event_key) IS NULL AS game_end_flag, e.runs_on_play, score_home_start, score_away_start, score_home_end, score_away_end
+ lead(base_state) OVER w AS base_state_end, runners_count AS runners_count_start, base_state % 2 = 1 AND outs < 2 AS is_gidp_eligible, lag(e.event_key) OVER w IS NULL AS frame_start_flag, lead(e.event_key) OVER w IS NULL AS frame_end_flag, lead(e.event_key) OVER w IS NULL AND outs + outs_on_play <> 3 AS truncated_frame_flag, lead(e.event_key) OVER (PARTITION BY game_id ORDER BY e.event_key) IS NULL AS game_end_flag, e.runs_on_play, score_home_start, score_away_start, score_home_end, score_away_end
 FROM stg_events e JOIN event_score_states s USING (event_key) WINDOW w AS (PARTITION BY game_id, inning, batting_side ORDER BY e.event_key)"""
 SQL["event_states_batter_pitcher"] = """WITH f AS (SELECT event_key, max(fielding_position) AS p FROM stg_events e JOIN stg_game_fielding_appearances a ON a.game_id = e.game_id AND a.player_id = e.batter_id AND e.event_id BETWEEN a.start_event_id AND a.end_event_id GROUP BY 1),
 h AS (SELECT e.*, bp.bats, pp.throws, CASE WHEN specified_batter_hand IS NOT NULL THEN specified_batter_hand WHEN bp.bats = 'B' AND pp.throws = 'L' THEN 'R' WHEN bp.bats = 'B' AND pp.throws = 'R' THEN 'L' ELSE nullif(bp.bats, 'B') END AS bh FROM stg_events e LEFT JOIN people bp ON bp.player_id = e.batter_id LEFT JOIN people pp ON pp.player_id = e.pitcher_id)
@@ -220,7 +238,7 @@ SELECT j.*, CAST(CASE WHEN first_fielding_position = fielding_position OR games_
 _tg = ["outs_played", "plate_appearances_in_field", "plate_appearances_in_field_with_ball_in_play", "putouts", "assists", "errors", "stolen_bases", "caught_stealing", "pickoffs", "double_plays", "triple_plays", "ground_ball_double_plays", "reaching_errors", "unknown_putouts", "incomplete_events"]
 _pc = ["putouts", "assists", "errors", "fielders_choices", "assisted_putouts", "in_play_putouts", "in_play_assists", "passed_balls"]
 _flip = "CASE WHEN running_side = 'Away' THEN 'Home' ELSE 'Away' END"
-SQL["team_game_fielding_stats"] = f"""WITH g AS (SELECT game_id, team_id, {total(_tg)} FROM event_fielding_stats GROUP BY 1, 2), p AS (SELECT game_id, team_id, {total(_pc)} FROM player_position_game_fielding_stats GROUP BY 1, 2), sb AS (SELECT game_id, {_flip} AS side, count(*) AS n FROM stg_box_score_stolen_bases GROUP BY 1, 2), cs AS (SELECT game_id, {_flip} AS side, count(*) AS n FROM stg_box_score_caught_stealing GROUP BY 1, 2), dp AS (SELECT game_id, side, count(*) AS n FROM stg_box_score_double_plays GROUP BY 1, 2), tp AS (SELECT game_id, side, count(*) AS n FROM stg_box_score_triple_plays GROUP BY 1, 2),
+SQL["team_game_fielding_stats"] = f"""WITH g AS (SELECT game_id, team_id, {total(_tg)} FROM event_fielding_stats GROUP BY 1, 2), p AS (SELECT game_id, team_id, {total(_pc)} FROM player_position_game_fielding_stats GROUP BY 1, 2), sb AS (SELECT game_id, {_flip} AS side, count(*) AS n FROM stg_box_score_stolen_bases GROUP BY 1, 2), cs AS (SELECT game_id, {_flip} AS side, count(*) AS n FROM stg_box_score_caught_stealing GROUP BY 1, 2), dp AS (SELECT game_id, defense_side AS side, count(*) AS n FROM stg_box_score_double_plays GROUP BY 1, 2), tp AS (SELECT game_id, defense_side AS side, count(*) AS n FROM stg_box_score_triple_plays GROUP BY 1, 2),
 i AS (SELECT game_id, season, team_id, team_side AS side FROM team_game_start_info)
 SELECT season, game_id, team_id, coalesce(t.outs_played, g.outs_played, p.putouts) AS outs_played, {each(["putouts", "assists", "errors"], "greatest(t.{0}, p.{0}, g.{0})")}, {each(_pc[3:7], "p.{0}")}, coalesce(t.passed_balls, p.passed_balls) AS passed_balls, coalesce(g.stolen_bases, sb.n, 0) AS stolen_bases, coalesce(g.caught_stealing, cs.n, 0) AS caught_stealing, coalesce(g.double_plays, dp.n, 0) AS double_plays, coalesce(g.triple_plays, tp.n, 0) AS triple_plays,
  {each(["pickoffs", "plate_appearances_in_field", "plate_appearances_in_field_with_ball_in_play", "ground_ball_double_plays", "reaching_errors", "unknown_putouts", "incomplete_events"], "g.{0}")} FROM p JOIN i USING (game_id, team_id) LEFT JOIN g USING (game_id, team_id) LEFT JOIN stg_box_score_team_fielding_lines t USING (game_id, side) LEFT JOIN sb USING (game_id, side) LEFT JOIN cs USING (game_id, side) LEFT JOIN dp USING (game_id, side) LEFT JOIN tp USING (game_id, side)"""
@@ -303,6 +321,37 @@ a AS (SELECT game_id, CAST(sum(u) AS BIGINT) AS total_unknown_putouts, max(rate)
 
 _above_names = ["bases_aa", "outs_aa", "run_value"]
 #: Fractions of each model, which both sides round.
+# Values of states, and factors
+
+SQL["run_expectancy_matrix"] = """SELECT run_expectancy_start_key AS run_expectancy_key, any_value(league_group) AS league_group, any_value(season_group) AS season_group, any_value(outs_start) AS outs, any_value(base_state_start) AS base_state, round(avg(r), 2) AS avg_runs_scored, round(coalesce(var_samp(r), 2), 0) AS variance_runs_scored, count(*) AS sample_size
+FROM (SELECT *, CAST(sum(runs_on_play) OVER w AS BIGINT) AS r FROM event_states_full WHERE game_type = 'RegularSeason' AND inning_start < 9 WINDOW w AS (PARTITION BY game_id, frame_start, inning_start ORDER BY event_id ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) QUALIFY NOT bool_or(truncated_frame_flag) OVER w) GROUP BY 1"""
+SQL["win_expectancy_matrix"] = """WITH s AS (SELECT win_expectancy_start_key AS k, inning_group_start AS inning, frame_start AS frame, truncated_home_margin_start AS m, outs_start AS outs, base_state_start AS base_state, CASE WHEN home_margin_start = 0 THEN 0 WHEN home_margin_start BETWEEN 1 AND 3 THEN 1 WHEN home_margin_start BETWEEN 4 AND 6 THEN 2 WHEN home_margin_start > 6 THEN 3 WHEN home_margin_start BETWEEN -3 AND -1 THEN -1 WHEN home_margin_start BETWEEN -6 AND -4 THEN -2 ELSE -3 END AS bucket, base_state_start > 0 AS runners,
+ last(score_home_end > score_away_end) OVER w AS won FROM event_states_full WHERE game_id IN (SELECT game_id FROM stg_games WHERE bat_first_side = 'Away') WINDOW w AS (PARTITION BY game_id ORDER BY event_id ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) QUALIFY last(score_home_end <> score_away_end) OVER w AND last(inning_start) OVER w >= 9),
+ a AS (SELECT k AS win_expectancy_key, inning, frame, m AS truncated_home_margin, outs, base_state, bucket, runners, sum(CAST(won AS INTEGER)) AS w, count(*) AS n FROM s GROUP BY ALL)
+ SELECT win_expectancy_key, inning, frame, truncated_home_margin, outs, base_state, round((w + 10 * sum(w) OVER b / sum(n) OVER b) / (n + 10), 3) AS home_win_rate FROM a WINDOW b AS (PARTITION BY inning, frame, bucket, runners)"""
+SQL["event_transition_values"] = """SELECT *, CASE batting_side WHEN 'Home' THEN expected_home_win_change ELSE -expected_home_win_change END AS expected_batting_win_change FROM (SELECT event_key, run_expectancy_start_key, run_expectancy_end_key, win_expectancy_start_key, win_expectancy_end_key, s.season, league, game_type, batting_side, runs_on_play, game_end_flag, round(runs_on_play + coalesce(rb.avg_runs_scored, 0) - ra.avg_runs_scored, 3) AS expected_runs_change,
+ round(CASE WHEN game_end_flag AND truncated_home_margin_end > 0 THEN 1 - wa.home_win_rate WHEN game_end_flag THEN 0 - wa.home_win_rate ELSE wb.home_win_rate - wa.home_win_rate END, 3) AS expected_home_win_change FROM event_states_full s
+ LEFT JOIN run_expectancy_matrix ra ON ra.run_expectancy_key = run_expectancy_start_key LEFT JOIN run_expectancy_matrix rb ON rb.run_expectancy_key = run_expectancy_end_key LEFT JOIN win_expectancy_matrix wa ON wa.win_expectancy_key = win_expectancy_start_key LEFT JOIN win_expectancy_matrix wb ON wb.win_expectancy_key = win_expectancy_end_key
+ WHERE game_type = 'RegularSeason' AND NOT (game_end_flag AND truncated_home_margin_end = 0))"""
+SQL["leverage_index"] = """WITH t AS (SELECT win_expectancy_start_key, win_expectancy_end_key, count(*) AS n, avg(abs(expected_home_win_change)) AS w, avg(abs(expected_runs_change)) AS r FROM event_transition_values GROUP BY 1, 2), a AS (SELECT win_expectancy_start_key, CAST(sum(n) AS BIGINT) AS agg_sample_size, sum(w * n) / sum(n) AS w, sum(r * n) / sum(n) AS r FROM t GROUP BY 1)
+ SELECT win_expectancy_start_key, round(round(w, 9), 3) AS win_leverage_unscaled, round(round(r, 9), 3) AS run_leverage_unscaled, round(round(w / (SELECT sum(w * agg_sample_size) / sum(agg_sample_size) FROM a), 9), 2) AS win_leverage_index, round(round(r / (SELECT sum(r * agg_sample_size) / sum(agg_sample_size) FROM a), 9), 2) AS run_leverage_index, agg_sample_size FROM a"""
+
+
+def _factor_sql(stats: list[str], size: str, keep: str = "true", hands: bool = False, odds: bool = True) -> str:
+    every, h = [size, *stats], ", batter_hand" if hands else ""
+    mean = lambda s, x: f"sum({x}{s} / {x}{size} * e) / sum(e)"
+    ratio = "round(round((a_{0} / nullif(1 - a_{0}, 0)) / nullif(b_{0} / nullif(1 - b_{0}, 0), 0), 9), 2)" if odds else "round(round(a_{0} / nullif(b_{0}, 0), 9), 2)"
+    return f"""WITH u AS (SELECT park_id, season, home_league AS league FROM game_start_info WHERE game_type = 'RegularSeason' GROUP BY 1, 2, 3 HAVING count(*) > 25),
+l AS (SELECT s.park_id, s.season, s.league, s.batter_id, s.pitcher_id, min(batter_hand) AS batter_hand, {each(every, "sum(o.{0})")} FROM event_states_full s JOIN event_offense_stats o USING (event_key) JOIN u ON u.season = s.season AND u.league = s.league AND u.park_id = s.park_id WHERE game_type = 'RegularSeason' AND NOT is_interleague AND {keep}{" AND batter_hand IN ('L', 'R')" if hands else ""} GROUP BY 1, 2, 3, 4, 5 HAVING sum(o.{size}) > 0),
+y AS (SELECT l.park_id, u.season, l.league, CAST(batter_id AS VARCHAR) AS batter_id, CAST(pitcher_id AS VARCHAR) AS pitcher_id{h}, {each(every, "CAST(sum(l.{0}) AS DOUBLE)")} FROM l JOIN u ON u.park_id = l.park_id AND u.league = l.league AND l.season BETWEEN u.season - 2 AND u.season GROUP BY ALL),
+v AS (SELECT season, league{h}, {each(stats, f"sum({{0}}) / sum({size})")} FROM y GROUP BY ALL), x AS (SELECT * FROM y UNION ALL BY NAME SELECT park_id, season, league, 'prior' AS batter_id, 'prior' AS pitcher_id{h}, 1000.0 AS {size}, {each(stats, "1000.0 * {0}")} FROM u JOIN v USING (season, league)),
+j AS (SELECT a.*, b.park_id AS other, {', '.join(f'b.{s} AS o_{s}' for s in every)}, sqrt(least(a.{size}, b.{size})) AS w FROM x a JOIN x b ON a.season = b.season AND a.batter_id = b.batter_id AND a.pitcher_id = b.pitcher_id AND a.park_id <> b.park_id{" AND a.batter_hand = b.batter_hand" if hands else ""}),
+k AS (SELECT *, sum(w) OVER (PARTITION BY park_id, other, season, league) AS t FROM j), n AS (SELECT *, w * max(t) OVER (PARTITION BY park_id, season, league) / t AS e FROM k),
+g AS (SELECT park_id, season, league{h}, round(sum(w), 0) AS sqrt_sample_size, {', '.join(f"{mean(s, '')} AS a_{s}, {mean(s, 'o_')} AS b_{s}" for s in stats)} FROM n GROUP BY ALL) SELECT park_id, season, league{h}, sqrt_sample_size, {', '.join(f"{ratio.format(s)} AS {s}_factor" for s in stats)} FROM g"""
+
+
+SQL |= {f"park_factors_{name}": _factor_sql(**variant) for name, variant in FACTORS.items()}
+
 FRACTIONS = {
     "runner_advance_expectancy": [*_above_names, "run_value_per_100"], "fielder_advance_expectancy": [*_above_names, *[f"{c}_per_pa" for c in _above_names]], "hit_vs_out_spray": ["avg", "hit_share", "out_share"], "hit_vs_out_spray_air": ["avg", "hit_share", "out_share"],
     "fielder_location_shares": ["batting_average"], "outfield_hits": ["hit_gb_rate"], "ground_ball_hits": ["r2_infield", "r2_outfield"], "gb_babip_correlations": [f"{x}_corr" for x in _gb], "scorekeeper_tendencies_contact": [*_contact], "scorekeeper_tendencies_location": ["plays", *_loc],
@@ -380,7 +429,7 @@ def oracle(name: str) -> str:
 
 
 #: Models that many others read: tables of the catalogue, as long as a session reads the same folder.
-SHARED = ("game_start_info", "event_states_batter_pitcher", "calc_batted_ball_type", "event_batted_ball_stats", "event_batting_stats", "event_baserunning_stats", "event_offense_stats", "event_pitching_stats", "event_fielding_stats", "event_player_fielding_stats", "player_game_offense_stats", "player_game_pitching_stats", "player_position_game_fielding_stats", "team_game_start_info", "player_team_season_offense_stats", "player_team_season_pitching_stats", "player_position_team_season_fielding_stats")
+SHARED = ("game_start_info", "event_states_full", "event_transition_values", "event_states_batter_pitcher", "calc_batted_ball_type", "event_batted_ball_stats", "event_batting_stats", "event_baserunning_stats", "event_offense_stats", "event_pitching_stats", "event_fielding_stats", "event_player_fielding_stats", "player_game_offense_stats", "player_game_pitching_stats", "player_position_game_fielding_stats", "team_game_start_info", "player_team_season_offense_stats", "player_team_season_pitching_stats", "player_position_team_season_fielding_stats")
 _kept: dict[tuple[str, str], Catalogue] = {}
 
 
