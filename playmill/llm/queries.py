@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, lm_scoring, mixing, quality_classifier, quality_rules, simhash, sp_codec, suffix_dedup, topk_search, toxicity
+from . import line_dedup, lm_scoring, mixing, quality_classifier, quality_rules, simhash, sp_codec, suffix_dedup, token_alignment, topk_search, toxicity
 from .common import read_table
 from .training import remainder
 
-#: Names a file of the installed tokenizer package; see the README.
+#: Name files of the installed tokenizer package; see the README.
 PIECES = "piece_bpe_32k.model"
+BYTE_LEVEL = "byte_bpe_50k.json"
 
 
 def tokenizer_path(name: str = PIECES) -> str:
@@ -89,6 +90,10 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.aligned(read_table(spark, sf_dir, "documents"), tokenizer_path(BYTE_LEVEL), tokenizer_path())
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_quality_classifier": op2_quality_classifier,
@@ -100,5 +105,6 @@ QUERIES = {
     "op8_topk_search": op8_topk_search,
     "op9_toxicity": op9_toxicity,
     "op10_lm_scoring": op10_lm_scoring,
+    "op11_token_alignment": op11_token_alignment,
 }
 ORACLES: dict[str, str] = {"op4_line_dedup": line_dedup.oracle(), "op8_topk_search": topk_search.oracle()}
