@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, line_dedup, lm_scoring, mixing, quality_classifier, quality_rules, simhash, sp_codec, suffix_dedup, token_alignment, topk_search, toxicity
+from . import decontamination, hard_negatives, line_dedup, lm_scoring, mixing, quality_classifier, quality_rules, simhash, sp_codec, suffix_dedup, token_alignment, topk_search, toxicity
 from .common import read_table
 from .training import remainder
 
@@ -94,6 +94,15 @@ def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_alignment.aligned(read_table(spark, sf_dir, "documents"), tokenizer_path(BYTE_LEVEL), tokenizer_path())
 
 
+#: The label that op12 goes by, as Spark and DuckDB say it.
+SHIFTED_LABEL = "CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END"
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = hard_negatives.usable(read_table(spark, sf_dir, "embeddings"), F.expr(SHIFTED_LABEL))
+    return hard_negatives.mine(rows, F.col("vec_id") % 100 == 0)
+
+
 def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", "n_items", _hex("items").alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
@@ -111,6 +120,7 @@ QUERIES = {
     "op9_toxicity": op9_toxicity,
     "op10_lm_scoring": op10_lm_scoring,
     "op11_token_alignment": op11_token_alignment,
+    "op12_hard_negatives": op12_hard_negatives,
     "op13_decontamination": op13_decontamination,
 }
-ORACLES: dict[str, str] = {"op4_line_dedup": line_dedup.oracle(), "op8_topk_search": topk_search.oracle(), "op13_decontamination": decontamination.oracle()}
+ORACLES: dict[str, str] = {"op4_line_dedup": line_dedup.oracle(), "op8_topk_search": topk_search.oracle(), "op12_hard_negatives": hard_negatives.oracle(SHIFTED_LABEL), "op13_decontamination": decontamination.oracle()}

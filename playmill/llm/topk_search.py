@@ -109,7 +109,7 @@ def _kept(ids: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.n
     return ids[order], scores[order]
 
 
-def _by_dimension(batch: pa.RecordBatch):
+def by_dimension(batch: pa.RecordBatch):
     """Rows of each dimension: which rows they are, and their vectors as a matrix."""
     lists = batch.column("v")
     sizes, flat = lists.value_lengths().to_numpy(zero_copy_only=False), lists.flatten().to_numpy()
@@ -148,8 +148,8 @@ def top_k(vectors: DataFrame, asks: Column, k: int = 5) -> DataFrame:
                 if parts:
                     table = pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
                     ids, times = table.column("vec_id").to_numpy(), table.column("times").to_numpy()
-                    held, parts = {dim: Group(ids[rows], x, times[rows]) for dim, rows, x in _by_dimension(table)}, []
-                for dim, rows, q in _by_dimension(part):
+                    held, parts = {dim: Group(ids[rows], x, times[rows]) for dim, rows, x in by_dimension(table)}, []
+                for dim, rows, q in by_dimension(part):
                     if dim in held:
                         found = held[dim].search(part.column("vec_id").to_numpy()[rows], q, k)
                         again = np.repeat(rows, [len(i) for i, _ in found])
