@@ -31,7 +31,7 @@ import hashlib
 import os
 import pickle
 import re
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -44,7 +44,9 @@ from .common import map_texts, text_bytes, written
 from .sp_codec import MARK, Codec
 
 #: Distinct stretches that a worker keeps; when there are more, it starts anew.
-KEPT = 200_000
+KEPT = 400_000
+#: Characters of stretches that are encoded in one call, about.
+CHUNK = 1 << 16
 #: Bytes of stretches above which they aren't kept for the next slice.
 KEPT_BYTES = 16 << 20
 #: Keys of a shard of the hash, about, and counts of a block of a vector.
@@ -77,6 +79,39 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(rest)}
 
 
+def _by_rank(path: str, tokens: list[bytes | None]):
+    """A faster encoder of the same tokens, if the vocabulary's merges come in the order of their ids and it cuts words by the byte-level pattern; else None."""
+    import json
+
+    import tiktoken
+
+    with open(path, encoding="utf-8") as f:
+        made = json.load(f)
+    model, cut = made["model"], made.get("pre_tokenizer") or {}
+    plain = model.get("type", "BPE") == "BPE" and cut.get("type") == "ByteLevel" and cut.get("use_regex", True) and not cut.get("add_prefix_space") and not made.get("normalizer") and not model.get("dropout")
+    merged = [model["vocab"]["".join(m if isinstance(m, list) else m.split(" "))] for m in model["merges"]]
+    if not plain or any(x >= y for x, y in zip(merged, merged[1:])):
+        return None
+    pattern = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+    return tiktoken.Encoding("a", pat_str=pattern, mergeable_ranks={t: i for i, t in enumerate(tokens) if t is not None}, special_tokens={}).encode_ordinary
+
+
+def _chunks(units: list[str]) -> Iterator[tuple[list[int], str]]:
+    """Places of stretches, and the text that they make up: several where none begins with white space or ends with a space, else each alone."""
+    own, size = [], 0
+    for i, u in enumerate(units):
+        if not u or u[-1] == " " or u[0].isspace():
+            yield [i], " " + u
+            continue
+        own.append(i)
+        size += len(u)
+        if size > CHUNK:
+            yield own, "".join([" " + units[k] for k in own])
+            own, size = [], 0
+    if own:
+        yield own, "".join([" " + units[k] for k in own])
+
+
 class Aligner:
     """What a worker knows of the stretches met so far, each by its number."""
 
@@ -85,18 +120,24 @@ class Aligner:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.a, codec = Tokenizer.from_file(path_a), Codec(path_b)
-        self.a.encode_special_tokens = True
+        a, codec = Tokenizer.from_file(path_a), Codec(path_b)
+        a.encode_special_tokens = True
         if not codec.by_word or codec.squeeze or codec.map.units is not None or not codec.dummy:
             raise ValueError("the second vocabulary must keep every byte, fall back to bytes and have no piece across words")
         self.b = codec.model
-        alphabet, n = byte_alphabet(), self.a.get_vocab_size()
-        tokens = [self.a.id_to_token(i) or "" for i in range(n)]
-        self.bytes_a = [bytes(map(alphabet.__getitem__, t)) if all(c in alphabet for c in t) else t.encode() for t in tokens]
+        alphabet, n = byte_alphabet(), a.get_vocab_size()
+        special = set(a.get_added_tokens_decoder())
+        tokens = [None if i in special else a.id_to_token(i) for i in range(n)]
+        tokens = [None if t is None else bytes(map(alphabet.__getitem__, t)) for t in tokens]
+        self.slow, self.fast = lambda text: a.encode(text, add_special_tokens=False).ids, _by_rank(path_a, tokens)
+        self.bytes_a = [t or b"" for t in tokens]
         plain = codec.plain
         pieces = [plain.id_to_piece(i) for i in range(plain.get_piece_size())]
         self.bytes_b = [bytes([int(p[3:5], 16)]) if plain.is_byte(i) else b"" if plain.is_control(i) or plain.is_unknown(i) else p.encode().replace(MARK, b" ") for i, p in enumerate(pieces)]
         self.sizes_a, self.sizes_b = (np.array(list(map(len, x)), np.int64) for x in (self.bytes_a, self.bytes_b))
+        # How an id is written: within its group, and at the end of its part of it.
+        self.written = [b"%d%s" % (i, end) for m, ends in ((n, (b",", b"|")), (len(pieces), (b",", b";"))) for i in range(m) for end in ends]
+        self.width = np.array(list(map(len, self.written)), np.int64)
         self.forget()
 
     def forget(self) -> None:
@@ -130,34 +171,57 @@ class Aligner:
             self._learn(new)
         return np.array(number, np.int64), np.array(sizes, np.int64)
 
+    def _encoded(self, text: str) -> tuple[list[int], list[int]] | None:
+        """Ids of A and B of a text that begins with a space, or None if one of them doesn't give its bytes back."""
+        # Letters and digits of scripts beyond these may be told apart anew by a later version of either library.
+        fast = self.fast and (text.isascii() or max(text) < "\u0250")
+        a, b = (self.fast if fast else self.slow)(text), self.b.encode(text.replace(" ", MARK.decode()), num_threads=1)
+        source = text.encode()
+        same = b"".join(map(self.bytes_a.__getitem__, a)) == source == b"".join(map(self.bytes_b.__getitem__, b))
+        return (a, b) if same else None
+
     def _learn(self, new: list[str]) -> None:
-        ids_a = [x.ids for x in self.a.encode_batch([" " + u for u in new], add_special_tokens=False)]
-        mark = MARK.decode()
-        ids_b = self.b.encode([mark + u.replace(" ", mark) for u in new], num_threads=1)
-        source = [b" " + u.encode() for u in new]
-        fine = np.array([b"".join(map(self.bytes_a.__getitem__, a)) == s == b"".join(map(self.bytes_b.__getitem__, b)) for a, b, s in zip(ids_a, ids_b, source)])
-        good = np.flatnonzero(fine).tolist()
-        flat_a, flat_b = (np.array([i for k in good for i in ids[k]], np.int64) for ids in (ids_a, ids_b))
+        flat_a, flat_b, order, bad = [], [], [], []
+        for own, text in _chunks(new):
+            found = self._encoded(text)
+            if found is None and len(own) > 1:
+                found = [], []
+                for k in own:
+                    one = self._encoded(" " + new[k])
+                    (order if one else bad).append(k)
+                    for x, y in zip(found, one or ((), ())):
+                        x += y
+            else:
+                (order if found else bad).extend(own)
+            flat_a += found[0] if found else ()
+            flat_b += found[1] if found else ()
+        flat_a, flat_b, order = np.array(flat_a, np.int64), np.array(flat_b, np.int64), np.array(order, np.int64)
         ends_a, ends_b = np.cumsum(self.sizes_a[flat_a]), np.cumsum(self.sizes_b[flat_b])
-        whole = np.cumsum([len(source[k]) for k in good], dtype=np.int64)
-        ends, both = np.union1d(ends_a, ends_b), np.intersect1d(ends_a, ends_b, assume_unique=True)
+        whole = np.cumsum([1 + len(new[k].encode()) for k in order.tolist()], dtype=np.int64)
+        both = ends_a[np.isin(ends_a, ends_b, assume_unique=True)]
+        ends = np.sort(np.concatenate([ends_a, np.setdiff1d(ends_b, both, assume_unique=True)]))
         links = flat_a[np.searchsorted(ends_a, ends)] * WIDTH + flat_b[np.searchsorted(ends_b, ends)]
         numbers = np.zeros((5, len(new)), np.int64)
-        numbers[4] = ~fine
+        numbers[4, bad] = 1
         for row, marks in enumerate((ends_a, ends_b, both, ends)):
-            numbers[row, good] = np.diff(np.searchsorted(marks, whole, "right"), prepend=0)
-        self.starts = np.concatenate([self.starts, len(self.links) + np.cumsum(numbers[3]) - numbers[3]])
+            numbers[row, order] = np.diff(np.searchsorted(marks, whole, "right"), prepend=0)
+        starts = np.full(len(new), len(self.links))
+        starts[order] = len(self.links) + np.cumsum(numbers[3, order]) - numbers[3, order]
+        self.starts = np.concatenate([self.starts, starts])
         self.links = np.concatenate([self.links, links])
         self.numbers = np.concatenate([self.numbers, numbers], axis=1)
-        cuts_a, cuts_b = (np.searchsorted(x, both, "right").tolist() for x in (ends_a, ends_b))
-        text_a, text_b = (list(map(str, x.tolist())) for x in (flat_a, flat_b))
-        groups, i, j = [], 0, 0
-        for p, q in zip(cuts_a, cuts_b):
-            groups.append(",".join(text_a[i:p]) + "|" + ",".join(text_b[j:q]))
-            i, j = p, q
-        at = np.append(0, np.cumsum(numbers[2])).tolist()
-        self.spelled += [";".join(groups[x:y]).encode() for x, y in zip(at, at[1:])]
-        self.held += sum(map(len, source)) + 8 * len(links)
+        # Tokens by group, those of A first; each with what is written after it.
+        group_a, group_b = np.searchsorted(both, ends_a), np.searchsorted(both, ends_b)
+        code_a, code_b = (2 * flat + (ends == both[group]) for flat, ends, group in ((flat_a, ends_a, group_a), (flat_b, ends_b, group_b)))
+        codes = np.concatenate([code_a, code_b + 2 * len(self.bytes_a)])[np.argsort(np.concatenate([2 * group_a, 2 * group_b + 1]), kind="stable")]
+        text = b"".join(map(self.written.__getitem__, codes.tolist()))
+        tokens = np.cumsum(numbers[0, order] + numbers[1, order])
+        stops = np.append(0, np.cumsum(self.width[codes]))[tokens].tolist()
+        spelled = [b""] * len(new)
+        for k, start, stop in zip(order.tolist(), [0, *stops], stops):
+            spelled[k] = text[start : stop - 1]
+        self.spelled += spelled
+        self.held += sum(map(len, new))
 
     def pairs(self, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The distinct pairs of stretches that come so many times, and how often each is linked."""
@@ -265,11 +329,10 @@ _BUILT: dict[tuple, Aligner] = {}
 
 
 def _aligner(path_a: str, path_b: str, kept: int) -> Aligner:
-    """A worker's own, that knows nothing yet."""
+    """A worker's own, with what it knows from earlier tasks."""
     key = (path_a, path_b, kept)
     if key not in _BUILT:
         _BUILT[key] = Aligner(*key)
-    _BUILT[key].forget()
     return _BUILT[key]
 
 
@@ -282,14 +345,13 @@ def local_counts(docs: DataFrame, path_a: str, path_b: str, text_col: str = "tex
 
     def work(batches):
         aligner = _aligner(path_a, path_b, kept)
-        times, parts, waiting = np.zeros(0, np.int64), [], 0
+        times, parts, waiting = np.zeros(len(aligner.known), np.int64), [], 0
 
         def put_off():
             nonlocal times, waiting
             own = aligner.pairs(times)
             parts.append(own)
-            waiting, times = waiting + len(own[0]), np.zeros(0, np.int64)
-            aligner.forget()
+            waiting, times = waiting + len(own[0]), np.zeros(len(aligner.known), np.int64)
 
         def ready():
             keys, n = summed(*(np.concatenate(x) for x in zip(*parts)))
@@ -308,6 +370,8 @@ def local_counts(docs: DataFrame, path_a: str, path_b: str, text_col: str = "tex
             times = now
             if aligner.full:
                 put_off()
+                aligner.forget()
+                times = np.zeros(0, np.int64)
                 if waiting > 1 << 21:
                     yield from ready()
                     waiting = 0
@@ -443,23 +507,23 @@ def _looked_up(path_a: str, path_b: str, kept: int, sent, best, last: bool, spel
         aligner, (part, counts) = _aligner(path_a, path_b, kept), sent.value
         most = np.zeros(max(best.value, default=0) + 1, np.int64)
         most[list(best.value)] = list(best.value.values())
-        own = np.zeros((2, 0), np.int64)
+        own, seen = np.zeros((2, 0), np.int64), 0
         for batch in batches:
             if aligner.full:
                 aligner.forget()
-                own = np.zeros((2, 0), np.int64)
-            before = len(aligner.links)
+                own, seen = np.zeros((2, 0), np.int64), 0
             number, sizes = aligner.read(_texts(batch))
-            if len(own[0]) < len(aligner.known):  # counts of the links of what is new
-                links = aligner.links[before:]
+            if len(own[0]) < len(aligner.known):  # counts of the links of what is new here
+                new = slice(own.shape[1], None)
+                links = aligner.links[seen:]
+                seen = len(aligner.links)
                 at = part.index(links)
                 count = np.where(at < 0, 0, counts[at] if len(counts) else 0)
                 running = np.zeros((2, len(links) + 1), np.int64)
                 running[0, 1:] = np.cumsum((at >= 0) & (count == most[np.minimum(links % WIDTH, len(most) - 1)]))
                 running[1, 1:] = np.cumsum(count)
-                ends = np.cumsum(aligner.numbers[3, own.shape[1] :])
-                cuts = np.append(0, ends)
-                own = np.concatenate([own, np.diff(running[:, cuts], axis=1)], axis=1)
+                begins = aligner.starts[new] - (seen - len(links))
+                own = np.concatenate([own, running[:, begins + aligner.numbers[3, new]] - running[:, begins]], axis=1)
             full = np.flatnonzero(sizes)
             each = np.zeros((7, len(sizes)), np.int64)
             if len(full):

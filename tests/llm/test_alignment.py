@@ -9,7 +9,7 @@ import pytest
 from playmill.llm import queries, token_alignment
 from playmill.llm.token_alignment import PerfectHash, stretches
 
-ODD = ["", None, " ", "  two  spaces ", "a \n b\n\n  c \t\td", "x   y", "word▁mark", "<|endoftext|> <s> </s>", "it's they'LL  'tis", "日本語 テキスト\U0001f600 ế", "\x1c \x1d x", "\x00 \x85   y", "é" * 300, "ab" * 5000, "same text", "same text", "1234 5 67\r\n\r\n 8", " lead", "trail ", "\n"]
+ODD = ["", None, " ", "  two  spaces ", "a \n b\n\n  c \t\td", "x   y", "word▁mark", "<|endoftext|> <s> </s>", "it's they'LL  'tis", "日本語 テキスト\U0001f600 ế", "\x1c \x1d x", "\x00 \x85   y", "é" * 300, "ab" * 800, "same text", "same text", "1234 5 67\r\n\r\n 8", " lead", "trail ", "\n"]
 
 
 @pytest.fixture(scope="module")
@@ -60,7 +60,7 @@ def rows(df):
 @pytest.mark.parametrize("kept, most", [(200_000, 1 << 22), (5, 1500)])
 def test_alignment(spark, small, paths, monkeypatch, kept, most):
     """Also where workers start anew after a few stretches, and where the pairs need several rounds."""
-    given = [r["text"] for r in spark.read.parquet(f"{small}/documents.parquet").collect() if len(r["text"] or "") < 1500][:60]
+    given = [r["text"] for r in spark.read.parquet(f"{small}/documents.parquet").collect() if len(r["text"] or "") < 600][:60]
     texts = [*ODD, *given]
     ids = [None, *range(1, len(texts))]
     docs = spark.createDataFrame([(i, t, 1, "x") for i, t in zip(ids, texts)], "doc_id long, text string, n_a int, key string")
@@ -93,9 +93,9 @@ def test_query_digests_whole_groups(spark, small, paths):
     got = {r["doc_id"]: tuple(r)[1:] for r in queries.QUERIES["op11_token_alignment"](spark, small).collect()}
     texts = [(r["doc_id"], r["text"]) for r in docs.collect()]
     assert len(got) == len(texts)
-    short = [(i, t) for i, t in texts if len(t or "") < 3000]
+    short = [(i, t) for i, t in texts if len(t or "") < 800]
     want = dict(zip([i for i, _ in short], brute([t for _, t in short], paths)))
-    assert len(want) > 100
+    assert len(want) > 20
     for i, w in want.items():  # counts are of all texts, the rest of each
         assert (*got[i][:4], got[i][6]) == (*w[:4], w[6]) and got[i][5] >= w[5]
 
