@@ -7,7 +7,8 @@ with one space before it, so no piece crosses words and a word's sum is worked
 out once wherever it occurs. Every byte is a piece too, so any text can be
 segmented. The vocabulary's own scores, read as ranks, give the first weights
 (inverse to the rank); expectation maximisation over the counted words of the
-training rows then re-weights them.
+training rows then re-weights them, after which a piece's first weight acts no
+more but through where the passes began. Without training rows it is all there is.
 
 Next to it stands a plain model, add-one counts of words. Counts of the most
 frequent words (a number set beforehand) are sent to the tasks; the rest are
@@ -15,11 +16,14 @@ joined.
 
 Defined cases: a null text counts as empty; an empty text is the end alone;
 rows of equal id are scored one by one; with no training rows the first weights
-stay and the plain counts are zero; other columns are ignored.
+stay and the plain counts are zero; words of any length are scored whole, long
+ones in time and memory that grow with their length; other columns are ignored.
 """
 
 from __future__ import annotations
 
+import math
+from array import array
 from collections import Counter
 from dataclasses import dataclass
 from itertools import chain
@@ -30,7 +34,10 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_texts, text_bytes, written
+from .common import map_texts, parallelism, text_bytes, written
+
+#: Bytes above which a word is gone through arc by arc, and isn't among those sent to all tasks.
+LONG = 2048
 
 
 @dataclass(frozen=True)
@@ -42,6 +49,12 @@ class Settings:
     flush: int = 300_000  # distinct words a task counts before it passes them on
 
 
+def _log_sum(x: float, y: float) -> float:
+    if x < y:
+        x, y = y, x
+    return x if y == -math.inf else x + math.log1p(math.exp(y - x))
+
+
 class Lattice:
     """Pieces with log weights, ready for lookups over many words at once."""
 
@@ -104,9 +117,10 @@ class Lattice:
         return arcs, [padded[a] for a in arcs]
 
     def grouped(self, words: list[bytes], most: int = 1 << 16):
-        """Numbers of words of one length, at most so many bytes at a time, and their bytes as a matrix; a space comes first."""
+        """Numbers of words of one length, at most so many bytes at a time, and their bytes as a matrix; a space comes first. Long words are left out."""
         lengths = np.fromiter(map(len, words), np.int64, len(words))
         order = np.argsort(lengths, kind="stable")
+        order = order[lengths[order] <= LONG]
         for part in np.split(order, np.flatnonzero(np.diff(lengths[order])) + 1) if len(order) else []:
             n = int(lengths[part[0]]) + 1
             step = max(1, most // n)
@@ -114,9 +128,43 @@ class Lattice:
                 own = part[a : a + step]
                 yield own, np.frombuffer(b"".join(b" " + words[i] for i in own.tolist()), np.uint8).reshape(len(own), n)
 
+    def _long_arcs(self, word: bytes, weights: np.ndarray, back: bool = False):
+        """Start, length, piece and weight of each arc of a long word, some thousand starts at a time, in order of the start; blocks come last first if back."""
+        padded, size = np.frombuffer(word, np.uint8), 1 << 14
+        blocks = range(0, len(word), size)
+        for a in reversed(blocks) if back else blocks:
+            own = min(size, len(word) - a)
+            arcs = self.arcs(padded[None, a : a + own + self.longest - 1])
+            found = [(n, np.flatnonzero(f[0, :own] >= 0)) for n, f in enumerate(arcs, 1)]
+            k, at, piece = (np.concatenate(x) for x in zip(*((np.full(len(hit), n), hit, arcs[n - 1][0, hit]) for n, hit in found)))
+            order = np.lexsort((k, at))
+            k, at, piece = k[order], at[order], piece[order]
+            yield a + at, k, piece, weights[piece]
+
+    def _long_forward(self, word: bytes, weights: np.ndarray) -> array:
+        """Log sum over the segmentations of each prefix, arc by arc; a number for each byte is held, and arcs of one block."""
+        alpha = array("d", [-math.inf]) * (len(word) + 1)
+        alpha[0] = 0.0
+        for at, k, _, score in self._long_arcs(word, weights):
+            for s, n, w in zip(at.tolist(), k.tolist(), score.tolist()):
+                alpha[s + n] = _log_sum(alpha[s + n], alpha[s] + w)
+        return alpha
+
+    def _long_expected(self, word: bytes, count: float, weights: np.ndarray) -> np.ndarray:
+        alpha, beta = self._long_forward(word, weights), array("d", [-math.inf]) * (len(word) + 1)
+        beta[-1], out = 0.0, np.zeros(len(self.pieces))
+        before, after = np.frombuffer(alpha), np.frombuffer(beta)
+        for at, k, piece, score in self._long_arcs(word, weights, back=True):
+            for s, n, w in zip(at[::-1].tolist(), k[::-1].tolist(), score[::-1].tolist()):
+                beta[s] = _log_sum(beta[s], beta[s + n] + w)
+            out += np.bincount(piece, np.exp(before[at] + score + after[at + k] - alpha[-1]) * count, minlength=len(out))
+        return out
+
     def log_probabilities(self, words: list[bytes], weights: np.ndarray) -> np.ndarray:
         """Natural log of each word's probability, with the space before it, over all segmentations."""
         out = np.zeros(len(words))
+        for i in [i for i, w in enumerate(words) if len(w) > LONG]:
+            out[i] = self._long_forward(b" " + words[i], weights)[-1]
         for own, matrix in self.grouped(words):
             _, scores = self._scores(matrix, weights)
             out[own] = self.forward(scores, matrix.shape[1])[:, -1]
@@ -125,6 +173,8 @@ class Lattice:
     def expected(self, words: list[bytes], counts: np.ndarray, weights: np.ndarray) -> np.ndarray:
         """Expected number of each piece in the words, each taken as often as counted."""
         out = np.zeros(len(self.pieces))
+        for i in [i for i, w in enumerate(words) if len(w) > LONG]:
+            out += self._long_expected(b" " + words[i], float(counts[i]), weights)
         for own, matrix in self.grouped(words):
             length = matrix.shape[1]
             arcs, scores = self._scores(matrix, weights)
@@ -216,15 +266,22 @@ def score(docs: DataFrame, learnt: Column, model_path: str, id_col: str = "doc_i
         weights = weights + np.log(0.5)
     else:
         weights, end = reweighted(counts, n_docs, lattice, weights, s)
-    head = counts.orderBy(F.desc("n"), "word").limit(s.head).toArrow()
-    words = head.column("word").to_pylist()
-    shared = spark.sparkContext.broadcast((lattice, weights, words, np.asarray(head.column("n").to_numpy(), np.float64)))
+    own = spark.sparkContext.broadcast((lattice, weights))
+
+    def scored(batches):
+        lattice, weights = own.value
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(lattice.log_probabilities(batch.column("word").to_pylist(), weights))], ["word", "n", "log"])
+
+    # Frequent words are scored once for all tasks; LONG bounds their bytes.
+    head = counts.where(F.octet_length("word") <= LONG).orderBy(F.desc("n"), "word").limit(s.head)
+    head = head.repartition(parallelism(docs), "word").mapInArrow(scored, "word binary, n long, log double").toArrow()
+    shared = spark.sparkContext.broadcast((lattice, weights, *(head.column(c).to_pylist() for c in ("word", "n", "log"))))
 
     def work(batches):
-        lattice, weights, head_words, head_counts = shared.value
+        lattice, weights, head_words, head_counts, head_logs = shared.value
         first = {w: i for i, w in enumerate(head_words)}
-        n_head = len(first)
-        head_logs = lattice.log_probabilities(head_words, weights)
+        n_head, head_logs, head_counts = len(first), np.array(head_logs, np.float64), np.array(head_counts, np.float64)
         index, logs, rest = dict(first), head_logs, []
         row = (TaskContext.get().partitionId() if TaskContext.get() else 0) << 33
         plain = np.log10(head_counts + 1)

@@ -239,16 +239,16 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3, seed: in
 
 
 
-#: Smallest shingle hashes that name a text's shards; values of its signature.
+#: Defaults: smallest shingle hashes that name a text's shards; values of its signature.
 SHARDS, SIGNATURE = 4, 128
-#: What a signature may fall short of the likeness asked for; over three standard errors at 0.8.
+#: Default of what a signature may fall short of the likeness asked for; over three standard errors at 0.8.
 SLACK = 0.12
-_FACTORS = np.random.default_rng(13).integers(0, 2**31, SIGNATURE).astype(np.uint32) * np.uint32(2) + np.uint32(1)
 
 
-def signature(hashes: np.ndarray) -> np.ndarray:
-    """A byte from each of SIGNATURE min-hashes."""
-    least = ((hashes >> np.uint64(32)).astype(np.uint32)[:, None] * _FACTORS).min(0)
+def signature(hashes: np.ndarray, size: int = SIGNATURE) -> np.ndarray:
+    """A byte from each of ``size`` min-hashes."""
+    factors = np.random.default_rng(13).integers(0, 2**31, size).astype(np.uint32) * np.uint32(2) + np.uint32(1)
+    least = ((hashes >> np.uint64(32)).astype(np.uint32)[:, None] * factors).min(0)
     return ((least * np.uint32(0x9E3779B1)) >> np.uint32(24)).astype(np.uint8)
 
 
@@ -257,14 +257,14 @@ def alike(one: np.ndarray, others: np.ndarray) -> np.ndarray:
     return ((others == one).mean(1) - 1 / 256) / (1 - 1 / 256)
 
 
-def likely(prints: np.ndarray, signs: np.ndarray, mine: np.ndarray, asks: np.ndarray, radius: int, least: float) -> np.ndarray:
-    """Rows that have another within the radius whose signature is alike but for SLACK."""
+def likely(prints: np.ndarray, signs: np.ndarray, mine: np.ndarray, asks: np.ndarray, radius: int, least: float, slack: float = SLACK) -> np.ndarray:
+    """Rows that have another within the radius whose signature is alike but for slack."""
     flag = np.zeros(len(prints), bool)
     for node, hit in BKTree(prints[mine].tolist()).near(prints[asks], radius):
         row = mine[node]
         rows = asks[hit]
         rows = rows[(rows != row) & ~(flag[rows] & flag[row])]
-        rows = rows[alike(signs[row], signs[rows]) >= least - SLACK]
+        rows = rows[alike(signs[row], signs[rows]) >= least - slack]
         if len(rows):
             flag[row] = flag[rows] = True
     return np.flatnonzero(flag)
@@ -276,7 +276,7 @@ def likeness(one: np.ndarray, other: np.ndarray) -> float:
     return shared / (len(one) + len(other) - shared)
 
 
-def likeness_links(prints: np.ndarray, signs: np.ndarray, shingles: list[np.ndarray], mine: np.ndarray, asks: np.ndarray, radius: int, least: float) -> list[tuple[int, int]]:
+def likeness_links(prints: np.ndarray, signs: np.ndarray, shingles: list[np.ndarray], mine: np.ndarray, asks: np.ndarray, radius: int, least: float, slack: float = SLACK) -> list[tuple[int, int]]:
     """Pairs of rows that join all that are alike as counted, no more than rows are; only counted links spare a later count."""
     label, found = np.arange(len(prints)), []
     sizes = np.array(list(map(len, shingles)))
@@ -286,7 +286,7 @@ def likeness_links(prints: np.ndarray, signs: np.ndarray, shingles: list[np.ndar
         rows = rows[label[rows] != label[row]]
         rows = rows[np.minimum(sizes[rows], sizes[row]) / np.maximum(sizes[rows], sizes[row]) >= least]
         if len(rows):
-            for other in rows[alike(signs[row], signs[rows]) >= least - SLACK].tolist():
+            for other in rows[alike(signs[row], signs[rows]) >= least - slack].tolist():
                 if label[other] != label[row] and likeness(shingles[row], shingles[other]) >= least:
                     found.append((int(row), other))
                     label[label == label[other]] = label[row]
@@ -297,16 +297,22 @@ def _key(text_col: str) -> Column:
     return F.unhex(F.md5(text_bytes(text_col)))
 
 
-def alike_groups(docs: DataFrame, shingle: int = 5, least: float = 0.8, radius: int = 18, seed: int = 42, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """key (md5 of the text) and root, the same for all texts of a group, for every text that isn't its group's root."""
+def alike_groups(docs: DataFrame, shingle: int = 5, least: float = 0.8, radius: int = 18, seed: int = 42, id_col: str = "doc_id", text_col: str = "text", shards: int | None = SHARDS, signature_size: int = SIGNATURE, slack: float = SLACK) -> DataFrame:
+    """key (md5 of the text) and root, the same for all texts of a group, for every text that isn't its group's root.
+
+    Every link is a counted likeness. Candidates share one of a text's ``shards``
+    smallest shingle hashes, lie within the radius, and have signatures that are
+    alike but for slack; shards=None (all hashes), radius=64 and slack=1 leave
+    nothing to chance, at the cost of a row for each shingle of each text.
+    """
 
     def mark(batches):
         for batch in batches:
             each = [shingle_hashes(x, shingle, seed) for x in batch.column("text").to_pylist()]
             prints = majority(np.concatenate(each), np.array(list(map(len, each))))
-            shards = [np.unique(h)[:SHARDS].view(np.int64) for h in each]
-            signs = [signature(h).tobytes() if len(h) else bytes(SIGNATURE) for h in each]
-            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(prints.view(np.int64)), pa.array(shards, pa.list_(pa.int64())), pa.array(signs, pa.binary())], ["key", "fingerprint", "shards", "signature"])
+            least_hashes = [np.unique(h)[:shards].view(np.int64) for h in each]
+            signs = [signature(h, signature_size).tobytes() if len(h) else bytes(signature_size) for h in each]
+            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(prints.view(np.int64)), pa.array(least_hashes, pa.list_(pa.int64())), pa.array(signs, pa.binary())], ["key", "fingerprint", "shards", "signature"])
 
     def count(batches):
         for batch in batches:
@@ -330,7 +336,7 @@ def alike_groups(docs: DataFrame, shingle: int = 5, least: float = 0.8, radius:
         return table.column("fingerprint").to_numpy().view(np.uint64), signs.reshape(table.num_rows, -1)
 
     def search(table: pa.RecordBatch, mine: np.ndarray, asks: np.ndarray) -> list[pa.RecordBatch]:
-        rows = likely(*marks(table), mine, asks, radius, least)
+        rows = likely(*marks(table), mine, asks, radius, least, slack)
         return [table.select(place).take(pa.array(rows))] if len(rows) else []
 
     def met_again(found):
@@ -339,7 +345,7 @@ def alike_groups(docs: DataFrame, shingle: int = 5, least: float = 0.8, radius:
     def group(table: pa.RecordBatch, mine: np.ndarray, asks: np.ndarray) -> list[tuple[bytes, bytes]]:
         keys = table.column("key").to_pylist()
         shingles = [np.frombuffer(x, np.uint64) for x in table.column("shingles").to_pylist()]
-        return [(keys[a], keys[b]) for a, b in likeness_links(*marks(table), shingles, mine, asks, radius, least)]
+        return [(keys[a], keys[b]) for a, b in likeness_links(*marks(table), shingles, mine, asks, radius, least, slack)]
 
     def out(found):
         return pa.RecordBatch.from_arrays([pa.array([a for a, _ in found], pa.binary()), pa.array([b for _, b in found], pa.binary())], ["a", "b"])

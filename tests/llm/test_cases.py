@@ -95,6 +95,84 @@ def test_document_scores_sum_all_segmentations(spark):
         assert math.isclose(got[i], sum(math.log10(brute(b" " + w)) for w in t.lower().encode().split()) + math.log10(0.5), rel_tol=1e-9)
 
 
+def test_long_words_are_scored_like_short_ones(monkeypatch):
+    pieces, weights = lm_scoring.vocabulary(queries.tokenizer_path())
+    lattice = lm_scoring.Lattice(pieces)
+    rng = random.Random(2)
+    words = ["".join(rng.choice("theinganRST é0") for _ in range(n)).replace(" ", "").encode() for n in (1, 40, 700, 1500)]
+    words.append("日本語テキスト".encode() * 40)
+    counts = np.array([3.0, 2.0, 1.0, 5.0, 1.0])
+    want = lattice.log_probabilities(words, weights), lattice.expected(words, counts, weights)
+    monkeypatch.setattr(lm_scoring, "LONG", 0)
+    np.testing.assert_allclose(lattice.log_probabilities(words, weights), want[0], rtol=1e-12)
+    np.testing.assert_allclose(lattice.expected(words, counts, weights), want[1], rtol=1e-8, atol=1e-12)
+    monkeypatch.setattr(lm_scoring, "LONG", 2048)
+    long = "".join(rng.choice("abcdefgh+/XYZ019") for _ in range(1_000_000)).encode()
+    (got,) = lattice.log_probabilities([long], weights)
+    part = lattice.log_probabilities([long[:1000]], weights)[0] / 1000
+    assert abs(got / len(long) - part) < 0.1 * abs(part)
+
+
+def test_language_model_with_training_rows(spark):
+    """The whole score again, by recursion over texts: two passes of counting pieces, then the sums."""
+    pieces, start = lm_scoring.vocabulary(queries.tokenizer_path())
+    texts = ["the cat sat on the mat", "The dog", "", None, "a cat and a dog Zürich", "the end", "unseen words here"]
+    learnt = [True, True, True, True, True, False, False]
+    docs = spark.createDataFrame([(i, t, k) for i, (t, k) in enumerate(zip(texts, learnt))], "doc_id long, text string, learnt boolean")
+    training = Counter(w for t, k in zip(texts, learnt) if k for w in (t or "").lower().encode().split())
+    n_docs, s = sum(learnt), lm_scoring.Settings()
+    known = {p: i for i, p in enumerate(pieces)}
+
+    def ways(text, p, reverse=False):
+        total = [1.0] + [0.0] * len(text)
+        for end in range(1, len(text) + 1):
+            for a in range(max(0, end - 48), end):
+                piece = text[len(text) - end : len(text) - a] if reverse else text[a:end]
+                total[end] += total[a] * p[known[piece]] if piece in known else 0.0
+        return total
+
+    p = np.exp(start)
+    for _ in range(s.passes):
+        expected = np.full(len(pieces), s.least)
+        for w, n in training.items():
+            w = b" " + w
+            front, back = ways(w, p), ways(w, p, True)[::-1]
+            for a in range(len(w)):
+                for b in range(a + 1, len(w) + 1):
+                    if w[a:b] in known:
+                        expected[known[w[a:b]]] += n * front[a] * p[known[w[a:b]]] * back[b] / front[-1]
+        total = expected.sum() + n_docs + s.least
+        p, end = expected / total, (n_docs + s.least) / total
+    n, v = sum(training.values()) + n_docs, len(training) + 1
+    for r in lm_scoring.score(docs, F.col("learnt"), queries.tokenizer_path()).collect():
+        words = (texts[r["doc_id"]] or "").lower().encode().split()
+        assert math.isclose(r["score"], sum(math.log10(ways(b" " + w, p)[-1]) for w in words) + math.log10(end), rel_tol=1e-9)
+        assert math.isclose(r["base_score"], sum(math.log10((training[w] + 1) / (n + v + 1)) for w in words) + math.log10((n_docs + 1) / (n + v + 1)), rel_tol=1e-9)
+        assert (r["n_tokens"], r["n_known"], r["train_tokens"]) == (len(words) + 1, sum(training[w] > 0 for w in words) + 1, n)
+
+
+def test_near_duplicates_without_chance(spark):
+    """All hashes, any distance and any signature: the groups are those of brute force."""
+    rng = random.Random(12)
+    texts = []
+    for _ in range(12):
+        words = [f"w{rng.randrange(500)}" for _ in range(60)]
+        for k in range(3):
+            own = list(words)
+            for i in rng.sample(range(60), k):
+                own[i] = "x"
+            texts.append(" ".join(own))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"] for r in simhash.keep_one(docs, shards=None, radius=64, slack=1.0, signature_size=16).collect()}
+    sets = [{tuple(t.split()[i : i + 5]) for i in range(56)} for t in texts]
+    root = list(range(len(texts)))
+    for a in range(len(texts)):
+        for b in range(a):
+            if len(sets[a] & sets[b]) / len(sets[a] | sets[b]) >= 0.8:
+                root = [min(root[a], root[b]) if x in (root[a], root[b]) else x for x in root]
+    assert got == set(root) and len(got) < len(texts)
+
+
 def test_verdict_of_quality_rules(spark):
     """kept, n_covered and longest_repeat against brute force over word positions."""
     rng = random.Random(9)
