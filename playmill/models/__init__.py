@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from . import analyses, events, expectancy, games, metric_tables, rollups, staging, states  # noqa: F401
+from . import analyses, events, expectancy, games, learning, metric_tables, rollups, seasons, staging, states  # noqa: F401
 from .catalogue import MODELS, Catalogue
+from .store import Store, build
 
-__all__ = ["MODELS", "Catalogue"]
+__all__ = ["MODELS", "Catalogue", "Store", "build"]

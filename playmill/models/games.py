@@ -169,8 +169,10 @@ def stg_games(m) -> DataFrame:
     """Games of the play account, then those of the summary account that it lacks, with a key for each."""
     plays, box = m.raw_games.withColumn("source_type", F.lit("PlayByPlay")), m.raw_box_games.withColumn("source_type", F.lit("BoxScore"))
     every = plays.unionByName(J.without(box, plays, ["game_id"]), allowMissingColumns=True)
-    clean = {"sky": F.coalesce("sky", F.lit("Unknown")), "attendance": F.when(F.col("attendance") > 0, F.col("attendance")), "use_dh": F.coalesce("use_dh", F.lit(False)), "game_key": F.col("game_id") * 255}
-    return every.withColumns(clean)
+    crowd = F.when((F.col("attendance") > 0) | (F.year("date") == 2020), F.col("attendance"))
+    star = F.when(F.col("filename").rlike(r"^\d{4}AS\.EVE$"), "AllStarGame").otherwise(F.col("game_type"))
+    clean = {"sky": F.coalesce("sky", F.lit("Unknown")), "attendance": crowd, "use_dh": F.coalesce("use_dh", F.lit(False)), "game_key": F.col("game_id") * 255, "game_type": star}
+    return every.withColumns(clean).withColumnRenamed("game_winning_rbi", "game_winning_rbi_player_id")
 
 
 def starters_of(appearances: DataFrame) -> DataFrame:

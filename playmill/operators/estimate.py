@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .joins import matched_pairs
-from .sets import day_spine, spine_fill
+from .sets import expanded
 from .windows import FIRST, NOW, islands, leader_gap, over
 
 
@@ -153,12 +153,13 @@ def standings(games: DataFrame, keys: list[str], table: list[str], day: str, gam
     day of several games shows how things stood after the last one.
     """
     c = F.col
-    counted = games.withColumns({"w": c(win).cast("int"), "l": (~c(win)).cast("int")})
-    grid = spine_fill(day_spine(counted, keys, day, 1), counted, keys, day, ["w", "l"])
-    numbered = games.withColumn("_k", F.row_number().over(over(keys, [day, game])))
+    numbered = games.withColumns({"_k": F.row_number().over(over(keys, [day, game]))} | {n: F.sum(F.when(c(win) == v, 1).otherwise(0)).over(over(keys, [day, game], (FIRST, NOW))) for n, v in (("w", True), ("l", False))})
     runs = islands(numbered, keys, ["_k"], c(win))
     after = runs.withColumns({"streak": F.when(c(win), c("length")).otherwise(-c("length")), "last_10": F.sum(c(win).cast("int")).over(over(keys, ["_k"], (-9, 0)))})
-    last = after.groupBy(*keys, day).agg(F.max_by(F.struct("streak", "last_10"), "_k").alias("_s"))
-    known = grid.join(last, [*keys, day], "left")
-    carried = lambda name: F.last(f"_s.{name}", ignorenulls=True).over(over(keys, [day], (FIRST, NOW))).alias(name)
-    return leader_gap(known.select(*keys, day, "w", "l", carried("streak"), carried("last_10")), [*table, day], "w", "l", team)
+    values = ["w", "l", "streak", "last_10"]
+    last = after.groupBy(*keys, day).agg(F.max_by(F.struct(*values), "_k").alias("_s")).select(*keys, day, "_s.*")
+    steps = last.withColumns({"_next": F.lead(day).over(over(keys, [day])), "_first": F.lag(day).over(over(keys, [day])).isNull()})
+    grid = expanded(steps, keys, day, values, 1)
+    # Before the first game there is no streak.
+    played = (c("w") + c("l")) > 0
+    return leader_gap(grid.withColumns({n: F.when(played, c(n)) for n in ("streak", "last_10")}), [*table, day], "w", "l", team)

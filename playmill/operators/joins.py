@@ -1,4 +1,4 @@
-"""Joins. Equality keys give the hash; ranges stay as conditions beside them. Small sides are left to the size threshold of the session."""
+"""Joins. Equality keys give the hash; ranges are met by the dyadic intervals that make them up. Small sides are left to the size threshold of the session."""
 
 from __future__ import annotations
 
@@ -40,20 +40,59 @@ def effective_dated(df: DataFrame, history: DataFrame, keys: list[str], date: st
     return df.join(h, on, how).drop(*[f"_{k}" for k in keys])
 
 
-def _within(df: DataFrame, ranges: DataFrame, keys: list[str], condition: Column, how: str = "inner") -> DataFrame:
-    r = ranges.withColumnsRenamed({k: f"_{k}" for k in keys})
-    on = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"_{k}") for k in keys], condition)
-    return df.join(r, on, how).drop(*[f"_{k}" for k in keys])
+def _number(c: Column, kind: str, unit: int) -> Column:
+    """A whole number that grows with the value: days, microseconds, or the floor, in steps of unit."""
+    n = F.unix_date(c) if kind == "date" else F.unix_micros(c.cast("timestamp")) if kind.startswith("timestamp") else F.floor(c)
+    return F.floor(n.cast("long") / unit).cast("long") if unit > 1 else n.cast("long")
 
 
-def interval_contains(df: DataFrame, ranges: DataFrame, keys: list[str], point: str, low: str, high: str) -> DataFrame:
-    """Each point with the ranges of its key that hold it."""
-    return _within(df, ranges, keys, F.col(point).between(F.col(low), F.col(high)))
+def _dyadic(low: Column, high: Column) -> Column:
+    """The (level, node) whose disjoint dyadic intervals [node * 2^level, (node + 1) * 2^level) make up low to high: two a level at most."""
+    top = F.ceil(F.log2((high - low + 2).cast("double"))).cast("int")
 
+    def nodes(level: Column) -> Column:
+        step = F.call_function("shiftleft", F.lit(1).cast("long"), level)
+        a, b = F.call_function("shiftright", low + step - 1, level), F.call_function("shiftright", high + 1, level)
+        odd = a.bitwiseAND(F.lit(1).cast("long"))
+        node = lambda n: F.struct(level.alias("level"), n.alias("node"))
+        left = F.when((a < b) & (odd == 1), node(a))
+        right = F.when((a + odd < b) & (b.bitwiseAND(F.lit(1).cast("long")) == 1), node(b - 1))
+        return F.array(left, right)
 
-def interval_overlap(df: DataFrame, other: DataFrame, keys: list[str], own: tuple[str, str], theirs: tuple[str, str]) -> DataFrame:
-    """Pairs of ranges of a key that overlap."""
-    return _within(df, other, keys, (F.col(own[0]) <= F.col(theirs[1])) & (F.col(own[1]) >= F.col(theirs[0])))
+    every = F.flatten(F.transform(F.sequence(F.lit(0), top), nodes))
+    return F.when(low <= high, F.filter(every, lambda x: x.isNotNull()))
+
+
+def meeting(points: DataFrame, ranges: DataFrame, keys: list[str], point: str, low: str, high: str, unit: int = 1) -> DataFrame:
+    """Rows of points with those of ranges (keys renamed to _key) of which one dyadic interval holds the point: once each, and with unit 1 only those that hold it.
+
+    A point comes once for each level that ranges use; ranges are cut to the
+    reach of the points first, so that an open end costs no levels. What meets
+    in a key is what matches, however many rows the key has.
+    """
+    at, lo, hi = (_number(F.col(c), dict(df.dtypes)[c], unit) for c, df in ((point, points), (low, ranges), (high, ranges)))
+    reach = points.agg(F.min(at).alias("_first"), F.max(at).alias("_last"))
+    cut = ranges.withColumnsRenamed({k: f"_{k}" for k in keys}).crossJoin(F.broadcast(reach))  # one row
+    cut = cut.withColumn("_bin", F.explode(_dyadic(F.greatest(lo, "_first"), F.least(hi, "_last")))).select("*", F.col("_bin.level").alias("_level"), F.col("_bin.node").alias("_node")).drop("_bin", "_first", "_last")
+    levels = cut.agg(F.collect_set("_level").alias("_levels"))  # 64 at most
+    spread = points.crossJoin(F.broadcast(levels)).withColumn("_own_level", F.explode("_levels")).drop("_levels")
+    spread = spread.withColumn("_own_node", F.call_function("shiftright", at, F.col("_own_level")))
+    on = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"_{k}") for k in keys], (F.col("_own_level") == F.col("_level")) & (F.col("_own_node") == F.col("_node")))
+    return spread.join(cut, on).drop("_own_level", "_own_node", "_level", "_node")
+
+
+def interval_contains(df: DataFrame, ranges: DataFrame, keys: list[str], point: str, low: str, high: str, unit: int = 1) -> DataFrame:
+    """Each point with the ranges of its key that hold it; nulls are in none. unit: steps in which numbers are told apart before the exact comparison, such as 60_000_000 for timestamps of minutes."""
+    met = meeting(df, ranges, keys, point, low, high, unit)
+    return met.where(F.col(point).between(F.col(low), F.col(high))).drop(*[f"_{k}" for k in keys])
+
+
+def interval_overlap(df: DataFrame, other: DataFrame, keys: list[str], own: tuple[str, str], theirs: tuple[str, str], unit: int = 1) -> DataFrame:
+    """Pairs of ranges of a key that overlap: the later of the two begins within the earlier. Ranges that end before they begin overlap none."""
+    later = meeting(other, df, keys, theirs[0], *own, unit).where(F.col(theirs[0]).between(*map(F.col, own)) & (F.col(theirs[0]) <= F.col(theirs[1])))
+    earlier = meeting(df, other, keys, own[0], *theirs, unit).where((F.col(own[0]) > F.col(theirs[0])) & (F.col(own[0]) <= F.col(theirs[1])) & (F.col(own[0]) <= F.col(own[1])))
+    columns = [*df.columns, *(c for c in other.columns if c not in keys)]
+    return later.select(*columns).unionByName(earlier.select(*columns))
 
 
 def interval_max(df: DataFrame, ranges: DataFrame, keys: list[str], point: str, low: str, high: str, row_key: list[str]) -> DataFrame:

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-import pandas as pd
+from functools import reduce
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .windows import over
+from ..sources.shared import written
+from .windows import FIRST, LAST, over
 
 TEAM = ["season", "team"]
 
@@ -48,32 +51,35 @@ def modal_repair(chosen: DataFrame, pool: DataFrame, size: int = 9) -> DataFrame
     whose own position is shared moves there; else the team has no lineup.
     """
 
-    def repair(key, members: pd.DataFrame, options: pd.DataFrame) -> pd.DataFrame:
-        members = members[["season", "team", "player", "position", "games", "pa"]].reset_index(drop=True)
-        if not len(members):
-            return members
-        totals = options.groupby("player").agg(total=("games", "sum"), pa_all=("pa", "sum"))
-        for wanted in range(1, size + 1):
-            if (members["position"] == wanted).any():
-                continue
-            shared = members[members.duplicated("position", keep=False)].sort_values(["games", "pa", "player"])
-            if not len(shared):
-                return members.iloc[:0]
-            able = options[options["position"] == wanted].join(totals, on="player")
-            outside = able[~able["player"].isin(members["player"])].sort_values(["games", "total", "pa_all", "player"], ascending=[False, False, False, True])
-            if len(outside):
-                new, old = outside.iloc[0], shared.index[0]
-                members.loc[old, ["player", "position", "games", "pa"]] = [new["player"], wanted, new["total"], new["pa_all"]]
+    columns = ["season", "team", "player", "position", "games", "pa"]
+    kinds = pa.schema([("season", pa.int32()), ("team", pa.int64()), ("player", pa.int64()), ("position", pa.int32()), ("games", pa.int64()), ("pa", pa.int64())])
+
+    def repair(have: pa.Table, roster: pa.Table) -> pa.Table:
+        members, options, totals = have.select(columns).to_pylist(), roster.to_pylist(), {}
+        for o in options:
+            games, pa_all = totals.get(o["player"], (0, 0))
+            totals[o["player"]] = games + (o["games"] or 0), pa_all + (o["pa"] or 0)
+        for wanted in range(1, size + 1) if members else ():
+            at = [m["position"] for m in members]
+            if wanted in at:
                 continue
-            inside = able[able["player"].isin(shared["player"])].sort_values(["games", "player"], ascending=[False, True])
-            if not len(inside):
-                return members.iloc[:0]
-            members.loc[members["player"] == inside.iloc[0]["player"], "position"] = wanted
-        return members
+            shared = sorted((m for m in members if at.count(m["position"]) > 1), key=lambda m: (m["games"], m["pa"], m["player"]))
+            able = [o for o in options if o["position"] == wanted]
+            inside, by_player = {m["player"] for m in members}, {m["player"]: m for m in shared}
+            new = min((o for o in able if o["player"] not in inside), key=lambda o: (-o["games"], *(-x for x in totals[o["player"]]), o["player"]), default=None)
+            mover = min((o for o in able if o["player"] in by_player), key=lambda o: (-o["games"], o["player"]), default=None)
+            if shared and new:
+                shared[0].update(player=new["player"], position=wanted, games=totals[new["player"]][0], pa=totals[new["player"]][1])
+            elif shared and mover:
+                by_player[mover["player"]]["position"] = wanted
+            else:
+                members = []
+                break
+        return pa.Table.from_pylist(members, kinds)
 
     schema = "season int, team long, player long, position int, games long, pa long"
     pool = pool.toDF(*pool.columns)  # columns of their own, should chosen come of the same rows
-    return order_by_rate(chosen.groupBy(*TEAM).cogroup(pool.groupBy(*TEAM)).applyInPandas(repair, schema))
+    return order_by_rate(chosen.groupBy(*TEAM).cogroup(pool.groupBy(*TEAM)).applyInArrow(repair, schema))
 
 
 def rescale(df: DataFrame, sides: str = "sides") -> DataFrame:
@@ -84,6 +90,28 @@ def rescale(df: DataFrame, sides: str = "sides") -> DataFrame:
     return cut.withColumn("target", F.col("_a") * F.least(F.lit(1.0), F.try_divide(F.col(sides).cast("double"), whole))).drop("_a")
 
 
+def rescale_stints(df: DataFrame) -> DataFrame:
+    """target and stint_total by season, team, player, stint and position, within three margins.
+
+    A stint's games at all positions are cut to the games it batted in; a
+    player's games with a team (what it batted in where a stint was cut) are
+    shared among its stints by their games so far; a position's games are cut to
+    the sides that the team played. df: games, batted (of the stint), total (of
+    the player with the team) and sides. Rows without games go.
+    """
+    c, stint, player, position = F.col, [*TEAM, "player", "stint"], [*TEAM, "player"], [*TEAM, "position"]
+    double = lambda name: c(name).cast("double")
+    within = lambda value, keys: F.sum(value).over(over(keys))
+    cut = df.withColumns({"_fielded": within(double("games"), stint), "_batted": F.max(double("batted")).over(over(stint)), "_whole": F.max(double("total")).over(over(stint))}).where("games > 0")
+    down = c("_fielded") > c("_batted")
+    cut = cut.withColumns({"_games": F.when(down, c("games") * c("_batted") / c("_fielded")).otherwise(double("games")), "_total": F.when(down, c("_batted")).otherwise(c("_whole"))})
+    shared = cut.withColumns({"_stint": within("_games", stint), "_team": within("_games", player), "_most": F.max("_total").over(over(player))})
+    shared = shared.withColumn("stint_total", F.when(c("_team") > 0, c("_most") * c("_stint") / c("_team")).otherwise(c("_total")))
+    made = shared.withColumn("_made", within("_games", position))
+    target = F.when((c("_made") > c("sides")) & (c("sides") > 0), c("_games") * c("sides") / c("_made")).otherwise(c("_games"))
+    return made.withColumn("target", target).where("target > 0").drop(*[n for n in made.columns if n.startswith("_")])
+
+
 def _numbered(dates: DataFrame) -> DataFrame:
     return dates.select("season", "day").distinct().withColumn("i", F.row_number().over(over(["season"], ["day"])))
 
@@ -165,32 +193,106 @@ def eligibility(pool: DataFrame, sides: DataFrame) -> DataFrame:
     return joined.where(F.col("day").between(F.col("from_date"), F.col("to_date")) & ~F.col("player").eqNullSafe(F.col("pitcher")))
 
 
-def assign(eligible: DataFrame, lineup: DataFrame) -> DataFrame:
-    """game, season, team, position, slot and player: each (player, position) takes a spread of its games up to its target, around a whole lineup.
+def quotas(targets: DataFrame) -> DataFrame:
+    """Adds quota: targets as whole numbers that add up, for each position, to what the targets do (the largest remainders go up)."""
+    at = [*TEAM, "position"]
+    cut = targets.withColumn("_floor", F.floor("target").cast("int"))
+    rank = F.row_number().over(over(at, [F.desc(F.col("target") - F.col("_floor")), "player"]))
+    left = F.round(F.sum("target").over(over(at))).cast("int") - F.sum("_floor").over(over(at))
+    return cut.withColumn("quota", F.col("_floor") + F.when(rank <= left, 1).otherwise(0)).drop("_floor")
+
+
+def _rounds(offers: DataFrame) -> DataFrame:
+    """Deferred acceptance of offers (game, TEAM, player, position, target, quota): those that are held in the end.
+
+    In each round a (player, position) below its quota proposes to its next
+    games. All at a position have the games in one order, by a hash, and each
+    begins where the quotas before it end, so few meet. A side holds, for a position and then for a
+    player, the offer with the largest target still to come, and refuses the
+    others for good; a refused offer opens its quota again. Teams in which
+    nothing moved are settled and leave the rounds. There are as many rounds as
+    refusals in a row at most: an offer is made once.
+    """
+    c, side, quota = F.col, ["game", *TEAM], [*TEAM, "player", "position"]
+    at = [*TEAM, "position"]
+    before = offers.select(*quota, "target", "quota").distinct().withColumn("_before", F.sum("quota").over(over(at, [F.desc("target"), "player"])) - c("quota"))
+    place = F.dense_rank().over(over(at, [F.xxhash64("game", "position"), "game"]))
+    placed = offers.withColumn("_o", place).join(before.select(*quota, "_before"), quota)
+    placed = placed.withColumn("_o", F.pmod(c("_o") - 1 - c("_before"), F.max("_o").over(over(at)))).drop("_before")
+    state = placed.withColumn("_s", F.lit(0))  # 0 untried, 1 held, 2 refused
+    settled = []
+    while True:
+        line = over(quota, [(c("_s") != 0).cast("int"), "_o", "game"])
+        held = F.sum((c("_s") == 1).cast("int")).over(over(quota, [(c("_s") != 0).cast("int"), "_o", "game"], (FIRST, LAST)))
+        asked = state.withColumns({"_held": held, "_n": F.row_number().over(line)})
+        asked = asked.withColumns({"_asks": (c("_s") == 0) & (c("_n") <= c("quota") - c("_held")), "_left": c("target") - c("_held")})
+        asked = asked.withColumn("_on", (c("_s") == 1) | c("_asks")).repartition(*side)
+        best = lambda keys, on, tie: F.row_number().over(over(keys, [F.desc(on), F.desc("_left"), tie]))
+        kept = asked.withColumn("_on2", c("_on") & (best([*side, "position"], "_on", "player") == 1))
+        kept = kept.withColumn("_on3", c("_on2") & (best([*side, "player"], "_on2", "position") == 1))
+        now = F.when(c("_on3"), 1).when(c("_on"), 2).otherwise(c("_s"))
+        made = written(kept.withColumn("_s", now).select(*offers.columns, "_o", "_s", "_asks"), "offers")
+        moved = made.where("_asks").select(*TEAM).distinct()
+        settled.append(made.join(moved, TEAM, "left_anti").where("_s = 1").select(*offers.columns))
+        if moved.isEmpty():
+            return reduce(DataFrame.unionAll, settled)
+        state = made.join(moved, TEAM, "left_semi").drop("_asks")
+
+
+def _must_appear(held: DataFrame, offers: DataFrame, outs: DataFrame, more_than: int) -> DataFrame:
+    """Gives who played more than so many outs, has a target of a game and appears nowhere the place of a holder who keeps another appearance.
+
+    A player takes the game and position, among those offered, whose holder
+    appears most; a holder gives way once, and a player takes one.
+    """
+    c, who = F.col, [*TEAM, "player"]
+    wanted = offers.groupBy(*who, "position").agg(F.first("target").alias("target")).groupBy(*who).agg(F.sum("target").alias("_all")).where("_all >= 1")
+    missing = wanted.join(outs.where(c("outs") > more_than).select(*who).distinct(), who, "left_semi").join(held.select(*who), who, "left_anti")
+    often = held.withColumn("_times", F.count("*").over(over(who))).where("_times > 1").select("game", *TEAM, "position", c("player").alias("_holder"), "_times")
+    options = offers.join(missing, who).join(often, ["game", *TEAM, "position"])
+    first = lambda keys: F.row_number().over(over(keys, [F.desc("_times"), F.desc("target"), "game", "position", "player"]))
+    # One place for each holder, then one for each player.
+    once = options.withColumn("_n", first([*TEAM, "_holder"])).where("_n = 1").withColumn("_n", first(who)).where("_n = 1")
+    taken = once.select("game", *TEAM, "position", "player", "target", "quota")
+    return held.join(taken.select("game", *TEAM, "position"), ["game", *TEAM, "position"], "left_anti").unionByName(taken.select(*held.columns))
+
+
+def assign(eligible: DataFrame, lineup: DataFrame, outs: DataFrame | None = None, more_than: int = 23) -> DataFrame:
+    """game, season, team, position, slot and player: games of a season dealt to players by their targets, around a whole lineup.
 
     eligible: game, season, team, player, position, target. lineup: season, team,
-    position, slot, player, with each position, slot and player once. Games are
-    ranked by a hash; clashes go to the larger target, then the smaller id. Who
-    isn't in the lineup takes the place and slot of whoever is; of members
-    wanted elsewhere one a side changes places with whoever is there. So every
-    side has each position, slot and player once.
+    position, slot, player, with each position, slot and player once. outs, if
+    given, has season, team, player and outs: who has more than so many, and a
+    target of a game or more, appears at least once if anyone can make way.
+    Places are filled by deferred acceptance; what stays open falls to the
+    lineup's own player, or else to members without a place, in order. Members
+    keep their slots, others take the slots of members who aren't in the game:
+    of the one they stand in for, if it is free. So every side has each
+    position, slot and player once.
     """
     c, side = F.col, ["game", *TEAM]
-    rank = F.row_number().over(over([*TEAM, "player", "position"], [F.xxhash64("game", "player", "position"), "game"]))
-    wanted = eligible.withColumn("_r", rank).where(c("_r") <= F.round("target"))
-    first = lambda keys, then: F.row_number().over(over(keys, [F.desc("target"), then]))
-    single = wanted.withColumn("_n", first([*side, "position"], "player")).where("_n = 1").withColumn("_n", first([*side, "player"], "position")).where("_n = 1")
-    member = lineup.select(*TEAM, "player", c("position").alias("own_position"), c("slot").alias("own_slot"))
-    picks = single.join(member, [*TEAM, "player"], "left").select(*side, "position", "player", "target", "own_position", "own_slot")
-    there = lineup.select(*TEAM, "position", c("player").alias("other"), c("slot").alias("other_slot"))
-    swaps = picks.where("own_position <> position").withColumn("_n", first(side, "player")).where("_n = 1").join(there, [*TEAM, "position"])
-    swaps = swaps.select(*side, c("position").alias("to"), c("own_position").alias("from"), c("player").alias("mover"), c("own_slot").alias("mover_slot"), "other", "other_slot")
-    new = picks.where("own_position IS NULL").select(*side, "position", c("player").alias("new"))
-    base = eligible.select(*side).distinct().join(lineup.select(*TEAM, "position", "slot", "player"), TEAM).join(swaps, side, "left").join(new, [*side, "position"], "left")
-    moved = lambda to, back, stay: F.when(c("position") == c("to"), c(to)).when(c("position") == c("from"), c(back)).otherwise(c(stay))
-    free = c("to").isNull() | ~c("position").isin(c("to"), c("from"))
-    player = F.when(free, F.coalesce("new", "player")).otherwise(moved("mover", "other", "player"))
-    return base.select(*side, "position", moved("mover_slot", "other_slot", "slot").alias("slot"), player.alias("player"))
+    given = quotas(eligible.select(*TEAM, "player", "position", "target").distinct())
+    offers = written(eligible.select(*side, "player", "position").join(given, [*TEAM, "player", "position"]).select(*side, "player", "position", "target", "quota"), "offered")
+    # A quota of 0 may still be needed by one who must appear.
+    held = written(_rounds(offers.where("quota > 0")), "held")
+    if outs is not None:
+        held = written(_must_appear(held, offers, outs, more_than), "held")
+    held = held.select(*side, "position", "player")
+    members = eligible.select(*side).distinct().join(lineup.select(*TEAM, "position", "slot", "player"), TEAM)
+    free = members.join(held.select(*side, "player"), [*side, "player"], "left_anti")
+    open_ = members.select(*side, "position").join(held.select(*side, "position"), [*side, "position"], "left_anti")
+    own = free.join(open_, [*side, "position"]).select(*side, "position", "player")
+    n = lambda df, order: df.withColumn("_n", F.row_number().over(over(side, order)))
+    rest = n(open_.join(own, [*side, "position"], "left_anti"), ["position"]).join(n(free.join(own.select(*side, "player"), [*side, "player"], "left_anti").drop("position"), ["slot"]), [*side, "_n"]).select(*side, "position", "player")
+    filled = written(held.unionByName(own).unionByName(rest), "filled")
+
+    in_game = filled.join(lineup.select(*TEAM, "player", "slot"), [*TEAM, "player"], "left")
+    outsiders = in_game.where("slot IS NULL").drop("slot")
+    unused = members.join(filled.select(*side, "player"), [*side, "player"], "left_anti").select(*side, "position", "slot")
+    same = outsiders.join(unused, [*side, "position"]).select(*side, "position", "player", "slot")
+    others = n(outsiders.join(same.select(*side, "player"), [*side, "player"], "left_anti"), ["position"]).join(n(unused.join(same.select(*side, "slot"), [*side, "slot"], "left_anti").drop("position"), ["slot"]), [*side, "_n"])
+    columns = [*side, "position", "slot", "player"]
+    return in_game.where("slot IS NOT NULL").select(*columns).unionByName(same.select(*columns)).unionByName(others.select(*columns))
 
 
 def pitcher_slot(assigned: DataFrame, sides: DataFrame, pool: DataFrame, pitching: int = 1) -> DataFrame:
@@ -241,6 +343,29 @@ def backtest(guess: DataFrame, truth: DataFrame, by: list[str]) -> DataFrame:
     )
 
 
+def backtest_levels(guess: DataFrame, truth: DataFrame, eras: tuple[int, int, int], sizes: list[int], groups: dict[int, str], pitching: int = 1) -> DataFrame:
+    """set_miss_rate, 1 - sum of the smaller starts / all real starts, with starts told by player, by player and position group, and by player and position, in one pass of grouping sets.
+
+    Rates are by level, era (n spans of equal width from the first season, counted
+    from 1) and the place of the team's games among the bounds in sizes. Rows of
+    pitchers in either lineup are left out. groups names each position's group.
+    """
+    c, keys = F.col, ["game", *TEAM, "player"]
+    both = guess.select(*keys, c("position").alias("_guessed")).join(truth.select(*keys, c("position").alias("_real")), keys, "full")
+    both = both.where(f"coalesce(_guessed, 0) <> {pitching} AND coalesce(_real, 0) <> {pitching}")
+    starts = F.explode(F.array(*[F.struct(c(name).alias("position"), *[F.lit(int(name == n)).alias(s) for n, s in (("_guessed", "guessed"), ("_real", "real"))]) for name in ("_guessed", "_real")]))
+    named = F.create_map(*[F.lit(x) for pair in groups.items() for x in pair])
+    rows = both.select(*TEAM, "player", starts.alias("_x")).select(*TEAM, "player", "_x.*").where("position IS NOT NULL").withColumn("position_group", named[c("position")])
+    one = [*TEAM, "player"]
+    told = rows.groupingSets([one, [*one, "position_group"], [*one, "position"]], *one, "position_group", "position").agg(F.sum("guessed").alias("guessed"), F.sum("real").alias("real"), F.grouping("position_group").alias("_g"), F.grouping("position").alias("_p"))
+    level = F.when(c("_p") == 0, "position").when(c("_g") == 0, "group").otherwise("player")
+    games = truth.select("game", *TEAM).distinct().groupBy(*TEAM).agg(F.count("*").alias("_games"))
+    size = sum(((c("_games") >= bound).cast("int") for bound in sizes), F.lit(0))
+    binned = told.join(games, TEAM).withColumns({"level": level, "era": F.width_bucket("season", F.lit(eras[0]), F.lit(eras[1]), F.lit(eras[2])).cast("int"), "size": size})
+    matched = F.sum(F.least("guessed", "real"))
+    return binned.groupBy("level", "era", "size").agg(matched.alias("matched"), F.sum("real").alias("real"), (1 - F.try_divide(matched, F.sum("real"))).alias("set_miss_rate"))
+
+
 def lines(assigned: DataFrame, stats: list[str]) -> DataFrame:
     """Line tables of an assignment, their stats unknown."""
     return assigned.select("*", *[F.lit(None).cast("int").alias(c) for c in stats])

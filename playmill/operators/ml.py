@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import OneHotEncoder, VectorAssembler
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
+from pyspark.ml.feature import FeatureHasher, OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import LinearRegression
-from pyspark.sql import Column, DataFrame
+from pyspark.ml.regression import LinearRegression, LinearRegressionModel
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.shared import written
 from .windows import row_numbers
 
 
@@ -95,3 +97,76 @@ def evaluate(scored: DataFrame, kind: str, label: str = "label") -> DataFrame:
         e = F.col("value") - F.col(label)
         return scored.agg(F.avg(e * e).alias("mse"), F.avg(F.abs(e)).alias("mae"), F.count("*").alias("n"))
     return scored.agg(F.avg((F.col("predicted") == F.col(label)).cast("int")).alias("accuracy"), F.count("*").alias("n"))
+
+
+@dataclass
+class Fitted:
+    """Models of several targets over one vector of features: what makes the vector, and for each target its kind, model and class names."""
+
+    run_id: str
+    prepare: PipelineModel
+    models: dict[str, tuple[str, object, list[str]]]
+
+    def save(self, folder: str) -> None:
+        """Writes all under folder/run_id, where load finds it."""
+        path = f"{folder}/{self.run_id}"
+        self.prepare.write().overwrite().save(f"{path}/prepare")
+        for name, (_, model, _) in self.models.items():
+            model.write().overwrite().save(f"{path}/model-{name}")
+        rows = [(name, kind, labels) for name, (kind, _, labels) in self.models.items()]
+        SparkSession.active().createDataFrame(rows, "name string, kind string, labels array<string>").coalesce(1).write.mode("overwrite").parquet(f"{path}/targets")
+
+    @classmethod
+    def load(cls, spark, folder: str, run_id: str) -> Fitted:
+        path = f"{folder}/{run_id}"
+        kinds = {"regression": LinearRegressionModel}
+        rows = spark.read.parquet(f"{path}/targets").collect()
+        models = {r["name"]: (r["kind"], kinds.get(r["kind"], LogisticRegressionModel).load(f"{path}/model-{r['name']}"), list(r["labels"])) for r in rows}
+        return cls(run_id, PipelineModel.load(f"{path}/prepare"), models)
+
+
+def fit_targets(df: DataFrame, targets: list, numbers: list[str], categories: list[str], identities: list[str], run_id: str, hashed: int = 1024, rounds: int = 20) -> Fitted:
+    """Linear models of all targets (name, column, weight, kind, weighed_only) from one vector: numbers, categories one-hot, and identities hashed to a fixed width.
+
+    The vectors are worked out and written once. A category that wasn't seen has
+    a place of its own; a target of one class is fitted as such.
+    """
+    clean = df.fillna(0.0, numbers).fillna("N/A", [*categories, *identities])
+    codes = [f"{c}_code" for c in categories]
+    parts = [StringIndexer(inputCols=categories, outputCols=codes, handleInvalid="keep"), OneHotEncoder(inputCols=codes, outputCols=[f"{c}_hot" for c in categories], handleInvalid="keep", dropLast=False)]
+    parts += [FeatureHasher(inputCols=identities, outputCol="hashed", numFeatures=hashed), VectorAssembler(inputCols=[*numbers, *[f"{c}_hot" for c in categories], "hashed"], outputCol="features")]
+    prepare = Pipeline(stages=parts).fit(clean)
+    vectors = written(prepare.transform(clean).select("features", *{t.column for t in targets}, *{t.weight for t in targets}), "vectors")
+    models = {}
+    for t in targets:
+        rows = select_target(vectors, t.column, t.kind, t.weight, t.weighed_only)
+        common = {"labelCol": "label", "weightCol": t.weight, "regParam": 0.01}
+        if t.kind == "regression":
+            models[t.name] = t.kind, LinearRegression(**common).fit(rows.withColumn("label", F.col(t.column).cast("double"))), []
+            continue
+        labels = sorted(r[0] for r in rows.select(F.col(t.column).cast("string")).distinct().collect())  # classes, a few
+        number = F.array_position(F.array(*map(F.lit, labels)), F.col(t.column).cast("string")) - 1
+        model = LogisticRegression(maxIter=rounds, family="multinomial", **common).fit(rows.withColumn("label", number.cast("double")))
+        models[t.name] = t.kind, model, labels
+    return Fitted(run_id, prepare, models)
+
+
+def score_targets(df: DataFrame, fitted: Fitted, key: str, numbers: list[str], categories: list[str], identities: list[str]) -> DataFrame:
+    """key and a struct for each target: the class and its probability, the probability of 1, or the value. One pass, from one vector."""
+    rows = fitted.prepare.transform(df.fillna(0.0, numbers).fillna("N/A", [*categories, *identities])).select(key, "features")
+    outs = []
+    for name, (kind, model, labels) in fitted.models.items():
+        model = model.copy().setFeaturesCol("features").setPredictionCol(f"_p_{name}")
+        if kind == "regression":
+            rows = model.transform(rows)
+            outs.append(F.struct(F.col(f"_p_{name}").alias("value")).alias(name))
+            continue
+        rows = model.setRawPredictionCol(f"_r_{name}").setProbabilityCol(f"_q_{name}").transform(rows).drop(f"_r_{name}")
+        at, chances = F.col(f"_p_{name}").cast("int"), vector_to_array(f"_q_{name}")
+        chosen = F.get(F.array(*map(F.lit, labels)), at)
+        if kind == "binary":
+            one = F.get(chances, F.lit(labels.index("1"))) if "1" in labels else F.lit(0.0)
+            outs.append(F.struct(chosen.cast("int").alias("predicted"), one.alias("probability")).alias(name))
+        else:
+            outs.append(F.struct(chosen.alias("predicted_class"), F.get(chances, at).alias("predicted_class_proba")).alias(name))
+    return rows.select(key, *outs)

@@ -55,9 +55,24 @@ def unpivot(df: DataFrame, keys: list[str], columns: list[str], name: str, value
     return df.unpivot(keys, columns, name, value).where(F.col(value).isNotNull())
 
 
-def spine_fill(spine: DataFrame, df: DataFrame, keys: list[str], date: str, stats: list[str]) -> DataFrame:
-    """Totals to date of each stat on every date of the spine."""
+def spine_fill(df: DataFrame, keys: list[str], date: str, stats: list[str], pad: int = 0) -> DataFrame:
+    """Totals to date of each stat on every day from the first of a group to its last, and pad days around.
+
+    Days are made from the totals: a day that has rows stands for the days up to
+    the next such day. Only days with rows are shuffled and sorted.
+    """
+    order = Window.partitionBy(*keys).orderBy(date)
     daily = df.groupBy(*keys, date).agg(*[F.sum(c).alias(c) for c in stats])
-    to_date = Window.partitionBy(*keys).orderBy(date)
-    joined = spine.join(daily, [*keys, date], "left")
-    return joined.select(*keys, date, *[F.sum(F.coalesce(F.col(c), F.lit(0))).over(to_date).alias(c) for c in stats])
+    to_date = daily.select(*keys, date, *[F.sum(F.coalesce(F.col(c), F.lit(0))).over(order).alias(c) for c in stats], F.lead(date).over(order).alias("_next"), F.lag(date).over(order).isNull().alias("_first"))
+    return expanded(to_date, keys, date, stats, pad)
+
+
+def expanded(steps: DataFrame, keys: list[str], date: str, values: list[str], pad: int = 0) -> DataFrame:
+    """Each row of steps on every day before _next, or pad days on where that is null; the pad days before _first with 0 in place of the values."""
+    days = F.transform(F.sequence(F.col(date), F.coalesce(F.date_sub("_next", 1), F.date_add(date, pad))), lambda d: F.struct(d.alias("day"), F.lit(True).alias("on")))
+    if pad:
+        ahead = F.transform(F.sequence(F.date_sub(date, pad), F.date_sub(date, 1)), lambda d: F.struct(d.alias("day"), F.lit(False).alias("on")))
+        days = F.when(F.col("_first"), F.concat(ahead, days)).otherwise(days)
+    spread = steps.select(*keys, *values, F.explode(days).alias("_d"))
+    zero = lambda c: F.when(F.col("_d.on"), F.col(c)).otherwise(F.lit(0)).alias(c)
+    return spread.select(*keys, F.col("_d.day").alias(date), *[zero(c) for c in values])

@@ -86,13 +86,26 @@ def min_support(df: DataFrame, keys: list, more_than: int) -> DataFrame:
     return df.withColumn("_n", F.count("*").over(over(keys))).where(F.col("_n") > more_than).drop("_n")
 
 
-def row_numbers(df: DataFrame, order: list, name: str) -> DataFrame:
-    """Numbers from 1 in order over the whole table, without gathering it: a range-partitioned sort, then each partition's rows before it."""
-    parted = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_p", F.spark_partition_id())
-    sizes = parted.groupBy("_p").agg(F.count("*").alias("_n"))
-    before = sizes.select("_p", F.coalesce(F.sum("_n").over(Window.orderBy("_p").rowsBetween(FIRST, -1)), F.lit(0)).alias("_before"))
+def row_numbers(df: DataFrame, order: list[str], name: str, sample: int = 2000) -> DataFrame:
+    """Numbers from 1 in the order of columns (nulls first), without gathering the table.
+
+    A bounded sample, the rows of smallest hash, gives bounds once; a row's
+    range is told by comparing it with these, so it is the same wherever and
+    however often it is worked out. Ranges are counted, and rows numbered inside
+    theirs. Rows equal in all columns of the order share a range, and any order.
+    """
+    at = lambda: F.struct(*order)
+    few = df.select(*order).distinct().orderBy(F.xxhash64(*order), *order).limit(sample).orderBy(*order).collect()
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    bounds = [few[k] for k in sorted({len(few) * i // n for i in range(1, n)} - {0})]
+    spark, kinds = df.sparkSession, df.select(*order).schema
+    edges = spark.createDataFrame(bounds, kinds).coalesce(1).agg(F.array_sort(F.collect_list(at())).alias("_edges"))  # one row
+    ranged = df.crossJoin(F.broadcast(edges)).withColumn("_p", F.size(F.filter("_edges", lambda e: e <= at()))).drop("_edges")
+    sizes = ranged.groupBy("_p").agg(F.count("*").alias("_n"))
+    # A row for each range: as many as the session has shuffle partitions.
+    before = F.broadcast(sizes.select(F.col("_p"), F.coalesce(F.sum("_n").over(Window.orderBy("_p").rowsBetween(FIRST, -1)), F.lit(0)).alias("_before")))
     inside = F.row_number().over(Window.partitionBy("_p").orderBy(*order))
-    return parted.withColumn("_i", inside).join(F.broadcast(before), "_p").withColumn(name, F.col("_before") + F.col("_i")).drop("_p", "_i", "_before")
+    return ranged.withColumn("_i", inside).join(before, "_p").withColumn(name, F.col("_before") + F.col("_i")).drop("_p", "_i", "_before")
 
 
 def leader_gap(df: DataFrame, keys: list, wins: str, losses: str, entity: str) -> DataFrame:

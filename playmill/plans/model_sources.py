@@ -56,6 +56,8 @@ RAW = {
     "seed_double_play_flag_types": _values("flag, is_double_play, is_triple_play, is_ground_ball_double_play", [("GroundBallDoublePlay", True, False, True), ("LinedIntoDoublePlay", True, False, False), ("TriplePlay", False, True, False)]),
     "seed_game_types": _values("game_type, is_regular_season, is_postseason", [("RegularSeason", True, False), ("Postseason", False, True)]),
     "seed_scorer_lookup": _values("scorer, normalized_scorer", [("Abc ", "alpha"), ("zed", "omega")]),
+    "seed_result_categories": _values("plate_appearance_result, result_category", [*((r, "Hit") for r in RESULTS[:3]), ("HomeRun", "HomeRun"), ("InsideTheParkHomeRun", "HomeRun"), ("GroundRuleDouble", "Hit"), ("StrikeOut", "StrikeOut"), ("Walk", "Walk"), ("IntentionalWalk", "Walk"), ("HitByPitch", "Walk"), ("SacrificeFly", "Out"), ("SacrificeHit", "Out"), ("ReachedOnError", "Error"), ("FieldersChoice", "Out"), ("InPlayOut", "Out")]),
+    "seed_baserunning_play_types": _values("baserunning_play_type, priority, result_category_out, result_category_safe", [(n, k // 2, "Error" if k > 6 else "Out", "Steal" if k == 0 else "Error" if k > 6 else "Advance") for k, n in enumerate(PLAYS)]),
     "seed_scorer_numerical_ranges": _values("low, high, group_id", [(100, 149, 1), (150, 399, 2)]),
 }
 RAW["raw_event_baserunners"] = " UNION ALL ".join(
@@ -79,11 +81,23 @@ RAW["raw_event_comments"] = "SELECT event_id AS event_key, CASE WHEN event_id %
 _BOX = "o_orderkey + 10000000"
 RAW["raw_box_score_comments"] = f"SELECT {_BOX} AS game_id, CASE WHEN o_orderkey % 11 = 0 THEN 'Forfeit=V' WHEN o_orderkey % 13 = 0 THEN 'Suspend=19970203,,1,2,30' ELSE 'fine' END AS comment FROM {{orders}}"
 _P = "CAST(100 + (game_id + {0}) % 12 AS BIGINT)"
-RAW["raw_games"] = f"""SELECT *, CAST(game_id % 3 AS BIGINT) AS doubleheader_status, CASE WHEN game_id % 10 = 0 THEN 'Postseason' ELSE 'RegularSeason' END AS game_type, CASE WHEN game_id % 4 <> 0 THEN concat('P', CAST(game_id % 3 AS VARCHAR(9))) END AS park_id,
+def _conditions(n: str) -> str:
+    """What else a game's record tells, by a number of the game."""
+    text = lambda k, of: f"CASE WHEN {n} % {of} > 0 THEN concat('{k}', CAST({n} % {of} AS VARCHAR(9))) END"
+    picks = {"time_of_day": (3, ["Day", "Night"]), "field_condition": (5, ["Dry", "Wet", "Damp", "Unknown"]), "precipitation": (4, ["None", "Rain", "Unknown"]), "wind_direction": (6, ["ToLF", "ToRF", "FromCF", "Unknown"]), "scoring_method": (4, ["Tape", "Park", "TV"]), "account_type": (3, ["PlayByPlay", "Deduced"])}
+    cast = lambda x, kind: f"CAST({x} AS {kind})"
+    out = {"start_time": f"CASE WHEN {n} % 4 > 0 THEN concat(CAST(12 + {n} % 9 AS VARCHAR(9)), ':', CAST(10 + {n} % 50 AS VARCHAR(9))) END"} | {c: _pick(cast(f"{n} % {of}", "INTEGER"), v) for c, (of, v) in picks.items()}
+    out |= {"temperature_fahrenheit": f"CASE WHEN {n} % 7 > 0 THEN {cast(f'50 + {n} % 40', 'INTEGER')} END", "wind_speed_mph": f"CASE WHEN {n} % 8 > 0 THEN {cast(f'{n} % 25', 'INTEGER')} END", "game_winning_rbi": f"CASE WHEN {n} % 3 > 0 THEN {cast(f'{n} % 40', 'BIGINT')} END"}
+    out |= {"protest_info": text("P", 31), "completion_info": text("C", 29), "inputter": text("i", 5), "translator": text("t", 6), "date_inputted": f"CASE WHEN {n} % 5 > 0 THEN CAST('1990-01-02' AS DATE) END", "date_edited": f"CASE WHEN {n} % 6 > 0 THEN CAST('1991-03-04' AS DATE) END"}
+    out |= {f"umpire_{place}_id": f"CASE WHEN {n} % {k} > 0 THEN {cast(f'{n} % {k + 20}', 'BIGINT')} END" for k, place in enumerate(("home", "first", "second", "third", "left", "right"), 2)}
+    return ", ".join(f"{e} AS {c}" for c, e in out.items())
+
+
+RAW["raw_games"] = f"""SELECT *, {_conditions("game_id")}, CAST(game_id % 3 AS BIGINT) AS doubleheader_status, CASE WHEN game_id % 10 = 0 THEN 'Postseason' ELSE 'RegularSeason' END AS game_type, CASE WHEN game_id % 4 <> 0 THEN concat('P', CAST(game_id % 3 AS VARCHAR(9))) END AS park_id,
  (game_id % 5) * 1000 AS attendance, {_pick('CAST(game_id % 7 AS INTEGER)', ['abc', 'both', '123', ' ', 'Xy & Zed', 'teams'])} AS scorer, CASE WHEN game_id % 6 = 0 THEN '1920.EVR' WHEN game_id % 6 = 1 THEN '1920.EBR' ELSE '1950.EVA' END AS filename,
  CASE WHEN game_id % 3 = 0 THEN 'Sunny' END AS sky, game_id % 200 AS duration_minutes, {_P.format(0)} AS winning_pitcher_id, {_P.format(1)} AS losing_pitcher_id, CASE WHEN game_id % 2 = 0 THEN {_P.format(2)} END AS save_pitcher_id, CASE WHEN game_id % 2 = 0 THEN true END AS use_dh, CASE WHEN game_id % 23 = 0 THEN 'Home' ELSE 'Away' END AS bat_first_side
  FROM (SELECT game_id, min(CAST(ts AS DATE)) AS date, min(season) AS season, {_HOME} AS home_team_id, {_AWAY} AS away_team_id FROM ({RAW["raw_events"]}) e GROUP BY game_id, user_id) g"""
-RAW["raw_box_games"] = f"""SELECT {_BOX} AS game_id, CAST(o_orderdate AS DATE) AS date, CAST(1918 + o_orderkey % 9 AS INTEGER) AS season, CAST(o_orderkey % 25 AS INTEGER) AS home_team_id, CAST((o_orderkey + 3) % 25 AS INTEGER) AS away_team_id, CAST(0 AS BIGINT) AS doubleheader_status,
+RAW["raw_box_games"] = f"""SELECT {_BOX} AS game_id, {_conditions("o_orderkey")}, CAST(o_orderdate AS DATE) AS date, CAST(1918 + o_orderkey % 9 AS INTEGER) AS season, CAST(o_orderkey % 25 AS INTEGER) AS home_team_id, CAST((o_orderkey + 3) % 25 AS INTEGER) AS away_team_id, CAST(0 AS BIGINT) AS doubleheader_status,
  'RegularSeason' AS game_type, CASE WHEN o_orderkey % 3 = 0 THEN concat('B', CAST(o_orderkey % 20 AS VARCHAR(9))) END AS park_id, o_custkey % 3 * 500 AS attendance, 'zed' AS scorer, '1930.EBN' AS filename, CAST(NULL AS VARCHAR(9)) AS sky, o_orderkey % 150 AS duration_minutes,
  CAST(100 + o_orderkey % 12 AS BIGINT) AS winning_pitcher_id, CAST(100 + (o_orderkey + 5) % 12 AS BIGINT) AS losing_pitcher_id, CAST(NULL AS BIGINT) AS save_pitcher_id, false AS use_dh, 'Away' AS bat_first_side FROM {{orders}} WHERE o_orderkey % 2 = 0"""
 RAW["raw_gamelog"] = f"""SELECT {_BOX} AS game_id, CAST(o_orderdate AS DATE) AS date, CAST(o_orderkey % 2 AS VARCHAR(9)) AS double_header, CAST(o_orderkey % 25 AS INTEGER) AS home_team_id, CAST((o_orderkey + 3) % 25 AS INTEGER) AS away_team_id, CASE WHEN o_orderkey % 5 = 0 THEN ' ' ELSE concat('L', CAST(o_orderkey % 9 AS VARCHAR(9))) END AS park,

@@ -2,15 +2,12 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-import uuid
-
 from pyspark.sql import functions as F
 
 from ..operators import joins as J
 from ..operators import project as P
 from ..sources import sinks, tables
+from ..sources.shared import new_dir
 from .adapters import AS_SPELLS, as_spells
 from .registry import probe
 
@@ -18,8 +15,7 @@ NAMES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem
 
 
 def _out(t, name):
-    base = t.spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="spark-")
-    return os.path.join(base, f"{name}-{uuid.uuid4().hex}")
+    return new_dir(t.spark, name)
 
 
 # Sources and sinks

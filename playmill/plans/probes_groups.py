@@ -228,7 +228,7 @@ SELECT s.o_custkey, s.day, CAST(sum(coalesce(wins, 0)) OVER (PARTITION BY s.o_cu
 )
 def tf_spine_fill(t):
     o = t.orders.select("o_custkey", F.to_date("o_orderdate").alias("day"), P.flag(F.col("o_totalprice") > 150000).alias("wins"))
-    return S.spine_fill(S.day_spine(o, ["o_custkey"], "day", 1), o, ["o_custkey"], "day", ["wins"])
+    return S.spine_fill(o, ["o_custkey"], "day", ["wins"], 1)
 
 
 # Measures

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..operators import lineups as L
 from ..operators import ml as ML
 from ..operators import project as P
+from ..sources.shared import written
 from .adapters import AS_PLAYS, AS_POSITIONS, as_plays, as_positions
 from .registry import probe
 
@@ -123,6 +125,11 @@ def lu_modal_repair(t):
     return L.modal_repair(L.modal(p), p)
 
 
+def _lineups(t):
+    """Repaired lineups, worked out once for all that read them."""
+    return written(lu_modal_repair(t), "lineups")
+
+
 _TARGETS = f"""{_POS}, b AS (SELECT *, games AS g, CAST(player % 5 + 1 AS INTEGER) AS batted, 4 AS sides FROM p), c AS (SELECT *, g * least(1.0, batted / sum(g) OVER (PARTITION BY season, team, player)) AS a FROM b),
 x AS (SELECT *, a * least(1.0, sides / sum(a) OVER (PARTITION BY season, team, position)) AS target FROM c)"""
 
@@ -195,9 +202,10 @@ def _sides(t):
 
 
 def _assigned(t):
-    eligible = _sides(t).select("game", "season", "team").join(_targets(t).select("season", "team", "player", "position", "target"), ["season", "team"])
-    p = as_positions(t)
-    return L.assign(eligible, L.modal_repair(L.modal(p), p))
+    targets = _targets(t).select("season", "team", "player", "position", "target")
+    eligible = _sides(t).select("game", "season", "team").join(targets, ["season", "team"])
+    outs = as_positions(t).groupBy("season", "team", "player").agg((27 * F.sum("games")).alias("outs"))
+    return L.assign(eligible, _lineups(t), outs)
 
 
 @probe("lu_assign")
@@ -207,7 +215,14 @@ def lu_assign(t):
 
 @probe("lu_pitcher_slot")
 def lu_pitcher_slot(t):
-    return L.pitcher_slot(_assigned(t), _sides(t), as_positions(t))
+    return L.pitcher_slot(written(_assigned(t), "assigned"), _sides(t), as_positions(t))
+
+
+@probe("lu_assign_report")
+def lu_assign_report(t):
+    """How far what was assigned is from the targets of the teams that have a lineup."""
+    made = written(_assigned(t), "assigned")
+    return L.report(_targets(t).join(made.select("season", "team").distinct(), ["season", "team"], "left_semi"), made)
 
 
 _HALVES = f"""{_TARGETS}, a AS (SELECT season, team, player, position FROM p WHERE games > 1 UNION ALL SELECT season, team, player, position FROM p WHERE player % 2 = 0),
@@ -234,6 +249,48 @@ def lu_backtest(t):
     return out.select("season", "wrong_starters", "wrong_positions", F.round("set_miss_rate", 6).alias("set_miss_rate"))
 
 
+_GROUPS = {1: "P", 2: "C", 3: "IF", 4: "IF", 5: "IF", 6: "IF", 7: "OF", 8: "OF", 9: "OF", 0: "DH"}
+_NAMED = " ".join(f"WHEN {k} THEN '{v}'" for k, v in _GROUPS.items())
+
+
+@probe(
+    "lu_backtest_levels",
+    f"""WITH {_POS}, g AS (SELECT season * 100 + games AS game, season, team, player, min(position) AS guessed FROM p WHERE player % 3 <> 0 GROUP BY ALL), r AS (SELECT season * 100 + games AS game, season, team, player, CAST(min(position) % 8 + min(player) % 2 AS INTEGER) AS real FROM p WHERE player % 4 <> 0 GROUP BY ALL),
+b AS (SELECT * FROM g FULL JOIN r USING (game, season, team, player) WHERE coalesce(guessed, 0) <> 1 AND coalesce(real, 0) <> 1),
+s AS (SELECT season, team, player, guessed AS position, 1 AS guessed, 0 AS real FROM b WHERE guessed IS NOT NULL UNION ALL SELECT season, team, player, real, 0, 1 FROM b WHERE real IS NOT NULL),
+n AS (SELECT *, CASE position {_NAMED} END AS position_group FROM s),
+l AS (SELECT season, team, sum(guessed) AS guessed, sum(real) AS real, CASE WHEN grouping(position) = 0 THEN 'position' WHEN grouping(position_group) = 0 THEN 'group' ELSE 'player' END AS level FROM n GROUP BY GROUPING SETS ((season, team, player), (season, team, player, position_group), (season, team, player, position))),
+z AS (SELECT season, team, count(DISTINCT game) AS games FROM r GROUP BY ALL),
+e AS (SELECT level, CAST(CASE WHEN season < 1992 THEN 0 WHEN season >= 2000 THEN 5 ELSE floor((season - 1992) / 2) + 1 END AS INTEGER) AS era, CAST(games >= 2 AS INTEGER) + CAST(games >= 4 AS INTEGER) AS size, guessed, real FROM l JOIN z USING (season, team))
+SELECT level, era, size, CAST(sum(least(guessed, real)) AS BIGINT) AS matched, CAST(sum(real) AS BIGINT) AS real, round(1 - sum(least(guessed, real)) / nullif(sum(real), 0), 6) AS set_miss_rate FROM e GROUP BY 1, 2, 3""",
+)
+def lu_backtest_levels(t):
+    p = as_positions(t).groupBy((F.col("season") * 100 + F.col("games")).alias("game"), "season", "team", "player").agg(F.min("position").alias("position"))
+    truth = p.where("player % 4 <> 0").withColumn("position", (F.col("position") % 8 + F.col("player") % 2).cast("int"))
+    out = L.backtest_levels(p.where("player % 3 <> 0"), truth, (1992, 2000, 4), [2, 4], _GROUPS)
+    return out.withColumn("set_miss_rate", F.round("set_miss_rate", 6))
+
+
+_STINT_ROWS = """(SELECT *, CAST(sum(games) OVER (PARTITION BY season, team, player) + player % 3 AS BIGINT) AS total FROM (
+SELECT CAST(year(l_shipdate) AS INTEGER) AS season, l_suppkey % 10 AS team, l_partkey % 30 AS player, CAST(l_linenumber % 2 + 1 AS INTEGER) AS stint, CAST((l_partkey // 30 + l_linenumber) % 9 + 1 AS INTEGER) AS position, count(*) AS games, l_partkey % 30 % 7 + 3 AS batted, l_suppkey % 10 + 4 AS sides FROM lineitem GROUP BY ALL))"""
+
+
+@probe(
+    "lu_rescale_stints",
+    f"""WITH a AS (SELECT *, sum(games) OVER s AS fielded, max(batted) OVER s AS b, max(total) OVER s AS whole FROM {_STINT_ROWS} WINDOW s AS (PARTITION BY season, team, player, stint)),
+c AS (SELECT *, CASE WHEN fielded > b THEN games * b / fielded ELSE games END AS g, CASE WHEN fielded > b THEN b ELSE whole END AS own FROM a WHERE games > 0),
+d AS (SELECT *, max(own) OVER p * sum(g) OVER s / sum(g) OVER p AS stint_total, sum(g) OVER q AS made FROM c WINDOW s AS (PARTITION BY season, team, player, stint), p AS (PARTITION BY season, team, player), q AS (PARTITION BY season, team, position))
+SELECT season, team, player, stint, position, round(stint_total, 5) AS stint_total, round(CASE WHEN made > sides THEN g * sides / made ELSE g END, 5) AS target FROM d""",
+)
+def lu_rescale_stints(t):
+    player = F.col("l_partkey") % 30
+    keys = [F.year("l_shipdate").alias("season"), (F.col("l_suppkey") % 10).alias("team"), player.alias("player"), (F.col("l_linenumber") % 2 + 1).cast("int").alias("stint"), ((F.floor(F.col("l_partkey") / 30) + F.col("l_linenumber")) % 9 + 1).cast("int").alias("position")]
+    rows = t.lineitem.groupBy(*keys).agg(F.count("*").alias("games"))
+    whole = F.sum("games").over(Window.partitionBy("season", "team", "player"))
+    out = L.rescale_stints(rows.withColumns({"batted": F.col("player") % 7 + 3, "total": whole + F.col("player") % 3, "sides": F.col("team") + 4}))
+    return out.select("season", "team", "player", "stint", "position", F.round("stint_total", 5).alias("stint_total"), F.round("target", 5).alias("target"))
+
+
 @probe("lu_lines", f"WITH {_MODAL} SELECT season, team, player, position, NULL::INTEGER AS hits, NULL::INTEGER AS runs FROM m")
 def lu_lines(t):
     return L.lines(L.modal(as_positions(t)).select("season", "team", "player", "position"), ["hits", "runs"])

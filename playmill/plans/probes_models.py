@@ -4,18 +4,23 @@ from __future__ import annotations
 
 import re
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..models import MODELS, Catalogue
+from ..models import MODELS, Store
 from ..models import stats as S
 from ..models.analyses import BALL_FACTS, PITCH_FACTS
 from ..models.events import PITCH_RULES
 from ..models.expectancy import FACTORS
+from ..models.learning import CATEGORIES, NUMBERS, OUTCOMES, PLAYERS, TARGETS, WEIGHTS
 from ..models.metric_tables import GRAINS, KINDS
 from ..models.rollups import _CREDITED, _JUDGED
+from ..models.seasons import SPLIT_COUNTS, SPLITS
 from ..models.staging import NAMED
 from ..models.states import POSITIONS
 from ..operators import metrics as M
+from ..operators import ml as ML
+from ..sources.shared import new_dir, written
 from .model_sources import GIVEN, RAW
 from .probes_groups import sport_text
 from .registry import probe
@@ -54,7 +59,7 @@ SQL["stg_databank_batting"] = f"SELECT r.* EXCLUDE (register_team), team_id, {_H
 SQL["stg_databank_pitching"] = "SELECT r.* EXCLUDE (register_team), team_id FROM raw_databank_pitching r JOIN team_crosswalk USING (register_team)"
 SQL["stg_databank_fielding"] = "SELECT *, CASE pos WHEN 'P' THEN 1 WHEN 'C' THEN 2 WHEN '1B' THEN 3 WHEN '2B' THEN 4 WHEN '3B' THEN 5 WHEN 'SS' THEN 6 END AS fielding_position, CASE WHEN pos IN ('P', 'C', 'OF') THEN pos ELSE 'IF' END AS register_category FROM raw_databank_fielding"
 SQL["stg_gamelog"] = "SELECT * EXCLUDE (double_header, forfeit, park, kind), CAST(double_header AS BIGINT) AS doubleheader_status, CAST(year(date) AS INTEGER) AS season, nullif(trim(forfeit), '') AS forfeit_info, nullif(trim(park), '') AS park_id, 'GameLog' AS source_type, CASE kind WHEN 'R' THEN 'RegularSeason' ELSE 'Postseason' END AS game_type, NULL::BOOLEAN AS use_dh FROM raw_gamelog"
-SQL["stg_games"] = """SELECT * REPLACE (coalesce(sky, 'Unknown') AS sky, CASE WHEN attendance > 0 THEN attendance END AS attendance, coalesce(use_dh, false) AS use_dh), game_id * 255 AS game_key FROM (
+SQL["stg_games"] = """SELECT * EXCLUDE (game_winning_rbi) REPLACE (coalesce(sky, 'Unknown') AS sky, CASE WHEN attendance > 0 OR year(date) = 2020 THEN attendance END AS attendance, coalesce(use_dh, false) AS use_dh, CASE WHEN regexp_full_match(filename, '\\d{4}AS\\.EVE') THEN 'AllStarGame' ELSE game_type END AS game_type), game_winning_rbi AS game_winning_rbi_player_id, game_id * 255 AS game_key FROM (
  SELECT *, 'PlayByPlay' AS source_type FROM raw_games UNION ALL BY NAME SELECT *, 'BoxScore' AS source_type FROM raw_box_games WHERE game_id NOT IN (SELECT game_id FROM raw_games))"""
 
 
@@ -411,6 +416,50 @@ for _kind, (_season_table, _event_table, _counters) in KINDS.items():
         FRACTIONS[_name] = [*[m.name for m in _basic], *[n for n in _told if not n.startswith("sum_")], "event_coverage_rate"]
 
 
+# Results, standings and parks
+
+_WHO = "PARTITION BY season, team_id, game_type ORDER BY game_finish_date NULLS FIRST, season_game_number NULLS FIRST, game_id"
+SQL["team_game_results_own"] = f"""SELECT r.season, game_id, game_finish_date, s.team_id, s.opponent_id, r.game_type, team_side, league, division, opponent_league, opponent_division, season_game_number, s.is_interleague, duration_outs, {b('winning_team_id = s.team_id')} AS wins, {b('losing_team_id = s.team_id')} AS losses,
+ CASE WHEN team_side = 'Home' THEN home_runs_scored ELSE away_runs_scored END AS runs_scored, CASE WHEN team_side = 'Home' THEN away_runs_scored ELSE home_runs_scored END AS runs_allowed FROM team_game_start_info s JOIN game_results r USING (game_id)"""
+SQL["team_game_results_runs"] = f"SELECT *, CAST(row_number() OVER ({_WHO}) AS INTEGER) AS k, wins > 0 AS won, losses > 0 AS lost, coalesce(lag(wins > 0) OVER ({_WHO}), false) AS won_before, coalesce(lag(losses > 0) OVER ({_WHO}), false) AS lost_before FROM team_game_results_own"
+_ids = ", ".join(f"CASE WHEN {x} THEN max(CASE WHEN {x} AND NOT {x}_before THEN k END) OVER (PARTITION BY season, team_id, game_type ORDER BY k) END AS {n}_streak_id" for x, n in (("won", "win"), ("lost", "loss")))
+SQL["team_game_results_ids"] = f"SELECT *, {_ids} FROM team_game_results_runs"
+_split = ", ".join(f"CAST(CASE WHEN {rule} THEN {kind} ELSE 0 END AS BIGINT) AS {split}_{kind}" for split, rule in SPLITS.items() for kind in ("wins", "losses"))
+SQL["team_game_results"] = f"SELECT * EXCLUDE (k, won, lost, won_before, lost_before), {_split}, {', '.join(f'CAST(CASE WHEN {n}_streak_id IS NULL THEN 0 ELSE k - {n}_streak_id + 1 END AS INTEGER) AS {n}_streak_length' for n in ('win', 'loss'))} FROM team_game_results_ids"
+_SUMS = ["wins", "losses", "runs_scored", "runs_allowed", *SPLIT_COUNTS]
+_LAST = ["win_streak_length", "loss_streak_length", "last_10_wins", "last_10_losses"]
+SQL["standings_games"] = "SELECT *, sum(wins) OVER w AS last_10_wins, sum(losses) OVER w AS last_10_losses FROM team_game_results WHERE game_type = 'RegularSeason' AND game_finish_date IS NOT NULL WINDOW w AS (PARTITION BY season, team_id ORDER BY season_game_number RANGE BETWEEN 9 PRECEDING AND CURRENT ROW)"
+SQL["standings_days"] = f"SELECT season, team_id, game_finish_date AS date, {', '.join(f'sum({c}) AS {c}' for c in _SUMS)}, {', '.join(f'arg_max({c}, (season_game_number, game_id)) AS {c}' for c in _LAST)} FROM standings_games GROUP BY ALL"
+SQL["standings_spine"] = """SELECT t.*, CAST(unnest(generate_series(a, z, INTERVAL 1 DAY)) AS DATE) AS date FROM (SELECT season, team_id, min(league) AS league, min(division) AS division, min(team_name) AS team_name FROM team_game_start_info WHERE game_type = 'RegularSeason' GROUP BY ALL) t
+ JOIN (SELECT season, greatest(min(game_finish_date) - 1, make_date(season, 1, 1)) AS a, least(max(game_finish_date) + 1, make_date(season, 12, 31)) AS z FROM standings_games GROUP BY 1) USING (season)"""
+SQL["standings_table"] = f"SELECT s.*, {', '.join(f'coalesce(sum({c}) OVER w, 0) AS {c}' for c in _SUMS)}, {', '.join(f'coalesce(last_value({c} IGNORE NULLS) OVER w, 0) AS {c}' for c in _LAST)} FROM standings_spine s LEFT JOIN standings_days d USING (season, team_id, date) WINDOW w AS (PARTITION BY s.season, s.team_id ORDER BY s.date)"
+SQL["standings"] = f"""SELECT season, date, league, division, team_id, team_name, {total(["wins", "losses"], "{0}")}, wins / nullif(wins + losses, 0) AS win_percentage, greatest(0.0, (max(wins - losses) OVER (PARTITION BY season, league, division, date) - (wins - losses)) / 2) AS games_behind,
+ runs_scored ^ 1.85 / nullif(runs_scored ^ 1.85 + runs_allowed ^ 1.85, 0) AS pythagorean_win_percentage, (runs_scored - runs_allowed) / nullif(wins + losses, 0) AS average_run_differential, CAST(win_streak_length AS INTEGER) AS win_streak_length, CAST(loss_streak_length AS INTEGER) AS loss_streak_length, {total([*_SUMS[2:], *_LAST[2:]], "{0}")} FROM standings_table"""
+SQL["park_teams"] = "SELECT s.park_id, s.season, s.league, s.team_id, s.opponent_id, sum(r.runs_scored + r.runs_allowed) AS runs, sum(coalesce(r.duration_outs / 3, 18.0)) AS innings FROM team_game_start_info s JOIN team_game_results r USING (game_id, team_id) WHERE s.game_type = 'RegularSeason' AND NOT s.is_interleague GROUP BY ALL"
+SQL["park_levels"] = "SELECT season, league, sum(runs) / nullif(sum(innings), 0) / nullif((SELECT sum(runs) / nullif(sum(innings), 0) FROM park_teams), 0) AS level FROM park_teams GROUP BY ALL"
+SQL["park_rates"] = "SELECT p.*, greatest(0.1, least(1.0, sum(runs) OVER w / nullif(level, 0) / nullif(sum(innings) OVER w, 0))) AS rate, sum(innings) OVER w AS size FROM park_teams p JOIN park_levels USING (season, league) WINDOW w AS (PARTITION BY park_id, p.league, team_id, opponent_id ORDER BY p.season ROWS 2 PRECEDING)"
+SQL["calc_park_factors_basic"] = "SELECT park_id, season, league, sum(w) AS sqrt_sample_size, sum(rate * w) / nullif(sum(w), 0) AS avg_this_runs_per_inning, sum(other * w) / nullif(sum(w), 0) AS avg_other_runs_per_inning, sum(rate * w) / nullif(sum(other * w), 0) AS basic_park_factor FROM (SELECT a.*, b.rate AS other, sqrt(least(a.size, b.size)) AS w FROM park_rates a JOIN park_rates b USING (season, league, team_id, opponent_id) WHERE a.park_id <> b.park_id) GROUP BY ALL"
+SQL["park_factors"] = "SELECT b.season, b.park_id, b.league, basic_park_factor, a.* EXCLUDE (season, park_id, league, sqrt_sample_size), coalesce(runs_factor, basic_park_factor) AS overall_park_factor FROM calc_park_factors_basic b LEFT JOIN park_factors_outs a ON a.season = b.season AND a.park_id = b.park_id AND a.league = b.league"
+FRACTIONS |= {"standings": ["win_percentage", "pythagorean_win_percentage", "average_run_differential"], "calc_park_factors_basic": ["sqrt_sample_size", "avg_this_runs_per_inning", "avg_other_runs_per_inning", "basic_park_factor"], "park_factors": ["basic_park_factor", "overall_park_factor"]}
+
+# Learning from plays
+
+SQL["outcome_plays"] = """SELECT e.event_key, e.game_id, greatest(1913, e.season) AS weigh_season, e.batting_side, sum(e.runs_on_play) OVER (PARTITION BY e.game_id, e.inning, e.batting_side ORDER BY e.event_id ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS runs_following, c.result_category, t.is_in_play, bb.trajectory, bb.location_depth, bb.location_side
+ FROM stg_events e LEFT JOIN seed_plate_appearance_result_types t USING (plate_appearance_result) LEFT JOIN seed_result_categories c USING (plate_appearance_result) LEFT JOIN calc_batted_ball_type bb USING (event_key)"""
+SQL["outcome_runners"] = "SELECT event_key, arg_min(r, (priority, r)) AS ran FROM (SELECT event_key, priority, CASE WHEN is_out THEN result_category_out ELSE result_category_safe END AS r FROM stg_event_baserunners JOIN seed_baserunning_play_types USING (baserunning_play_type)) GROUP BY 1"
+SQL["outcome_rows"] = f"""SELECT event_key, {b('result_category IS NOT NULL')} AS outcome_has_batting_bin, {b('is_in_play')} AS outcome_is_in_play_bin, coalesce(trajectory, 'Other') AS outcome_batted_trajectory_cat, coalesce(location_depth || '-' || location_side, 'Other') AS outcome_batted_location_cat, coalesce(result_category, 'Other') AS outcome_plate_appearance_cat,
+ coalesce(ran, 'Other') AS outcome_baserunning_cat, CAST(runs_following AS DOUBLE) AS outcome_runs_following_num, {b('winning_side = batting_side')} AS outcome_is_win_bin, {b("trajectory <> 'Unknown'")} AS known_contact, {b("location_depth <> 'Unknown' AND location_side <> 'Unknown'")} AS known_location, {b('winning_side IS NOT NULL')} AS full_game, 1.0::DOUBLE / count(*) OVER (PARTITION BY weigh_season) AS factor
+ FROM outcome_plays LEFT JOIN outcome_runners USING (event_key) JOIN game_results USING (game_id) WHERE result_category IS NOT NULL OR ran IS NOT NULL"""
+_weighed = {n: f"factor * ({r.lstrip('_') if r.startswith('_') else r})" for n, r in WEIGHTS.items()}
+SQL["ml_event_outcomes"] = f"SELECT event_key, {', '.join(f'outcome_{n}' for n in OUTCOMES)}, factor / nullif(avg(factor) OVER (), 0) AS generic_sample_weight, {', '.join(f'{x} / nullif(avg({x}) OVER (), 0) AS {n}_sample_weight' for n, x in _weighed.items())} FROM outcome_rows"
+_runner = lambda base: f"coalesce(CAST((SELECT max(runner_id) FROM stg_event_baserunners r WHERE r.event_key = e.event_key AND baserunner = '{base}') AS VARCHAR), 'N/A') AS runner_{base.lower()}_player"
+SQL["ml_known"] = f"""SELECT e.event_key, CAST(e.season AS DOUBLE) AS season_num, CAST(dayofyear(e.date) AS DOUBLE) AS day_of_year_num, CAST(least(inning_start, 10) AS DOUBLE) AS inning_num, CAST(CASE WHEN frame_start = 'Top' THEN 0 ELSE 1 END AS DOUBLE) AS frame_num, CAST(CASE WHEN g.time_of_day = 'Night' THEN 1 ELSE 0 END AS DOUBLE) AS is_night_game_num,
+ CAST(CASE WHEN batting_side = 'Home' THEN score_home_start ELSE score_away_start END AS DOUBLE) AS score_batting_team_num, CAST(CASE WHEN batting_side = 'Home' THEN score_away_start ELSE score_home_start END AS DOUBLE) AS score_fielding_team_num, e.park_id AS park_cat, e.game_type AS game_type_cat, coalesce(e.league, 'None') AS league_cat, CAST(base_state_start AS VARCHAR) AS base_state_cat, CAST(batter_id AS VARCHAR) AS batter_player,
+ {', '.join(map(_runner, ('First', 'Second', 'Third')))}, CAST(pitcher_id AS VARCHAR) AS pitcher_player, CASE WHEN ('0x' || substr(md5(CAST(e.game_id AS VARCHAR)), 1, 8))::BIGINT % 100 < 98 THEN 'TRAIN' ELSE 'TEST' END AS meta_train_test_split FROM event_states_full e LEFT JOIN stg_games g USING (game_id)"""
+SQL["ml_features"] = "SELECT o.*, k.* EXCLUDE (event_key) FROM ml_event_outcomes o LEFT JOIN ml_known k ON o.event_key = k.event_key"
+FRACTIONS |= {n: ["generic_sample_weight", *[f"{w}_sample_weight" for w in WEIGHTS]] for n in ("ml_event_outcomes", "ml_features")}
+
+
 def oracle(name: str) -> str:
     """A model's SQL behind everything it reads."""
     known = RAW | SQL
@@ -428,9 +477,7 @@ def oracle(name: str) -> str:
     return "WITH " + ", ".join(f"{n} AS ({text[n]})" for n in order) + f" SELECT *{f' REPLACE ({rounded})' if rounded else ''} FROM {name}"
 
 
-#: Models that many others read: tables of the catalogue, as long as a session reads the same folder.
-SHARED = ("game_start_info", "event_states_full", "event_transition_values", "event_states_batter_pitcher", "calc_batted_ball_type", "event_batted_ball_stats", "event_batting_stats", "event_baserunning_stats", "event_offense_stats", "event_pitching_stats", "event_fielding_stats", "event_player_fielding_stats", "player_game_offense_stats", "player_game_pitching_stats", "player_position_game_fielding_stats", "team_game_start_info", "player_team_season_offense_stats", "player_team_season_pitching_stats", "player_position_team_season_fielding_stats")
-_kept: dict[tuple[str, str], Catalogue] = {}
+_stores: dict[tuple[str, str], Store] = {}
 
 
 class _Raw(dict):
@@ -447,17 +494,15 @@ class _Raw(dict):
     def __contains__(self, name) -> bool:
         return dict.__contains__(self, name) or name in RAW
 
-    def __setitem__(self, name, df) -> None:
-        super().__setitem__(name, df.persist() if name in SHARED else df)
 
-
-def _catalogue(t) -> Catalogue:
+def _store(t) -> Store:
+    """The written models of a folder, for as long as a session reads it."""
     key = t.spark.sparkContext.applicationId, t.sf_dir
-    if key not in _kept:
-        _kept.clear()
-        _kept[key] = Catalogue()
-        _kept[key]._tables = _Raw(t)
-    return _kept[key]
+    if key not in _stores:
+        for old in [k for k in _stores if k[0] != key[0]]:
+            del _stores[old]
+        _stores[key] = Store(t.spark, new_dir(t.spark, "models"), _Raw(t))
+    return _stores[key]
 
 
 def _plain(df):
@@ -466,4 +511,25 @@ def _plain(df):
 
 for _name in MODELS:
     if _name in SQL:
-        probe(f"mdl_{_name}", oracle(_name))(lambda t, n=_name: _plain(getattr(_catalogue(t), n)))
+        probe(f"mdl_{_name}", oracle(_name))(lambda t, n=_name: _plain(_store(t).plan(n)))
+
+
+_scored: dict[tuple[str, str], DataFrame] = {}
+
+
+def _predictions(t) -> DataFrame:
+    """All eight predictions of every play, by models fitted on the games to learn from, stored, and read again. Made once for a folder."""
+    key = t.spark.sparkContext.applicationId, t.sf_dir
+    if key not in _scored:
+        rows, sides = _store(t).ml_features, (NUMBERS, CATEGORIES, PLAYERS)
+        train = rows.where("meta_train_test_split = 'TRAIN'")
+        told = train.agg(F.hex(F.bit_xor(F.xxhash64("event_key")))).first()[0]
+        folder, run_id = new_dir(t.spark, "fitted"), f"run-{told or 0}"
+        ML.fit_targets(train, TARGETS, *sides, run_id).save(folder)
+        fitted = ML.Fitted.load(t.spark, folder, run_id)
+        _scored[key] = written(ML.score_targets(rows, fitted, "event_key", *sides).withColumn("model_run_id", F.lit(run_id)), "predictions")
+    return _scored[key]
+
+
+for _target in TARGETS:
+    probe(f"predictions_{_target.name}")(lambda t, n=_target.name: _predictions(t).select("event_key", f"{n}.*", "model_run_id"))
