@@ -168,3 +168,59 @@ def query(registry: Registry, df: DataFrame, kind: str, dimensions: list[str], m
     wanted = {m.name: m for m in registry.of(kind)}
     names = list(dict.fromkeys(n for m in measures for n in (*wanted[m].uses, m)))
     return registry.evaluate(df if where is None else df.where(where), dimensions, [wanted[n] for n in names]).select(*dimensions, *measures)
+
+
+def ask(registry: Registry, kind: str, accounts: dict[str, DataFrame], lookups: list[tuple[DataFrame, list[str]]], dimensions: list[str], measures: list[str], where: Column | None = None) -> DataFrame:
+    """Measures of several accounts by any dimensions, those of lookups included.
+
+    Measures are closed over what they use; each base measure is worked out in
+    its own account (its ``source``), and an account takes part only if one is
+    asked of it. A dimension that an account lacks comes from the first lookup
+    (a table and the keys that tell its rows) that has it. Accounts meet on the
+    dimensions, nulls with nulls, and measures derived from several accounts
+    come last. where is a condition on the dimensions and the accounts' columns
+    that all of them have.
+    """
+    known, order = {m.name: m for m in registry.of(kind)}, []
+
+    def close(name: str, path: tuple[str, ...] = ()) -> None:
+        if name in path:
+            raise ValueError(" uses ".join([*path, name]))
+        if name not in known:
+            raise ValueError(f"{kind} has no measure {name}")
+        for used in known[name].uses:
+            close(used, (*path, name))
+        if name not in order:
+            order.append(name)
+
+    def reach(df: DataFrame, wanted: str) -> DataFrame:
+        if wanted in df.columns:
+            return df
+        for table, keys in lookups:
+            if wanted in table.columns:
+                for key in keys:
+                    df = reach(df, key)
+                new = [c for c in table.columns if c not in keys and c not in df.columns]
+                return df.join(table.select(*keys, *new), keys, "left")
+        raise ValueError(f"no table has {wanted}")
+
+    for m in measures:
+        close(m)
+    parts = []
+    for source, df in accounts.items():
+        own = [known[n] for n in order if known[n].form != "derived" and known[n].source == source]
+        if own:
+            for d in dimensions:
+                df = reach(df, d)
+            parts.append(registry.evaluate(df if where is None else df.where(where), dimensions, own))
+    if not parts:
+        raise ValueError("no measure is asked for")
+    every = parts[0]
+    for p in parts[1:]:
+        every = every.unionByName(p, allowMissingColumns=True)
+    base = [n for n in order if known[n].form != "derived"]
+    out = every.groupBy(*dimensions).agg(*[F.max(n).alias(n) for n in base]) if len(parts) > 1 else every
+    for n in order:
+        if known[n].form == "derived":
+            out = out.withColumn(n, known[n].derived(*[F.col(u) for u in known[n].uses]))
+    return out.select(*dimensions, *measures)

@@ -245,6 +245,8 @@ _REG = (
         M.ratio("mean_discount", "sales", "cents", "line", 0.01, source="event"),
     )
 )
+#: Measures of the orders, the lines, and both: an account each, asked for together.
+_ASKED = M.Registry().add(*_REG.metrics.values(), M.Metric("lines", "sales", "event", formula=lambda: F.count("*")), M.Metric("lines_an_order", "sales", derived=lambda a, b: F.try_divide(a.cast("double"), b), uses=("lines", "orders")), M.Metric("spread", "sales", derived=lambda a, b: a - b, uses=("lines_an_order", "gap")))
 
 
 def _sales(t):
@@ -469,3 +471,29 @@ def dq_missing_link(t):
 @probe("dq_suite", "SELECT 'unique' AS \"check\", 'o_orderkey' AS \"column\", CAST(0 AS BIGINT) AS violations UNION ALL SELECT 'accepted_values', 'o_orderstatus', count(*) FROM orders WHERE o_orderstatus NOT IN ('F', 'O') UNION ALL SELECT 'bounded', 'o_totalprice', count(*) FROM orders WHERE o_totalprice > 300000")
 def dq_suite(t):
     return Q.suite({("unique", "o_orderkey"): Q.unique(t.orders, ["o_orderkey"]), ("accepted_values", "o_orderstatus"): Q.accepted_values(t.orders, "o_orderstatus", ["F", "O"]), ("bounded", "o_totalprice"): Q.bounded(t.orders, "o_totalprice", high=300000.0)})
+
+
+def _asked(t, dimensions, measures, where=None):
+    orders, lines = _sales(t)
+    # The lines know their order only; all else is looked up.
+    accounts = {"season": orders, "event": lines.select("unit", "cents", "returned", "line")}
+    nations = t.nation.select(F.col("n_nationkey").alias("nation"), F.col("n_name").alias("country"), F.col("n_regionkey").alias("area"))
+    regions = t.region.select(F.col("r_regionkey").alias("area"), F.col("r_name").alias("region"))
+    lookups = [(orders.select("unit", "nation", "year", "segment"), ["unit"]), (nations, ["nation"]), (regions, ["area"])]
+    out = M.ask(_ASKED, "sales", accounts, lookups, dimensions, measures, where)
+    return out.select(*[F.round(c, 6).alias(c) if k == "double" else c for c, k in out.dtypes])
+
+
+_ASKED_SQL = f"""WITH {_SALES}, p AS (SELECT o.*, n_name AS country, r_name AS region FROM o JOIN nation ON nation = n_nationkey JOIN region ON n_regionkey = r_regionkey), q AS (SELECT l.*, n_name AS country, r_name AS region FROM l JOIN nation ON nation = n_nationkey JOIN region ON n_regionkey = r_regionkey),
+a AS (SELECT {{0}}, avg(finished) - avg(urgent) AS gap, count(*) AS orders FROM p {{1}} GROUP BY ALL), b AS (SELECT {{0}}, avg(returned) AS return_rate, count(*) AS lines FROM q {{1}} GROUP BY ALL)
+SELECT {{0}}, {{2}} FROM a FULL JOIN b USING ({{0}})"""
+
+
+@probe("met_query_joined", _ASKED_SQL.format("region, year", "", "round(gap, 6) AS gap, round(return_rate, 6) AS return_rate, round(lines / orders - gap, 6) AS spread"))
+def met_query_joined(t):
+    return _asked(t, ["region", "year"], ["gap", "return_rate", "spread"])
+
+
+@probe("met_query_one_account", _ASKED_SQL.format("country, segment, year", "WHERE year > 1994", "round(return_rate, 6) AS return_rate, lines").replace("a FULL JOIN b", "b LEFT JOIN a"))
+def met_query_one_account(t):
+    return _asked(t, ["country", "segment", "year"], ["return_rate", "lines"], F.col("year") > 1994)

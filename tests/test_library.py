@@ -143,6 +143,21 @@ def test_registry_cycles_and_unknown(spark):
         M.Registry().evaluate(df, [], [M.Metric("a", "k", derived=lambda b: b, uses=("missing",))])
 
 
+def test_asking_several_accounts(spark):
+    """Nulls meet nulls, a key that only one account has stays, joins follow what is asked, and errors say why."""
+    orders = spark.createDataFrame([(1, "a", 2), (2, None, 3), (3, "c", 4)], "id int, k string, x int")
+    lines = spark.createDataFrame([(1, 5), (1, 6), (2, 7), (9, 8)], "id int, y int")
+    registry = M.Registry().add(M.Metric("xs", "s", formula=lambda: F.sum("x")), M.Metric("ys", "s", "event", formula=lambda: F.sum("y")), M.Metric("both", "s", derived=lambda a, b: a + b, uses=("xs", "ys")), M.Metric("odd", "s", derived=lambda a: a, uses=("none",)))
+    accounts, lookups = {"season": orders, "event": lines}, [(orders.select("id", "k"), ["id"])]
+    got = {r["k"]: r["both"] for r in M.ask(registry, "s", accounts, lookups, ["k"], ["both"]).collect()}
+    assert got == {"a": 13, None: 18, "c": None}
+    plan = M.ask(registry, "s", accounts, lookups, ["k"], ["xs"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "y#" not in plan
+    for dims, measures, why in ((["z"], ["xs"], "no table has z"), (["k"], ["odd"], "no measure none"), (["k"], [], "no measure is asked")):
+        with pytest.raises(ValueError, match=why):
+            M.ask(registry, "s", accounts, lookups, dims, measures)
+
+
 def test_line_score(spark):
     df = spark.createDataFrame([("010200000",), ("001(10)2000X",), ("",), (None,)], "line_score string")
     rows = [(r["line_score"], r["ordinal"], r["value"]) for r in S.line_score(df, "line_score").collect()]
