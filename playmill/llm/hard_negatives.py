@@ -41,6 +41,8 @@ from .topk_search import by_dimension
 
 #: Rows that the codebooks are learnt from, and codewords of a half.
 SAMPLE, CODEWORDS, PASSES = 4096, 64, 8
+#: Rows of the cells that are scored at a time, about.
+RUN_ROWS = 512
 #: Candidates of a group, at least and at most.
 LEAST_ROWS, MOST_ROWS = 256, 50_000
 
@@ -204,43 +206,50 @@ class Group:
         starts = np.flatnonzero(np.append(True, (np.diff(c1) != 0) | (np.diff(c2) != 0)))
         self.cells = {(a, b): slice(s, e) for a, b, s, e in zip(c1[starts].tolist(), c2[starts].tolist(), starts.tolist(), np.append(starts[1:], len(c1)).tolist())}
 
-    def cells_for(self, q: np.ndarray) -> Iterator[tuple[slice, float, float]]:
-        """Cells with the upper and lower bounds of their products with q, upper bounds falling."""
+    def runs(self, q: np.ndarray, top: float = np.inf) -> Iterator[tuple[np.ndarray, float]]:
+        """Rows of cells in the order of their upper bounds, a run of cells at a time, with the first of the bounds; cells whose lower bound is above top are passed over."""
         (m1, m2), (o1, o2) = self.books.middles(q)
         u, v = self.own1, self.own2
+        low1, low2, own1, own2 = (m1 - o1)[u].tolist(), (m2 - o2)[v].tolist(), u.tolist(), v.tolist()
+        starts, stops, rows, first = [], [], 0, 0.0
         for i, j, bound in visits((m1 + o1)[u], (m2 + o2)[v]):
-            a, b = int(u[i]), int(v[j])
-            if (a, b) in self.cells:
-                yield self.cells[a, b], bound, m1[a] - o1[a] + m2[b] - o2[b]
+            cell = self.cells.get((own1[i], own2[j]))
+            if cell is None or low1[i] + low2[j] > top:
+                continue
+            if not starts:
+                first = bound
+            starts.append(cell.start)
+            stops.append(cell.stop)
+            rows += cell.stop - cell.start
+            if rows >= RUN_ROWS:
+                yield _ranges(starts, stops), first
+                starts, stops, rows = [], [], 0
+        if starts:
+            yield _ranges(starts, stops), first
 
     def positives(self, row: int, label: int, q: np.ndarray, least: float, k: int) -> tuple[np.ndarray, ...]:
         """row, id and score of the k best other rows of the label, as far as they reach ``least``."""
         best = _none()
-        for cell, bound, _ in self.cells_for(q):
+        for at, bound in self.runs(q):
             if bound < (max(least, best[2][-1]) if len(best[2]) == k else least):
                 break
-            a, b = np.searchsorted(self.label[cell], [label, label + 1]) + cell.start
-            at = np.arange(a, b)
-            at = at[self.row[at] != row]
+            at = at[(self.label[at] == label) & (self.row[at] != row)]
             best = self._better(best, at, products(self.x[at], q), k)
         return best
 
     def negatives(self, label: int, q: np.ndarray, windows: list[tuple[int, int, float]], k: int) -> list[tuple[np.ndarray, ...]]:
         """For each window (low, high, score to reach): row, id and score of the k best rows of other labels in it."""
         best = [_none() for _ in windows]
-        top = max(high for _, high, _ in windows)
         need = lambda w, b: max(w[0], w[2], b[2][-1] if len(b[2]) == k else w[0])
-        for cell, bound, low in self.cells_for(q):
+        for at, bound in self.runs(q, max(high for _, high, _ in windows)):
             if all(bound < need(w, b) for w, b in zip(windows, best)):
                 break
-            if low > top:
-                continue
-            other = np.flatnonzero(self.label[cell] != label) + cell.start
-            scores = products(self.x[other], q)
+            at = at[self.label[at] != label]
+            scores = products(self.x[at], q)
             for n, w in enumerate(windows):
                 fine = (scores >= need(w, best[n])) & (scores <= w[1])
                 if fine.any():
-                    best[n] = self._better(best[n], other[fine], scores[fine], k)
+                    best[n] = self._better(best[n], at[fine], scores[fine], k)
         return best
 
     def _better(self, best, at: np.ndarray, scores: np.ndarray, k: int):
@@ -249,6 +258,12 @@ class Group:
         return rows[order], ids[order], got[order]
 
 
+def _ranges(starts: list[int], stops: list[int]) -> np.ndarray:
+    sizes = np.subtract(stops, starts)
+    ends = np.cumsum(sizes)
+    return np.repeat(np.subtract(starts, ends - sizes), sizes) + np.arange(ends[-1])
+
+
 def _none() -> tuple[np.ndarray, ...]:
     return tuple(np.zeros(0, np.int64) for _ in range(3))
 
