@@ -186,12 +186,14 @@ def event_pitching_stats(m) -> DataFrame:
 
 @model
 def calc_fielding_play_agg(m) -> DataFrame:
-    """Per play and position: putouts, assists (chains assisted in), errors, choices, assisted putouts and what is unknown."""
+    """Per play and position: putouts, assists (chains assisted in), errors, choices, assisted putouts, batted balls first played, errors of the first chain, and what is unknown."""
     closing = F.col("fielding_play").isin("Putout", "Error")
     chained = W.chain_groups(m.stg_event_fielding_plays, [KEY], ["sequence_id"], closing).withColumn("helped", F.max(flag("fielding_play = 'Assist'")).over(W.over([KEY, "chain"])))
+    chained = chained.join(m.stg_events.select(KEY, E("batted_location_general IS NOT NULL").alias("batted")), KEY)
     return chained.groupBy("game_id", KEY, "fielding_position").agg(
         F.count_if(E("fielding_play = 'Putout'")).alias("putouts"), F.count_distinct(E("CASE WHEN fielding_play = 'Assist' THEN chain END")).alias("assists"), F.count_if(E("fielding_play = 'Error'")).alias("errors"),
         F.count_if(E("fielding_play = 'FieldersChoice'")).alias("fielders_choices"), F.count_if(E("fielding_play = 'Putout' AND helped = 1")).alias("assisted_putouts"),
+        F.count_if(E("sequence_id = 1 AND fielding_play <> 'Error' AND batted")).alias("plays_started"), F.count_if(E("chain = 0 AND fielding_play = 'Error'")).alias("first_errors"),
         F.count_if(E("fielding_play = 'Putout' AND fielding_position = 0")).alias("unknown_putouts"), F.max(flag("fielding_position = 0")).alias("incomplete_events"),
     )
 

@@ -57,8 +57,9 @@ def event_transition_values(m) -> DataFrame:
         plays = plays.join(runs(x), f"run_expectancy_{x}_key", "left").join(wins(x), f"win_expectancy_{x}_key", "left")
     after = F.when(~F.col("game_end_flag"), F.col("_wins_end")).when(F.col("truncated_home_margin_end") > 0, 1.0).otherwise(0.0)
     change = F.round(after - F.col("_wins_start"), 3)
+    states = [f"{c}_{x}" for x in ("start", "end") for c in ("inning", "frame", "truncated_home_margin", "base_state", "outs")]
     return plays.select(
-        KEY, "run_expectancy_start_key", "run_expectancy_end_key", "win_expectancy_start_key", "win_expectancy_end_key", "season", "league", "game_type", "batting_side", "runs_on_play", "game_end_flag",
+        KEY, *states, "run_expectancy_start_key", "run_expectancy_end_key", "win_expectancy_start_key", "win_expectancy_end_key", "season", "league", "game_type", "batting_side", "runs_on_play", "game_end_flag",
         F.round(F.col("runs_on_play") + F.coalesce("_runs_end", F.lit(0.0)) - F.col("_runs_start"), 3).alias("expected_runs_change"), change.alias("expected_home_win_change"),
         F.when(F.col("batting_side") == "Home", change).otherwise(-change).alias("expected_batting_win_change"),
     )
@@ -77,6 +78,65 @@ def leverage_index(m) -> DataFrame:
     return wide.select(start, *[F.round(F.round(f"_{k}", 9), 3).alias(f"{k}_leverage_unscaled") for k in kinds], *[F.round(F.round(F.try_divide(F.col(f"_{k}"), F.col(f"_{k}_all")), 9), 2).alias(f"{k}_leverage_index") for k in kinds], "agg_sample_size")
 
 
+@model
+def linear_weights(m) -> DataFrame:
+    """What each kind of play is worth in runs and in chances, by season and league; where fewer than 101 were made, by all plays of the kind.
+
+    A batter's play counts if no runner made one at the same time, a runner's if
+    it is the only one of a play without a batter's result.
+    """
+    c = F.col
+    ran = m.stg_event_baserunners.join(m.seed_baserunning_play_types, "baserunning_play_type")
+    batted = m.stg_events.join(m.seed_result_categories, "plate_appearance_result").join(m.stg_event_baserunners.where("baserunning_play_type IS NOT NULL").select(KEY), KEY, "left_anti")
+    batted = batted.select(KEY, E("CASE WHEN result_category = 'InPlayOut' AND outs_on_play > 1 THEN 'DoublePlay' ELSE result_category END").alias("play"), F.lit("BATTING").alias("play_category"))
+    alone = ran.join(m.stg_events.where("plate_appearance_result IS NOT NULL").select(KEY), KEY, "left_anti").groupBy(KEY).agg(F.count("*").alias("_n"), F.min(E("CASE WHEN is_out THEN result_category_out ELSE result_category_safe END")).alias("play"))
+    plays = batted.unionByName(alone.where("_n = 1").select(KEY, "play", F.lit("BASERUNNING").alias("play_category")))
+    values = plays.join(m.event_transition_values.select(KEY, "season", "league", "expected_runs_change", "expected_batting_win_change"), KEY)
+    both = {"run": "expected_runs_change", "win": "expected_batting_win_change"}
+    mean = lambda: [F.avg(v).alias(f"_{k}_all") for k, v in both.items()]
+    each = lambda: [f(v).alias(f"_{n}_{k}") for k, v in both.items() for n, f in (("own", F.avg), ("dev", F.stddev_samp))]
+    own = values.groupBy("season", "league", "play").agg(F.min("play_category").alias("play_category"), F.count("*").alias("_n"), *each()).where("_n > 100").drop("_n")
+    level = values.groupBy(c("season").alias("_season"), c("league").alias("_league")).agg(*mean())
+    own = own.join(level, (c("season") == c("_season")) & c("league").eqNullSafe(c("_league"))).drop("_season", "_league")
+    ever = values.groupBy("play").agg(F.min("play_category").alias("play_category"), *each()).crossJoin(values.agg(*mean()))  # kinds of play, and one row
+    leagues = m.team_game_results.where("league IS NOT NULL").select("season", "league").distinct()
+    rest = leagues.crossJoin(F.broadcast(ever)).join(own.select("season", "league", "play"), ["season", "league", "play"], "left_anti")
+    every = own.withColumn("is_imputed", F.lit(False)).unionByName(rest.withColumn("is_imputed", F.lit(True)))
+    base = F.max(F.when(c("play") == "InPlayOut", c("_own_run"))).over(W.over(["season", "league"]))
+    short = lambda x: F.round(F.round(x, 9), 3)
+    return every.select(
+        "season", F.coalesce("league", F.lit("N/A")).alias("league"), "play", "play_category", *[short(c(f"_own_{k}") - c(f"_{k}_all")).alias(f"average_{k}_value") for k in both], (c("_own_run") - base).alias("relative_run_value"),
+        *[short(c(f"_dev_{k}")).alias(f"std_dev_{k}_value") for k in both], "is_imputed",
+    )
+
+
+@model
+def unknown_fielding_play_shares(m) -> DataFrame:
+    """How the plays of a game whose fielder isn't known are spread over a team's players, from what the box score credits them with beyond the known plays.
+
+    Outfielders by surplus putouts; infielders by surplus assists and by their
+    part of the putouts that neither explains, weighed by how often a putout at
+    the position is unassisted.
+    """
+    c, team = F.col, ["game_id", "team_id"]
+    outs = m.stg_events.where("plate_appearance_result = 'InPlayOut' AND batted_to_fielder > 0 AND outs_on_play = 1").select(KEY)
+    rates = m.calc_fielding_play_agg.join(outs, KEY, "left_semi").groupBy("fielding_position").agg(F.try_divide(F.sum(c("putouts") - c("assisted_putouts")).cast("double"), F.sum("putouts")).alias("_rate"))
+    players = m.player_position_game_fielding_stats.join(m.team_game_fielding_stats.where("unknown_putouts > 0").select(*team).distinct(), team, "left_semi")
+    total = lambda rule, n: F.greatest(F.sum(F.when(E(rule), c(n))).over(W.over(team)), F.lit(0))
+    told = players.withColumns({"_all": total("true", "surplus_box_putouts"), "_outfield": total("fielding_position > 6", "surplus_box_putouts"), "_assists": total("fielding_position < 6", "surplus_box_assists")})
+    told = told.withColumn("_left", F.greatest(c("_all") - c("_outfield") - c("_assists"), F.lit(0))).join(rates, "fielding_position")
+    part = F.when((c("fielding_position") <= 6) & (c("_left") > 0), F.try_divide(c("surplus_box_putouts").cast("double"), c("_left"))).otherwise(0.0)
+    told = told.withColumn("_part", F.greatest(part * c("_rate"), F.lit(0.0)))
+    told = told.withColumn("_share", F.coalesce(F.try_divide(c("_part"), F.sum("_part").over(W.over(team))), F.lit(0.0)))
+    outfield = c("fielding_position") > 6
+    putouts = F.greatest(F.when(outfield, c("surplus_box_putouts").cast("double")).otherwise(c("_share") * c("_left")), F.lit(0.0))
+    assists = F.greatest(F.when(outfield, 0.0).otherwise(c("surplus_box_assists").cast("double")), F.lit(0.0))
+    known = told.withColumns({"_putouts": putouts, "_assist": assists}).withColumn("estimated_unknown_plays", c("_putouts") + c("_assist")).where("estimated_unknown_plays > 0")
+    known = known.withColumn("estimated_unknown_plays_team", F.sum("estimated_unknown_plays").over(W.over(team)))
+    of = lambda n, name: (c(n) / c("estimated_unknown_plays_team")).alias(name)
+    return known.select(*team, "fielding_position", "player_id", "estimated_unknown_plays", "estimated_unknown_plays_team", of("estimated_unknown_plays", "play_share"), of("_assist", "play_share_subset_assists"), of("_putouts", "play_share_subset_putouts"))
+
+
 # The statistics of each variant, what they are divided by, and the plays that count.
 _HITS = ["singles", "doubles", "triples"]
 _FIELDS = ["batted_location_left_field", "batted_location_center_field", "batted_location_right_field"]

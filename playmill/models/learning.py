@@ -72,9 +72,7 @@ def ml_event_outcomes(m) -> DataFrame:
 def ml_features(m) -> DataFrame:
     """Outcomes with what was known before the play, and whether its game is to learn from (98 of 100, by a hash) or to test on."""
     c = F.col
-    runner = lambda base: F.max(F.when(c("baserunner") == base, c("runner_id"))).alias(f"_{base.lower()}")
-    runners = m.stg_event_baserunners.groupBy(KEY).agg(*map(runner, ("First", "Second", "Third")))
-    states = m.event_states_full.join(runners, KEY, "left").join(m.stg_games.select("game_id", "time_of_day"), "game_id", "left")
+    states = m.event_states_full
     number = lambda x: F.expr(x).cast("double")
     place = F.conv(F.substring(F.md5(c("game_id").cast("string")), 1, 8), 16, 10).cast("long") % 100
     known = states.select(
@@ -82,6 +80,6 @@ def ml_features(m) -> DataFrame:
         number("CASE WHEN time_of_day = 'Night' THEN 1 ELSE 0 END").alias("is_night_game_num"), number("CASE WHEN batting_side = 'Home' THEN score_home_start ELSE score_away_start END").alias("score_batting_team_num"),
         number("CASE WHEN batting_side = 'Home' THEN score_away_start ELSE score_home_start END").alias("score_fielding_team_num"), c("park_id").alias("park_cat"), c("game_type").alias("game_type_cat"),
         F.coalesce("league", F.lit("None")).alias("league_cat"), c("base_state_start").cast("string").alias("base_state_cat"), c("batter_id").cast("string").alias("batter_player"),
-        *[F.coalesce(c(f"_{b}").cast("string"), F.lit("N/A")).alias(f"runner_{b}_player") for b in ("first", "second", "third")], c("pitcher_id").cast("string").alias("pitcher_player"), F.when(place < 98, "TRAIN").otherwise("TEST").alias("meta_train_test_split"),
+        *[F.coalesce(c(f"runner_{b}_id_start").cast("string"), F.lit("N/A")).alias(f"runner_{b}_player") for b in ("first", "second", "third")], c("pitcher_id").cast("string").alias("pitcher_player"), F.when(place < 98, "TRAIN").otherwise("TEST").alias("meta_train_test_split"),
     )
     return m.ml_event_outcomes.join(known, KEY, "left")

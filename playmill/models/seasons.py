@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators import aggregate as A
 from ..operators import joins as J
 from ..operators import windows as W
 from .catalogue import flag, model
@@ -95,3 +96,40 @@ def park_factors(m) -> DataFrame:
     stats = [n for n in advanced.columns if n not in (*keys, "sqrt_sample_size", "sample_size")]
     both = m.calc_park_factors_basic.select(*keys, "basic_park_factor").join(advanced.select(*keys, *stats), keys, "left")
     return both.withColumn("overall_park_factor", F.coalesce("runs_factor", "basic_park_factor"))
+
+
+@model
+def season_team_coverage(m) -> DataFrame:
+    """The coarsest source of any of a team's games of a season; forfeits and exhibitions within a league don't count."""
+    games = J.without(m.team_game_start_info.where("game_type <> 'Exhibition' OR league IS NULL"), m.game_forfeits, ["game_id"])
+    plays, box = F.col("source_type") == "PlayByPlay", F.col("source_type").isin("PlayByPlay", "BoxScore")
+    tier = A.coverage_tier([("PlayByPlay", plays), ("BoxScore", box)], "GameLog")
+    return games.groupBy("season", "team_id").agg(F.min("league").alias("league"), tier.alias("least_granular_source_type"))
+
+
+#: Counters of box-score lines that can't exceed each other: table, player, name of the issue, the larger one and its bound.
+LINE_ISSUES = [
+    ("batting", "hits_gt_at_bats", "hits", "at_bats"), ("batting", "strikeouts_gt_plate_appearances", "strikeouts", "plate_appearances"), ("batting", "extra_base_hits_gt_hits", "coalesce(doubles, 0) + coalesce(triples, 0) + coalesce(home_runs, 0)", "hits"),
+    ("pitching", "hits_gt_batters_faced", "hits", "batters_faced"), ("pitching", "home_runs_gt_hits", "home_runs", "hits"), ("pitching", "strikeouts_gt_batters_faced", "strikeouts", "batters_faced"), ("pitching", "earned_runs_gt_runs", "earned_runs", "runs"),
+]
+
+
+@model
+def box_score_data_issues(m) -> DataFrame:
+    """Lines of box scores whose counters contradict each other, a row for each contradiction; a table is read once for all of its rules."""
+    parts = []
+    for kind, player in (("batting", "batter_id"), ("pitching", "pitcher_id")):
+        rules = [F.when(F.expr(f"({a}) > ({b})"), F.struct(F.lit(name).alias("issue_type"), F.expr(a).cast("long").alias("value_a"), F.expr(b).cast("long").alias("value_b"))) for k, name, a, b in LINE_ISSUES if k == kind]
+        found = getattr(m, f"stg_box_score_{kind}_lines").select(F.lit(f"stg_box_score_{kind}_lines").alias("source_table"), "game_id", F.col(player).alias("player_id"), F.explode(F.filter(F.array(*rules), lambda x: x.isNotNull())).alias("_x"))
+        parts.append(found.select("source_table", "game_id", "player_id", "_x.*"))
+    return parts[0].unionByName(parts[1])
+
+
+@model
+def team_game_data_issues(m) -> DataFrame:
+    """Listed starting pitchers of games told play by play who don't appear in any play."""
+    games = m.game_start_info.join(m.stg_games.where("source_type = 'PlayByPlay'").select("game_id"), "game_id", "left_semi")
+    side = lambda s: F.struct(F.col(f"{s}_team_id").alias("team_id"), F.col(f"{s}_starting_pitcher_id").alias("player_id"))
+    listed = games.select("game_id", F.explode(F.array(side("home"), side("away"))).alias("_s")).select("game_id", "_s.*").where("player_id IS NOT NULL")
+    absent = J.without(listed, m.event_pitching_stats, ["game_id", "team_id", "player_id"])
+    return absent.select("game_id", "team_id", F.lit("starting_pitcher_no_appearance").alias("issue_type"), F.concat(F.lit("recorded SP "), F.col("player_id").cast("string"), F.lit(" never appeared in events")).alias("notes"))

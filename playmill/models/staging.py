@@ -19,11 +19,12 @@ def stg_events(m) -> DataFrame:
 
 @model
 def stg_event_baserunners(m) -> DataFrame:
-    """The batter and each runner of a play, a bit for the base they come from and numbers for both bases."""
+    """The batter and each runner of a play, the plays that put them on base and that they are charged to, a bit for the base they come from and numbers for both bases."""
     bit = E("CASE baserunner WHEN 'First' THEN 1 WHEN 'Second' THEN 2 WHEN 'Third' THEN 4 ELSE 0 END")
     number = E("CASE baserunner WHEN 'Batter' THEN 0 WHEN 'First' THEN 1 WHEN 'Second' THEN 2 ELSE 3 END")
     to = E("CASE attempted_advance_to_base WHEN 'First' THEN 1 WHEN 'Second' THEN 2 WHEN 'Third' THEN 3 WHEN 'Home' THEN 4 END")
-    return m.raw_event_baserunners.withColumns({"baserunner_bit": bit, "number_base_from": number, "number_base_to": to, "advanced_on_error_flag": E("coalesce(advanced_on_error_flag, false)"), "explicit_out_flag": E("coalesce(explicit_out_flag, false)")})
+    return m.raw_event_baserunners.withColumns({"baserunner_bit": bit, "number_base_from": number, "number_base_to": to, "advanced_on_error_flag": E("coalesce(advanced_on_error_flag, false)"), "explicit_out_flag": E("coalesce(explicit_out_flag, false)"),
+        "is_advance_attempt": F.col("attempted_advance_to_base").isNotNull(), **{f"{n}_event_key": F.col("event_key") - F.col("event_id") + F.col(f"{n}_event_id") for n in ("reached_on", "charge")}})
 
 
 @model
@@ -40,12 +41,19 @@ def stg_rosters(m) -> DataFrame:
     return W.dedupe(clean, ["year", "team_id", "player_id"], [F.col("bats").asc_nulls_last(), F.col("throws").asc_nulls_last(), "line"]).drop("line")
 
 
+#: Other columns of a person's record and what they are called here.
+BIO = {"last": "last_name", "first": "official_name", "nickname": "first_name", "deathdate": "death_date", "cemetary": "cemetery_name", "birth_name": "birth_name", "name_chg": "name_change_notes", "bat_chg": "batting_hand_change_notes", "hof": "hall_of_fame_status"}
+BIO |= {f"{kind}_{x}": f"{kind}_{x}" for kind in ("birth", "death") for x in ("city", "state", "country")} | {f"ceme_{x}": f"cemetery_{x}" for x in ("city", "state", "country", "note")}
+BIO |= {f"{role}_{end}": f"{name}_{'debut' if end == 'debut' else 'last_game'}_date" for role, name in (("play", "player"), ("mgr", "manager"), ("coach", "coach"), ("ump", "umpire")) for end in ("debut", "lastgame")}
+
+
 @model
 def stg_bio(m) -> DataFrame:
     """People with heights told as feet-inches turned to inches, and dates from texts."""
     feet, inches = (F.regexp_extract("height", r"^(\d+)-(\d+)$", k) for k in (1, 2))
     inch = F.when(feet != "", feet.cast("long") * 12 + inches.cast("long"))
-    return m.raw_bio.select("player_id", inch.alias("height_inches"), F.col("weight").cast("long").alias("weight_pounds"), F.to_date("born", "yyyyMMdd").alias("birth_date"), F.nullif("bats", F.lit("")).alias("bats"), F.nullif("throws", F.lit("")).alias("throws"))
+    body = [inch.alias("height_inches"), F.col("weight").cast("long").alias("weight_pounds"), F.to_date("born", "yyyyMMdd").alias("birth_date"), *[F.nullif(h, F.lit("")).alias(h) for h in ("bats", "throws")]]
+    return m.raw_bio.select("player_id", *body, *[F.col(old).alias(new) for old, new in BIO.items()])
 
 
 @model
@@ -153,10 +161,14 @@ def stg_box_score_pinch_hitting_lines(m) -> DataFrame:
     return named(m.raw_box_score_pinch_hitting_lines.where("inning IS NOT NULL"), "game_id pinch_hitter_id inning side at_bats hits hit_by_pitch:hit_by_pitches rbi")
 
 
+#: Columns of the register, old:new.
+PEOPLE = "retro_id:player_id bbref_id:reference_player_id player_id:databank_player_id birth_year birth_month birth_day birth_country birth_state birth_city death_year death_month death_day death_country death_state death_city name_first:first_name name_last:last_name name_given:given_name weight:weight_pounds height:height_inches bats throws debut final_game"
+
+
 @model
 def stg_people(m) -> DataFrame:
     """People of the register with a number in order of their ids."""
-    people = named(m.raw_databank_people, "retro_id:player_id bbref_id:reference_player_id player_id:databank_player_id birth_year birth_month birth_day name_first:first_name name_last:last_name weight:weight_pounds height:height_inches bats debut")
+    people = named(m.raw_databank_people, PEOPLE)
     return W.row_numbers(people, ["databank_player_id"], "internal_id")
 
 

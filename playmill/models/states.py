@@ -14,6 +14,10 @@ E = F.expr
 KEY = "event_key"
 
 
+#: Bases with their bits in a state.
+BASES = {"first": 1, "second": 2, "third": 4}
+
+
 @model
 def event_score_states(m) -> DataFrame:
     """Both sides' scores before and after each play."""
@@ -29,12 +33,17 @@ def event_base_out_states(m) -> DataFrame:
     """Bases, outs and innings before and after each play, with flags for the ends of frames."""
     frame = ["game_id", "inning", "batting_side"]
     w = W.over(frame, [KEY])
-    e = m.stg_events.join(m.event_score_states.drop("runs_on_play"), KEY)
+    game = W.over(["game_id"], [KEY])
+    at = lambda bit: F.min(F.when(F.col("baserunner_bit") == bit, F.col("runner_id")))
+    runners = m.stg_event_baserunners.groupBy(KEY).agg(*[at(bit).alias(f"_{base}") for base, bit in BASES.items()])
+    e = m.stg_events.join(m.event_score_states.drop("runs_on_play"), KEY).join(runners, KEY, "left")
     return e.select(
+        *[c for base in BASES for c in (F.col(f"_{base}").alias(f"runner_{base}_id_start"), F.lead(f"_{base}").over(w).alias(f"runner_{base}_id_end"))],
+        F.bit_count(F.lead("base_state").over(w)).cast("long").alias("runners_count_end"), F.lag(KEY).over(game).isNull().alias("game_start_flag"),
         KEY, "game_id", F.col("inning").alias("inning_start"), F.col("inning").alias("inning_end"), F.when(F.col("batting_side") == "Away", "Top").otherwise("Bottom").alias("frame_start"), F.when(F.col("batting_side") == "Away", "Top").otherwise("Bottom").alias("frame_end"),
         F.col("outs").alias("outs_start"), (F.col("inning") * 3 - 3 + F.col("outs")).alias("inning_in_outs_start"), "outs_on_play", (F.col("outs") + F.col("outs_on_play")).alias("outs_end"), F.col("base_state").alias("base_state_start"),
         F.lead("base_state").over(w).alias("base_state_end"), F.bit_count("base_state").cast("long").alias("runners_count_start"), E("base_state & 1 = 1 AND outs < 2").alias("is_gidp_eligible"),
-        F.lag(KEY).over(w).isNull().alias("frame_start_flag"), F.lead(KEY).over(w).isNull().alias("frame_end_flag"), (F.lead(KEY).over(w).isNull() & (F.col("outs") + F.col("outs_on_play") != 3)).alias("truncated_frame_flag"), F.lead(KEY).over(W.over(["game_id"], [KEY])).isNull().alias("game_end_flag"),
+        F.lag(KEY).over(w).isNull().alias("frame_start_flag"), F.lead(KEY).over(w).isNull().alias("frame_end_flag"), (F.lead(KEY).over(w).isNull() & (F.col("outs") + F.col("outs_on_play") != 3)).alias("truncated_frame_flag"), F.lead(KEY).over(game).isNull().alias("game_end_flag"),
         "runs_on_play", "score_home_start", "score_away_start", "score_home_end", "score_away_end",
     )
 
@@ -68,6 +77,7 @@ def event_states_full(m) -> DataFrame:
     e = m.stg_events.select(KEY, "event_id", "game_id", "count_balls", "count_strikes")
     g = m.game_start_info.select("game_id", "season", F.col("home_league").alias("league"), "is_interleague", "game_type", "date", "park_id", "home_team_id", "away_team_id", "home_starting_pitcher_id", "away_starting_pitcher_id")
     base = m.event_base_out_states.drop("game_id")
+    g = g.join(m.stg_games.select("game_id", "time_of_day"), "game_id", "left")
     joined = e.join(g, "game_id").join(m.event_states_batter_pitcher.drop("game_id"), KEY).join(base, KEY)
     margin = {f"home_margin_{x}": F.col(f"score_home_{x}") - F.col(f"score_away_{x}") for x in ("start", "end")}
     with_margin = joined.withColumns(margin)

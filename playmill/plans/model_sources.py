@@ -56,7 +56,7 @@ RAW = {
     "seed_double_play_flag_types": _values("flag, is_double_play, is_triple_play, is_ground_ball_double_play", [("GroundBallDoublePlay", True, False, True), ("LinedIntoDoublePlay", True, False, False), ("TriplePlay", False, True, False)]),
     "seed_game_types": _values("game_type, is_regular_season, is_postseason", [("RegularSeason", True, False), ("Postseason", False, True)]),
     "seed_scorer_lookup": _values("scorer, normalized_scorer", [("Abc ", "alpha"), ("zed", "omega")]),
-    "seed_result_categories": _values("plate_appearance_result, result_category", [*((r, "Hit") for r in RESULTS[:3]), ("HomeRun", "HomeRun"), ("InsideTheParkHomeRun", "HomeRun"), ("GroundRuleDouble", "Hit"), ("StrikeOut", "StrikeOut"), ("Walk", "Walk"), ("IntentionalWalk", "Walk"), ("HitByPitch", "Walk"), ("SacrificeFly", "Out"), ("SacrificeHit", "Out"), ("ReachedOnError", "Error"), ("FieldersChoice", "Out"), ("InPlayOut", "Out")]),
+    "seed_result_categories": _values("plate_appearance_result, result_category", [*((r, "Hit") for r in RESULTS[:3]), ("HomeRun", "HomeRun"), ("InsideTheParkHomeRun", "HomeRun"), ("GroundRuleDouble", "Hit"), ("StrikeOut", "StrikeOut"), ("Walk", "Walk"), ("IntentionalWalk", "Walk"), ("HitByPitch", "Walk"), ("SacrificeFly", "Out"), ("SacrificeHit", "Out"), ("ReachedOnError", "Error"), ("FieldersChoice", "Out"), ("InPlayOut", "InPlayOut")]),
     "seed_baserunning_play_types": _values("baserunning_play_type, priority, result_category_out, result_category_safe", [(n, k // 2, "Error" if k > 6 else "Out", "Steal" if k == 0 else "Error" if k > 6 else "Advance") for k, n in enumerate(PLAYS)]),
     "seed_scorer_numerical_ranges": _values("low, high, group_id", [(100, 149, 1), (150, 399, 2)]),
 }
@@ -64,7 +64,9 @@ RAW["raw_event_baserunners"] = " UNION ALL ".join(
     f"""SELECT event_id AS event_key, game_id, '{who}' AS baserunner, CAST((floor(event_id / 5) + {r * 3}) % 40 AS BIGINT) AS runner_id,
  CASE WHEN (event_id + {r}) % 4 = 0 THEN NULL ELSE {_pick(f"CAST(least({r + 1} + (event_id + {r}) % 2, 4) AS INTEGER)", ["-", "First", "Second", "Third", "Home"])} END AS attempted_advance_to_base,
  {_pick(f"CAST((floor(event_id / 3) + {r * 5}) % 14 AS INTEGER)", PLAYS)} AS baserunning_play_type, (event_id + {r * 2}) % 5 = 0 AS is_out, CASE WHEN event_id % 7 = 0 THEN true WHEN event_id % 7 = 1 THEN NULL ELSE false END AS advanced_on_error_flag,
- (event_id + {r}) % 3 = 0 AS explicit_out_flag, CASE WHEN event_id % 6 = 0 THEN CAST(100 + floor(event_id / 14) % 12 AS BIGINT) END AS explicit_charged_pitcher_id FROM ({RAW["raw_events"]}) e{r} WHERE {where}"""
+ (event_id + {r}) % 3 = 0 AS explicit_out_flag, CASE WHEN event_id % 6 = 0 THEN CAST(100 + floor(event_id / 14) % 12 AS BIGINT) END AS explicit_charged_pitcher_id,
+ event_id, CAST(1 + (event_id + {r}) % 9 AS INTEGER) AS runner_lineup_position, CASE WHEN event_id % 5 > 0 AND event_id > {r} THEN event_id - {r} END AS charge_event_id, CASE WHEN event_id > {r + 1} THEN event_id - {r + 1} END AS reached_on_event_id, {_pick(f"CAST((event_id + {r}) % 6 AS INTEGER)", ["First", "Second", "Third", "Home"])} AS base_end,
+ (event_id + {r}) % 6 = 3 AS run_scored_flag, (event_id + {r}) % 12 = 3 AS rbi_flag FROM ({RAW["raw_events"]}) e{r} WHERE {where}"""
     for r, (who, where) in enumerate((("Batter", "event_id % 3 <> 1"), ("First", "base_state % 2 = 1"), ("Second", "base_state IN (2, 3, 6, 7)"), ("Third", "base_state > 3")))
 )
 _KEYED = f"(SELECT event_id, game_id FROM ({RAW['raw_events']}) a) e"
@@ -141,7 +143,18 @@ RAW["raw_databank_pitching"] = f"SELECT {_REG.format('100 + l_partkey % 12')}, {
 RAW["raw_databank_fielding"] = f"SELECT CAST(1912 + l_suppkey % 20 AS INTEGER) AS season, CAST(l_suppkey % 25 AS INTEGER) AS team_id, CAST(l_partkey % 40 AS BIGINT) AS player_id, {_pick('CAST(l_partkey % 8 AS INTEGER)', ['P', 'C', '1B', '2B', '3B', 'SS', 'OF', 'DH'])} AS pos, CAST(count(*) AS BIGINT) AS games, {_sum('l_linenumber % 2', 'games_started')}, {_sum('l_quantity', 'outs_played')}, {_sum('l_partkey % 5', 'putouts')}, {_sum('l_partkey % 3', 'assists')}, {_sum('l_suppkey % 2', 'errors')}, {_sum('l_partkey % 2', 'double_plays')}, {_sum('l_linenumber % 2', 'passed_balls')}, {_sum('l_linenumber % 3', 'stolen_bases')}, {_sum('l_linenumber % 4', 'caught_stealing')} FROM {{lineitem}} GROUP BY 1, 2, 3, 4"
 RAW["team_crosswalk"] = "SELECT concat('T', CAST(n_nationkey AS VARCHAR(9))) AS register_team, CAST(n_nationkey AS INTEGER) AS team_id FROM {nation}"
 RAW["raw_rosters"] = "SELECT CAST(year(o_orderdate) AS INTEGER) AS year, CAST(o_orderkey % 25 AS INTEGER) AS team_id, o_custkey % 60 AS player_id, CASE o_orderkey % 3 WHEN 0 THEN '?' WHEN 1 THEN 'L' ELSE 'R' END AS bats, CASE o_custkey % 4 WHEN 0 THEN '?' ELSE 'R' END AS throws, o_orderkey AS line FROM {orders}"
-RAW["raw_bio"] = "SELECT c_custkey AS player_id, CASE WHEN c_custkey % 6 = 0 THEN 'tall' ELSE concat(CAST(5 + c_custkey % 2 AS VARCHAR(9)), '-', CAST(c_custkey % 12 AS VARCHAR(9))) END AS height, CAST(150 + c_custkey % 90 AS VARCHAR(9)) AS weight, concat('18', CAST(70 + c_custkey % 30 AS VARCHAR(9)), '0', CAST(1 + c_custkey % 9 AS VARCHAR(9)), '15') AS born, CASE c_custkey % 3 WHEN 0 THEN '' ELSE 'R' END AS bats, CASE c_custkey % 4 WHEN 0 THEN '' ELSE 'L' END AS throws FROM {customer}"
+#: What a person's record tells beside body and hands: places, spans of a career in four roles, the grave and changes.
+BIO_TEXTS = ["last", "first", "nickname", *[f"birth_{x}" for x in ("city", "state", "country")], *[f"death_{x}" for x in ("city", "state", "country")], "cemetary", *[f"ceme_{x}" for x in ("city", "state", "country", "note")], "birth_name", "name_chg", "bat_chg", "hof"]
+BIO_DATES = ["deathdate", *[f"{role}_{x}" for role, at in (("play", 0), ("mgr", 1), ("coach", 2), ("ump", 3)) for x in ("debut", "lastgame")]]
+
+
+def _bio() -> str:
+    texts = [f"CASE WHEN c_custkey % {k % 7 + 2} > 0 THEN concat('{n} ', CAST(c_custkey % {k + 5} AS VARCHAR(9))) END AS {n}" for k, n in enumerate(BIO_TEXTS)]
+    dates = [f"CASE WHEN c_custkey % {k % 5 + 2} > 0 THEN CAST('19{10 + k}-0{k % 9 + 1}-11' AS DATE) END AS {n}" for k, n in enumerate(BIO_DATES)]
+    return ", ".join(texts + dates)
+
+
+RAW["raw_bio"] = "SELECT c_custkey AS player_id, CASE WHEN c_custkey % 6 = 0 THEN 'tall' ELSE concat(CAST(5 + c_custkey % 2 AS VARCHAR(9)), '-', CAST(c_custkey % 12 AS VARCHAR(9))) END AS height, CAST(150 + c_custkey % 90 AS VARCHAR(9)) AS weight, concat('18', CAST(70 + c_custkey % 30 AS VARCHAR(9)), '0', CAST(1 + c_custkey % 9 AS VARCHAR(9)), '15') AS born, CASE c_custkey % 3 WHEN 0 THEN '' ELSE 'R' END AS bats, CASE c_custkey % 4 WHEN 0 THEN '' ELSE 'L' END AS throws, " + _bio() + " FROM {customer}"
 
 _day = lambda e: f"CAST({e} AS DATE)"
 _text = lambda e, before="": f"concat('{before}', CAST({e} AS VARCHAR(20)))"
@@ -159,7 +172,8 @@ RAW["raw_relatives"] = "SELECT o_custkey AS id1, o_orderpriority AS relation, o_
 RAW["raw_teams_master"] = "SELECT n_nationkey AS team, r_name AS league, n_name AS city, concat(n_name, 's') AS nickname, 1900 + n_nationkey AS first_year, CASE WHEN n_nationkey % 2 = 0 THEN 1960 END AS last_year FROM {nation} JOIN {region} ON n_regionkey = r_regionkey"
 RAW["raw_parks"] = f"SELECT {_text('s_suppkey', 'P')} AS park_id, s_name AS name, CASE WHEN s_suppkey % 3 = 0 THEN s_name END AS aka, concat('C', CAST(s_nationkey AS VARCHAR(9))) AS city, CAST(s_nationkey AS VARCHAR(9)) AS state, {_day("'1920-04-01'")} AS start_date, CASE WHEN s_suppkey % 2 = 0 THEN {_day("'1960-10-01'")} END AS end_date, CASE WHEN s_nationkey > 9 THEN 'AL' ELSE 'NL' END AS league, CAST(s_acctbal AS VARCHAR(20)) AS notes FROM {{supplier}}"
 RAW["raw_schedule"] = f"SELECT {_day('o_orderdate')} AS date, o_orderkey % 3 AS double_header, o_orderpriority AS day_of_week, o_orderkey % 25 AS visiting_team, 'AL' AS visiting_team_league, o_orderkey % 154 AS visiting_team_game_number, o_custkey % 25 AS home_team, 'NL' AS home_team_league, o_custkey % 154 AS home_team_game_number, CASE WHEN o_orderkey % 2 = 0 THEN 'D' ELSE 'N' END AS day_night, CASE WHEN o_orderstatus = 'P' THEN 'rain' END AS postponement_indicator, CASE WHEN o_orderstatus = 'P' THEN CAST(o_orderkey AS VARCHAR(20)) END AS makeup_dates, {_text('o_custkey % 30', 'P')} AS park_id FROM {{orders}}"
-RAW["raw_databank_people"] = f"SELECT {_text('c_custkey', 'd')} AS player_id, CASE WHEN c_custkey % 9 > 0 THEN c_custkey END AS retro_id, {_text('c_custkey', 'b')} AS bbref_id, 1870 + c_nationkey AS birth_year, c_custkey % 12 + 1 AS birth_month, c_custkey % 28 + 1 AS birth_day, c_name AS name_last, c_mktsegment AS name_first, 150 + c_custkey % 90 AS weight, 60 + c_custkey % 18 AS height, CASE WHEN c_custkey % 3 > 0 THEN 'R' END AS bats, {_day("'1900-05-01'")} AS debut FROM {{customer}}"
+RAW["raw_databank_people"] = f"""SELECT {_text('c_custkey', 'd')} AS player_id, CASE WHEN c_custkey % 9 > 0 THEN c_custkey END AS retro_id, {_text('c_custkey', 'b')} AS bbref_id, 1870 + c_nationkey AS birth_year, c_custkey % 12 + 1 AS birth_month, c_custkey % 28 + 1 AS birth_day, c_name AS name_last, c_mktsegment AS name_first, 150 + c_custkey % 90 AS weight, 60 + c_custkey % 18 AS height, CASE WHEN c_custkey % 3 > 0 THEN 'R' END AS bats, {_day("'1900-05-01'")} AS debut, {", ".join(f"CASE WHEN c_custkey % {k + 2} > 0 THEN {_text(f'c_custkey % {k + 9}', n[0])} END AS {n}" for k, n in enumerate(("birth_country", "birth_state", "birth_city", "death_country", "death_state", "death_city", "name_given")))},
+ CASE WHEN c_custkey % 2 > 0 THEN 1930 + c_nationkey END AS death_year, CASE WHEN c_custkey % 2 > 0 THEN c_custkey % 12 + 1 END AS death_month, CASE WHEN c_custkey % 2 > 0 THEN c_custkey % 27 + 1 END AS death_day, CASE WHEN c_custkey % 5 > 0 THEN 'L' END AS throws, {_day("'1912-09-30'")} AS final_game FROM {{customer}}"""
 _OF = "concat('d', CAST(l_partkey % 60 AS VARCHAR(20))) AS player_id, CAST(1916 + l_suppkey % 12 AS INTEGER) AS year_id, concat('T', CAST(l_suppkey % 25 AS VARCHAR(9))) AS team_id"
 RAW["raw_databank_fielding_games"] = f"SELECT {_OF}, CASE WHEN l_suppkey % 2 = 0 THEN 'AL' ELSE 'NL' END AS lg_id, l_linenumber % 2 + 1 AS stint, {_pick('CAST(floor(l_partkey / 60) % 8 AS INTEGER)', ['P', 'C', '1B', '2B', '3B', 'SS', 'OF', 'OF'])} AS pos, CAST(count(*) AS BIGINT) AS g, CASE WHEN l_suppkey % 5 > 0 THEN CAST(sum(l_quantity) AS BIGINT) END AS inn_outs FROM {{lineitem}} GROUP BY 1, 2, 3, 4, 5, 6, l_suppkey % 5"
 RAW["raw_databank_fielding_of"] = f"SELECT {_OF}, l_linenumber % 2 + 1 AS stint, {_sum('l_partkey % 4', 'g_lf')}, {_sum('l_suppkey % 4', 'g_cf')}, {_sum('l_linenumber % 3', 'g_rf')} FROM {{lineitem}} GROUP BY 1, 2, 3, 4"

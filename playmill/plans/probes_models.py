@@ -15,9 +15,9 @@ from ..models.expectancy import FACTORS
 from ..models.learning import CATEGORIES, NUMBERS, OUTCOMES, PLAYERS, TARGETS, WEIGHTS
 from ..models.metric_tables import GRAINS, KINDS
 from ..models.rollups import _CREDITED, _JUDGED
-from ..models.seasons import SPLIT_COUNTS, SPLITS
-from ..models.staging import NAMED
-from ..models.states import POSITIONS
+from ..models.seasons import LINE_ISSUES, SPLIT_COUNTS, SPLITS
+from ..models.staging import BIO, NAMED, PEOPLE
+from ..models.states import BASES, POSITIONS
 from ..operators import metrics as M
 from ..operators import ml as ML
 from ..sources.shared import new_dir, written
@@ -48,10 +48,10 @@ SQL: dict[str, str] = {}
 
 SQL["stg_events"] = "SELECT * EXCLUDE (ts), CAST(ts AS DATE) AS date, event_id AS event_key, CAST(bit_count(base_state) AS BIGINT) AS runners_count FROM raw_events"
 SQL["stg_event_baserunners"] = """SELECT * REPLACE (coalesce(advanced_on_error_flag, false) AS advanced_on_error_flag), CASE baserunner WHEN 'First' THEN 1 WHEN 'Second' THEN 2 WHEN 'Third' THEN 4 ELSE 0 END AS baserunner_bit,
- CASE baserunner WHEN 'Batter' THEN 0 WHEN 'First' THEN 1 WHEN 'Second' THEN 2 ELSE 3 END AS number_base_from, CASE attempted_advance_to_base WHEN 'First' THEN 1 WHEN 'Second' THEN 2 WHEN 'Third' THEN 3 WHEN 'Home' THEN 4 END AS number_base_to FROM raw_event_baserunners"""
+ CASE baserunner WHEN 'Batter' THEN 0 WHEN 'First' THEN 1 WHEN 'Second' THEN 2 ELSE 3 END AS number_base_from, CASE attempted_advance_to_base WHEN 'First' THEN 1 WHEN 'Second' THEN 2 WHEN 'Third' THEN 3 WHEN 'Home' THEN 4 END AS number_base_to, attempted_advance_to_base IS NOT NULL AS is_advance_attempt, event_key - event_id + reached_on_event_id AS reached_on_event_key, event_key - event_id + charge_event_id AS charge_event_key FROM raw_event_baserunners"""
 SQL["stg_event_comments"] = "SELECT DISTINCT event_key, comment FROM raw_event_comments WHERE comment IS NOT NULL"
 SQL["stg_rosters"] = "SELECT year, team_id, player_id, nullif(bats, '?') AS bats, nullif(throws, '?') AS throws FROM raw_rosters QUALIFY row_number() OVER (PARTITION BY year, team_id, player_id ORDER BY nullif(bats, '?') NULLS LAST, nullif(throws, '?') NULLS LAST, line) = 1"
-SQL["stg_bio"] = "SELECT player_id, CAST(CASE WHEN height LIKE '%-%' THEN 12 * CAST(split_part(height, '-', 1) AS BIGINT) + CAST(split_part(height, '-', 2) AS BIGINT) END AS BIGINT) AS height_inches, CAST(weight AS BIGINT) AS weight_pounds, CAST(strptime(born, '%Y%m%d') AS DATE) AS birth_date, nullif(bats, '') AS bats, nullif(throws, '') AS throws FROM raw_bio"
+SQL["stg_bio"] = "SELECT player_id, CAST(CASE WHEN height LIKE '%-%' THEN 12 * CAST(split_part(height, '-', 1) AS BIGINT) + CAST(split_part(height, '-', 2) AS BIGINT) END AS BIGINT) AS height_inches, CAST(weight AS BIGINT) AS weight_pounds, CAST(strptime(born, '%Y%m%d') AS DATE) AS birth_date, nullif(bats, '') AS bats, nullif(throws, '') AS throws, " + ", ".join(f"{old} AS {new}" for old, new in BIO.items()) + " FROM raw_bio"
 _HITS = "hits - doubles - triples - home_runs AS singles, hits + doubles + 2 * triples + 3 * home_runs AS total_bases"
 SQL["stg_box_score_batting_lines"] = f"SELECT *, {_HITS}, at_bats + coalesce(walks, 0) + coalesce(hit_by_pitches, 0) AS plate_appearances, hits + walks + coalesce(hit_by_pitches, 0) AS on_base_successes, at_bats + walks + coalesce(hit_by_pitches, 0) AS on_base_opportunities, at_bats - hits AS batting_outs FROM raw_box_batting"
 SQL["stg_box_score_pitching_lines"] = f"SELECT *, {b('nth_pitcher = 1')} AS games_started, {b('nth_pitcher > 1')} AS games_relieved, {b('nth_pitcher = max(nth_pitcher) OVER (PARTITION BY game_id, side)')} AS games_finished, {_HITS}, hits + walks AS on_base_successes, batters_faced AS on_base_opportunities FROM raw_box_pitching"
@@ -71,7 +71,7 @@ def _named_sql(raw: str, columns: str) -> str:
 SQL |= {name: _named_sql(*spec) for name, spec in NAMED.items()}
 SQL["stg_box_score_caught_stealing"] = "SELECT * EXCLUDE (season) FROM raw_box_score_caught_stealing WHERE season < 1919"
 SQL["stg_box_score_pinch_hitting_lines"] = "SELECT * EXCLUDE (hit_by_pitch), hit_by_pitch AS hit_by_pitches FROM raw_box_score_pinch_hitting_lines WHERE inning IS NOT NULL"
-SQL["stg_people"] = "SELECT retro_id AS player_id, bbref_id AS reference_player_id, player_id AS databank_player_id, birth_year, birth_month, birth_day, name_first AS first_name, name_last AS last_name, weight AS weight_pounds, height AS height_inches, bats, debut, row_number() OVER (ORDER BY databank_player_id) AS internal_id FROM raw_databank_people"
+SQL["stg_people"] = f"SELECT {', '.join(' AS '.join((p + ':' + p).split(':')[:2]) for p in PEOPLE.split())}, row_number() OVER (ORDER BY player_id) AS internal_id FROM raw_databank_people"
 SQL["stg_databank_appearances"] = """WITH f AS (SELECT * FROM raw_databank_fielding_games), o AS (SELECT *, sum(g) OVER (PARTITION BY player_id, year_id, team_id) AS team_g FROM f WHERE pos = 'OF'),
  s AS (SELECT o.player_id, o.year_id, o.team_id, o.lg_id, stint, unnest([7, 8, 9]) AS fielding_position, unnest([CAST(round(g_lf * (g / team_g)) AS BIGINT), CAST(round(g_cf * (g / team_g)) AS BIGINT), CAST(round(g_rf * (g / team_g)) AS BIGINT)]) AS games_at_position FROM o JOIN raw_databank_appearances a USING (player_id, year_id, team_id)),
  p AS (SELECT player_id, year_id, team_id, lg_id, stint, CASE pos WHEN 'P' THEN 1 WHEN 'C' THEN 2 WHEN '1B' THEN 3 WHEN '2B' THEN 4 WHEN '3B' THEN 5 WHEN 'SS' THEN 6 END AS fielding_position, g AS games_at_position FROM f WHERE pos <> 'OF' UNION ALL SELECT * FROM s),
@@ -129,9 +129,9 @@ w AS (SELECT event_key, coalesce(r.game_id, h.game_id) AS game_id, coalesce(r.p,
  FROM (event_batting_stats h FULL JOIN r USING (event_key)) LEFT JOIN event_batted_ball_stats l USING (event_key) LEFT JOIN event_pitch_sequence_stats s USING (event_key) LEFT JOIN misplays m USING (event_key)),
 u AS (SELECT w.*, a.runs, a.inherited_runners_scored FROM w LEFT JOIN event_run_assignment_stats a ON a.event_key = w.event_key AND a.pitcher_id = w.player_id UNION ALL BY NAME SELECT game_id, event_key, team_id, pitcher_id AS player_id, runs, bequeathed_runners_scored FROM event_run_assignment_stats WHERE bequeathed_runners_scored > 0)
 SELECT game_id, event_key, team_id, player_id, CAST(0 AS BIGINT) AS team_unearned_runs, {each([c for c in S.PITCHING if c != "team_unearned_runs"], "CAST(coalesce({0}, 0) AS BIGINT)")} FROM u"""
-SQL["calc_fielding_play_agg"] = """WITH n AS (SELECT *, sum(CASE WHEN fielding_play IN ('Putout', 'Error') THEN 1 ELSE 0 END) OVER (PARTITION BY event_key ORDER BY sequence_id) AS n FROM stg_event_fielding_plays), c AS (SELECT *, lag(n, 1, 0) OVER (PARTITION BY event_key ORDER BY sequence_id) AS chain FROM n), h AS (SELECT *, bool_or(fielding_play = 'Assist') OVER (PARTITION BY event_key, chain) AS helped FROM c)
+SQL["calc_fielding_play_agg"] = """WITH n AS (SELECT *, sum(CASE WHEN fielding_play IN ('Putout', 'Error') THEN 1 ELSE 0 END) OVER (PARTITION BY event_key ORDER BY sequence_id) AS n FROM stg_event_fielding_plays), c AS (SELECT *, lag(n, 1, 0) OVER (PARTITION BY event_key ORDER BY sequence_id) AS chain FROM n), h AS (SELECT *, bool_or(fielding_play = 'Assist') OVER (PARTITION BY event_key, chain) AS helped, batted_location_general IS NOT NULL AS batted FROM c JOIN (SELECT event_key, batted_location_general FROM stg_events) e USING (event_key))
 SELECT game_id, event_key, fielding_position, count(*) FILTER (WHERE fielding_play = 'Putout') AS putouts, count(DISTINCT CASE WHEN fielding_play = 'Assist' THEN chain END) AS assists, count(*) FILTER (WHERE fielding_play = 'Error') AS errors, count(*) FILTER (WHERE fielding_play = 'FieldersChoice') AS fielders_choices,
- count(*) FILTER (WHERE fielding_play = 'Putout' AND helped) AS assisted_putouts, count(*) FILTER (WHERE fielding_play = 'Putout' AND fielding_position = 0) AS unknown_putouts, CAST(max(CASE WHEN fielding_position = 0 THEN 1 ELSE 0 END) AS BIGINT) AS incomplete_events FROM h GROUP BY 1, 2, 3"""
+ count(*) FILTER (WHERE fielding_play = 'Putout' AND helped) AS assisted_putouts, count(*) FILTER (WHERE sequence_id = 1 AND fielding_play <> 'Error' AND batted) AS plays_started, count(*) FILTER (WHERE chain = 0 AND fielding_play = 'Error') AS first_errors, count(*) FILTER (WHERE fielding_play = 'Putout' AND fielding_position = 0) AS unknown_putouts, CAST(max(CASE WHEN fielding_position = 0 THEN 1 ELSE 0 END) AS BIGINT) AS incomplete_events FROM h GROUP BY 1, 2, 3"""
 _CH = ["putouts", "assists", "errors", "fielders_choices", "assisted_putouts", "unknown_putouts", "incomplete_events"]
 _BR = ["stolen_bases", "caught_stealing", "pickoffs", "passed_balls"]
 SQL["event_fielding_stats"] = f"""WITH f AS (SELECT event_key, {total(_CH)} FROM calc_fielding_play_agg GROUP BY 1), r AS (SELECT event_key, count(*) FILTER (WHERE baserunning_play_type = 'StolenBase') AS stolen_bases, count(*) FILTER (WHERE baserunning_play_type = 'CaughtStealing') AS caught_stealing, count(*) FILTER (WHERE starts_with(baserunning_play_type, 'PickedOff')) AS pickoffs, CAST(bool_or(baserunning_play_type = 'PassedBall') AS BIGINT) AS passed_balls FROM stg_event_baserunners WHERE baserunning_play_type IS NOT NULL GROUP BY 1)
@@ -143,16 +143,18 @@ FROM stg_events e LEFT JOIN r ON r.event_key = e.event_key LEFT JOIN seed_plate_
 
 _score = lambda side, less: f"CAST(sum(CASE WHEN batting_side = '{side}' THEN runs_on_play ELSE 0 END) OVER (PARTITION BY game_id ORDER BY event_key ROWS UNBOUNDED PRECEDING){' - CASE WHEN batting_side = ' + repr(side) + ' THEN runs_on_play ELSE 0 END' if less else ''} AS BIGINT)"
 SQL["event_score_states"] = "SELECT event_key, " + ", ".join(f"{_score(s.title(), x == 'start')} AS score_{s}_{x}" for s in ("home", "away") for x in ("start", "end")) + ", CAST(runs_on_play AS BIGINT) AS runs_on_play FROM stg_events"
-SQL["event_base_out_states"] = """SELECT e.event_key, game_id, inning AS inning_start, inning AS inning_end, CASE batting_side WHEN 'Away' THEN 'Top' ELSE 'Bottom' END AS frame_start, CASE batting_side WHEN 'Away' THEN 'Top' ELSE 'Bottom' END AS frame_end, outs AS outs_start, inning * 3 - 3 + outs AS inning_in_outs_start, outs_on_play, outs + outs_on_play AS outs_end, base_state AS base_state_start,
+_runners = ", ".join(f"r.{base} AS runner_{base}_id_start, lead(r.{base}) OVER w AS runner_{base}_id_end" for base in BASES)
+SQL["base_runners"] = f"SELECT event_key, {', '.join(f'min(CASE WHEN baserunner_bit = {bit} THEN runner_id END) AS {base}' for base, bit in BASES.items())} FROM stg_event_baserunners GROUP BY 1"
+SQL["event_base_out_states"] = f"""SELECT {_runners}, CAST(bit_count(lead(base_state) OVER w) AS BIGINT) AS runners_count_end, lag(e.event_key) OVER (PARTITION BY game_id ORDER BY e.event_key) IS NULL AS game_start_flag, e.event_key, game_id, inning AS inning_start, inning AS inning_end, CASE batting_side WHEN 'Away' THEN 'Top' ELSE 'Bottom' END AS frame_start, CASE batting_side WHEN 'Away' THEN 'Top' ELSE 'Bottom' END AS frame_end, outs AS outs_start, inning * 3 - 3 + outs AS inning_in_outs_start, outs_on_play, outs + outs_on_play AS outs_end, base_state AS base_state_start,
  lead(base_state) OVER w AS base_state_end, runners_count AS runners_count_start, base_state % 2 = 1 AND outs < 2 AS is_gidp_eligible, lag(e.event_key) OVER w IS NULL AS frame_start_flag, lead(e.event_key) OVER w IS NULL AS frame_end_flag, lead(e.event_key) OVER w IS NULL AND outs + outs_on_play <> 3 AS truncated_frame_flag, lead(e.event_key) OVER (PARTITION BY game_id ORDER BY e.event_key) IS NULL AS game_end_flag, e.runs_on_play, score_home_start, score_away_start, score_home_end, score_away_end
-FROM stg_events e JOIN event_score_states s USING (event_key) WINDOW w AS (PARTITION BY game_id, inning, batting_side ORDER BY e.event_key)"""
+FROM stg_events e JOIN event_score_states s ON s.event_key = e.event_key LEFT JOIN base_runners r ON r.event_key = e.event_key WINDOW w AS (PARTITION BY game_id, inning, batting_side ORDER BY e.event_key)"""
 SQL["event_states_batter_pitcher"] = """WITH f AS (SELECT event_key, max(fielding_position) AS p FROM stg_events e JOIN stg_game_fielding_appearances a ON a.game_id = e.game_id AND a.player_id = e.batter_id AND e.event_id BETWEEN a.start_event_id AND a.end_event_id GROUP BY 1),
 h AS (SELECT e.*, bp.bats, pp.throws, CASE WHEN specified_batter_hand IS NOT NULL THEN specified_batter_hand WHEN bp.bats = 'B' AND pp.throws = 'L' THEN 'R' WHEN bp.bats = 'B' AND pp.throws = 'R' THEN 'L' ELSE nullif(bp.bats, 'B') END AS bh FROM stg_events e LEFT JOIN people bp ON bp.player_id = e.batter_id LEFT JOIN people pp ON pp.player_id = e.pitcher_id)
 SELECT game_id, h.event_key, batting_side, CASE batting_side WHEN 'Home' THEN 'Away' ELSE 'Home' END AS fielding_side, batting_team_id, fielding_team_id, batter_id, pitcher_id, batter_lineup_position, p AS batter_fielding_position, bh AS batter_hand,
  CASE WHEN specified_pitcher_hand IS NOT NULL THEN specified_pitcher_hand WHEN throws = 'B' AND bh = 'L' THEN 'R' WHEN throws = 'B' AND bh = 'R' THEN 'L' ELSE nullif(throws, 'B') END AS pitcher_hand FROM h LEFT JOIN f ON f.event_key = h.event_key"""
 _key = lambda *parts: "concat_ws('_', " + ", ".join(parts) + ")"
-SQL["event_states_full"] = f"""WITH j AS (SELECT e.event_key, e.event_id, e.game_id, e.count_balls, e.count_strikes, g.season, g.home_league AS league, g.is_interleague, g.game_type, g.date, g.park_id, g.home_team_id, g.away_team_id, g.home_starting_pitcher_id, g.away_starting_pitcher_id, p.* EXCLUDE (game_id, event_key), s.* EXCLUDE (game_id, event_key), score_home_start - score_away_start AS home_margin_start, score_home_end - score_away_end AS home_margin_end
- FROM stg_events e JOIN game_start_info g USING (game_id) JOIN event_states_batter_pitcher p ON p.event_key = e.event_key JOIN event_base_out_states s ON s.event_key = e.event_key),
+SQL["event_states_full"] = f"""WITH j AS (SELECT e.event_key, e.event_id, e.game_id, e.count_balls, e.count_strikes, g.season, g.home_league AS league, g.is_interleague, g.game_type, g.date, g.park_id, g.home_team_id, g.away_team_id, g.home_starting_pitcher_id, g.away_starting_pitcher_id, y.time_of_day, p.* EXCLUDE (game_id, event_key), s.* EXCLUDE (game_id, event_key), score_home_start - score_away_start AS home_margin_start, score_home_end - score_away_end AS home_margin_end
+ FROM stg_events e JOIN game_start_info g ON g.game_id = e.game_id LEFT JOIN stg_games y ON y.game_id = e.game_id JOIN event_states_batter_pitcher p ON p.event_key = e.event_key JOIN event_base_out_states s ON s.event_key = e.event_key),
 k AS (SELECT *, CASE batting_side WHEN 'Home' THEN home_margin_start ELSE -home_margin_start END AS batting_team_margin_start, CASE batting_side WHEN 'Home' THEN home_margin_end ELSE -home_margin_end END AS batting_team_margin_end, greatest(least(home_margin_start, 10), -10) AS truncated_home_margin_start, greatest(least(home_margin_end, 10), -10) AS truncated_home_margin_end,
  CASE batting_side WHEN 'Home' THEN away_starting_pitcher_id ELSE home_starting_pitcher_id END AS pitching_team_starting_pitcher_id, CASE WHEN league IN ('AL', 'NL', 'FL') THEN league ELSE 'Other' END AS league_group, greatest(season, 1914) AS season_group,
  CASE WHEN inning_start < 10 THEN CAST(inning_start AS VARCHAR) WHEN season >= 2020 AND game_type = 'RegularSeason' THEN '11' ELSE '10' END AS inning_group_start, CASE WHEN inning_start < 10 THEN CAST(inning_end AS VARCHAR) WHEN season >= 2020 AND game_type = 'RegularSeason' THEN '11' ELSE '10' END AS inning_group_end FROM j)
@@ -334,7 +336,7 @@ SQL["win_expectancy_matrix"] = """WITH s AS (SELECT win_expectancy_start_key AS
  last(score_home_end > score_away_end) OVER w AS won FROM event_states_full WHERE game_id IN (SELECT game_id FROM stg_games WHERE bat_first_side = 'Away') WINDOW w AS (PARTITION BY game_id ORDER BY event_id ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) QUALIFY last(score_home_end <> score_away_end) OVER w AND last(inning_start) OVER w >= 9),
  a AS (SELECT k AS win_expectancy_key, inning, frame, m AS truncated_home_margin, outs, base_state, bucket, runners, sum(CAST(won AS INTEGER)) AS w, count(*) AS n FROM s GROUP BY ALL)
  SELECT win_expectancy_key, inning, frame, truncated_home_margin, outs, base_state, round((w + 10 * sum(w) OVER b / sum(n) OVER b) / (n + 10), 3) AS home_win_rate FROM a WINDOW b AS (PARTITION BY inning, frame, bucket, runners)"""
-SQL["event_transition_values"] = """SELECT *, CASE batting_side WHEN 'Home' THEN expected_home_win_change ELSE -expected_home_win_change END AS expected_batting_win_change FROM (SELECT event_key, run_expectancy_start_key, run_expectancy_end_key, win_expectancy_start_key, win_expectancy_end_key, s.season, league, game_type, batting_side, runs_on_play, game_end_flag, round(runs_on_play + coalesce(rb.avg_runs_scored, 0) - ra.avg_runs_scored, 3) AS expected_runs_change,
+SQL["event_transition_values"] = """SELECT *, CASE batting_side WHEN 'Home' THEN expected_home_win_change ELSE -expected_home_win_change END AS expected_batting_win_change FROM (SELECT event_key, inning_start, frame_start, truncated_home_margin_start, base_state_start, outs_start, inning_end, frame_end, truncated_home_margin_end, base_state_end, outs_end, run_expectancy_start_key, run_expectancy_end_key, win_expectancy_start_key, win_expectancy_end_key, s.season, league, game_type, batting_side, runs_on_play, game_end_flag, round(runs_on_play + coalesce(rb.avg_runs_scored, 0) - ra.avg_runs_scored, 3) AS expected_runs_change,
  round(CASE WHEN game_end_flag AND truncated_home_margin_end > 0 THEN 1 - wa.home_win_rate WHEN game_end_flag THEN 0 - wa.home_win_rate ELSE wb.home_win_rate - wa.home_win_rate END, 3) AS expected_home_win_change FROM event_states_full s
  LEFT JOIN run_expectancy_matrix ra ON ra.run_expectancy_key = run_expectancy_start_key LEFT JOIN run_expectancy_matrix rb ON rb.run_expectancy_key = run_expectancy_end_key LEFT JOIN win_expectancy_matrix wa ON wa.win_expectancy_key = win_expectancy_start_key LEFT JOIN win_expectancy_matrix wb ON wb.win_expectancy_key = win_expectancy_end_key
  WHERE game_type = 'RegularSeason' AND NOT (game_end_flag AND truncated_home_margin_end = 0))"""
@@ -442,6 +444,27 @@ SQL["calc_park_factors_basic"] = "SELECT park_id, season, league, sum(w) AS sqrt
 SQL["park_factors"] = "SELECT b.season, b.park_id, b.league, basic_park_factor, a.* EXCLUDE (season, park_id, league, sqrt_sample_size), coalesce(runs_factor, basic_park_factor) AS overall_park_factor FROM calc_park_factors_basic b LEFT JOIN park_factors_outs a ON a.season = b.season AND a.park_id = b.park_id AND a.league = b.league"
 FRACTIONS |= {"standings": ["win_percentage", "pythagorean_win_percentage", "average_run_differential"], "calc_park_factors_basic": ["sqrt_sample_size", "avg_this_runs_per_inning", "avg_other_runs_per_inning", "basic_park_factor"], "park_factors": ["basic_park_factor", "overall_park_factor"]}
 
+SQL["box_score_data_issues"] = " UNION ALL ".join(f"SELECT 'stg_box_score_{k}_lines' AS source_table, game_id, {'batter' if k == 'batting' else 'pitcher'}_id AS player_id, '{n}' AS issue_type, CAST({x} AS BIGINT) AS value_a, CAST({y} AS BIGINT) AS value_b FROM stg_box_score_{k}_lines WHERE {x} > {y}" for k, n, x, y in LINE_ISSUES)
+SQL["team_game_data_issues"] = """SELECT game_id, team_id, 'starting_pitcher_no_appearance' AS issue_type, 'recorded SP ' || p || ' never appeared in events' AS notes FROM (SELECT game_id, home_team_id AS team_id, home_starting_pitcher_id AS p FROM game_start_info UNION ALL SELECT game_id, away_team_id, away_starting_pitcher_id FROM game_start_info) s
+ WHERE p IS NOT NULL AND game_id IN (SELECT game_id FROM stg_games WHERE source_type = 'PlayByPlay') AND NOT EXISTS (SELECT 1 FROM event_pitching_stats e WHERE e.game_id = s.game_id AND e.team_id = s.team_id AND e.player_id = s.p)"""
+SQL["season_team_coverage"] = "SELECT season, team_id, min(league) AS league, CASE WHEN bool_and(source_type = 'PlayByPlay') THEN 'PlayByPlay' WHEN bool_and(source_type IN ('PlayByPlay', 'BoxScore')) THEN 'BoxScore' ELSE 'GameLog' END AS least_granular_source_type FROM team_game_start_info WHERE game_id NOT IN (SELECT game_id FROM game_forfeits) AND (game_type <> 'Exhibition' OR league IS NULL) GROUP BY ALL"
+SQL["weight_plays"] = """SELECT event_key, CASE WHEN result_category = 'InPlayOut' AND outs_on_play > 1 THEN 'DoublePlay' ELSE result_category END AS play, 'BATTING' AS play_category FROM stg_events JOIN seed_result_categories USING (plate_appearance_result) WHERE event_key NOT IN (SELECT event_key FROM stg_event_baserunners WHERE baserunning_play_type IS NOT NULL)
+ UNION ALL SELECT event_key, min(CASE WHEN is_out THEN result_category_out ELSE result_category_safe END), 'BASERUNNING' FROM stg_event_baserunners JOIN seed_baserunning_play_types USING (baserunning_play_type) WHERE event_key NOT IN (SELECT event_key FROM stg_events WHERE plate_appearance_result IS NOT NULL) GROUP BY 1 HAVING count(*) = 1"""
+SQL["weight_values"] = "SELECT season, league, play, play_category, expected_runs_change AS r, expected_batting_win_change AS w FROM weight_plays JOIN event_transition_values USING (event_key)"
+SQL["weight_own"] = """SELECT v.*, a.r_all, a.w_all, false AS is_imputed FROM (SELECT season, league, play, min(play_category) AS play_category, avg(r) AS r_own, stddev_samp(r) AS r_dev, avg(w) AS w_own, stddev_samp(w) AS w_dev FROM weight_values GROUP BY ALL HAVING count(*) > 100) v
+ JOIN (SELECT season, league, avg(r) AS r_all, avg(w) AS w_all FROM weight_values GROUP BY ALL) a ON v.season = a.season AND v.league IS NOT DISTINCT FROM a.league"""
+SQL["weight_rest"] = """SELECT l.season, l.league, g.*, (SELECT avg(r) FROM weight_values) AS r_all, (SELECT avg(w) FROM weight_values) AS w_all, true AS is_imputed FROM (SELECT DISTINCT season, league FROM team_game_results WHERE league IS NOT NULL) l
+ CROSS JOIN (SELECT play, min(play_category) AS play_category, avg(r) AS r_own, stddev_samp(r) AS r_dev, avg(w) AS w_own, stddev_samp(w) AS w_dev FROM weight_values GROUP BY 1) g WHERE NOT EXISTS (SELECT 1 FROM weight_own o WHERE o.season = l.season AND o.league = l.league AND o.play = g.play)"""
+SQL["linear_weights"] = """SELECT season, coalesce(league, 'N/A') AS league, play, play_category, round(round(r_own - r_all, 9), 3) AS average_run_value, round(round(w_own - w_all, 9), 3) AS average_win_value, r_own - max(CASE WHEN play = 'InPlayOut' THEN r_own END) OVER (PARTITION BY season, league) AS relative_run_value,
+ round(round(r_dev, 9), 3) AS std_dev_run_value, round(round(w_dev, 9), 3) AS std_dev_win_value, is_imputed FROM (SELECT * FROM weight_own UNION ALL BY NAME SELECT * FROM weight_rest)"""
+SQL["share_rates"] = "SELECT fielding_position, sum(putouts - assisted_putouts) / nullif(sum(putouts), 0) AS rate FROM calc_fielding_play_agg WHERE event_key IN (SELECT event_key FROM stg_events WHERE plate_appearance_result = 'InPlayOut' AND batted_to_fielder > 0 AND outs_on_play = 1) GROUP BY 1"
+SQL["share_teams"] = """SELECT *, greatest(sum(surplus_box_putouts) OVER w, 0) AS s_all, greatest(sum(CASE WHEN fielding_position > 6 THEN surplus_box_putouts END) OVER w, 0) AS s_of, greatest(sum(CASE WHEN fielding_position < 6 THEN surplus_box_assists END) OVER w, 0) AS s_as FROM player_position_game_fielding_stats
+ WHERE (game_id, team_id) IN (SELECT (game_id, team_id) FROM team_game_fielding_stats WHERE unknown_putouts > 0) WINDOW w AS (PARTITION BY game_id, team_id)"""
+SQL["share_parts"] = "SELECT t.*, greatest(s_all - s_of - s_as, 0) AS s_left, greatest(CASE WHEN fielding_position <= 6 AND greatest(s_all - s_of - s_as, 0) > 0 THEN surplus_box_putouts / greatest(s_all - s_of - s_as, 0) ELSE 0 END * rate, 0) AS part FROM share_teams t JOIN share_rates USING (fielding_position)"
+SQL["share_plays"] = """SELECT *, greatest(CASE WHEN fielding_position > 6 THEN surplus_box_putouts ELSE coalesce(part / nullif(sum(part) OVER (PARTITION BY game_id, team_id), 0), 0) * s_left END, 0) AS p, greatest(CASE WHEN fielding_position > 6 THEN 0 ELSE surplus_box_assists END, 0) AS a FROM share_parts"""
+SQL["unknown_fielding_play_shares"] = "SELECT game_id, team_id, fielding_position, player_id, CAST(p + a AS DOUBLE) AS estimated_unknown_plays, CAST(sum(p + a) OVER w AS DOUBLE) AS estimated_unknown_plays_team, (p + a) / sum(p + a) OVER w AS play_share, a / sum(p + a) OVER w AS play_share_subset_assists, p / sum(p + a) OVER w AS play_share_subset_putouts FROM share_plays WHERE p + a > 0 WINDOW w AS (PARTITION BY game_id, team_id)"
+FRACTIONS |= {"linear_weights": ["relative_run_value"], "unknown_fielding_play_shares": ["estimated_unknown_plays", "estimated_unknown_plays_team", "play_share", "play_share_subset_assists", "play_share_subset_putouts"]}
+
 # Learning from plays
 
 SQL["outcome_plays"] = """SELECT e.event_key, e.game_id, greatest(1913, e.season) AS weigh_season, e.batting_side, sum(e.runs_on_play) OVER (PARTITION BY e.game_id, e.inning, e.batting_side ORDER BY e.event_id ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS runs_following, c.result_category, t.is_in_play, bb.trajectory, bb.location_depth, bb.location_side
@@ -452,10 +475,10 @@ SQL["outcome_rows"] = f"""SELECT event_key, {b('result_category IS NOT NULL')} A
  FROM outcome_plays LEFT JOIN outcome_runners USING (event_key) JOIN game_results USING (game_id) WHERE result_category IS NOT NULL OR ran IS NOT NULL"""
 _weighed = {n: f"factor * ({r.lstrip('_') if r.startswith('_') else r})" for n, r in WEIGHTS.items()}
 SQL["ml_event_outcomes"] = f"SELECT event_key, {', '.join(f'outcome_{n}' for n in OUTCOMES)}, factor / nullif(avg(factor) OVER (), 0) AS generic_sample_weight, {', '.join(f'{x} / nullif(avg({x}) OVER (), 0) AS {n}_sample_weight' for n, x in _weighed.items())} FROM outcome_rows"
-_runner = lambda base: f"coalesce(CAST((SELECT max(runner_id) FROM stg_event_baserunners r WHERE r.event_key = e.event_key AND baserunner = '{base}') AS VARCHAR), 'N/A') AS runner_{base.lower()}_player"
-SQL["ml_known"] = f"""SELECT e.event_key, CAST(e.season AS DOUBLE) AS season_num, CAST(dayofyear(e.date) AS DOUBLE) AS day_of_year_num, CAST(least(inning_start, 10) AS DOUBLE) AS inning_num, CAST(CASE WHEN frame_start = 'Top' THEN 0 ELSE 1 END AS DOUBLE) AS frame_num, CAST(CASE WHEN g.time_of_day = 'Night' THEN 1 ELSE 0 END AS DOUBLE) AS is_night_game_num,
+_runner = lambda base: f"coalesce(CAST(runner_{base}_id_start AS VARCHAR), 'N/A') AS runner_{base}_player"
+SQL["ml_known"] = f"""SELECT e.event_key, CAST(e.season AS DOUBLE) AS season_num, CAST(dayofyear(e.date) AS DOUBLE) AS day_of_year_num, CAST(least(inning_start, 10) AS DOUBLE) AS inning_num, CAST(CASE WHEN frame_start = 'Top' THEN 0 ELSE 1 END AS DOUBLE) AS frame_num, CAST(CASE WHEN time_of_day = 'Night' THEN 1 ELSE 0 END AS DOUBLE) AS is_night_game_num,
  CAST(CASE WHEN batting_side = 'Home' THEN score_home_start ELSE score_away_start END AS DOUBLE) AS score_batting_team_num, CAST(CASE WHEN batting_side = 'Home' THEN score_away_start ELSE score_home_start END AS DOUBLE) AS score_fielding_team_num, e.park_id AS park_cat, e.game_type AS game_type_cat, coalesce(e.league, 'None') AS league_cat, CAST(base_state_start AS VARCHAR) AS base_state_cat, CAST(batter_id AS VARCHAR) AS batter_player,
- {', '.join(map(_runner, ('First', 'Second', 'Third')))}, CAST(pitcher_id AS VARCHAR) AS pitcher_player, CASE WHEN ('0x' || substr(md5(CAST(e.game_id AS VARCHAR)), 1, 8))::BIGINT % 100 < 98 THEN 'TRAIN' ELSE 'TEST' END AS meta_train_test_split FROM event_states_full e LEFT JOIN stg_games g USING (game_id)"""
+ {', '.join(map(_runner, BASES))}, CAST(pitcher_id AS VARCHAR) AS pitcher_player, CASE WHEN ('0x' || substr(md5(CAST(e.game_id AS VARCHAR)), 1, 8))::BIGINT % 100 < 98 THEN 'TRAIN' ELSE 'TEST' END AS meta_train_test_split FROM event_states_full e"""
 SQL["ml_features"] = "SELECT o.*, k.* EXCLUDE (event_key) FROM ml_event_outcomes o LEFT JOIN ml_known k ON o.event_key = k.event_key"
 FRACTIONS |= {n: ["generic_sample_weight", *[f"{w}_sample_weight" for w in WEIGHTS]] for n in ("ml_event_outcomes", "ml_features")}
 

@@ -298,10 +298,11 @@ def est_factor_variant(t):
     return E.factor_variant(_units(t), ["team"], "unit", "season", ["v"], "s", odds=False)
 
 
-@probe("est_factor_merge", f"WITH {_BASIC} SELECT unit, season, CASE WHEN unit % 2 = 0 THEN 1.0 ELSE round(factor, 5) END AS factor FROM basic")
+@probe("est_factor_merge", f"WITH {_BASIC}, advanced AS ({_variant_sql(True)}) SELECT unit, season, coalesce(CASE WHEN unit % 2 = 0 THEN v_factor END, round(factor, 5)) AS factor FROM basic LEFT JOIN advanced USING (unit, season)")
 def est_factor_merge(t):
+    """The advanced factor of the units that have one here (the even ones), and the basic one of the rest."""
     basic = E.factor_basic(_units(t), ["team"], "unit", "season", "v", "s").select("unit", "season", F.round("factor", 5).alias("factor"))
-    advanced = _units(t).where("unit % 2 = 0").select("unit", "season").distinct().withColumn("factor", F.lit(1.0))
+    advanced = E.factor_variant(_units(t), ["team"], "unit", "season", ["v"], "s").where("unit % 2 = 0").select("unit", "season", F.col("v_factor").alias("factor"))
     return E.factor_merge(advanced, basic, ["unit", "season"], "factor")
 
 
