@@ -42,4 +42,4 @@ def flags(**conditions: str | Column) -> list[Column]:
 
 
 def sums(stats: list[str]) -> list[Column]:
-    return [F.sum(c).alias(c) for c in stats]
+    return [F.expr(f"sum(`{c}`) AS `{c}`") for c in stats]

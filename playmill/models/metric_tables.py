@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import metrics as M
 from . import stats as S
-from .catalogue import MODELS, sums
+from .catalogue import MODELS
 
 E = F.expr
 
@@ -80,7 +80,7 @@ def metric_table(m, kind: str, keys: list[str]) -> DataFrame:
     eras = m.seed_franchises.select(F.col("team_id").alias("_team"), F.col("league").alias("_league"), F.year("date_start").alias("_from"), F.coalesce(F.year("date_end"), F.lit(9999)).alias("_to"))
     regular = getattr(m, season_table).join(m.seed_game_types.where("is_regular_season").select("game_type"), "game_type", "left_semi")
     seasons = regular.join(eras, (F.col("team_id") == F.col("_team")) & F.col("season").between(F.col("_from"), F.col("_to")), "left").withColumn("league", F.coalesce("_league", F.lit("N/A")))
-    own = registry.evaluate(seasons, keys, registry.of(kind, "season"), [F.sum("games").alias("games"), *[c.cast("int").alias(n) for c, n in zip(sums(counters), counters)]])
+    own = registry.evaluate(seasons, keys, registry.of(kind, "season"), [F.sum("games").alias("games"), *[F.expr(f"CAST(sum(`{n}`) AS INT) AS `{n}`") for n in counters]])
     known = m.team_game_start_info.select("team_id", "game_id", *[k for k in ("season", "league") if k in keys])
     events = getattr(m, event_table).join(m.game_start_info.where("is_regular_season").select("game_id"), "game_id", "left_semi").join(known, ["team_id", "game_id"], "left")
     told = registry.evaluate(events, keys, registry.of(kind, "event"), [F.count_distinct("game_id").alias("_games")])

@@ -35,8 +35,9 @@ class Metric:
     def column(self) -> Column:
         if self.formula:
             return self.formula()
-        total = lambda names: sum((F.sum(F.expr(n[1:])) * -1 if n[0] == "-" else F.sum(F.expr(n)) for n in names[1:]), F.sum(F.expr(names[0])))
-        return F.try_divide(total(self.numerator).cast("double") * F.lit(self.scale), total(self.denominator).cast("double"))
+        # One text an expression: tables have hundreds of measures, and each call to the planner costs.
+        total = lambda names: "CAST(" + " ".join(f"- sum({n[1:]})" if n[0] == "-" else f"+ sum({n})" for n in names).lstrip("+ ") + " AS DOUBLE)"
+        return F.expr(f"try_divide({total(self.numerator)} * {float(self.scale)!r}D, {total(self.denominator)})")
 
 
 @dataclass
@@ -76,8 +77,11 @@ class Registry:
             visit(m)
         base = [*extra, *[m.column().alias(m.name) for m in metrics if m.form != "derived"]]
         out = df.groupBy(*keys).agg(*base) if base else df.select(*keys).distinct()
-        for m in steps:
-            out = out.withColumn(m.name, m.derived(*[F.col(u) for u in m.uses]))
+        while steps:  # those that use nothing that is still to come go together
+            waiting = {m.name for m in steps}
+            now = [m for m in steps if not waiting & set(m.uses)]
+            out = out.withColumns({m.name: m.derived(*[F.col(u) for u in m.uses]) for m in now})
+            steps = [m for m in steps if m not in now]
         kept = [c for c in out.columns if c not in by_name]
         return out.select(*kept, *[m.name for m in metrics])
 

@@ -529,7 +529,7 @@ def _store(t) -> Store:
 
 
 def _plain(df):
-    return df.select(*[F.round(c, 6).alias(c) if k == "double" else F.col(c) for c, k in df.dtypes])
+    return df.selectExpr(*[f"round(`{c}`, 6) AS `{c}`" if k == "double" else f"`{c}`" for c, k in df.dtypes])
 
 
 for _name in MODELS:
