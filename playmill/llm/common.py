@@ -6,6 +6,8 @@ splits on exactly these six bytes, so it is used on the UTF-8 form of a text.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import tempfile
 import uuid
@@ -44,11 +46,23 @@ def slices(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[pa
             yield batch.slice(start)
 
 
+def let_go() -> None:
+    """Gives memory that a task no longer needs back to the system, as workers live on between tasks."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+    if trim:
+        trim(0)
+
+
 def map_texts(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
     """mapInArrow over bounded slices of the binary column ``text``."""
 
     def run(batches):
-        yield from work(slices(batches))
+        try:
+            yield from work(slices(batches))
+        finally:
+            let_go()
 
     return df.mapInArrow(run, schema)
 

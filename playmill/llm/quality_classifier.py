@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import list_column, map_texts, slices, text_bytes
+from .common import let_go, list_column, map_texts, slices, text_bytes
 from .training import fitted, labelled_sample
 
 #: Words whose folded value a worker keeps; when full, the table starts anew.
@@ -205,5 +205,7 @@ def accepted(docs: DataFrame, model: tuple[np.ndarray, float], least: float = 0.
         for batch in slices(batches, text_col):
             texts = [x.encode() if x else b"" for x in batch.column(text_col).to_pylist()]
             yield batch.filter(pa.array(scorer(texts) >= least))
+        del scorer
+        let_go()
 
     return docs.mapInArrow(work, docs.schema)

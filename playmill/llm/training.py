@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import map_texts, text_bytes
+from .common import let_go, map_texts, text_bytes
 
 #: Bytes of features of a class that a fit takes at most.
 MOST_BYTES = 96 << 20
@@ -50,8 +50,10 @@ def fitted(sample: DataFrame, features: Callable, fields: str, fit: Callable[[pa
     bounded = made.where(F.col("n_bytes") <= MOST_BYTES).withColumn("total", total).where(F.col("total") <= MOST_BYTES).drop("total", "n_bytes")
 
     def work(table: pa.Table) -> pa.Table:
-        model = fit(table.sort_by("doc_id").combine_chunks())
-        return pa.table({"model": pa.array([pickle.dumps(model)], pa.binary())})
+        model = pickle.dumps(fit(table.sort_by("doc_id").combine_chunks()))
+        del table
+        let_go()
+        return pa.table({"model": pa.array([model], pa.binary())})
 
     found = bounded.withColumn("one", F.lit(1)).groupBy("one").applyInArrow(work, "model binary").collect()
     return pickle.loads(found[0]["model"]) if found else None
