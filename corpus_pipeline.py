@@ -37,7 +37,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, source, ids and the text that they decode to."""
     path = queries.tokenizer_path()
-    return sp_codec.decode(sp_codec.encode(docs, path, spans=False, also=("source",)), path)
+    return sp_codec.encode(docs, path, spans=False, decoded=True, also=("source",)).select("doc_id", "ids", "source", "decoded")
 
 
 STAGES = [
