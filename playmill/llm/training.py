@@ -1,4 +1,4 @@
-"""Drawing a bounded, reproducible training sample of labelled documents, and fitting on it."""
+"""Labelled documents: all of them, or a bounded, reproducible sample and a fit on it."""
 
 from __future__ import annotations
 
@@ -20,6 +20,17 @@ def remainder(column: str, divisor: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(F.col(column).cast("string"), F.lit(""))), F.lit(divisor))
 
 
+def known_labels(labels: DataFrame, label: str, allowed: Column) -> DataFrame:
+    """doc_id and label (0 or 1, the larger of several) of the allowed rows that have both."""
+    return labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & allowed).groupBy("doc_id").agg(F.max(label).cast("int").alias("label"))
+
+
+def labelled(docs: DataFrame, known: DataFrame) -> DataFrame:
+    """doc_id, text (bytes) and label of every document with a known label; rows of one id are one document, that with the smallest text."""
+    met = docs.select("doc_id", text_bytes("text").alias("text")).join(known, "doc_id")
+    return met.groupBy("doc_id").agg(F.min("text").alias("text"), F.first("label").alias("label"))
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, allowed: Column, per_class: int) -> tuple[DataFrame, dict[int, int]]:
     """doc_id, text (bytes) and label of up to per_class labelled documents of each class, chosen by a hash of the id, and how many labels each class has.
 
@@ -27,12 +38,11 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, allowed: Col
     (at most 2 * per_class) are what is broadcast. Rows of one id are one
     document, that with the smallest text.
     """
-    known = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & allowed).groupBy("doc_id").agg(F.max(label).cast("int").alias("label"))
+    known = known_labels(labels, label, allowed)
     sizes = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count("*").alias("n")).collect()}
     parts = [known.where(F.col("label") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class) for k in (0, 1)]
     chosen = F.broadcast(parts[0].union(parts[1]))
-    met = docs.select("doc_id", text_bytes("text").alias("text")).join(chosen, "doc_id")
-    return met.groupBy("doc_id").agg(F.min("text").alias("text"), F.first("label").alias("label")), sizes
+    return labelled(docs, chosen), sizes
 
 
 def fitted(sample: DataFrame, features: Callable, fields: str, fit: Callable[[pa.Table], object]):
