@@ -13,6 +13,8 @@ from .common import let_go, map_texts, text_bytes
 
 #: Bytes of features of a class that a fit takes at most.
 MOST_BYTES = 96 << 20
+#: Bits that tell in the map which ids have no label, so that few texts without one are shuffled.
+MARKS = 1 << 24
 
 
 def remainder(column: str, divisor: int) -> Column:
@@ -25,6 +27,16 @@ def known_labels(labels: DataFrame, label: str, allowed: Column) -> DataFrame:
     return labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & allowed).groupBy("doc_id").agg(F.max(label).cast("int").alias("label"))
 
 
+def possible(docs: DataFrame, known: DataFrame) -> DataFrame:
+    """The rows whose doc_id may be known: all that are, and those whose hash has the mark of another. The marks have a fixed size, MARKS bits."""
+    place = lambda c: F.pmod(F.xxhash64(c), F.lit(MARKS)) + 1  # noqa: E731  from 1, as the bitmap functions number
+    marks = known.select(place("doc_id").alias("place")).groupBy(F.bitmap_bucket_number("place").alias("_bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("_bits"))
+    at = F.bitmap_bit_position(place("doc_id"))
+    byte = F.conv(F.hex(F.substring("_bits", F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    marked = docs.withColumn("_bucket", F.bitmap_bucket_number(place("doc_id"))).join(F.broadcast(marks), "_bucket")
+    return marked.where(F.getbit(byte, (at % 8).cast("int")) == 1).select(*docs.columns)
+
+
 def labelled(docs: DataFrame, known: DataFrame) -> DataFrame:
     """doc_id, text (bytes) and label of every document with a known label; rows of one id are one document, that with the smallest text."""
     met = docs.select("doc_id", text_bytes("text").alias("text")).join(known, "doc_id")
