@@ -66,3 +66,13 @@ def test_two_games_of_one_key_share_its_places(spark):
     got = sorted(tuple(r) for r in states.personnel_fielding_states(m).select("personnel_fielding_key", "fielding_position", "game_id", "player_id", "start_event_id", "end_event_id").collect())
     assert got == [(555, 1, 2, 20, 45, 400), (555, 2, 1, 11, 300, 305), (555, 3, 2, 21, 45, 400), (561, 1, 1, 10, 306, 310), (561, 2, 1, 12, 306, 310)]
     assert m.personnel_fielding_sets.agg(F.sum(F.size("players"))).first()[0] == 5
+
+
+def test_keys_of_all_plays_are_not_sent_to_the_driver(spark, store):
+    keep = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10m")
+    try:
+        plan = planned(store.plan("linear_weights"))
+        assert "SortMergeJoin [event_key" in plan and not re.search(r"BroadcastHashJoin \[event_key", plan)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", keep)
